@@ -161,3 +161,22 @@ def auto_interesting(es: EntitySet, max_values: int, skip: Sequence[str] = ()) -
         for row in frequent_values(e.df, columns, max_values).collect():
             found.setdefault(e.name, {}).setdefault(row["column"], []).append(row["value"])
     return es.with_interesting({n: {c: sorted(v) for c, v in cols.items()} for n, cols in found.items()})
+
+
+def with_native_keys(es: EntitySet) -> EntitySet:
+    """Cast key columns to text only where the two sides of a relationship differ in type."""
+    text: dict[str, set[str]] = {}
+    for e in es.entities.values():
+        for p in e.parents:
+            parent = es[p.name]
+            if e.df.schema[p.column].dataType != parent.df.schema[parent.key].dataType:
+                text.setdefault(e.name, set()).add(p.column)
+                text.setdefault(p.name, set()).add(parent.key)
+    # a parent key cast for one child must be cast for all its children
+    for e in es.entities.values():
+        for p in e.parents:
+            if es[p.name].key in text.get(p.name, ()):
+                text.setdefault(e.name, set()).add(p.column)
+    return EntitySet([
+        replace(e, df=e.df.withColumns({c: F.col(c).cast("string") for c in sorted(text[e.name])})) if e.name in text else e
+        for e in es.entities.values()])

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from cutline.functions.calendar import as_datetime
 from cutline.functions.primitives import MERGES, PARTIALS, aggregate, transform
 from cutline.operators.entities import Entity, EntitySet
-from cutline.operators.ranking import exact_quantiles, percentile_rank, previous_row
+from cutline.operators.ranking import Slots, exact_quantiles, percentile_rank, previous_row
 from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join
 from cutline.plans.feature_plan import Feature, FeatureSpec, Source, plan_features
 from cutline.session import checkpointed
@@ -178,8 +178,8 @@ def _child_features(es, child: Entity, column: str, features, ids, window: _Wind
         yield _merged(rows, names, chunk, ids, window, on), on
     if "values" in routes:
         yield _by_value(rows, names, routes["values"], ids, window, on), on
-    for f in routes.get("median", []):
-        yield _median(rows, names, f, ids, window, on), on
+    if "median" in routes:
+        yield _median(rows, names, routes["median"], ids, window, on), on
     if "pairs" in routes:
         yield _paired(window.pairs(rows) if timed else rows, names, routes["pairs"], ids, on), on
     if "inner" in routes:
@@ -349,10 +349,19 @@ def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
     return out
 
 
-def _median(rows, names, f: Feature, ids, window: _Window, on) -> DataFrame:
-    x = _masked(F.col(names[f.source]), _keep(f, names))
-    counts = _value_counts(rows, F.array(F.struct(F.lit(0).alias("cell"), x.alias("v"))), ["cell", "v"], window, on)
-    return exact_quantiles(counts, "v", {"q": 0.5}, on, weight="n").select(*on, F.col("q").alias(ids[f.name]))
+def _median(rows, names, features, ids, window: _Window, on) -> DataFrame:
+    """All medians of a child at once; every input is a cell of its own."""
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("cell"),
+                 _masked(F.col(names[f.source]).cast("double"), _keep(f, names)).alias("v"))
+        for i, f in enumerate(features)])
+    timed = TIME in on and window.buckets is not None
+    spread = rows.where(window.buckets.span(F.col(AT))) if timed else rows
+    slots = Slots.of(spread.select(F.inline(cells)).where(F.col("v").isNotNull()), "v")
+    counts = _value_counts(rows, cells, ["cell", "v"], window, on)
+    found = exact_quantiles(counts, "v", {"q": 0.5}, [*on, "cell"], weight="n", slots=slots)
+    return found.groupBy(*on).agg(*[
+        F.max(F.when(F.col("cell") == i, F.col("q"))).alias(ids[f.name]) for i, f in enumerate(features)])
 
 
 def _paired(pairs, names, features, ids, on) -> DataFrame:
@@ -374,7 +383,9 @@ def _paired(pairs, names, features, ids, on) -> DataFrame:
     for f in features:
         if aggregate(f.primitive).route == "median":
             x = _masked(_value_of(f, names), _keep(f, names))
-            fixed = checkpointed(pairs.select(*on, x.cast("double").alias("v")))
+            fixed = pairs.select(*on, x.cast("double").alias("v"))
+            if f.source.how == "inner":
+                fixed = checkpointed(fixed)
             part = exact_quantiles(fixed, "v", {"q": 0.5}, on).select(*on, F.col("q").alias(ids[f.name]))
             out = part if out is None else out.join(part, on, "full")
     return out

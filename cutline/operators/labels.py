@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from cutline.functions.actions import action_predicate
 from cutline.functions.calendar import Offset, as_datetime, cutoff_schedule, last_cutoff
 from cutline.functions.moments import merged_moments, moments, variance
-from cutline.operators.ranking import exact_quantiles
+from cutline.operators.ranking import Slots, exact_quantiles
 from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join
 from cutline.session import checkpointed
 
@@ -222,7 +222,8 @@ def make_labels(
         raise ValueError(f"unknown problem type: {spec.problem!r}")
     cutoffs = list(cutoffs) if cutoffs is not None else label_cutoffs(events, time, spec, mode)
     if not cutoffs:
-        raise ValueError("no event time, so no cutoff can be placed")
+        # no event time at all: an empty table with the right columns
+        events, cutoffs = events.limit(0), [datetime(2000, 1, 1)]
     how = spec.params.get("value_agg") if spec.problem == "value" else None
     if how is not None and how not in VALUE_SUMS + VALUE_DISTINCT:
         raise ValueError(f"unknown value aggregate: {how!r}")
@@ -270,7 +271,8 @@ def _value_by_distinct(rows, key, time, spec, buckets, how, form) -> DataFrame:
     if how == "nunique":
         got = counts.groupBy(key, "time").agg(F.count(F.lit(1)).cast("double").alias("value"))
     else:
-        got = exact_quantiles(counts, value, {"value": 0.5}, [key, "time"], weight="__n").select(
+        got = exact_quantiles(counts, value, {"value": 0.5}, [key, "time"], weight="__n",
+                              slots=Slots.of(pred.assign(bought, time), value)).select(
             key, "time", F.col("value").cast("double"))
     return active.join(got, [key, "time"], "left").select(
         key, "time", F.coalesce("value", F.lit(0.0)).alias("value"))

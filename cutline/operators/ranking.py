@@ -149,19 +149,21 @@ def exact_quantiles(
     group: Sequence[str] = (),
     method: str = "linear",
     weight: str | None = None,
-    slots: int | None = None,
+    slots: Slots | int | None = None,
 ) -> DataFrame:
     """Exact quantiles per group (or over all rows), one output column per entry of ``probs``.
 
     ``linear`` interpolates, ``higher`` takes the next value up. Only rows in slots that hold a
     wanted position are sorted. ``weight`` counts a row several times. ``<name>_upto`` is the
     number of rows at or below the value for ``higher``, at or below the lower neighbour else.
+    ``slots`` may be split points taken from cheaper rows with a similar spread of values.
     """
     if method not in ("linear", "higher"):
         raise ValueError(f"unknown method: {method!r}")
     group = list(group)
     df = df.where(F.col(value).isNotNull())
-    rows = Slots.of(df, value, n=slots).assign(df).drop(TIE_SLOT)
+    plan = slots if isinstance(slots, Slots) else Slots.of(df, value, n=slots)
+    rows = plan.assign(df).drop(TIE_SLOT)
     size = F.sum(weight) if weight else F.count(F.lit(1))
     up_to = Window.partitionBy(*group).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, 0)
     per_slot = rows.groupBy(*group, SLOT).agg(size.alias("__n")).select(
