@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cutline.operators.ranking import exact_quantiles, running_totals
+from cutline.operators.ranking import exact_quantiles, quantile_rows, running_totals
 from cutline.session import checkpointed
 
 DECILES = [i / 10 for i in range(1, 11)]
@@ -165,9 +165,8 @@ def relative_error_share(scored: DataFrame, truth: str, prediction: str, rates:
 
 def error_cdf(errors: DataFrame, error: str) -> DataFrame:
     """All 101 percentiles of an error column."""
-    names = {f"q{i}": i / 100 for i in range(101)}
-    found = exact_quantiles(errors, error, names)
-    return found.select(_rows([{"percentile": F.lit(float(i)), "error": F.col(q)} for i, q in enumerate(names)]))
+    found = quantile_rows(errors, error, [i / 100 for i in range(101)])
+    return found.select(F.col("position").cast("double").alias("percentile"), F.col("quantile").alias("error"))
 
 
 def evaluation_summary(scored: DataFrame, split: str, label: str, score: str, kind: str) -> DataFrame:

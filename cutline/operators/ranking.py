@@ -142,21 +142,22 @@ def with_deciles(df: DataFrame, score: str, tie: str, out: str = "decile") -> Da
     return ranked.withColumn(out, ((11 - bin_no) / 10).cast("double")).drop("rank", "rank_total")
 
 
-def exact_quantiles(
+def quantile_rows(
     df: DataFrame,
     value: str,
-    probs: Mapping[str, float],
+    probs: Sequence[float],
     group: Sequence[str] = (),
     method: str = "linear",
     weight: str | None = None,
     slots: Slots | int | None = None,
 ) -> DataFrame:
-    """Exact quantiles per group (or over all rows), one output column per entry of ``probs``.
+    """Exact quantiles per group (or over all rows), one row per quantile.
 
+    Columns: the group, ``position`` in ``probs``, ``quantile``, ``n`` (rows of the group) and
+    ``upto``, the number of rows at or below the value (``linear``: below the lower neighbour).
     ``linear`` interpolates, ``higher`` takes the next value up. Only rows in slots that hold a
-    wanted position are sorted. ``weight`` counts a row several times. ``<name>_upto`` is the
-    number of rows at or below the value for ``higher``, at or below the lower neighbour else.
-    ``slots`` may be split points taken from cheaper rows with a similar spread of values.
+    wanted rank are sorted. ``weight`` counts a row several times. ``slots`` may be split points
+    taken from cheaper rows with a similar spread of values.
     """
     if method not in ("linear", "higher"):
         raise ValueError(f"unknown method: {method!r}")
@@ -165,27 +166,28 @@ def exact_quantiles(
     plan = slots if isinstance(slots, Slots) else Slots.of(df, value, n=slots)
     rows = plan.assign(df).drop(TIE_SLOT)
     size = F.sum(weight) if weight else F.count(F.lit(1))
-    up_to = Window.partitionBy(*group).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy(*group).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, 0)
     per_slot = rows.groupBy(*group, SLOT).agg(size.alias("__n")).select(
-        *group, SLOT, "__n", F.sum("__n").over(up_to).alias("__after"),
+        *group, SLOT, "__n", F.sum("__n").over(running).alias("__upto"),
         F.sum("__n").over(Window.partitionBy(*group)).alias("__total"))
-    before = F.col("__after") - F.col("__n")
-
-    def place(p: float, total: Column) -> Column:
-        return F.lit(float(p)) * (total - 1)
-
-    total = F.col("__total")
-    # the tiny slack keeps a product such as 0.7 * 10 on its integer position
-    spots = {name: place(p, total) for name, p in probs.items()}
-    low = {name: F.floor(spot + F.lit(1e-9)) for name, spot in spots.items()}
-    high = {name: F.ceil(spot - F.lit(1e-9)) for name, spot in spots.items()}
-    if method == "higher":
-        low = high
-    wanted = F.lit(False)
-    for name in probs:
-        for spot in (low[name], high[name]):
-            wanted = wanted | ((before <= spot) & (spot < F.col("__after")))
-    targets = per_slot.where(wanted).select(*group, SLOT, before.alias("__before"), "__total")
+
+    def spots(total: Column) -> Column:
+        def spot(p: Column, i: Column) -> Column:
+            rank = p * (total - 1)
+            # the slack keeps a product such as 0.7 * 10 on its integer rank
+            high = F.ceil(rank - F.lit(1e-9))
+            low = F.floor(rank + F.lit(1e-9)) if method == "linear" else high
+            part = F.greatest(rank - low, F.lit(0.0))
+            return F.struct(i.alias("i"), low.alias("low"), high.alias("high"), part.alias("part"))
+
+        return F.transform(F.array(*[F.lit(float(p)) for p in probs]), spot)
+
+    def holds(rank: Column) -> Column:
+        """The rows counted by ``__n`` up to ``__upto`` include this rank."""
+        return (F.col("__upto") - F.col("__n") <= rank) & (rank < F.col("__upto"))
+
+    targets = per_slot.where(F.exists(spots(F.col("__total")), lambda s: holds(s["low"]) | holds(s["high"])))
+    targets = targets.select(*group, SLOT, (F.col("__upto") - F.col("__n")).alias("__before"), "__total")
     if not group:
         targets = F.broadcast(targets)
     counted = (rows.join(targets, [*group, SLOT])
@@ -193,26 +195,38 @@ def exact_quantiles(
     inside = (Window.partitionBy(*group, SLOT).orderBy(value)
               .rowsBetween(Window.unboundedPreceding, 0))
     placed = counted.withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
-    picks = []
-    for name in probs:
-        reached = F.col("__upto") > low[name]
-        picks += [
-            F.min(F.when(reached, F.col(value))).alias(f"__lo_{name}"),
-            F.min(F.when(reached, F.col("__upto"))).alias(f"{name}_upto"),
-            F.min(F.when(F.col("__upto") > high[name], F.col(value))).alias(f"__hi_{name}"),
-            F.max(spots[name] - low[name]).alias(f"__part_{name}"),
-        ]
-    found = placed.groupBy(*group).agg(*picks, F.max("__total").alias("n"))
-
-    def blend(name: str) -> Column:
-        lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        if method == "higher":
-            return hi
-        part = F.greatest(F.col(f"__part_{name}"), F.lit(0.0))
-        return F.when(lo == hi, lo.cast("double")).otherwise(lo + (hi - lo) * part)
-
-    return found.select(
-        *group, "n", *[blend(name).alias(name) for name in probs], *[f"{name}_upto" for name in probs])
+    found = spots(F.col("__total"))
+    lows = F.transform(F.filter(found, lambda s: holds(s["low"])),
+                       lambda s: F.struct(s["i"].alias("i"), F.lit(True).alias("is_low"), s["part"].alias("part")))
+    highs = F.transform(F.filter(found, lambda s: holds(s["high"])),
+                        lambda s: F.struct(s["i"].alias("i"), F.lit(False).alias("is_low"), s["part"].alias("part")))
+    hits = placed.select(*group, "__total", "__upto", F.col(value).alias("__v"), F.inline(F.concat(lows, highs)))
+    ends = hits.groupBy(*group, F.col("i").alias("position")).agg(
+        F.max(F.when(F.col("is_low"), F.col("__v"))).alias("__lo"),
+        F.max(F.when(~F.col("is_low"), F.col("__v"))).alias("__hi"),
+        F.max(F.when(F.col("is_low"), F.col("__upto"))).alias("upto"),
+        F.max("part").alias("__part"), F.max("__total").alias("n"))
+    lo, hi = F.col("__lo"), F.col("__hi")
+    quantile = hi if method == "higher" else F.when(lo == hi, lo.cast("double")).otherwise(
+        lo + (hi - lo) * F.col("__part"))
+    return ends.select(*group, "position", quantile.alias("quantile"), "upto", "n")
+
+
+def exact_quantiles(
+    df: DataFrame, value: str, probs: Mapping[str, float], group: Sequence[str] = (), **settings
+) -> DataFrame:
+    """``quantile_rows`` with one column per named quantile, ``<name>_upto`` columns and ``n``.
+
+    Without a group there is always one row.
+    """
+    found = quantile_rows(df, value, list(probs.values()), group, **settings)
+
+    def pick(i: int, column: str) -> Column:
+        return F.max(F.when(F.col("position") == i, F.col(column)))
+
+    return found.groupBy(*group).agg(
+        F.max("n").alias("n"), *[pick(i, "quantile").alias(name) for i, name in enumerate(probs)],
+        *[pick(i, "upto").alias(f"{name}_upto") for i, name in enumerate(probs)])
 
 
 def previous_row(

@@ -52,19 +52,28 @@ def letter_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(LETTERS), F.lit(0))
 
 
-def split_run(run: str, cost: Mapping[str, float], unknown: float, longest: int) -> list[str]:
+def with_prefixes(costs: Mapping[str, float]) -> dict[str, float]:
+    """The costs, and an infinite cost for every beginning of a word that is no word itself."""
+    out = dict.fromkeys((w[:i] for w in costs for i in range(1, len(w))), math.inf)
+    out.update(costs)
+    return out
+
+
+def split_run(run: str, cost: Mapping[str, float], unknown: float) -> list[str]:
     """Cut a run into the dictionary words with the smallest total cost; unknown characters stand alone."""
-    best: list[tuple[float, int]] = [(0.0, 0)] * (len(run) + 1)
-    for i in range(len(run) - 1, -1, -1):
-        best[i] = (unknown + best[i + 1][0], i + 1)
-        for j in range(i + 1, min(len(run), i + longest) + 1):
-            price = cost.get(run[i:j])
-            if price is not None and price + best[j][0] <= best[i][0]:
-                best[i] = (price + best[j][0], j)
+    n = len(run)
+    total, end = [0.0] * (n + 1), [0] * n
+    for i in range(n - 1, -1, -1):
+        least, at, j = unknown + total[i + 1], i + 1, i + 1
+        while j <= n and (price := cost.get(run[i:j])) is not None:
+            if price + total[j] <= least:
+                least, at = price + total[j], j
+            j += 1
+        total[i], end[i] = least, at
     words, i = [], 0
-    while i < len(run):
-        words.append(run[i:best[i][1]])
-        i = best[i][1]
+    while i < n:
+        words.append(run[i:end[i]])
+        i = end[i]
     return words
 
 
@@ -78,15 +87,14 @@ def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame, out: str)
     entries = {r["word"]: float(r["frequency"]) for r in dictionary.select("word", "frequency").collect()}
     whole = math.log(sum(entries.values()) or 1.0)
     costs = {w: whole - math.log(max(n, 1.0)) for w, n in entries.items()}
-    longest = max(map(len, costs), default=1)
-    shared = df.sparkSession.sparkContext.broadcast(costs)
+    shared = df.sparkSession.sparkContext.broadcast(with_prefixes(costs))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cost = shared.value
         for runs in batches:
             yield runs.map(lambda rs: None if rs is None else [
-                w for r in rs for w in split_run(r, cost, whole, longest)])
+                w for r in rs for w in split_run(r, cost, whole)])
 
     runs = F.regexp_extract_all(F.col(text), F.lit(CJK_RUN), F.lit(0))
     return df.withColumn(out, F.filter(cut(runs), lambda w: w.rlike(CJK) & ~w.rlike("[0-9]")))

@@ -180,7 +180,10 @@ def _stages(train: DataFrame, spec: TrainSpec, numeric: Sequence[str], text: Seq
         stages.append(TargetEncoder(
             inputCols=[f"{c}__index" for c in many], outputCols=[f"{c}__target" for c in many], labelCol=spec.label,
             targetType="binary" if spec.kind == "classifier" else "continuous", handleInvalid="keep", smoothing=10.0))
-        inputs += [f"{c}__target" for c in many]
+        # plain numbers: the encoder's output still calls itself categorical
+        means = ", ".join(f"`{c}__target` + 0.0D AS `{c}__mean`" for c in many)
+        stages.append(SQLTransformer(statement=f"SELECT *, {means} FROM __THIS__"))
+        inputs += [f"{c}__mean" for c in many]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="__features"))
     return stages, inputs
 
@@ -190,7 +193,7 @@ def default_estimator(spec: TrainSpec) -> Estimator:
                   stepSize=spec.rate, maxIter=spec.rounds, seed=spec.seed, validationIndicatorCol="is_test",
                   featureSubsetStrategy=str(spec.column_share))
     if spec.kind == "classifier":
-        return GBTClassifier(probabilityCol="__probability", rawPredictionCol="__raw", weightCol="__weight", **common)
+        return GBTClassifier(weightCol="__weight", **common).setProbabilityCol("__probability").setRawPredictionCol("__raw")
     return GBTRegressor(**common)
 
 

@@ -195,7 +195,7 @@ def evaluate(model: TrainedModel, matrix: DataFrame) -> dict[str, dict[str, Data
 
 
 def train_flow(spark: SparkSession, config: Mapping, tables: Mapping[str, DataFrame] | None = None,
-               folder: str | None = None) -> TrainingResult:
+               folder: str | None = None, with_evaluation: bool = True) -> TrainingResult:
     """Labels, features, one model per product (or one), evaluation; models go to ``folder`` if given."""
     es = entity_set(spark, config, tables)
     table, cutoffs, spec = labels(es, config)
@@ -222,7 +222,8 @@ def train_flow(spark: SparkSession, config: Mapping, tables: Mapping[str, DataFr
         if model is None:
             continue
         result.models[product] = model
-        result.evaluations[product] = evaluate(model, joined)
+        if with_evaluation:
+            result.evaluations[product] = evaluate(model, joined)
         if folder:
             model.save(stage_folder(folder, product))
     return result
