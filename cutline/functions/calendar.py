@@ -106,5 +106,10 @@ def seconds_between(earlier, later) -> Column:
     return micros_between(earlier, later) / F.lit(1e6)
 
 
+def ntz_text(moment: datetime) -> str:
+    """The moment as a SQL literal."""
+    return f"TIMESTAMP_NTZ'{moment.isoformat(sep=' ')}'"
+
+
 def ntz(moment: datetime) -> Column:
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(ntz_text(moment))

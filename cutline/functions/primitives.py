@@ -40,13 +40,13 @@ PARTIALS: dict[str, Partial] = {
     "tmin": Partial(lambda x, t, row: F.min(t), "min"),
     "tmax": Partial(lambda x, t, row: F.max(t), "max"),
     "ntrue": Partial(lambda x, t, row: F.count_if(x), "sum"),
-    "moments": Partial(lambda x, t, row: moments(x), "list"),
+    "moments": Partial(lambda x, t, row: moments(x), "moments"),
     "comoments": Partial(
-        lambda x, t, row: comoments(x, seconds_between(F.expr(TREND_ORIGIN), t) / DAY_SECONDS), "list"),
+        lambda x, t, row: comoments(x, seconds_between(F.expr(TREND_ORIGIN), t) / DAY_SECONDS), "comoments"),
 }
 
 MERGES: dict[str, Callable[[Column], Column]] = {
-    "sum": F.sum, "min": F.min, "max": F.max, "list": F.collect_list,
+    "sum": F.sum, "min": F.min, "max": F.max, "moments": merged_moments, "comoments": merged_comoments,
 }
 
 
@@ -82,9 +82,9 @@ AGGREGATES: dict[str, Aggregate] = {a.name: a for a in [
     Aggregate("min", "numeric", needs=("min",), finish=lambda p, time: p["min"]),
     Aggregate("median", "numeric", route="median"),
     Aggregate("std", "numeric", needs=("moments",),
-              finish=lambda p, time: F.sqrt(variance(merged_moments(p["moments"])))),
+              finish=lambda p, time: F.sqrt(variance(p["moments"]))),
     Aggregate("skew", "numeric", needs=("moments",),
-              finish=lambda p, time: adjusted_skew(merged_moments(p["moments"]))),
+              finish=lambda p, time: adjusted_skew(p["moments"])),
     Aggregate("first", "any", gives="same", route="order"),
     Aggregate("last", "any", gives="same", route="order"),
     Aggregate("mode", "discrete", gives="same", route="values"),
@@ -105,7 +105,7 @@ AGGREGATES: dict[str, Aggregate] = {a.name: a for a in [
     Aggregate("days_since_last", "time", needs=("tmax",),
               finish=lambda p, time: F.floor(seconds_between(p["tmax"], time) / DAY_SECONDS)),
     Aggregate("trend", "numeric", needs=("comoments",),
-              finish=lambda p, time: slope(merged_comoments(p["comoments"]))),
+              finish=lambda p, time: slope(p["comoments"])),
 ]}
 MONTH_OF_CUTOFF = "month_of_cutoff_point"
 

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cutline.functions.calendar import as_datetime
+from cutline.functions.moments import aligned
 from cutline.functions.primitives import MERGES, PARTIALS, aggregate, transform
 from cutline.operators.entities import Entity, EntitySet
 from cutline.operators.ranking import Slots, exact_quantiles, percentile_rank, previous_row
-from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join
+from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join, split_hot
 from cutline.plans.feature_plan import Feature, FeatureSpec, Source, plan_features
 from cutline.session import checkpointed
 
@@ -249,15 +250,15 @@ class _Partials:
             for j, f in enumerate(members):
                 self.uses[f.name] = {"end": f"e{i}", "field": f"v{j}"}
 
-    def finish(self, f: Feature, single: bool) -> Column:
+    def aligned(self, df: DataFrame) -> DataFrame:
+        of_kind = {k: [n for n, how in self.merges.items() if how == k] for k in ("moments", "comoments")}
+        return aligned(df, KEY, of_kind["moments"], of_kind["comoments"])
+
+    def finish(self, f: Feature) -> Column:
         use = self.uses[f.name]
         if "end" in use:
             return F.col(use["end"])[use["field"]]
-        have = {}
-        for need, slot in use.items():
-            lone = single and self.merges[slot] == "list"
-            have[need] = F.array(F.col(slot)) if lone else F.col(slot)
-        return aggregate(f.primitive).finish(have, F.col(TIME))
+        return aggregate(f.primitive).finish({need: F.col(slot) for need, slot in use.items()}, F.col(TIME))
 
 
 def _merged(rows, names, features, ids, window: _Window, on) -> DataFrame:
@@ -265,14 +266,12 @@ def _merged(rows, names, features, ids, window: _Window, on) -> DataFrame:
     first = [c.alias(n) for n, c in partials.columns.items()]
     if TIME in on and window.buckets is not None:
         reduced = window.buckets.assign(rows, AT).groupBy(KEY, BUCKET).agg(*first)
-        wide = window.buckets.expand(reduced.repartition(KEY), TIME)
-        done = wide.groupBy(*on).agg(*[MERGES[how](n).alias(n) for n, how in partials.merges.items()])
-        single = False
+        wide = window.buckets.expand(partials.aligned(reduced.repartition(KEY)), TIME)
+        done = wide.groupBy(*on).agg(*[MERGES[how](F.col(n)).alias(n) for n, how in partials.merges.items()])
     else:
         pairs = window.pairs(rows) if TIME in on else rows
         done = pairs.groupBy(*on).agg(*first)
-        single = True
-    return done.select(*on, *[partials.finish(f, single).alias(ids[f.name]) for f in features])
+    return done.select(*on, *[partials.finish(f).alias(ids[f.name]) for f in features])
 
 
 def _value_slot(f: Feature, rows: DataFrame, names) -> str:
@@ -284,19 +283,26 @@ def _value_slot(f: Feature, rows: DataFrame, names) -> str:
 
 
 def _value_counts(rows, cells: Column, columns, window: _Window, on) -> DataFrame:
-    """Counts per (key, cutoff, cell); cells are counted per time bucket before they meet cutoffs."""
+    """Counts per (key, cutoff, cell).
+
+    Rows of ordinary keys move once, by key, and are counted in place. Rows of very frequent
+    keys are counted per time bucket first and spread over all tasks by their values.
+    """
     size = F.count(F.lit(1)).alias("n")
 
     def exploded(df: DataFrame, *keep: str) -> DataFrame:
         flat = df.select(*keep, F.inline(cells))
         return flat.where(F.coalesce(*[F.col(c).cast("string") for c in columns if c != "cell"]).isNotNull())
 
-    if TIME in on and window.buckets is not None:
-        reduced = (exploded(window.buckets.assign(rows, AT), KEY, BUCKET)
-                   .groupBy(KEY, BUCKET, *columns).agg(size).repartition(KEY, *columns))
-        return window.buckets.expand(reduced, TIME).groupBy(*on, *columns).agg(F.sum("n").alias("n"))
-    pairs = window.pairs(rows) if TIME in on else rows
-    return exploded(pairs, *on).groupBy(*on, *columns).agg(size)
+    if TIME not in on or window.buckets is None:
+        pairs = window.pairs(rows) if TIME in on else rows
+        return exploded(pairs, *on).groupBy(*on, *columns).agg(size)
+    cold, hot = split_hot(window.buckets.assign(rows, AT), KEY)
+    out = window.buckets.expand(exploded(cold, KEY, BUCKET).repartition(KEY), TIME).groupBy(*on, *columns).agg(size)
+    if hot is not None:
+        reduced = exploded(hot, KEY, BUCKET).groupBy(KEY, BUCKET, *columns).agg(size).repartition(KEY, *columns)
+        out = out.unionByName(window.buckets.expand(reduced, TIME).groupBy(*on, *columns).agg(F.sum("n").alias("n")))
+    return out
 
 
 def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
@@ -350,18 +356,31 @@ def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
 
 
 def _median(rows, names, features, ids, window: _Window, on) -> DataFrame:
-    """All medians of a child at once; every input is a cell of its own."""
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("cell"),
-                 _masked(F.col(names[f.source]).cast("double"), _keep(f, names)).alias("v"))
-        for i, f in enumerate(features)])
-    timed = TIME in on and window.buckets is not None
-    spread = rows.where(window.buckets.span(F.col(AT))) if timed else rows
-    slots = Slots.of(spread.select(F.inline(cells)).where(F.col("v").isNotNull()), "v")
-    counts = _value_counts(rows, cells, ["cell", "v"], window, on)
-    found = exact_quantiles(counts, "v", {"q": 0.5}, [*on, "cell"], weight="n", slots=slots)
-    return found.groupBy(*on).agg(*[
-        F.max(F.when(F.col("cell") == i, F.col("q"))).alias(ids[f.name]) for i, f in enumerate(features)])
+    """All medians of a child. Values of ordinary keys meet in one task; others are ranked by value ranges."""
+    inputs = [_masked(F.col(names[f.source]).cast("double"), _keep(f, names)) for f in features]
+    if TIME not in on or window.buckets is None:
+        cold, hot = None, window.pairs(rows) if TIME in on else rows
+    else:
+        cold, hot = split_hot(window.buckets.assign(rows, AT), KEY)
+    out = None
+    if cold is not None:
+        slim = cold.select(KEY, BUCKET, *[x.alias(ids[f.name]) for f, x in zip(features, inputs)])
+        out = window.buckets.expand(slim.repartition(KEY), TIME).groupBy(*on).agg(*[
+            F.median(ids[f.name]).alias(ids[f.name]) for f in features])
+    if hot is not None:
+        cells = F.array(*[F.struct(F.lit(i).alias("cell"), x.alias("v")) for i, x in enumerate(inputs)])
+        slots = Slots.of(hot.select(F.inline(cells)).where(F.col("v").isNotNull()), "v")
+        at = [KEY, BUCKET] if cold is not None else on
+        counts = (hot.select(*at, F.inline(cells)).where(F.col("v").isNotNull())
+                  .groupBy(*at, "cell", "v").agg(F.count(F.lit(1)).alias("n")))
+        if cold is not None:
+            counts = window.buckets.expand(counts.repartition(KEY, "cell", "v"), TIME).groupBy(*on, "cell", "v").agg(
+                F.sum("n").alias("n"))
+        found = exact_quantiles(counts, "v", {"q": 0.5}, [*on, "cell"], weight="n", slots=slots)
+        part = found.groupBy(*on).agg(*[
+            F.max(F.when(F.col("cell") == i, F.col("q"))).alias(ids[f.name]) for i, f in enumerate(features)])
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _paired(pairs, names, features, ids, on) -> DataFrame:
@@ -379,7 +398,7 @@ def _paired(pairs, names, features, ids, on) -> DataFrame:
     if picks:
         done = pairs.groupBy(*on).agg(*picks)
         out = done.select(*on, *[ids[f.name] for f in free],
-                          *[partials.finish(f, True).alias(ids[f.name]) for f in simple])
+                          *[partials.finish(f).alias(ids[f.name]) for f in simple])
     for f in features:
         if aggregate(f.primitive).route == "median":
             x = _masked(_value_of(f, names), _keep(f, names))

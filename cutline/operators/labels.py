@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from cutline.functions.actions import action_predicate
 from cutline.functions.calendar import Offset, as_datetime, cutoff_schedule, last_cutoff
-from cutline.functions.moments import merged_moments, moments, variance
+from cutline.functions.moments import aligned, merged_moments, moments, variance
 from cutline.operators.ranking import Slots, exact_quantiles
-from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join
+from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join, split_hot
 from cutline.session import checkpointed
 
 ACTION = "__action"
@@ -141,14 +141,14 @@ def _value_merges(spec: LabelSpec) -> dict[str, Column]:
         "v_min": F.min(_in_pred("v_min")), "v_max": F.max(_in_pred("v_max")),
     }
     if spec.params["value_agg"] in ("std", "var"):
-        out["v_moments"] = F.collect_list(_in_pred("v_moments"))
+        out["v_moments"] = merged_moments(_in_pred("v_moments"))
     return out
 
 
 def _value_finish(spec: LabelSpec) -> dict[str, Column]:
     how, n = spec.params["value_agg"], F.coalesce(F.col("v_cnt"), F.lit(0))
     if how in ("std", "var"):
-        spread = variance(merged_moments(F.col("v_moments")))
+        spread = variance(F.col("v_moments"))
         got = F.sqrt(spread) if how == "std" else spread
     else:
         got = {
@@ -243,15 +243,16 @@ def make_labels(
 def _merged(rows, key, time, spec, function, buckets: Buckets, form: str) -> DataFrame:
     partials = {"__rows": F.count(F.lit(1)), **function.partials(spec, F.col(time))}
     merges = {"__active": F.max(F.when(F.col("in_sample"), F.col("__rows"))), **function.merges(spec)}
+    spreads = [n for n in partials if n.endswith("moments")]
     if form == "bucketed":
         reduced = (buckets.assign(rows, time).groupBy(key, BUCKET)
                    .agg(*[c.alias(n) for n, c in partials.items()]))
         # all later steps group by the key, so the reduced rows move once more and then stay
-        wide = buckets.expand(reduced.repartition(key))
+        wide = buckets.expand(aligned(reduced.repartition(key), key, spreads, []))
     elif form == "direct":
         flagged = _flags(interval_join(rows, time, buckets), spec)
-        wide = flagged.groupBy(key, "time", "in_sample", "in_lead", "in_pred").agg(
-            *[c.alias(n) for n, c in partials.items()])
+        wide = aligned(flagged.groupBy(key, "time", "in_sample", "in_lead", "in_pred").agg(
+            *[c.alias(n) for n, c in partials.items()]), key, spreads, [])
     else:
         raise ValueError(f"unknown form: {form!r}")
     merged = _flags(wide, spec).groupBy(key, "time").agg(*[c.alias(n) for n, c in merges.items()])
@@ -264,16 +265,20 @@ def _value_by_distinct(rows, key, time, spec, buckets, how, form) -> DataFrame:
     active = _merged(rows, key, time, spec, only_active, buckets, form).select(key, "time")
     pred = Buckets([w for w in buckets.windows if w.role == "pred"])
     value = spec.params["value_column"]
-    bought = rows.where(F.col(ACTION) & F.col(value).isNotNull())
-    counts = (pred.assign(bought, time).groupBy(key, BUCKET, value)
-              .agg(F.count(F.lit(1)).alias("__n")).repartition(key, value))
-    counts = pred.expand(counts).groupBy(key, "time", value).agg(F.sum("__n").alias("__n"))
-    if how == "nunique":
-        got = counts.groupBy(key, "time").agg(F.count(F.lit(1)).cast("double").alias("value"))
-    else:
-        got = exact_quantiles(counts, value, {"value": 0.5}, [key, "time"], weight="__n",
-                              slots=Slots.of(pred.assign(bought, time), value)).select(
-            key, "time", F.col("value").cast("double"))
+    bought = pred.assign(rows.where(F.col(ACTION) & F.col(value).isNotNull()), time).select(key, BUCKET, value)
+    cold, hot = split_hot(bought, key)
+    measure = F.median(value) if how == "median" else F.count_distinct(value)
+    got = pred.expand(cold.repartition(key)).groupBy(key, "time").agg(measure.cast("double").alias("value"))
+    if hot is not None:
+        # a key too frequent for one task: count equal values first, then rank by value ranges
+        counts = hot.groupBy(key, BUCKET, value).agg(F.count(F.lit(1)).alias("__n")).repartition(key, value)
+        counts = pred.expand(counts).groupBy(key, "time", value).agg(F.sum("__n").alias("__n"))
+        if how == "nunique":
+            part = counts.groupBy(key, "time").agg(F.count(F.lit(1)).cast("double").alias("value"))
+        else:
+            part = exact_quantiles(counts, value, {"value": 0.5}, [key, "time"], weight="__n",
+                                   slots=Slots.of(hot, value)).select(key, "time", F.col("value").cast("double"))
+        got = got.unionByName(part)
     return active.join(got, [key, "time"], "left").select(
         key, "time", F.coalesce("value", F.lit(0.0)).alias("value"))
 

@@ -15,7 +15,7 @@ BOILERPLATE = ("评价方未及时做出评价,系统默认好评!", "好评！"
 
 LETTERS = r"[\p{L}]+"
 CJK = "[一-龥]"
-CJK_RUN = "[一-龥a-zA-Z0-9]*" + CJK + "[一-龥a-zA-Z0-9]*"
+WORD_RUN = "[一-龥a-zA-Z0-9]+"
 LITERAL_STOP_WORDS = 10_000
 DICTIONARY_WORDS = 2_000_000
 
@@ -96,7 +96,7 @@ def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame, out: str)
             yield runs.map(lambda rs: None if rs is None else [
                 w for r in rs for w in split_run(r, cost, whole)])
 
-    runs = F.regexp_extract_all(F.col(text), F.lit(CJK_RUN), F.lit(0))
+    runs = F.filter(F.regexp_extract_all(F.col(text), F.lit(WORD_RUN), F.lit(0)), lambda r: r.rlike(CJK))
     return df.withColumn(out, F.filter(cut(runs), lambda w: w.rlike(CJK) & ~w.rlike("[0-9]")))
 
 

@@ -15,11 +15,14 @@ from datetime import datetime
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cutline.functions.calendar import ntz
+from cutline.functions.calendar import ntz, ntz_text
 
 BUCKET = "__bucket"
 BROADCAST_ROWS = 200_000
+HOT_ROWS = 1_000_000
+HOT_KEYS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -46,19 +49,19 @@ class Buckets:
         """Literal range over all windows; reaches the scan as a pushed filter."""
         return (t >= ntz(self.edges[0])) & (t < ntz(self.edges[-1]))
 
-    def bucket(self, t: Column) -> Column:
+    def bucket(self, time: str) -> Column:
         """Bucket number of a time inside the span, as a balanced tree of comparisons."""
-        def tree(lo: int, hi: int) -> Column:
+        def tree(lo: int, hi: int) -> str:
             if hi - lo == 1:
-                return F.lit(lo)
+                return str(lo)
             mid = (lo + hi) // 2
-            return F.when(t < ntz(self.edges[mid]), tree(lo, mid)).otherwise(tree(mid, hi))
+            return (f"CASE WHEN `{time}` < {ntz_text(self.edges[mid])} THEN {tree(lo, mid)} "
+                    f"ELSE {tree(mid, hi)} END")
 
-        return tree(0, len(self.edges) - 1)
+        return F.expr(tree(0, len(self.edges) - 1))
 
     def assign(self, df: DataFrame, time: str) -> DataFrame:
-        t = F.col(time)
-        return df.where(self.span(t)).withColumn(BUCKET, self.bucket(t))
+        return df.where(self.span(F.col(time))).withColumn(BUCKET, self.bucket(time))
 
     def membership(self, spark: SparkSession, time: str = "time") -> DataFrame:
         """One row per (bucket, cutoff) with a flag per role, made on the driver."""
@@ -71,9 +74,11 @@ class Buckets:
             BUCKET: pa.array([b for b, _ in cells], pa.int32()),
             time: pa.array([c for _, c in cells], pa.timestamp("us")),
         }
+        schema = T.StructType().add(BUCKET, T.IntegerType()).add(time, T.TimestampNTZType())
         for r in self.roles:
             columns[f"in_{r}"] = pa.array([r in flags[cell] for cell in cells], pa.bool_())
-        return spark.createDataFrame(pa.table(columns))
+            schema = schema.add(f"in_{r}", T.BooleanType())
+        return spark.createDataFrame(pa.table(columns), schema)
 
     def expand(self, df: DataFrame, time: str = "time") -> DataFrame:
         """Join rows that carry a bucket to every cutoff whose windows cover that bucket."""
@@ -86,3 +91,17 @@ class Buckets:
 def interval_join(events: DataFrame, time: str, buckets: Buckets, out: str = "time") -> DataFrame:
     """Every (event, cutoff) pair whose windows contain the event, with the role flags."""
     return buckets.expand(buckets.assign(events.where(F.col(time).isNotNull()), time), out)
+
+
+def split_hot(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of keys with more than ``HOT_ROWS`` rows or None).
+
+    One small job counts rows per key. Ordinary keys may be collected in one task afterwards.
+    """
+    big = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > HOT_ROWS).select(key)
+    found = [r[0] for r in big.limit(HOT_KEYS + 1).collect()]
+    if not found:
+        return rows, None
+    if len(found) <= HOT_KEYS:
+        big = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in found], rows.select(key).schema))
+    return rows.join(big, key, "left_anti"), rows.join(big, key, "left_semi")

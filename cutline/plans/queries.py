@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,7 +43,9 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A lazy table; its schema is read once per session."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
