@@ -82,6 +82,9 @@ class Buckets:
 
     def expand(self, df: DataFrame, time: str = "time") -> DataFrame:
         """Join rows that carry a bucket to every cutoff whose windows cover that bucket."""
+        if len(self.edges) == 2 and len({w.cutoff for w in self.windows}) == 1:
+            flags = {f"in_{r}": F.lit(True) for r in self.roles}
+            return df.withColumns({time: ntz(self.windows[0].cutoff), **flags}).drop(BUCKET)
         table = self.membership(df.sparkSession, time)
         if len(self.edges) * len({w.cutoff for w in self.windows}) <= BROADCAST_ROWS:
             table = F.broadcast(table)

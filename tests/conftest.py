@@ -13,6 +13,7 @@ from cutline.session import local_session  # noqa: E402
 def spark():
     session = local_session(8, "cutline-tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 
