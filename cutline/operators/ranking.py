@@ -10,6 +10,8 @@ quantiles by itself is split further by its tie-breaker.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -29,7 +31,7 @@ def _is_number(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.NumericType)
 
 
-def _position(df: DataFrame, name: str) -> Column:
+def position_of(df: DataFrame, name: str) -> Column:
     """A double that grows with the column (numbers and timestamps)."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
@@ -37,7 +39,7 @@ def _position(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _bucketize(df: DataFrame, position: Column, splits: Sequence[float], out: str) -> DataFrame:
+def bucketize(df: DataFrame, position: Column, splits: Sequence[float], out: str) -> DataFrame:
     if not splits:
         return df.withColumn(out, F.lit(0))
     edges = [-math.inf, *splits, math.inf]
@@ -48,11 +50,16 @@ def _bucketize(df: DataFrame, position: Column, splits: Sequence[float], out: st
 
 @dataclass
 class Slots:
-    """Split points of an order column, the values too frequent for one slot, tie split points."""
+    """Split points of an order column and of its tie-breaker.
+
+    ``parts`` says into how many tie ranges a slot is divided further: as many as the quantiles
+    its one value fills, 0 for slots of ordinary values. All slots and parts together stay
+    within a few times ``n``, whatever the data look like.
+    """
 
     order: str
     splits: list[float]
-    heavy: list[float]
+    parts: list[int]
     tie: str | None
     tie_splits: list[float] | None
     n: int
@@ -62,30 +69,31 @@ class Slots:
         n = n or default_slots(df.sparkSession)
         probs = [i / n for i in range(1, n)]
         numeric_tie = tie is not None and _is_number(df, tie)
-        columns = [_position(df, order).alias("order")]
+        columns = [position_of(df, order).alias("order")]
         if numeric_tie:
-            columns.append(_position(df, tie).alias("tie"))
+            columns.append(position_of(df, tie).alias("tie"))
         found = df.select(*columns).approxQuantile(
             ["order", "tie"][: len(columns)], probs, 0.5 / n)
-        points = [p for p in found[0] if not math.isnan(p)] if found and found[0] else []
-        heavy = sorted({a for a, b in zip(points, points[1:]) if a == b})
-        above = [math.nextafter(h, math.inf) for h in heavy]
-        splits = sorted(p for p in {*points, *above} if math.isfinite(p))
+        points = [p for p in found[0] if math.isfinite(p)] if found and found[0] else []
+        repeated = {p: k for p, k in Counter(points).items() if k > 1}
+        splits = sorted({*points, *[math.nextafter(p, math.inf) for p in repeated]} - {math.inf})
+        parts = [0] * (len(splits) + 2)
+        for p, k in repeated.items():
+            parts[bisect_right(splits, p)] = k
         tie_splits = sorted({p for p in found[1] if math.isfinite(p)}) if numeric_tie else None
-        return cls(order, splits, heavy, tie, tie_splits, n)
+        return cls(order, splits, parts, tie, tie_splits, n)
 
     def assign(self, df: DataFrame) -> DataFrame:
-        position = _position(df, self.order)
-        df = _bucketize(df, position, self.splits, SLOT)
-        if self.tie is None or not self.heavy:
+        df = bucketize(df, position_of(df, self.order), self.splits, SLOT)
+        if self.tie is None or not any(self.parts):
             return df.withColumn(TIE_SLOT, F.lit(0))
-        is_heavy = position.isin(self.heavy)
+        parts = F.get(F.lit(self.parts), F.col(SLOT))
         if self.tie_splits is not None:
-            df = _bucketize(df, _position(df, self.tie), self.tie_splits, TIE_SLOT)
-            return df.withColumn(TIE_SLOT, F.when(is_heavy, F.col(TIE_SLOT)).otherwise(0))
-        share = F.xxhash64(self.tie).cast("double") / F.lit(2.0**64) + F.lit(0.5)
-        return df.withColumn(
-            TIE_SLOT, F.when(is_heavy, F.floor(share * self.n).cast("int")).otherwise(0))
+            df = bucketize(df, position_of(df, self.tie), self.tie_splits, TIE_SLOT)
+            share = F.col(TIE_SLOT) / F.lit(float(len(self.tie_splits) + 2))
+        else:
+            share = F.xxhash64(self.tie).cast("double") / F.lit(2.0**64) + F.lit(0.5)
+        return df.withColumn(TIE_SLOT, F.floor(share * parts).cast("int"))
 
     def tie_order(self) -> list[Column]:
         if self.tie is None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cutline.functions.calendar import ntz, ntz_text
+from cutline.operators.ranking import bucketize, position_of
 
 BUCKET = "__bucket"
 BROADCAST_ROWS = 200_000
+TREE_EDGES = 256
+EPOCH_START = datetime(1970, 1, 1)
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000_000
 
@@ -61,7 +64,11 @@ class Buckets:
         return F.expr(tree(0, len(self.edges) - 1))
 
     def assign(self, df: DataFrame, time: str) -> DataFrame:
-        return df.where(self.span(F.col(time))).withColumn(BUCKET, self.bucket(time))
+        inside = df.where(self.span(F.col(time)))
+        if len(self.edges) <= TREE_EDGES:
+            return inside.withColumn(BUCKET, self.bucket(time))
+        splits = [(e - EPOCH_START) // timedelta(microseconds=1) for e in self.edges[1:-1]]
+        return bucketize(inside, position_of(inside, time), [float(x) for x in splits], BUCKET)
 
     def membership(self, spark: SparkSession, time: str = "time") -> DataFrame:
         """One row per (bucket, cutoff) with a flag per role, made on the driver."""

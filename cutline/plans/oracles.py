@@ -154,7 +154,7 @@ SELECT coalesce(time, 'All') AS time, count(*) AS n, round(avg(CAST(purchase = 0
 FROM l GROUP BY ROLLUP (time)"""
 ORACLES["label_stats_regression"] = f"""
 WITH l AS ({label_sql("coalesce(got, 0.0)", "value", "sum(CASE WHEN hit THEN v END) AS got", pred="12 MONTH")})
-SELECT coalesce(time, 'All') AS time, count(*) AS n, round(avg(value), 2) AS mean, round(median(value), 2) AS median
+SELECT coalesce(time, 'All') AS time, count(*) AS n, round(avg(value), 6) AS mean, round(median(value), 4) AS median
 FROM l GROUP BY ROLLUP (time)"""
 
 # ---- features

@@ -278,7 +278,7 @@ def label_stats_classifier(spark, d):
 @query
 def label_stats_regression(spark, d):
     stats = label_stats(make_labels(orders(spark, d), "o_custkey", "o_orderdate", value_spec("sum")), "value", "regression")
-    return rounded(stats, 2, "mean", "median")
+    return rounded(rounded(stats, 6, "mean"), 4, "median")
 
 
 @query

@@ -46,4 +46,4 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def default_slots(spark: SparkSession) -> int:
     """Number of value ranges for the two-level algorithms; grows with the cluster."""
-    return max(16, min(2000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(16, min(10_000, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))

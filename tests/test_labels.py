@@ -162,6 +162,16 @@ def test_empty_input_and_unknown_problem(spark, events):
         make_labels(events, "k", "t", LabelSpec("highvalue"))
 
 
+def test_long_schedules_find_buckets_by_search(spark, monkeypatch):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    spec = LabelSpec("purchase", sample=Offset(5, "days"), prediction=Offset(2, "days"), gap=Offset(1, "days"), cutoff_num=9)
+    cutoffs = label_cutoffs(events, "ts", replace(spec, cutoff_day=25))
+    tree = make_labels(events, "user_id", "ts", spec, cutoffs=cutoffs)
+    monkeypatch.setattr(windows, "TREE_EDGES", 3)
+    search = make_labels(events, "user_id", "ts", spec, cutoffs=cutoffs)
+    assert tree.count() > 0 and sorted(tree.collect()) == sorted(search.collect())
+
+
 def test_windows_of_a_microsecond(spark):
     assert windows.Buckets([windows.RoleWindow(CUT, "a", CUT, CUT + timedelta(microseconds=1))]).edges[-1].microsecond == 1
     with pytest.raises(ValueError):
