@@ -16,7 +16,8 @@ from cutline.functions.moments import aligned
 from cutline.functions.primitives import MERGES, PARTIALS, aggregate, transform
 from cutline.operators.entities import Entity, EntitySet
 from cutline.operators.ranking import Slots, exact_quantiles, percentile_rank, previous_row
-from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join, split_hot
+from cutline.operators.skew import split_hot
+from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join
 from cutline.plans.feature_plan import Feature, FeatureSpec, Source, plan_features
 from cutline.session import checkpointed
 

@@ -16,7 +16,8 @@ from cutline.functions.actions import action_predicate
 from cutline.functions.calendar import Offset, as_datetime, cutoff_schedule, last_cutoff
 from cutline.functions.moments import aligned, merged_moments, moments, variance
 from cutline.operators.ranking import Slots, exact_quantiles
-from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join, split_hot
+from cutline.operators.skew import split_hot
+from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join
 from cutline.session import checkpointed
 
 ACTION = "__action"

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cutline.functions.calendar import micros_between
+from cutline.operators.skew import split_hot
 from cutline.session import default_slots
 
 SLOT, TIE_SLOT = "__slot", "__tie_slot"
@@ -179,45 +180,33 @@ def quantile_rows(
         *group, SLOT, "__n", F.sum("__n").over(running).alias("__upto"),
         F.sum("__n").over(Window.partitionBy(*group)).alias("__total"))
 
-    def spots(total: Column) -> Column:
-        def spot(p: Column, i: Column) -> Column:
-            rank = p * (total - 1)
-            # the slack keeps a product such as 0.7 * 10 on its integer rank
-            high = F.ceil(rank - F.lit(1e-9))
-            low = F.floor(rank + F.lit(1e-9)) if method == "linear" else high
-            part = F.greatest(rank - low, F.lit(0.0))
-            return F.struct(i.alias("i"), low.alias("low"), high.alias("high"), part.alias("part"))
-
-        return F.transform(F.array(*[F.lit(float(p)) for p in probs]), spot)
-
-    def holds(rank: Column) -> Column:
-        """The rows counted by ``__n`` up to ``__upto`` include this rank."""
-        return (F.col("__upto") - F.col("__n") <= rank) & (rank < F.col("__upto"))
-
-    targets = per_slot.where(F.exists(spots(F.col("__total")), lambda s: holds(s["low"]) | holds(s["high"])))
-    targets = targets.select(*group, SLOT, (F.col("__upto") - F.col("__n")).alias("__before"), "__total")
+    # ranks to look up per group; the slack keeps a product such as 0.7 * 10 on its integer rank
+    wanted = ", ".join(f"{float(p)!r}D" for p in probs)
+    low = "floor(p * (__total - 1) + 1e-9D)" if method == "linear" else "ceil(p * (__total - 1) - 1e-9D)"
+    spots = F.expr(f"""transform(array({wanted}), (p, i) -> named_struct(
+        'i', i, 'low', {low}, 'high', ceil(p * (__total - 1) - 1e-9D),
+        'part', greatest(p * (__total - 1) - {low}, 0D)))""").alias("__spots")
+    # the rows counted by __n up to __upto include a rank
+    holds = "(__upto - __n <= s.{0} AND s.{0} < __upto)"
+    near = per_slot.select("*", spots).where(f"exists(__spots, s -> {holds.format('low')} OR {holds.format('high')})")
+    targets = near.select(*group, SLOT, (F.col("__upto") - F.col("__n")).alias("__before"), "__total")
     if not group:
         targets = F.broadcast(targets)
     counted = (rows.join(targets, [*group, SLOT])
                .groupBy(*group, SLOT, "__before", "__total", value).agg(size.alias("__n")))
     inside = (Window.partitionBy(*group, SLOT).orderBy(value)
               .rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.withColumn("__upto", F.col("__before") + F.sum("__n").over(inside))
-    found = spots(F.col("__total"))
-    lows = F.transform(F.filter(found, lambda s: holds(s["low"])),
-                       lambda s: F.struct(s["i"].alias("i"), F.lit(True).alias("is_low"), s["part"].alias("part")))
-    highs = F.transform(F.filter(found, lambda s: holds(s["high"])),
-                        lambda s: F.struct(s["i"].alias("i"), F.lit(False).alias("is_low"), s["part"].alias("part")))
-    hits = placed.select(*group, "__total", "__upto", F.col(value).alias("__v"), F.inline(F.concat(lows, highs)))
-    ends = hits.groupBy(*group, F.col("i").alias("position")).agg(
-        F.max(F.when(F.col("is_low"), F.col("__v"))).alias("__lo"),
-        F.max(F.when(~F.col("is_low"), F.col("__v"))).alias("__hi"),
-        F.max(F.when(F.col("is_low"), F.col("__upto"))).alias("upto"),
-        F.max("part").alias("__part"), F.max("__total").alias("n"))
-    lo, hi = F.col("__lo"), F.col("__hi")
-    quantile = hi if method == "higher" else F.when(lo == hi, lo.cast("double")).otherwise(
-        lo + (hi - lo) * F.col("__part"))
-    return ends.select(*group, "position", quantile.alias("quantile"), "upto", "n")
+    placed = counted.withColumn("__upto", F.col("__before") + F.sum("__n").over(inside)).select("*", spots)
+    ends = " , ".join(
+        f"transform(filter(__spots, s -> {holds.format(end)}), s -> named_struct('position', s.i, 'is_low', "
+        f"{'true' if end == 'low' else 'false'}, 'part', s.part))" for end in ("low", "high"))
+    hits = placed.select(*group, "__total", "__upto", F.col(value).alias("__v"), F.expr(f"inline(concat({ends}))"))
+    found = hits.groupBy(*group, "position").agg(
+        F.expr("max(if(is_low, __v, null)) AS __lo"), F.expr("max(if(is_low, null, __v)) AS __hi"),
+        F.expr("max(if(is_low, __upto, null)) AS upto"), F.expr("max(part) AS __part"), F.expr("max(__total) AS n"))
+    quantile = "__hi" if method == "higher" else (
+        "CASE WHEN __lo = __hi THEN CAST(__lo AS DOUBLE) ELSE __lo + (__hi - __lo) * __part END")
+    return found.select(*group, "position", F.expr(quantile).alias("quantile"), "upto", "n")
 
 
 def exact_quantiles(
@@ -229,12 +218,9 @@ def exact_quantiles(
     """
     found = quantile_rows(df, value, list(probs.values()), group, **settings)
 
-    def pick(i: int, column: str) -> Column:
-        return F.max(F.when(F.col("position") == i, F.col(column)))
-
-    return found.groupBy(*group).agg(
-        F.max("n").alias("n"), *[pick(i, "quantile").alias(name) for i, name in enumerate(probs)],
-        *[pick(i, "upto").alias(f"{name}_upto") for i, name in enumerate(probs)])
+    picks = [F.expr(f"max(if(position = {i}, {column}, null))").alias(name + end)
+             for column, end in (("quantile", ""), ("upto", "_upto")) for i, name in enumerate(probs)]
+    return found.groupBy(*group).agg(F.max("n").alias("n"), *picks)
 
 
 def previous_row(
@@ -247,12 +233,17 @@ def previous_row(
 ) -> DataFrame:
     """Add ``out = previous value of column`` per key in (time, tie) order; NULL on a key's first row.
 
-    A key's rows are split by time range. Only the first row of each range needs a value from
-    an earlier range, and that comes from the last row per (key, range).
+    Keys with very many rows are split by time range; only the first row of each range needs a
+    value from an earlier range, and that comes from the last row per (key, range).
     """
     df = df.where(F.col(time).isNotNull())
-    rows = Slots.of(df, time, n=slots).assign(df).drop(TIE_SLOT)
     order = [F.col(time), *[F.col(c) for c in tie]]
+    cold, hot = split_hot(df, key)
+    of_key = Window.partitionBy(key).orderBy(*order)
+    done = cold.select(*df.columns, *[F.lag(c).over(of_key).alias(out) for out, c in columns.items()])
+    if hot is None:
+        return done
+    rows = Slots.of(hot, time, n=slots).assign(hot).drop(TIE_SLOT)
     inside = Window.partitionBy(key, SLOT).orderBy(*order)
     lagged = rows.select(
         "*", F.row_number().over(inside).alias("__pos"),
@@ -262,9 +253,9 @@ def previous_row(
     carry = last.select(
         F.col(key), F.col(SLOT), F.lag("__last").over(Window.partitionBy(key).orderBy(SLOT)).alias("__carry"))
     joined = lagged.join(carry, [key, SLOT], "left")
-    return joined.select(*df.columns, *[
+    return done.unionByName(joined.select(*df.columns, *[
         F.when(F.col("__pos") == 1, F.col(f"__carry.__v_{out}")).otherwise(F.col(f"__lag_{out}")).alias(out)
-        for out in columns])
+        for out in columns]))
 
 
 def percentile_rank(df: DataFrame, value: str, out: str) -> DataFrame:

@@ -100,6 +100,12 @@ def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame, out: str)
     return df.withColumn(out, F.filter(cut(runs), lambda w: w.rlike(CJK) & ~w.rlike("[0-9]")))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a plain scan of a few files one partition per core; a scan of many files stays as it is."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def word_rows(
     comments: DataFrame,
     text: str,

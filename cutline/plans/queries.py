@@ -22,7 +22,7 @@ from cutline.operators.features import id_like_columns, make_features, with_sql_
 from cutline.operators.labels import (
     LabelFunction, LabelSpec, label_cutoffs, label_stats, make_labels, register_label, wide_products, with_action_rows)
 from cutline.operators.ranking import exact_quantiles, percentile_rank, previous_row, with_deciles, with_rank
-from cutline.operators.text import dictionary_words, letter_words, new_comments, word_rows
+from cutline.operators.text import dictionary_words, letter_words, new_comments, spread, word_rows
 from cutline.operators.windows import Buckets, RoleWindow, interval_join
 from cutline.plans.feature_plan import FeatureSpec
 from cutline.plans.flows import predict_flow, train_flow
@@ -719,7 +719,7 @@ def comment_new(spark, d):
 
 @query
 def comment_words(spark, d):
-    words = word_rows(comments(spark, d), "content", STOP_WORDS)
+    words = word_rows(spread(comments(spark, d)), "content", STOP_WORDS)
     return words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -738,7 +738,7 @@ LATIN, IDEOGRAPHS = "abcdefghijklmnopqrstuvwxyz", "一丁七万丈三上下不
 def comment_words_dictionary(spark, d):
     """Dictionary segmentation of the documents written without gaps, in one CJK character per letter."""
     plain = F.translate(F.lower(F.col("content")), LATIN, IDEOGRAPHS)
-    rows = comments(spark, d)
+    rows = spread(comments(spark, d))
     dense = rows.select("oid", F.regexp_replace(plain, r"\s+", "").alias("content"))
     counts = rows.select(F.explode(letter_words(F.col("content"))).alias("w")).groupBy("w").agg(
         F.count(F.lit(1)).alias("frequency"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cutline.functions.calendar import Offset
 from cutline.functions.primitives import AGGREGATES, Aggregate, primitive_name, register_aggregate
-from cutline.operators import features, windows
+from cutline.operators import features, skew
 from cutline.operators.entities import Entity, EntitySet, Parent, auto_interesting
 from cutline.operators.features import (
     drop_id_like, feature_list, id_like_columns, make_features, sql_name, with_sql_names)
@@ -111,7 +111,7 @@ def test_all_ways_give_one_result(spark, busy, monkeypatch):
     inst = instances(spark, range(20), times)
     spec = FeatureSpec("customer", aggregates=ALL, transforms=["month", "time_since"], training_window=Offset(200, "days"))
     base = rows_of(make_features(busy, spec, inst, times))
-    monkeypatch.setattr(windows, "HOT_ROWS", 20)
+    monkeypatch.setattr(skew, "HOT_ROWS", 20)
     same(rows_of(make_features(busy, spec, inst, times)), base)
     monkeypatch.undo()
     monkeypatch.setattr(features, "MAX_TIMES", 2)

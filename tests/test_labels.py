@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cutline.functions.actions import exclude_values, filter_actions
 from cutline.functions.calendar import Offset
-from cutline.operators import windows
+from cutline.operators import skew, windows
 from cutline.operators.labels import (
     LabelSpec, label_cutoffs, label_stats, make_labels, product_labels, wide_products, with_action_rows)
 from conftest import moment, plan_of
@@ -130,7 +130,7 @@ def test_hot_keys_take_the_other_way_with_the_same_result(spark, monkeypatch):
     for how, column in (("median", "o_totalprice"), ("nunique", "o_orderpriority")):
         spec = LabelSpec("value", cutoff_num=3, prediction=Offset(12), params={"value_column": column, "value_agg": how})
         cold = make_labels(orders, "k", "o_orderdate", spec)
-        monkeypatch.setattr(windows, "HOT_ROWS", 3)
+        monkeypatch.setattr(skew, "HOT_ROWS", 3)
         hot = make_labels(orders, "k", "o_orderdate", spec)
         assert sorted(cold.collect()) == sorted(hot.collect())
         monkeypatch.undo()

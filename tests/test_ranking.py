@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cutline.functions.standardize import forward_fill
+from cutline.operators import skew
 from cutline.operators.ranking import (
     exact_quantiles, percentile_rank, previous_row, quantile_rows, running_totals, with_deciles, with_rank)
 from conftest import plan_of
@@ -90,7 +91,9 @@ def test_percentile_rank(spark):
     assert [p for _, _, p in got] == [0.375, 0.375, 0.75, 1.0]
 
 
-def test_previous_row_across_slots(spark):
+@pytest.mark.parametrize("hot", [10, 10**6])
+def test_previous_row_across_slots(spark, monkeypatch, hot):
+    monkeypatch.setattr(skew, "HOT_ROWS", hot)
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"k": np.where(rng.random(3000) < 0.4, 0, rng.integers(1, 200, 3000)),
                         "t": pd.Timestamp("2020-01-01") + pd.to_timedelta(rng.integers(0, 900, 3000), unit="h"),
