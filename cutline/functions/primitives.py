@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cutline.functions.calendar import micros_between, seconds_between
+from cutline.functions.calendar import seconds_between
 from cutline.functions.moments import (
     adjusted_skew, comoments, merged_comoments, merged_moments, moments, slope, variance)
 
@@ -175,7 +175,3 @@ def register_aggregate(primitive: Aggregate) -> None:
 
 def register_partial(name: str, partial: Partial) -> None:
     PARTIALS[name] = partial
-
-
-__all__ = ["AGGREGATES", "Aggregate", "Partial", "TRANSFORMS", "Transform", "aggregate", "micros_between",
-           "primitive_name", "register_aggregate", "register_partial", "transform"]
