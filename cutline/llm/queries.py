@@ -97,12 +97,12 @@ WITH RECURSIVE d AS (
     SELECT doc_id, row_number() OVER () AS r, coalesce(encode(text), ''::BLOB) AS raw FROM documents
 ), bytes AS (
     SELECT doc_id, r, octet_length(raw) + 1 AS size,
-           list_transform(range(octet_length(raw)), i -> ('0x' || substr(hex(raw), 2 * i + 1, 2))::BIGINT) AS b
+           list_transform(range(octet_length(raw)), lambda i: ('0x' || substr(hex(raw), 2 * i + 1, 2))::BIGINT) AS b
     FROM d
 ), crc AS (
     SELECT doc_id, r, size,
            xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], b),
-               (c, x) -> xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, x) & 255) + 1]))) AS text_crc32
+               lambda c, x: xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, x) & 255) + 1]))) AS text_crc32
     FROM bytes
 ), jump(doc_id, r, key, b, j) AS (
     SELECT doc_id, r, coalesce(doc_id, 0)::HUGEINT, -1::BIGINT, 0::BIGINT FROM d
