@@ -39,6 +39,13 @@ def copy_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return groups.where("group_size > 1").select("text_sha256", "keep_id", "group_size")
 
 
+def _verdicts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` with __sha, __keep, __size."""
+    groups = stored(copy_groups(docs, key, text)).select(F.col("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep"), F.col("group_size").alias("__size"))
+    out = docs.withColumn("__sha", F.sha2(_text(text), 256)).join(groups, "__sha", "left")
+    return out.withColumn("__keep", F.coalesce("__keep", F.col(key))).withColumn("__size", F.coalesce("__size", F.lit(1).cast("long")))
+
+
 def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows of ``docs`` with keep_id, group_size, kept and text_sha256; of equal texts the largest key stays.
 
@@ -46,15 +53,14 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     (``drop_copies`` leaves one). A null key never stays against another key. Columns of these four names in ``docs`` are
     replaced. An empty table gives no rows.
     """
-    groups = stored(copy_groups(docs, key, text))
-    kept = docs.drop("keep_id", "group_size", "kept").withColumn("text_sha256", F.sha2(_text(text), 256))
-    out = kept.join(groups, "text_sha256", "left")
-    out = out.withColumn("keep_id", F.coalesce("keep_id", F.col(key))).withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long")))
-    return out.withColumn("kept", F.col("keep_id").eqNullSafe(F.col(key)))
+    names = ["keep_id", "group_size", "kept", "text_sha256"]
+    return _verdicts(docs, key, text).select(
+        *[c for c in docs.columns if c not in names], F.col("__keep").alias("keep_id"), F.col("__size").alias("group_size"),
+        F.col("__keep").eqNullSafe(F.col(key)).alias("kept"), F.col("__sha").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per text, with the columns of ``docs``."""
-    kept = mark_copies(docs, key, text).where("kept")
-    alone, several = kept.where("group_size = 1"), kept.where("group_size > 1")
-    return alone.unionByName(several.dropDuplicates(["text_sha256"])).select(*docs.columns)
+    """The rows of ``docs`` that stay, one per text, with the columns of ``docs`` as they are."""
+    kept = _verdicts(docs, key, text).where(F.col("__keep").eqNullSafe(F.col(key)))
+    several = kept.where("__size > 1").dropDuplicates(["__sha"])
+    return kept.where("__size = 1").unionByName(several).select(*docs.columns)
