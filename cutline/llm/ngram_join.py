@@ -32,6 +32,7 @@ DEPTH = 10  # levels after which a bucket is compared whatever its size
 BLOCK = 1024  # sets of a block
 SLACK = 0.2  # min-hash estimates so far below the threshold end a pair (over five standard deviations)
 BATCH = 20_000
+BROADCAST_KEYS = 200_000  # keys of the texts to be checked that are sent to every task; more are joined by shuffle
 
 
 def runs_for(recall: float, depth: int = 2) -> int:
@@ -258,12 +259,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     reps = stored(worded.join(classes.select(F.col("rep").alias("uid"), "weight"), "uid"))
     found = leaves(reps.select("uid", "tokens"), similarity, recall)
     own = stored(found.groupBy("uid").agg(F.sort_array(F.collect_list("path")).alias("paths")))
-    member = stored(own.join(reps.select("uid", "n", "tokens"), "uid"))
-    group_rows = _blocks(found.join(_marked(member), "uid"))
+    member = stored(_marked(own.join(reps.select("uid", "n", "tokens"), "uid")))
+    group_rows = _blocks(found.join(member, "uid"))
     schema = "group long, side int, cross int, path long, uid long, n long, paths array<long>"
     needed = stored(by_group(group_rows, "group", lambda f: _needed(f, similarity), schema), batch_rows=BATCH)
     wanted = needed.join(reps.select("uid", key, "weight", "set_hash"), "uid")
-    checked = _texts(wanted, docs.select(F.col(key), F.col(text).alias("text")), key)
+    keys = stored(wanted.select(F.col(key).alias("__wanted")).distinct())
+    few = keys.count() <= BROADCAST_KEYS
+    texts = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(keys) if few else keys, F.col(key).eqNullSafe(F.col("__wanted")), "left_semi")
+    checked = _texts(wanted, texts, key)
     links = stored(by_group(checked, "group", lambda f: _verified(f, similarity), "uid long, links long, root long"), batch_rows=2048)
     counts = stored(links.groupBy("uid").agg(F.sum("links").alias("links")))
     parts = stored(components(links.select(F.col("root").alias("a"), F.col("uid").alias("b"))))
