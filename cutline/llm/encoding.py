@@ -1,7 +1,7 @@
 """Exact token ids of whole texts, with a bounded memo of words in front of the tokenizer.
 
 The pre-tokenizers of both vocabularies never join what stands before a blank to what stands after it, nor a letter run
-to ASCII punctuation behind it. So a text can be cut there, each distinct chunk is encoded once per process, and the ids
+that ends in a Latin letter to ASCII punctuation behind it. So a text can be cut there, each distinct chunk is encoded once per process, and the ids
 of a text are those of its chunks in order. Texts with other white space than blank, tab and line ends are encoded whole.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -18,10 +19,14 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 MEMO = 1_000_000  # chunks kept per process; the memo is emptied when it is full
 LONGEST = 64  # longer chunks are not kept
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-CHUNK = re.compile(r"[ \n\t\r]*[^\W\d_]+(?![^ \n\t\r.,!?%$&*#])|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-WORD = re.compile(r"[^\W\d_]+(?![^ \n\t\r.,!?%$&*#])|[^ \n\t\r]+")  # where the vocabulary drops white space
+CHUNK = re.compile(r"[ \n\t\r]*[^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ](?![^ \n\t\r.,!?%$&*#])|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
+WORD = re.compile(r"[^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ](?![^ \n\t\r.,!?%$&*#])|[^ \n\t\r]+")  # where the vocabulary drops white space
+BEYOND_LATIN = re.compile("[^\x00-\xff]")
+SIMPLE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one pre-token of its own
 JOINED = 256  # new chunks encoded by one call
 
+PACKERS = [struct.Struct(f"<{n}I").pack for n in range(16)]
+
 _open: dict[str, "Encoder"] = {}
 
 
@@ -51,6 +56,30 @@ class Encoder:
                 self.between, self.mark = between, int.from_bytes(ids, "little")
                 break
 
+        self.letters = self._byte_letters()
+        samples = [" word", " Über", " naïveté", "Straße", "ÀÿØ", " x"]
+        self.direct = False
+        self.direct = all(self._model(c) == self._plain([c])[0] for c in samples if self._fits(c))
+
+    def _byte_letters(self) -> dict[int, str]:
+        """The signs that stand for the bytes of Latin letters and the blank in the vocabulary."""
+        from tokenizers import pre_tokenizers
+
+        level, out = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False), {}
+        for text in (" ", *map(chr, range(65, 123)), *map(chr, range(128, 256))):
+            signs = level.pre_tokenize_str(text)[0][0]
+            out.update(zip(text.encode(), signs))
+        return out
+
+    def _fits(self, chunk: str) -> bool:
+        return SIMPLE.fullmatch(chunk) is not None and (self.chunks is CHUNK or chunk[0] != " ")
+
+    def _model(self, chunk: str) -> bytes:
+        """Ids of a chunk that is one pre-token, from the merges alone."""
+        raw = (chunk.lower() if self.lower else chunk).encode()
+        found = self.tokenizer.model.tokenize(raw.decode("latin-1").translate(self.letters))
+        return np.array([t.id for t in found], "<u4").tobytes()
+
     def _plain(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
@@ -61,13 +90,27 @@ class Encoder:
         return self.between is not None and "\x01" not in chunk and not chunk.isspace()
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encode new chunks, many joined to one text whose ids are parted again at the id of what stands between."""
+        """Encode new chunks, many joined to one text whose ids are parted again at the id of what stands between.
+
+        A full memo first loses what it met last, since the frequent chunks came early; the new ones are always in it.
+        """
         memo = self.memo
-        if len(memo) + len(chunks) > MEMO:  # the chunks met first are the frequent ones
+        if len(memo) + len(chunks) > MEMO:
             kept = dict(itertools.islice(memo.items(), MEMO // 2))
             memo.clear()
             memo.update(kept)
         joined, rest = [], []
+        if self.direct:
+            tokenize, letters, lower, spaced = self.tokenizer.model.tokenize, self.letters, self.lower, self.chunks is CHUNK
+            simple = SIMPLE.fullmatch
+            for c in chunks:
+                if simple(c) and (spaced or c[0] != " "):
+                    raw = (c.lower() if lower else c).encode()
+                    ids = [t.id for t in tokenize(raw.decode("latin-1").translate(letters))]
+                    memo[c] = PACKERS[len(ids)](*ids) if len(ids) < len(PACKERS) else np.array(ids, "<u4").tobytes()
+                else:
+                    rest.append(c)
+            chunks, rest = rest, []
         for c in chunks:
             (joined if self._joins(c) else rest).append(c)
         for at in range(0, len(joined), JOINED):
@@ -86,31 +129,26 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        memo, whole, cut, new = self.memo, {}, [], set()
-        for i, text in enumerate(texts):
+        memo, found, new = self.memo, [], set()
+        for text in texts:
             if ODD_SPACE.search(text):
-                whole[i] = self._plain([text])[0]
-                cut.append(())
+                found.append((None, self._plain([text])))
                 continue
-            if self.lower and text.isascii():
+            if self.lower and not BEYOND_LATIN.search(text):
                 text = text.lower()
             chunks = self.chunks.findall(text)
-            cut.append(chunks)
             parts = list(map(memo.get, chunks))
             if None in parts:
                 new.update(c for c, p in zip(chunks, parts) if p is None)
+                found.append((chunks, parts))
+            else:
+                found.append((None, parts))
         if new:
             self._learn(list(new))
         out = []
-        for i, chunks in enumerate(cut):
-            if i in whole:
-                out.append(whole[i])
-                continue
-            parts = list(map(memo.get, chunks))
-            if None in parts:  # chunks that went when the memo was full
-                lost = list({c for c, p in zip(chunks, parts) if p is None})
-                found = dict(zip(lost, self._plain(lost)))
-                parts = [found[c] if p is None else p for c, p in zip(chunks, parts)]
+        for chunks, parts in found:
+            if chunks is not None:
+                parts = [memo.get(c) if p is None else p for c, p in zip(chunks, parts)]
             out.append(b"".join(parts))
         for c in new:
             if len(c) > LONGEST:
