@@ -108,6 +108,7 @@ AGGREGATES: dict[str, Aggregate] = {a.name: a for a in [
               finish=lambda p, time: slope(p["comoments"])),
 ]}
 MONTH_OF_CUTOFF = "month_of_cutoff_point"
+BUILT_IN, BUILT_IN_PARTIALS = frozenset(AGGREGATES), frozenset(PARTIALS)
 
 
 @dataclass(frozen=True)
@@ -170,8 +171,12 @@ def register_aggregate(primitive: Aggregate) -> None:
     """Add a user-defined aggregate; ``merge`` and ``pairs`` routes are open to users."""
     if primitive.route not in ("merge", "pairs"):
         raise ValueError("a user-defined aggregate uses the route merge or pairs")
+    if primitive.name in BUILT_IN:
+        raise ValueError(f"{primitive.name!r} is a built-in aggregate")
     AGGREGATES[primitive.name] = primitive
 
 
 def register_partial(name: str, partial: Partial) -> None:
+    if name in BUILT_IN_PARTIALS:
+        raise ValueError(f"{name!r} is a built-in partial aggregate")
     PARTIALS[name] = partial

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cutline.functions.calendar import as_datetime
+from cutline.functions.calendar import as_datetime, seconds_between
 from cutline.functions.moments import aligned
-from cutline.functions.primitives import MERGES, PARTIALS, aggregate, transform
+from cutline.functions.primitives import MERGES, PARTIALS, TREND_ORIGIN, aggregate, transform
 from cutline.operators.entities import Entity, EntitySet
 from cutline.operators.ranking import Slots, exact_quantiles, percentile_rank, previous_row
 from cutline.operators.skew import split_hot
@@ -24,6 +24,8 @@ from cutline.session import checkpointed
 FIRST_MOMENT = datetime(1, 1, 1)
 MAX_TIMES = 1000
 EXPRESSIONS_PER_PASS = 120
+# cutoff minus event time: which partials of the event time give a partial of the difference
+AGE_NEEDS = {"rows": ("rows",), "cnt": ("cnt",), "sum": ("sum", "cnt"), "min": ("max",), "max": ("min",)}
 KEY, TIME, AT, TIE = "__key", "__time", "__at", "__tie"
 
 
@@ -58,9 +60,10 @@ def make_features(
     times: Sequence[datetime] | None = None,
     features: Sequence[Feature] | None = None,
 ) -> DataFrame:
-    """(key, time, one column per feature) with exactly the rows of ``instances``.
+    """(key, time, one column per feature) with the rows of ``instances``.
 
-    ``instances`` has the target's key and ``time``. ``times`` are its distinct cutoffs, if known;
+    Instances before the target's own time are left out, as are none else; a NULL cutoff has rows
+    with empty features.     ``instances`` has the target's key and ``time``. ``times`` are its distinct cutoffs, if known;
     otherwise they are read with one small job. Up to a thousand cutoffs are served by time
     buckets; with more, rows join their instances on key and time range.
     """
@@ -68,8 +71,8 @@ def make_features(
     features = list(features) if features is not None else plan_features(es, spec)
     base = instances.select(F.col(target.key).alias(KEY), F.col("time").cast("timestamp_ntz").alias(TIME))
     if times is None:
-        seen = base.select(TIME).distinct().limit(MAX_TIMES + 1).collect()
-        times = [r[0] for r in seen if r[0] is not None]
+        seen = base.select(TIME).where(F.col(TIME).isNotNull()).distinct().limit(MAX_TIMES + 1).collect()
+        times = [r[0] for r in seen]
     buckets = past_windows([as_datetime(t) for t in times], spec) if 0 < len(times) <= MAX_TIMES else None
     window = _Window(buckets, base, spec)
     ids = {f.name: f"f{i}" for i, f in enumerate(features)}
@@ -157,12 +160,18 @@ def _first_parent(entity: Entity) -> str:
     return entity.parents[0].column
 
 
+def _is_age(s: Source | None) -> bool:
+    """Does the source depend on the cutoff, as the time since an event does?"""
+    return s is not None and s.how == "transform" and transform(s.transform).kind == "cutoff"
+
+
 def _route(f: Feature) -> str:
     s = f.source
     if s is not None and s.how == "inner":
         return "inner"
-    if s is not None and s.how == "transform" and transform(s.transform).kind == "cutoff":
-        return "pairs"
+    if _is_age(s):
+        prim = aggregate(f.primitive)
+        return "merge" if prim.route == "merge" and set(prim.needs) <= set(AGE_NEEDS) else "pairs"
     return aggregate(f.primitive).route
 
 
@@ -219,7 +228,8 @@ def _value_of(f: Feature, names) -> Column:
 class _Partials:
     """The distinct partial aggregates a list of features needs, each computed once."""
 
-    def __init__(self, features: Sequence[Feature], names):
+    def __init__(self, features: Sequence[Feature], names, ages: bool = False):
+        self.ages = ages
         self.columns: dict[str, Column] = {}
         self.merges: dict[str, str] = {}
         self.uses: dict[str, dict[str, str]] = {}
@@ -232,12 +242,16 @@ class _Partials:
                 ends.setdefault((prim.name, f.where), []).append(f)
                 continue
             self.uses[f.name] = {}
-            for need in prim.needs:
+            needs = prim.needs
+            if ages and _is_age(f.source):
+                needs = dict.fromkeys(n for need in needs for n in AGE_NEEDS[need])
+            for need in needs:
                 kind = PARTIALS[need]
                 slot = (need, f.where, None if need == "rows" or prim.takes == "time" else f.source)
                 if slot not in slots:
                     slots[slot] = f"p{len(slots)}"
-                    x = _masked(_value_of(f, names), keep)
+                    value = _moment(names, f.source) if ages and _is_age(f.source) else _value_of(f, names)
+                    x = _masked(value, keep)
                     self.columns[slots[slot]] = kind.build(
                         x, _masked(F.col(AT), keep), _masked(F.lit(1), keep))
                     self.merges[slots[slot]] = kind.merge
@@ -259,11 +273,23 @@ class _Partials:
         use = self.uses[f.name]
         if "end" in use:
             return F.col(use["end"])[use["field"]]
-        return aggregate(f.primitive).finish({need: F.col(slot) for need, slot in use.items()}, F.col(TIME))
+        parts = {need: F.col(slot) for need, slot in use.items()}
+        if self.ages and _is_age(f.source):
+            now = seconds_between(F.expr(TREND_ORIGIN), F.col(TIME))
+            made = {
+                "rows": lambda: parts["rows"], "cnt": lambda: parts["cnt"], "sum": lambda: parts["cnt"] * now - parts["sum"],
+                "min": lambda: now - parts["max"], "max": lambda: now - parts["min"]}
+            parts = {need: made[need]() for need in aggregate(f.primitive).needs}
+        return aggregate(f.primitive).finish(parts, F.col(TIME))
+
+
+def _moment(names, source: Source) -> Column:
+    """Seconds from a fixed origin to the source's time."""
+    return seconds_between(F.expr(TREND_ORIGIN), F.col(names[source]))
 
 
 def _merged(rows, names, features, ids, window: _Window, on) -> DataFrame:
-    partials = _Partials(features, names)
+    partials = _Partials(features, names, ages=True)
     first = [c.alias(n) for n, c in partials.columns.items()]
     if TIME in on and window.buckets is not None:
         reduced = window.buckets.assign(rows, AT).groupBy(KEY, BUCKET).agg(*first)
@@ -276,18 +302,23 @@ def _merged(rows, names, features, ids, window: _Window, on) -> DataFrame:
 
 
 def _value_slot(f: Feature, rows: DataFrame, names) -> str:
-    """Values are counted in one of three columns: vl (integers, booleans), vd (doubles), vs (the rest)."""
+    """Values are counted in a column of their kind, so that ties fall to the smallest value of the kind:
+    vl (integers, booleans), vd (doubles), vn (decimals), vt (times and dates), vs (text)."""
     dtype = rows.schema[names[f.source]].dataType
     if isinstance(dtype, (T.IntegralType, T.BooleanType)):
         return "vl"
+    if isinstance(dtype, T.DecimalType):
+        return "vn"
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+        return "vt"
     return "vd" if isinstance(dtype, (T.DoubleType, T.FloatType)) else "vs"
 
 
 def _value_counts(rows, cells: Column, columns, window: _Window, on) -> DataFrame:
     """Counts per (key, cutoff, cell).
 
-    Rows of ordinary keys move once, by key, and are counted in place. Rows of very frequent
-    keys are counted per time bucket first and spread over all tasks by their values.
+    Rows are counted per (key, time bucket, cell, value) before they move, then once more per
+    cutoff. They move by key and value, so a very frequent key is spread by its values.
     """
     size = F.count(F.lit(1)).alias("n")
 
@@ -298,12 +329,9 @@ def _value_counts(rows, cells: Column, columns, window: _Window, on) -> DataFram
     if TIME not in on or window.buckets is None:
         pairs = window.pairs(rows) if TIME in on else rows
         return exploded(pairs, *on).groupBy(*on, *columns).agg(size)
-    cold, hot = split_hot(window.buckets.assign(rows, AT), KEY)
-    out = window.buckets.expand(exploded(cold, KEY, BUCKET).repartition(KEY), TIME).groupBy(*on, *columns).agg(size)
-    if hot is not None:
-        reduced = exploded(hot, KEY, BUCKET).groupBy(KEY, BUCKET, *columns).agg(size).repartition(KEY, *columns)
-        out = out.unionByName(window.buckets.expand(reduced, TIME).groupBy(*on, *columns).agg(F.sum("n").alias("n")))
-    return out
+    reduced = exploded(window.buckets.assign(rows, AT), KEY, BUCKET).groupBy(KEY, BUCKET, *columns).agg(size)
+    moved = reduced.repartition(KEY, *columns)
+    return window.buckets.expand(moved, TIME).groupBy(*on, *columns).agg(F.sum("n").alias("n"))
 
 
 def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
@@ -313,7 +341,7 @@ def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
         cell_of.setdefault((f.source, f.where), len(cell_of))
         slot_of[(f.source, f.where)] = _value_slot(f, rows, names)
     slots = sorted(set(slot_of.values()))
-    types = {"vl": "bigint", "vd": "double", "vs": "string"}
+    types = {"vl": "bigint", "vd": "double", "vn": "decimal(38,10)", "vt": "timestamp_ntz", "vs": "string"}
 
     def cell(source: Source, where) -> Column:
         probe = Feature("", "", "", "", source, None, where)
@@ -362,7 +390,7 @@ def _median(rows, names, features, ids, window: _Window, on) -> DataFrame:
     if TIME not in on or window.buckets is None:
         cold, hot = None, window.pairs(rows) if TIME in on else rows
     else:
-        cold, hot = split_hot(window.buckets.assign(rows, AT), KEY)
+        cold, hot = split_hot(window.buckets.assign(rows, AT), KEY, len({w.cutoff for w in window.buckets.windows}))
     out = None
     if cold is not None:
         slim = cold.select(KEY, BUCKET, *[x.alias(ids[f.name]) for f, x in zip(features, inputs)])
@@ -437,6 +465,16 @@ def feature_list(features: Sequence[Feature]) -> list[tuple[int, str]]:
     return list(enumerate(f.name for f in features))
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Exact number of values per column; a column's values are spread over all tasks."""
+    if not columns:
+        return {}
+    cells = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(columns)])))
+    counted = dict(cells.where(F.col("v").isNotNull()).distinct().groupBy("c").count().collect())
+    return {c: counted.get(i, 0) for i, c in enumerate(columns)}
+
+
 def id_like_columns(
     matrix: DataFrame, keep: Sequence[str], share: float = 0.9, limit: int = 1000,
     kind: str = "string", approximate: bool = False,
@@ -461,10 +499,7 @@ def id_like_columns(
         distinct = [row[f"c{i}"] for i in range(len(columns))]
     else:
         row = safe.agg(base.alias("base")).first()
-        cells = safe.select(F.inline(F.array(*[
-            F.struct(F.lit(i).alias("c"), F.col(f"c{i}").cast("string").alias("v")) for i in range(len(columns))])))
-        counted = dict(cells.where(F.col("v").isNotNull()).distinct().groupBy("c").count().collect())
-        distinct = [counted.get(i, 0) for i in range(len(columns))]
+        distinct = list(distinct_counts(safe, [f"c{i}" for i in range(len(columns))]).values())
     bound = min(row["base"] * share, limit) if kind == "string" else row["base"] * share
     return [c for c, n in zip(columns, distinct) if n > bound]
 

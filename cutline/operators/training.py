@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cutline.operators.features import distinct_counts
 from cutline.operators.ranking import exact_quantiles, with_deciles, with_rank
 from cutline.session import checkpointed
 
 MAX_CATEGORIES = 1000
+HASHED_CATEGORIES = 4096
 HASH_DIGITS = 13
 
 
@@ -96,7 +98,7 @@ def split_stratified(matrix: DataFrame, key: str, label: str, test_size: float =
     hashed = matrix.withColumn("__hash", hash_number(
         F.col(key), F.date_format("time", "yyyy-MM-dd"), str(seed)).cast("double"))
     limits = exact_quantiles(hashed, "__hash", {"__limit": test_size}, [label]).select(label, "__limit")
-    return (hashed.join(F.broadcast(limits), label)
+    return (hashed.join(limits, label)
             .withColumn(out, F.col("__hash") <= F.col("__limit")).drop("__hash", "__limit").select(*matrix.columns, out))
 
 
@@ -156,12 +158,20 @@ class TrainedModel:
 
 
 def _stages(train: DataFrame, spec: TrainSpec, numeric: Sequence[str], text: Sequence[str]):
-    """Fill numbers below their minimum with a marker, encode text, assemble one vector."""
-    facts = train.agg(
-        F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in numeric],
-        *[F.approx_count_distinct(c).alias(c) for c in text]).first()
-    text = [c for c in text if facts[c] <= MAX_CATEGORIES]
+    """Fill numbers below their minimum with a marker, encode text, assemble one vector.
+
+    Text with more than ``MAX_CATEGORIES`` values is hashed to ``HASHED_CATEGORIES`` of them, so that
+    no column is left out and no dictionary grows with the data. Returns the hashed columns too.
+    """
+    facts = train.agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in numeric]).first().asDict()
+    facts |= distinct_counts(train, text)
+    hashed = [c for c in text if facts[c] > MAX_CATEGORIES]
     stages, inputs = [], []
+    if hashed:
+        codes = ", ".join(f"cast(pmod(xxhash64(`{c}`), {HASHED_CATEGORIES}) AS string) AS `{c}__hashed`" for c in hashed)
+        stages.append(SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__"))
+        facts |= {f"{c}__hashed": facts[c] for c in hashed}
+        text = [f"{c}__hashed" if c in hashed else c for c in text]
     if numeric:
         fills = ", ".join(
             f"coalesce(`{c}`, {(facts[c] if facts[c] is not None else 0.0) - 1.0!r}D) AS `{c}__filled`, "
@@ -185,22 +195,40 @@ def _stages(train: DataFrame, spec: TrainSpec, numeric: Sequence[str], text: Seq
         stages.append(SQLTransformer(statement=f"SELECT *, {means} FROM __THIS__"))
         inputs += [f"{c}__mean" for c in many]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="__features"))
-    return stages, inputs
+    return stages, inputs, hashed
 
 
 def default_estimator(spec: TrainSpec) -> Estimator:
     common = dict(featuresCol="__features", labelCol=spec.label, predictionCol="__prediction", maxDepth=spec.depth,
-                  stepSize=spec.rate, maxIter=spec.rounds, seed=spec.seed, validationIndicatorCol="is_test",
-                  featureSubsetStrategy=str(spec.column_share))
+                  stepSize=spec.rate, maxIter=spec.rounds, seed=spec.seed, featureSubsetStrategy=str(spec.column_share))
     if spec.kind == "classifier":
         return GBTClassifier(weightCol="__weight", **common).setProbabilityCol("__probability").setRawPredictionCol("__raw")
     return GBTRegressor(**common)
 
 
+def best_rounds(booster, test: DataFrame, kind: str) -> int:
+    """The number of boosting rounds with the smallest loss on the test part; all rounds if it is empty."""
+    if test.isEmpty():
+        return booster.getNumTrees
+    losses = booster.evaluateEachIteration(test) if kind == "classifier" else booster.evaluateEachIteration(test, "squared")
+    return losses.index(min(losses)) + 1
+
+
+def fit_booster(train: DataFrame, test: DataFrame, spec: TrainSpec):
+    """All rounds on the train part, then the best prefix of them by the loss on the test part.
+
+    Boosting with the same seed repeats its rounds, so the prefix is a second, shorter fit.
+    """
+    booster = default_estimator(spec).fit(train)
+    best = best_rounds(booster, test, spec.kind)
+    return booster if best == spec.rounds else default_estimator(replace(spec, rounds=best)).fit(train)
+
+
 def fit(matrix: DataFrame, spec: TrainSpec, estimator: Estimator | None = None) -> TrainedModel | None:
     """Train on a joined matrix with plain column names; None if a guard says no.
 
-    ``estimator`` may be any pyspark.ml estimator on ``__features``.
+    ``estimator`` may be any pyspark.ml estimator on ``__features``. ``facts`` of the result record
+    the rounds kept and the text columns that were hashed.
     """
     matrix = matrix.where(F.col(spec.label).isNotNull())
     prepared = split(matrix, spec)
@@ -228,9 +256,17 @@ def fit(matrix: DataFrame, spec: TrainSpec, estimator: Estimator | None = None)
     else:
         middle = exact_quantiles(prepared, spec.label, {"median": 0.5}).first()["median"]
         facts.update(mean=prepared.agg(F.avg(spec.label)).first()[0], median=middle)
-    stages, inputs = _stages(train, spec, numeric, text)
+    stages, inputs, facts["hashed"] = _stages(train, spec, numeric, text)
     encoders = Pipeline(stages=stages).fit(train)
-    booster = (estimator or default_estimator(spec)).fit(encoders.transform(prepared.withColumn("__weight", weight)))
+    # every round reads the encoded rows
+    encoded = checkpointed(encoders.transform(prepared.withColumn("__weight", weight)).select(
+        "__features", "__weight", spec.label, "is_test"))
+    train_rows, test_rows = encoded.where(~F.col("is_test")), encoded.where("is_test")
+    if estimator is not None:
+        booster = estimator.fit(train_rows)
+    else:
+        booster = fit_booster(train_rows, test_rows, spec)
+        facts["rounds"] = booster.getNumTrees
     model = TrainedModel(PipelineModel(stages=[*encoders.stages, booster]), spec, columns, inputs, facts)
     if spec.kind == "classifier":
         scores = raw_scores(model, train)
@@ -268,19 +304,21 @@ def predict(model: TrainedModel, matrix: DataFrame) -> DataFrame:
     if model.spec.kind != "classifier":
         return scored
     labelled = with_label(scored, threshold=model.facts["threshold"])
-    return with_deciles(labelled, "prediction", key).select(
+    ties = [c for c in (key, "cutoff") if c in labelled.columns]
+    return with_deciles(labelled, "prediction", ties).select(
         key, "cutoff", F.round("prediction", 4).alias("prediction"), "label", "decile",
         F.lit(model.facts["pos_rate"]).alias("train_pos_rate"),
         F.lit(model.facts["threshold"]).alias("train_pos_rate_threshold"))
 
 
-def fit_products(matrix: DataFrame, labels: DataFrame, spec: TrainSpec, products: Sequence) -> dict:
+def fit_products(matrix: DataFrame, labels: DataFrame, spec: TrainSpec, products: Sequence,
+                 estimator: Estimator | None = None) -> dict:
     """One model per product on one fixed feature matrix; products without a model are left out."""
     matrix = checkpointed(matrix)
     models = {}
     for product in products:
         mine = labels.where(F.col("product") == product).select("time", spec.key, spec.label)
-        model = fit(train_matrix(matrix, mine, spec.key), spec)
+        model = fit(train_matrix(matrix, mine, spec.key), spec, estimator)
         if model is not None:
             models[product] = model
     return models
@@ -294,14 +332,14 @@ def predict_products(models: dict, matrix: DataFrame) -> DataFrame | None:
     return out
 
 
-def feature_importance(model: TrainedModel, spark: SparkSession, top: int | None = 10) -> DataFrame:
-    """Importance per input column (encoded parts added up), largest first."""
+def feature_importance(model: TrainedModel, spark: SparkSession, top: int | None = None) -> DataFrame:
+    """Importance per input column (encoded parts added up), largest first; ``top`` keeps a few for a picture."""
     weights = model.pipeline.stages[-1].featureImportances.toArray()
     sizes = _input_sizes(model)
     rows, at = [], 0
     for name in model.inputs:
         width = sizes.get(name, 1)
-        rows.append((name.rsplit("__", 1)[0], float(sum(weights[at:at + width]))))
+        rows.append((name.rsplit("__", 1)[0].removesuffix("__hashed"), float(sum(weights[at:at + width]))))
         at += width
     df = spark.createDataFrame(rows, "feature_name string, importance double").groupBy("feature_name").agg(
         F.sum("importance").alias("feature_importance"))
