@@ -49,12 +49,19 @@ def confusion_matrix(scored: DataFrame, label: str, score: str, cut: float = 0.5
     return scored.groupBy(F.col(label).cast("int").alias("actual"), predicted).agg(F.count(F.lit(1)).alias("n"))
 
 
-def cumulative_gain(scored: DataFrame, label: str, score: str, tie: str) -> DataFrame:
-    """(class, percentage, gain): share of the class found in the best share of rows, from (0, 0)."""
+def _ties(tie: str | Sequence[str]) -> list[str]:
+    return [tie] if isinstance(tie, str) else list(tie)
+
+
+def cumulative_gain(scored: DataFrame, label: str, score: str, tie: str | Sequence[str]) -> DataFrame:
+    """(class, percentage, gain): share of the class found in the best share of rows, from (0, 0).
+
+    Score and ties together order the rows; name all columns that tell rows apart.
+    """
     parts = []
     for value in (0, 1):
         hit = (F.col(label) == value).cast("bigint")
-        ranked = running_totals(scored.select(label, score, tie), score,
+        ranked = running_totals(scored.select(label, score, *_ties(tie)), score,
                                 {"seen": F.lit(1).cast("bigint"), "found": hit}, tie, descending=value == 1)
         curve = ranked.select(F.lit(value).alias("class"), (F.col("seen") / F.col("seen_total")).alias("percentage"),
                               _share(F.col("found"), F.col("found_total")).alias("gain"))
@@ -97,9 +104,9 @@ def percent_text(df: DataFrame, columns: Sequence[str], digits: int = 2) -> Data
     return df.withColumns({c: F.format_string(f"%.{digits}f%%", F.col(c) * 100) for c in columns})
 
 
-def _running_truth(scored: DataFrame, truth: str, prediction: str, tie: str) -> tuple[DataFrame, float]:
+def _running_truth(scored: DataFrame, truth: str, prediction: str, tie: str | Sequence[str]) -> tuple[DataFrame, float]:
     """Running sum of the truth from the highest prediction down, fixed on disk, and its total."""
-    sums = running_totals(scored.select(truth, prediction, tie), prediction,
+    sums = running_totals(scored.select(truth, prediction, *_ties(tie)), prediction,
                           {"gain": F.col(truth).cast("double")}, tie, descending=True)
     # float sums may differ between evaluations, and the quantiles read these rows more than once
     fixed = checkpointed(sums.select("gain"))
@@ -107,7 +114,7 @@ def _running_truth(scored: DataFrame, truth: str, prediction: str, tie: str) ->
     return fixed, total
 
 
-def profit_report_regression(scored: DataFrame, truth: str, prediction: str, tie: str) -> DataFrame:
+def profit_report_regression(scored: DataFrame, truth: str, prediction: str, tie: str | Sequence[str]) -> DataFrame:
     """At ten "higher" quantiles of the running truth: sum, rows, mean, recall, lift."""
     gains, total = _running_truth(scored, truth, prediction, tie)
     names = {f"q{i}": p for i, p in enumerate(DECILES, start=1)}
@@ -120,7 +127,7 @@ def profit_report_regression(scored: DataFrame, truth: str, prediction: str, tie
     } for q, p in names.items()]))
 
 
-def gain_regression(scored: DataFrame, truth: str, prediction: str, tie: str) -> DataFrame:
+def gain_regression(scored: DataFrame, truth: str, prediction: str, tie: str | Sequence[str]) -> DataFrame:
     """Eleven percentiles of the share of rows and of the share of the truth found, both from 0."""
     gains, total = _running_truth(scored, truth, prediction, tie)
     curve = gains.unionByName(scored.sparkSession.range(1).select(F.lit(0.0).alias("gain")))

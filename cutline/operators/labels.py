@@ -166,7 +166,12 @@ LABELS: dict[str, LabelFunction] = {
 }
 
 
+BUILT_IN_LABELS = frozenset(LABELS)
+
+
 def register_label(name: str, function: LabelFunction) -> None:
+    if name in BUILT_IN_LABELS:
+        raise ValueError(f"{name!r} is a built-in label")
     LABELS[name] = function
 
 
@@ -267,7 +272,7 @@ def _value_by_distinct(rows, key, time, spec, buckets, how, form) -> DataFrame:
     pred = Buckets([w for w in buckets.windows if w.role == "pred"])
     value = spec.params["value_column"]
     bought = pred.assign(rows.where(F.col(ACTION) & F.col(value).isNotNull()), time).select(key, BUCKET, value)
-    cold, hot = split_hot(bought, key)
+    cold, hot = split_hot(bought, key, len({w.cutoff for w in pred.windows}))
     measure = F.median(value) if how == "median" else F.count_distinct(value)
     got = pred.expand(cold.repartition(key)).groupBy(key, "time").agg(measure.cast("double").alias("value"))
     if hot is not None:

@@ -108,17 +108,19 @@ def running_totals(
     df: DataFrame,
     order: str,
     sums: Mapping[str, Column],
-    tie: str | None = None,
+    tie: str | Sequence[str] | None = None,
     descending: bool = False,
     slots: int | None = None,
 ) -> DataFrame:
     """Add an inclusive running total and ``<name>_total`` for each entry of ``sums``.
 
-    Rows are ordered by (order, tie); NULL in the order column drops the row. Without a tie
-    the order values must be distinct. String ties are ordered by their hash.
+    Rows are ordered by (order, tie columns); NULL in the order column drops the row. Order and
+    ties together must be distinct for a result that does not depend on the order of the rows.
+    A string in the first tie is ordered by its hash.
     """
     df = df.where(F.col(order).isNotNull())
-    plan = Slots.of(df, order, tie, slots)
+    ties = [tie] if isinstance(tie, str) else list(tie or ())
+    plan = Slots.of(df, order, ties[0] if ties else None, slots)
     rows = plan.assign(df.select("*", *[c.alias(f"__in_{name}") for name, c in sums.items()]))
     by = [SLOT, TIE_SLOT]
     slot_order = [F.desc(SLOT) if descending else F.asc(SLOT), F.asc(TIE_SLOT)]
@@ -130,7 +132,7 @@ def running_totals(
         for name in sums
     ], *[F.sum(f"__sum_{name}").over(Window.partitionBy()).alias(f"{name}_total") for name in sums])
     order_col = F.desc(order) if descending else F.asc(order)
-    inside = (Window.partitionBy(*by).orderBy(order_col, *plan.tie_order())
+    inside = (Window.partitionBy(*by).orderBy(order_col, *plan.tie_order(), *ties[1:])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = rows.join(F.broadcast(offsets), by)
     out = out.select(*df.columns, *[f"{name}_total" for name in sums], *[
@@ -138,12 +140,12 @@ def running_totals(
     return out
 
 
-def with_rank(df: DataFrame, order: str, tie: str, descending: bool = False, slots: int | None = None) -> DataFrame:
+def with_rank(df: DataFrame, order: str, tie: str | Sequence[str], descending: bool = False, slots: int | None = None) -> DataFrame:
     """Ordinal rank 1…n in a total order, with the row count as ``rank_total``."""
     return running_totals(df, order, {"rank": F.lit(1).cast("bigint")}, tie, descending, slots)
 
 
-def with_deciles(df: DataFrame, score: str, tie: str, out: str = "decile") -> DataFrame:
+def with_deciles(df: DataFrame, score: str, tie: str | Sequence[str], out: str = "decile") -> DataFrame:
     """Ten equal-width rank bins; 0.1 holds the highest scores, 1.0 the lowest."""
     ranked = with_rank(df, score, tie)
     width = F.greatest(F.col("rank_total") - 1, F.lit(1))
@@ -190,10 +192,13 @@ def quantile_rows(
     holds = "(__upto - __n <= s.{0} AND s.{0} < __upto)"
     near = per_slot.select("*", spots).where(f"exists(__spots, s -> {holds.format('low')} OR {holds.format('high')})")
     targets = near.select(*group, SLOT, (F.col("__upto") - F.col("__n")).alias("__before"), "__total")
-    if not group:
-        targets = F.broadcast(targets)
-    counted = (rows.join(targets, [*group, SLOT])
-               .groupBy(*group, SLOT, "__before", "__total", value).agg(size.alias("__n")))
+    # a value that very many rows share is one row per task before anything moves
+    if group:
+        values = rows.groupBy(*group, SLOT, value).agg(size.alias("__n"))
+        counted = values.join(targets, [*group, SLOT])
+    else:
+        counted = (rows.join(F.broadcast(targets), SLOT)
+                   .groupBy(SLOT, "__before", "__total", value).agg(size.alias("__n")))
     inside = (Window.partitionBy(*group, SLOT).orderBy(value)
               .rowsBetween(Window.unboundedPreceding, 0))
     placed = counted.withColumn("__upto", F.col("__before") + F.sum("__n").over(inside)).select("*", spots)
@@ -205,7 +210,7 @@ def quantile_rows(
         F.expr("max(if(is_low, __v, null)) AS __lo"), F.expr("max(if(is_low, null, __v)) AS __hi"),
         F.expr("max(if(is_low, __upto, null)) AS upto"), F.expr("max(part) AS __part"), F.expr("max(__total) AS n"))
     quantile = "__hi" if method == "higher" else (
-        "CASE WHEN __lo = __hi THEN CAST(__lo AS DOUBLE) ELSE __lo + (__hi - __lo) * __part END")
+        "CASE WHEN __lo = __hi THEN CAST(__lo AS DOUBLE) ELSE (1 - __part) * __lo + __part * __hi END")
     return found.select(*group, "position", F.expr(quantile).alias("quantile"), "upto", "n")
 
 
@@ -233,26 +238,32 @@ def previous_row(
 ) -> DataFrame:
     """Add ``out = previous value of column`` per key in (time, tie) order; NULL on a key's first row.
 
-    Keys with very many rows are split by time range; only the first row of each range needs a
-    value from an earlier range, and that comes from the last row per (key, range).
+    Rows without a key or a time have no previous row and are none: they stay, with NULL. Keys with
+    very many rows are split by time range, and inside one time by range of a numeric first tie;
+    only the first row of each range needs a value from an earlier range, and that comes from the
+    last row per (key, range).
     """
-    df = df.where(F.col(time).isNotNull())
+    absent = df.where(F.col(time).isNull() | F.col(key).isNull())
+    done = absent.select(*df.columns, *[F.lit(None).cast(df.schema[c].dataType).alias(out) for out, c in columns.items()])
+    df = df.where(F.col(time).isNotNull() & F.col(key).isNotNull())
     order = [F.col(time), *[F.col(c) for c in tie]]
     cold, hot = split_hot(df, key)
     of_key = Window.partitionBy(key).orderBy(*order)
-    done = cold.select(*df.columns, *[F.lag(c).over(of_key).alias(out) for out, c in columns.items()])
+    done = done.unionByName(cold.select(*df.columns, *[F.lag(c).over(of_key).alias(out) for out, c in columns.items()]))
     if hot is None:
         return done
-    rows = Slots.of(hot, time, n=slots).assign(hot).drop(TIE_SLOT)
-    inside = Window.partitionBy(key, SLOT).orderBy(*order)
+    splits_ties = bool(tie) and _is_number(df, tie[0])
+    rows = Slots.of(hot, time, tie[0] if splits_ties else None, slots).assign(hot)
+    at = [SLOT, TIE_SLOT]
+    inside = Window.partitionBy(key, *at).orderBy(*order)
     lagged = rows.select(
         "*", F.row_number().over(inside).alias("__pos"),
         *[F.lag(c).over(inside).alias(f"__lag_{out}") for out, c in columns.items()])
-    last = rows.groupBy(key, SLOT).agg(
+    last = rows.groupBy(key, *at).agg(
         F.max(F.struct(*order, *[F.col(c).alias(f"__v_{out}") for out, c in columns.items()])).alias("__last"))
     carry = last.select(
-        F.col(key), F.col(SLOT), F.lag("__last").over(Window.partitionBy(key).orderBy(SLOT)).alias("__carry"))
-    joined = lagged.join(carry, [key, SLOT], "left")
+        F.col(key), *at, F.lag("__last").over(Window.partitionBy(key).orderBy(*at)).alias("__carry"))
+    joined = lagged.join(carry, [key, *at], "left")
     return done.unionByName(joined.select(*df.columns, *[
         F.when(F.col("__pos") == 1, F.col(f"__carry.__v_{out}")).otherwise(F.col(f"__lag_{out}")).alias(out)
         for out in columns]))

@@ -9,12 +9,14 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000_000
 
 
-def split_hot(rows: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(rows: DataFrame, key: str, times: int = 1) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of keys with more than ``HOT_ROWS`` rows or None).
 
-    One small job counts rows per key. Ordinary keys may be collected in one task afterwards.
+    One small job counts rows per key. Ordinary keys may be collected in one task afterwards;
+    ``times`` says how often a row is repeated there. A NULL key counts as ordinary: callers
+    treat it apart.
     """
-    big = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > HOT_ROWS).select(key)
+    big = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") * times > HOT_ROWS).select(key)
     found = [r[0] for r in big.limit(HOT_KEYS + 1).collect()]
     if not found:
         return rows, None

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from cutline.functions.calendar import ntz, ntz_text
 from cutline.operators.ranking import bucketize, position_of
 
-BUCKET = "__bucket"
+BUCKET, SALT = "__bucket", "__salt"
 BROADCAST_ROWS = 200_000
 TREE_EDGES = 256
 EPOCH_START = datetime(1970, 1, 1)
@@ -92,8 +92,13 @@ class Buckets:
             return df.withColumns({time: ntz(self.windows[0].cutoff), **flags}).drop(BUCKET)
         table = self.membership(df.sparkSession, time)
         if len(self.edges) * len({w.cutoff for w in self.windows}) <= BROADCAST_ROWS:
-            table = F.broadcast(table)
-        return df.join(table, BUCKET).drop(BUCKET)
+            return df.join(F.broadcast(table), BUCKET).drop(BUCKET)
+        # a bucket holds rows of all keys, so the join also takes a salt that follows from the row
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+        salted = df.withColumn(SALT, F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
+        copies = table.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return salted.join(copies, [BUCKET, SALT]).drop(BUCKET, SALT)
 
 
 def interval_join(events: DataFrame, time: str, buckets: Buckets, out: str = "time") -> DataFrame:
