@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +24,8 @@ from cutline.operators.training import (
     TrainedModel, TrainSpec, fit, predict, raw_scores, split, train_matrix)
 from cutline.plans.feature_plan import Feature, FeatureSpec, plan_features
 from cutline.session import checkpointed
-from cutline.sources.readers import load_entities
-from cutline.sources.sinks import stage_folder
+from cutline.sources.readers import Database, load_entities
+from cutline.sources.sinks import save_result, stage_folder, staged, write_csv, write_jdbc, write_parquet, write_sorted
 
 # fixed values: problem type -> label type
 LABEL_TYPES = {"churn": "classifier", "purchase": "classifier", "value": "regression", "product_purchase": "classifier"}
@@ -171,6 +172,8 @@ class TrainingResult:
     features: DataFrame
     dropped: list[str]
     models: dict[str | None, TrainedModel]
+    feature_names: list[str] = field(default_factory=list)
+    id_like_limit: int = 1000
     evaluations: dict[str | None, dict[str, dict[str, DataFrame]]] = field(default_factory=dict)
 
 
@@ -182,7 +185,7 @@ def evaluate(model: TrainedModel, matrix: DataFrame) -> dict[str, dict[str, Data
     out = {}
     for name, flag in (("train", False), ("test", True)):
         part = scored.where(F.col("is_test") == flag)
-        y, p, tie = spec.label, "prediction", spec.key
+        y, p, tie = spec.label, "prediction", [spec.key, "time"]
         if spec.kind == "classifier":
             out[name] = {
                 "auc": auc(part, y, p), "roc": roc_points(part, y, p), "confusion": confusion_matrix(part, y, p),
@@ -195,30 +198,45 @@ def evaluate(model: TrainedModel, matrix: DataFrame) -> dict[str, dict[str, Data
 
 
 def train_flow(spark: SparkSession, config: Mapping, tables: Mapping[str, DataFrame] | None = None,
-               folder: str | None = None, with_evaluation: bool = True) -> TrainingResult:
-    """Labels, features, one model per product (or one), evaluation; models go to ``folder`` if given."""
+               folder: str | None = None, with_evaluation: bool = True, resume: bool = False,
+               estimator: Estimator | None = None, hook: Callable[[DataFrame], DataFrame] | None = None) -> TrainingResult:
+    """Labels, features, one model per product (or one), evaluation.
+
+    With a ``folder``, labels (by cutoff), label statistics, feature matrix, feature list and models are
+    written there; ``resume`` takes labels and matrix that an earlier run completed. ``estimator`` may be
+    any pyspark.ml estimator; ``hook`` shapes the feature matrix of one project.
+    """
+    def stage(name: str, build: Callable[[], DataFrame], by: Sequence = ()) -> DataFrame:
+        return checkpointed(build()) if folder is None else staged(build, spark, f"{folder}/{name}", resume, by)
+
     es = entity_set(spark, config, tables)
-    table, cutoffs, spec = labels(es, config)
+    made, cutoffs, spec = labels(es, config)
     key = es[config["business_desc"]["customer_entity"]].key
     label = "value" if spec.problem == "value" else spec.problem
     # read once per product and once per statistic
-    table = checkpointed(table)
+    table = stage("labels", lambda: made, ["time"])
     instances = table.select(key, "time").distinct() if spec.problem == "product_purchase" else table.select(key, "time")
-    matrix = checkpointed(features(es, config, instances, cutoffs))
+    matrix = stage("features", lambda: features(es, config, instances, cutoffs))
     plain = sql_name(key)
-    dropped = id_like_columns(matrix, [plain, "time"])
-    matrix = drop_id_like(matrix, dropped)
+    limit = (config.get("feature_extraction_desc") or {}).get("id_like_limit") or 1000
+    dropped = id_like_columns(matrix, [plain, "time"], limit=limit)
+    matrix = drop_id_like(matrix, dropped, hook)
+    names = [c for c in matrix.columns if c not in (plain, "time")]
     settings = train_spec(config, label, plain)
     kind = settings.kind
     table = table.withColumnRenamed(key, plain)
+    stats = label_stats(table, label, kind)
+    if folder:
+        write_parquet(stats, f"{folder}/label_stats")
+        write_csv(spark.createDataFrame(list(enumerate(names)), "index int, feature_name string").coalesce(1), f"{folder}/feature_list")
     products = [None]
     if spec.problem == "product_purchase":
         products = [p for p in spec.params["product_list"] if p is not None]
-    result = TrainingResult(table, label_stats(table, label, kind), matrix, dropped, {})
+    result = TrainingResult(table, stats, matrix, dropped, {}, feature_names=names, id_like_limit=limit)
     for product in products:
         mine = table if product is None else table.where(F.col("product") == product)
         joined = train_matrix(matrix, mine.select("time", plain, label), plain)
-        model = fit(joined, settings)
+        model = fit(joined, settings, estimator)
         if model is None:
             continue
         result.models[product] = model
@@ -230,20 +248,32 @@ def train_flow(spark: SparkSession, config: Mapping, tables: Mapping[str, DataFr
 
 
 def predict_flow(spark: SparkSession, config: Mapping, models: Mapping[str | None, TrainedModel],
-                 tables: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
-    """Score everyone active at the latest cutoff with every model; the label logic only lists them."""
+                 tables: Mapping[str, DataFrame] | None = None, folder: str | None = None,
+                 hook: Callable[[DataFrame], DataFrame] | None = None, write=write_jdbc) -> DataFrame | None:
+    """Score everyone active at the latest cutoff with every model; the label logic only lists them.
+
+    With a ``folder``, predictions are written there by falling score, and from there into the table that
+    ``result_saving_desc`` (``db_info``, ``table_name``, ``insert_type``) names, if the config has one.
+    """
     es = entity_set(spark, config, tables)
     wanted = (config.get("model_prediction_desc") or {}).get("cutoff_last_date")
     table, cutoffs, spec = labels(es, config, "predict", wanted)
     key = es[config["business_desc"]["customer_entity"]].key
-    matrix = checkpointed(features(es, config, table.select(key, "time").distinct(), cutoffs))
+    matrix = checkpointed(drop_id_like(features(es, config, table.select(key, "time").distinct(), cutoffs), [], hook))
     out = None
     for product, model in models.items():
         part = predict(model, matrix)
         if product is not None:
             part = part.withColumn(spec.params["product_column"], F.lit(product))
         out = part if out is None else out.unionByName(part)
-    return out
+    if out is None or folder is None:
+        return out
+    path = f"{folder}/predictions"
+    write_sorted(out, path, F.desc("prediction"), *[c for c in out.columns if c != "prediction"])
+    saving = config.get("result_saving_desc")
+    if saving:
+        save_result(spark, path, Database.from_config(saving["db_info"]), saving["table_name"], saving.get("insert_type") or "into", write)
+    return spark.read.parquet(path)
 
 
 def preview(spark: SparkSession, config: Mapping, tables: Mapping[str, DataFrame] | None = None) -> dict[str, str]:

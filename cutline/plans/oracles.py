@@ -473,3 +473,54 @@ GROUP BY doc_id, word"""
 ORACLES["sql_template_union"] = """
 SELECT o_orderstatus AS brand, o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total
 FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY o_orderstatus, o_orderpriority"""
+
+# ---- files, clean-up and flows
+
+ORACLES["csv_round_trip"] = "SELECT c_custkey, c_name, c_acctbal FROM customer"
+ORACLES["sanitized_text"] = """
+SELECT doc_id, CASE WHEN text NOT IN ('NaT', 'NaN', 'nan', 'None') THEN md5(regexp_replace(text, '[''"]', ' ', 'g')) END AS text_md5
+FROM documents"""
+ORACLES["comma_replacement"] = "SELECT doc_id, md5(replace(text, ',', '#')) AS text_md5 FROM documents"
+ORACLES["key_cast"] = """
+SELECT c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment"""
+ORACLES["label_stats_pretty"] = f"""
+WITH l AS ({PURCHASE})
+SELECT coalesce(time, 'All') AS time, count(*) AS n, printf('%.4f%%', avg(CAST(purchase = 0 AS INTEGER)) * 100) AS share_0,
+       printf('%.4f%%', avg(purchase) * 100) AS share_1
+FROM l GROUP BY ROLLUP (time)"""
+ORACLES["feat_null_cutoff"] = """
+WITH i AS (SELECT o_custkey AS k, o_orderdate AS c FROM orders UNION SELECT o_custkey, CAST(NULL AS TIMESTAMP) FROM orders)
+SELECT k AS c_custkey, strftime(c, '%Y-%m-%d') AS time, count(o_orderkey) AS count_orders
+FROM i LEFT JOIN orders ON o_custkey = k AND o_orderdate < c GROUP BY k, c"""
+ORACLES["id_like_integers"] = """
+WITH cells AS (SELECT 'o_orderkey' AS column_name, o_orderkey AS v FROM orders
+               UNION ALL SELECT 'o_year', year(o_orderdate) FROM orders)
+SELECT column_name, count(DISTINCT v) > (SELECT count(DISTINCT o_custkey) FROM orders) * 0.9 AS dropped, count(v) AS n
+FROM cells GROUP BY column_name"""
+ORACLES["aligned_columns"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(NULL AS DOUBLE) AS absent, c_acctbal FROM customer"""
+ORACLES["evaluation_by_cutoff"] = f"""
+WITH s AS (SELECT o_custkey, time, purchase AS y, (o_custkey % 7) / CAST(7 AS DOUBLE) AS prediction FROM ({PURCHASE})),
+g AS (SELECT 1 AS class, row_number() OVER up AS i, sum(y) OVER up AS found, sum(y) OVER () AS whole, count(*) OVER () AS n FROM s
+      WINDOW up AS (ORDER BY prediction DESC, o_custkey, time ROWS UNBOUNDED PRECEDING)
+      UNION ALL
+      SELECT 0, row_number() OVER down, sum(1 - y) OVER down, sum(1 - y) OVER (), count(*) OVER () FROM s
+      WINDOW down AS (ORDER BY prediction, o_custkey, time ROWS UNBOUNDED PRECEDING))
+SELECT class, round(i / n, 8) AS percentage, round(found / whole, 8) AS gain FROM g
+UNION ALL SELECT 0, 0.0, 0.0 UNION ALL SELECT 1, 0.0, 0.0"""
+ORACLES["comment_flow"] = ORACLES["word_explode_incremental"]
+ORACLES["sql_script"] = """
+SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' GROUP BY o_orderstatus"""
+SMALL_MODEL = {"pred": "3 MONTH", "n": 3}
+ORACLES["flow_resume"] = f"""
+WITH l AS ({label_sql("got", "purchase", HIT, key="c_custkey", **SMALL_MODEL)})
+SELECT l.c_custkey, l.time, l.purchase, count(o_orderkey) AS count_orders
+FROM l LEFT JOIN orders ON o_custkey = l.c_custkey AND o_orderdate < CAST(l.time AS TIMESTAMP)
+     AND o_orderdate >= CAST(l.time AS TIMESTAMP) - INTERVAL 12 MONTH
+GROUP BY ALL"""
+ORACLES["predict_job_rows"] = f"""
+WITH l AS ({label_sql("got", "purchase", HIT, key="c_custkey", **SMALL_MODEL)}),
+now AS (SELECT date_trunc('month', max(o_orderdate))::TIMESTAMP AS c FROM orders)
+SELECT o_custkey AS c_custkey, strftime(c, '%Y-%m-%d') AS cutoff, (SELECT round(avg(purchase), 8) FROM l) AS train_pos_rate
+FROM orders, now WHERE o_orderdate < c AND o_orderdate >= c - INTERVAL 12 MONTH GROUP BY o_custkey, c"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import lru_cache
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from cutline.functions.actions import exclude_values
 from cutline.functions.calendar import Offset, seconds_between
 from cutline.functions.primitives import TRANSFORMS, Aggregate, register_aggregate
-from cutline.functions.standardize import apply_dictionary, null_minimum_dates, standardize_types
+from cutline.functions.standardize import apply_dictionary, cast_keys, null_minimum_dates, replace_commas, standardize_types
 from cutline.operators import evaluation as ev
 from cutline.operators import training as tr
 from cutline.operators.entities import (
@@ -24,10 +25,13 @@ from cutline.operators.labels import (
 from cutline.operators.ranking import exact_quantiles, percentile_rank, previous_row, with_deciles, with_rank
 from cutline.operators.text import dictionary_words, letter_words, new_comments, spread, word_rows
 from cutline.operators.windows import Buckets, RoleWindow, interval_join
+from cutline.plans.comment_flow import comment_words as comment_words_flow
 from cutline.plans.feature_plan import FeatureSpec
 from cutline.plans.flows import predict_flow, train_flow
-from cutline.sources.readers import modified_since
-from cutline.sources.sql_jobs import union_over
+from cutline.session import shared_folder
+from cutline.sources.readers import modified_since, read_csv
+from cutline.sources.sinks import sanitized, write_csv
+from cutline.sources.sql_jobs import run_sql, union_over
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -140,6 +144,30 @@ def key_semi_join(spark, d):
         "c_custkey", "c_mktsegment")
 
 
+@query
+def csv_round_trip(spark, d):
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    write_csv(table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal"), path)
+    return read_csv(spark, path, schema="c_custkey bigint, c_name string, c_acctbal double")
+
+
+@query
+def sanitized_text(spark, d):
+    return sanitized(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query
+def comma_replacement(spark, d):
+    return replace_commas(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.md5("text").alias("text_md5"))
+
+
+@query
+def key_cast(spark, d):
+    keys = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_mktsegment")
+    left, right = cast_keys(table(spark, d, "orders"), "o_custkey", keys, "c_custkey")
+    return left.join(right, left.o_custkey == right.c_custkey).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- labels
 
 
@@ -276,6 +304,12 @@ def label_events_days(spark, d):
     return label(spark, d, spec, table(spark, d, "events"), "user_id", "ts")
 
 
+@query
+def label_stats_pretty(spark, d):
+    labels = make_labels(orders(spark, d), "o_custkey", "o_orderdate", PURCHASE)
+    return label_stats(labels, "purchase", pretty=True)
+
+
 # ---- features
 
 
@@ -500,6 +534,30 @@ def feature_list(spark, d):
         for i, n in enumerate(names)])))
 
 
+@query
+def feat_null_cutoff(spark, d):
+    """Every order date of a customer is a cutoff of its own, far more than a thousand, and one is absent."""
+    seen = orders(spark, d).select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderdate").alias("time")).distinct()
+    absent = seen.select("c_custkey", F.lit(None).cast("timestamp_ntz").alias("time")).distinct()
+    spec = FeatureSpec("customer", only=["COUNT(orders)"], aggregates=["count"], transforms=[], training_window=None)
+    return by_day(with_sql_names(make_features(entities(spark, d), spec, absent.unionByName(seen))))
+
+
+@query
+def id_like_integers(spark, d):
+    rows = orders(spark, d).select("o_custkey", "o_orderkey", F.year("o_orderdate").alias("o_year"))
+    dropped = id_like_columns(rows, ["o_custkey"], kind="integer")
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("v"), F.lit(c in dropped).alias("dropped"))
+             for c in ("o_orderkey", "o_year")]
+    return rows.select(F.inline(F.array(*cells))).groupBy("column_name", "dropped").agg(F.count("v").alias("n"))
+
+
+@query
+def aligned_columns(spark, d):
+    rows = table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    return tr.align_columns(rows, [("c_custkey", "string"), ("absent", "double"), ("c_acctbal", "double")])
+
+
 @query
 def custom_primitive(spark, d):
     register_aggregate(Aggregate("range", "numeric", route="pairs", expr=lambda x, t, time: F.max(x) - F.min(x)))
@@ -679,6 +737,13 @@ def evaluation_summary(spark, d):
     return rounded(ev.evaluation_summary(rows, "split", "y", "prediction", "classifier"), 8, "value")
 
 
+@query
+def evaluation_by_cutoff(spark, d):
+    """Gain over a matrix with several cutoffs per key and many equal scores: key and cutoff break the ties."""
+    rows = purchase_labels(spark, d).withColumn("prediction", F.pmod("o_custkey", F.lit(7)) / 7.0)
+    return rounded(ev.cumulative_gain(rows, "purchase", "prediction", ["o_custkey", "time"]), 8, "percentage", "gain")
+
+
 # ---- comments
 
 
@@ -716,6 +781,13 @@ def word_explode_incremental(spark, d):
     return words.groupBy("oid", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def comment_flow(spark, d):
+    """The words of new comments, through the flow that fills the word table."""
+    words = comment_words_flow(comments(spark, d), processed(spark, d), stop_words=STOP_WORDS, begin=100)
+    return words.groupBy("oid", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
 # fixed values: one CJK character per letter, to write the documents without word gaps
 LATIN, IDEOGRAPHS = "abcdefghijklmnopqrstuvwxyz", "一丁七万丈三上下不与丐丑专且丕世丘丙业丛东丝丞丢两严"
 
@@ -745,6 +817,16 @@ def sql_template_union(spark, d):
     return union_over(spark, template, ["F", "O", "P"])
 
 
+@query
+def sql_script(spark, d):
+    orders(spark, d).createOrReplaceTempView("cutline_script_orders")
+    return run_sql(spark, """
+        CREATE OR REPLACE TEMP VIEW cutline_late AS
+        SELECT * FROM cutline_script_orders WHERE o_orderdate >= timestamp_ntz'2000-01-01 00:00:00';
+        SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM cutline_late GROUP BY o_orderstatus;
+    """)
+
+
 def small_model_config(problem: str) -> dict:
     """A configuration document over the given tables; few rounds keep it short."""
     window = {"sample_filtering_window": {"sample_filtering_window": 12, "sample_filtering_window_unit": "months"},
@@ -789,6 +871,22 @@ def predict_job(spark, d):
     return predict_flow(spark, config, models, tables(spark, d)).withColumn("cutoff", F.date_format("cutoff", "yyyy-MM-dd"))
 
 
+@query
+def flow_resume(spark, d):
+    """Labels and matrix of a training run, read back from the folder that the first run filled."""
+    folder, config = f"{shared_folder(spark)}/flow-{uuid.uuid4().hex}", small_model_config("purchase")
+    train_flow(spark, config, tables(spark, d), folder, with_evaluation=False)
+    again = train_flow(spark, config, tables(spark, d), folder, with_evaluation=False, resume=True)
+    joined = again.labels.join(again.features, ["c_custkey", "time"])
+    return by_day(joined, "c_custkey", "time", "purchase", "count_orders")
+
+
+@query
+def predict_job_rows(spark, d):
+    """Who is scored at which cutoff, and the positive rate of the training labels."""
+    return predict_job(spark, d).select("c_custkey", "cutoff", F.round("train_pos_rate", 8).alias("train_pos_rate"))
+
+
 @query
 def feature_importance(spark, d):
     result = train_flow(spark, small_model_config("purchase"), tables(spark, d), with_evaluation=False)

@@ -65,12 +65,13 @@ class Database:
 
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",", schema: str | None = None,
-             nrows: int | None = None) -> DataFrame:
-    """CSV with a header; an absent file gives an empty frame. Without a schema all columns are text."""
+             nrows: int | None = None, absent_ok: bool = False) -> DataFrame:
+    """CSV with a header. Without a schema all columns are text. An absent file is an error, or an
+    empty frame with ``absent_ok``."""
     try:
         df = spark.read.csv(path, sep=sep, header=True, schema=schema)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if not absent_ok or e.getCondition() != "PATH_NOT_FOUND":
             raise
         df = spark.createDataFrame([], schema or "`empty` string")
     return row_cap(df, nrows)
@@ -142,7 +143,8 @@ def load_entities(spark: SparkSession, descriptions: Sequence[Mapping], nrows: i
             df = row_cap(tables[name], nrows)
         elif d.get("url"):
             read = read_parquet if d.get("url_type") == "parquet" else read_csv
-            extra = {} if d.get("url_type") == "parquet" else {"sep": d.get("url_sep") or ","}
+            extra = {} if d.get("url_type") == "parquet" else {
+                "sep": d.get("url_sep") or ",", "absent_ok": bool(d.get("absent_ok"))}
             df = read(spark, d["url"], nrows=nrows, **extra)
         elif d.get("db_info", {}).get("type") in JDBC_PREFIX:
             table = None if d.get("sql") else d.get("table_name", name)

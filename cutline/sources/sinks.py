@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,34 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, *by, mode: str = "overwrite") -> None:
+    """Parquet files in the order of ``by``: ranges first, then sorted inside each, never in one task."""
+    df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode(mode).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def staged(df: Callable[[], DataFrame], spark: SparkSession, path: str, resume: bool = False, by: Sequence = ()) -> DataFrame:
+    """The stage output at ``path``: what an earlier run completed (``resume``), else ``df()`` written there."""
+    if not (resume and path_exists(spark, f"{path}/_SUCCESS")):
+        if by:
+            write_sorted(df(), path, *by)
+        else:
+            write_parquet(df(), path)
+    return spark.read.parquet(path)
+
+
+def append_rows(df: DataFrame, table: str) -> None:
+    """Append to a catalog table, which is made from the schema if it is absent."""
+    spark = df.sparkSession
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet")
+    df.write.mode("append").insertInto(table)
+
+
 def write_by_product(labels: DataFrame, path: str) -> None:
     """Label table in long form, one folder per product."""
     write_parquet(labels, path, partition_by=("product",))
@@ -55,6 +83,8 @@ def column_types(df: DataFrame, special: Mapping[str, tuple] | None = None) -> d
             out[f.name] = f"DECIMAL({d.precision},{d.scale})"
         elif isinstance(d, (T.ByteType, T.BooleanType)):
             out[f.name] = "SMALLINT"
+        elif isinstance(d, T.LongType):
+            out[f.name] = "BIGINT"
         elif isinstance(d, T.IntegralType):
             out[f.name] = "INTEGER"
         else:
@@ -93,9 +123,7 @@ def write_jdbc(df: DataFrame, db: Database, table: str, insert_type: str = "into
 def save_result(spark: SparkSession, path: str, db: Database, table: str, insert_type: str = "into",
                 write=write_jdbc) -> bool:
     """Load a written prediction table and save it to a database; False if there is none."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(jvm_path):
+    if not path_exists(spark, path):
         return False
     write(spark.read.parquet(path), db, table, insert_type)
     return True
