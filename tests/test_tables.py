@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cutline.functions.standardize import (
@@ -67,7 +68,9 @@ def test_keys_and_product_join(spark):
 def test_sources(spark, tmp_path):
     write_csv(spark.createDataFrame([(1, "a"), (2, "b")], "i int, c string"), str(tmp_path / "t"))
     assert read_csv(spark, str(tmp_path / "t"), schema="i int, c string").count() == 2
-    assert read_csv(spark, str(tmp_path / "none")).count() == 0
+    assert read_csv(spark, str(tmp_path / "none"), absent_ok=True).count() == 0
+    with pytest.raises(AnalysisException):
+        read_csv(spark, str(tmp_path / "none"))
     assert row_cap(spark.range(5), 0).count() == 0 and row_cap(spark.range(5), 2).count() == 2
     assert typed_options([{"para_name": "a", "para_value": "3", "para_value_type": "int"},
                           {"para_name": "b", "para_value": "false", "para_value_type": "bool"}]) == {"a": 3, "b": False}
