@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cutline.llm import exact_dedup, mixing, ngram_join, packing, quality
-from cutline.llm.common import stored, table
+from cutline.llm.common import by_keys, stored, table
 from cutline.llm.queries import vocabulary
 
 #: Share of the kept tokens that mixing aims for, and how far its targets flatten the marginals.
@@ -31,14 +31,14 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest doc_id."""
-    gone = ngram_join.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(stored(gone), F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    seen = ngram_join.near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    gone = stored(seen.where("not kept").select(F.col("doc_id").alias("__gone")))
+    return by_keys(docs, gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample that meets the target shares of source, language and topic."""
-    kept = mixing.mix(docs, power=MIX_POWER, rate=MIX_RATE).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    return mixing.sample(docs, power=MIX_POWER, rate=MIX_RATE)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BROADCAST_KEYS = 500_000
 TEXT_ROWS = 256  # documents per Arrow batch where whole texts go to Python
 
 
@@ -48,6 +49,17 @@ def stored(df: DataFrame, folder: str | None = None, batch_rows: int | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
+def few(keys: DataFrame) -> bool:
+    """Is a stored table of keys (tens of bytes a row) small enough to be sent to every task?"""
+    return keys.count() <= BROADCAST_KEYS
+
+
+def by_keys(df: DataFrame, keys: DataFrame, on, how: str) -> DataFrame:
+    """Semi, anti or left join with a stored table of keys: broadcast while it is ``few``, else by shuffle. Texts stay put
+    in the first case; the rows are the same in both."""
+    return df.join(F.broadcast(keys) if few(keys) else keys, on, how)
+
+
 def _importable(spark: SparkSession) -> None:
     """Let Python workers that Spark starts on this machine import the package even if the driver only has it on sys.path."""
     root, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cutline.llm.common import stored
+from cutline.llm.common import by_keys, stored
 
 PREFIX = 64  # characters of the second step
 BROADCAST_GROUPS = 200_000  # surviving groups (16 bytes each) sent to every task; more are joined by shuffle
@@ -60,7 +60,22 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per text, with the columns of ``docs`` as they are."""
-    kept = _verdicts(docs, key, text).where(F.col("__keep").eqNullSafe(F.col(key)))
-    several = kept.where("__size > 1").dropDuplicates(["__sha"])
-    return kept.where("__size = 1").unionByName(several).select(*docs.columns)
+    """The rows of ``docs`` that stay, one per text, with the columns of ``docs`` as they are.
+
+    Rows that go are told by key and hash; texts move only where those are too many to broadcast. A row that repeats another
+    one in key and text is the rare case with a shuffle of its own.
+    """
+    groups = stored(copy_groups(docs, key, text).select(F.unhex("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep")))
+    hashed = docs.withColumn("__sha", F.unhex(F.sha2(_text(text), 256)))
+    members = stored(hashed.select(F.col(key).alias("__id"), "__sha").join(groups, "__sha").withColumn("__stays", F.col("__id").eqNullSafe(F.col("__keep"))))
+    same = (F.col("__sha") == F.col("__of")) & F.col(key).eqNullSafe(F.col("__id"))
+
+    def keys(rows: DataFrame) -> DataFrame:
+        return stored(rows.select("__id", F.col("__sha").alias("__of")).distinct())
+
+    out = by_keys(hashed, keys(members.where("not __stays")), same, "left_anti")
+    repeated = keys(members.where("__stays").groupBy("__id", "__sha").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    if not repeated.isEmpty():
+        once = by_keys(out, repeated, same, "left_semi").dropDuplicates(["__sha"])
+        out = by_keys(out, repeated, same, "left_anti").unionByName(once)
+    return out.select(*docs.columns)

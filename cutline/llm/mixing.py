@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cutline.llm.common import stored, uniform
+from cutline.llm.common import by_keys, stored, uniform
 
 NONE = "(none)"
 MARGINALS = ("source", "lang", "topic")
@@ -58,18 +58,35 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rate: float, rounds: i
     return now
 
 
+def _described(docs: DataFrame, key: str) -> DataFrame:
+    return docs.select(
+        F.col(key), F.coalesce("source", F.lit(NONE)).alias("source"), F.coalesce("lang", F.lit(NONE)).alias("lang"),
+        topic_of(F.col("text")).alias("topic"), tokens_of(F.col("text")).alias("tokens"))
+
+
+def _probabilities(narrow: DataFrame, power: float, rate: float, rounds: int) -> DataFrame:
+    """Stored (source, lang, topic, probability), rounded to nine digits, so that sums in another order change no verdict."""
+    cells = stored(narrow.groupBy(*MARGINALS).agg(F.sum("tokens").alias("tokens")))
+    targets = {m: stored(flattened_targets(cells, m, power)) for m in MARGINALS}
+    return stored(rake(cells, targets, rate, rounds).select(*MARGINALS, F.round(F.col("weight") / F.col("tokens"), 9).alias("probability")))
+
+
 def mix(docs: DataFrame, key: str = "doc_id", power: float = 0.7, rate: float = 0.6, rounds: int = 8, seed: int = 6) -> DataFrame:
     """One row per document: key, source, lang, topic, tokens, probability, draw, kept.
 
     ``docs`` needs key, text, source, lang; an empty table gives no rows. Null sources and languages are the category
     ``(none)``; an empty or null text has the topic ``empty`` and weighs one token. The draw depends on the key alone, so
-    rows that repeat a key fare alike. Probabilities are rounded to nine digits, so that sums in another order change no verdict.
+    rows that repeat a key and a cell fare alike.
     """
-    narrow = stored(docs.select(
-        F.col(key), F.coalesce("source", F.lit(NONE)).alias("source"), F.coalesce("lang", F.lit(NONE)).alias("lang"),
-        topic_of(F.col("text")).alias("topic"), tokens_of(F.col("text")).alias("tokens")))
-    cells = stored(narrow.groupBy(*MARGINALS).agg(F.sum("tokens").alias("tokens")))
-    targets = {m: stored(flattened_targets(cells, m, power)) for m in MARGINALS}
-    weights = rake(cells, targets, rate, rounds).select(*MARGINALS, F.round(F.col("weight") / F.col("tokens"), 9).alias("probability"))
-    out = narrow.join(weights, list(MARGINALS)).withColumn("draw", uniform(F.col(key), seed))
+    narrow = stored(_described(docs, key))
+    out = by_keys(narrow, _probabilities(narrow, power, rate, rounds), list(MARGINALS), "inner").withColumn("draw", uniform(F.col(key), seed))
     return out.withColumn("kept", F.col("draw") < F.col("probability")).select(key, *MARGINALS, "tokens", "probability", "draw", "kept")
+
+
+def sample(docs: DataFrame, key: str = "doc_id", power: float = 0.7, rate: float = 0.6, rounds: int = 8, seed: int = 6) -> DataFrame:
+    """The rows of ``docs`` that ``mix`` keeps, with their columns. A row meets its cell's probability where it lies."""
+    probabilities = _probabilities(_described(docs, key), power, rate, rounds).select(*[F.col(m).alias(f"__{m}") for m in MARGINALS], "probability")
+    own = {"source": F.coalesce("source", F.lit(NONE)), "lang": F.coalesce("lang", F.lit(NONE)), "topic": topic_of(F.col("text"))}
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), *[own[m].alias(f"__{m}") for m in MARGINALS], uniform(F.col(key), seed).alias("__draw"))
+    met = by_keys(rows, probabilities, [f"__{m}" for m in MARGINALS], "inner").where(F.col("__draw") < F.col("probability"))
+    return met.select("__row.*")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutline.llm.common import by_group, stored, text_batches
+from cutline.llm.common import by_group, by_keys, stored, text_batches
 from cutline.llm.components import components
 from cutline.llm.shingles import min_hashes, mix, shingle_set
 
@@ -32,7 +32,6 @@ DEPTH = 10  # levels after which a bucket is compared whatever its size
 BLOCK = 1024  # sets of a block
 SLACK = 0.2  # min-hash estimates so far below the threshold end a pair (over five standard deviations)
 BATCH = 20_000
-BROADCAST_KEYS = 200_000  # keys of the texts to be checked that are sent to every task; more are joined by shuffle
 
 
 def runs_for(recall: float, depth: int = 2) -> int:
@@ -256,7 +255,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     sketches = _sketches(docs, key, text)
     worded = sketches.where("set_hash is not null")
     classes = stored(worded.groupBy("set_hash").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("weight")))
-    reps = stored(worded.join(classes.select(F.col("rep").alias("uid"), "weight"), "uid"))
+    several = stored(classes.where("weight > 1"))
+    copies = stored(worded.select("uid", "set_hash").join(several, "set_hash").where("uid <> rep").select("uid"))
+    weights = stored(several.select(F.col("rep").alias("uid"), "weight"))
+    alone = by_keys(worded, copies, "uid", "left_anti")
+    reps = stored(by_keys(alone, weights, "uid", "left").withColumn("weight", F.coalesce("weight", F.lit(1))))
     found = leaves(reps.select("uid", "tokens"), similarity, recall)
     own = stored(found.groupBy("uid").agg(F.sort_array(F.collect_list("path")).alias("paths")))
     member = stored(_marked(own.join(reps.select("uid", "n", "tokens"), "uid")))
@@ -265,8 +268,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     needed = stored(by_group(group_rows, "group", lambda f: _needed(f, similarity), schema), batch_rows=BATCH)
     wanted = needed.join(reps.select("uid", key, "weight", "set_hash"), "uid")
     keys = stored(wanted.select(F.col(key).alias("__wanted")).distinct())
-    few = keys.count() <= BROADCAST_KEYS
-    texts = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(keys) if few else keys, F.col(key).eqNullSafe(F.col("__wanted")), "left_semi")
+    texts = by_keys(docs.select(F.col(key), F.col(text).alias("text")), keys, F.col(key).eqNullSafe(F.col("__wanted")), "left_semi")
     checked = _texts(wanted, texts, key)
     links = stored(by_group(checked, "group", lambda f: _verified(f, similarity), "uid long, links long, root long"), batch_rows=2048)
     counts = stored(links.groupBy("uid").agg(F.sum("links").alias("links")))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutline.llm.common import stored, text_batches
+from cutline.llm.common import by_keys, few, stored, text_batches
 
 SYMBOLS = 64
 BITS = 6
@@ -176,7 +176,8 @@ def perplexities(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Dat
     spark = docs.sparkSession
     keys = stored(trusted_keys(labels, key).withColumn("__trusted", F.lit(True)))
     texts = docs.where(F.length("text") > 0)
-    trusted = stored(texts.join(keys, key, "left_semi").select("text"))
+    trusted = by_keys(texts, keys.select(key), key, "left_semi").select("text")
+    trusted = trusted if few(keys) else stored(trusted)  # read twice
     points = frequent_characters(trusted)
     model = fit(stored(ngram_counts(trusted, points)), points)
     shared = spark.sparkContext.broadcast({"id": hash((tuple(points), len(model.levels[-1][0]), float(model.levels[-1][1].sum()))), "model": model})
@@ -216,5 +217,5 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", share: float
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """The documents that are not rejected, with their columns."""
-    gone = judge(docs, labels, key).where("not kept").select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
+    gone = stored(judge(docs, labels, key).where("not kept").select(F.col(key).alias("__gone")).distinct())
+    return by_keys(docs, gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
