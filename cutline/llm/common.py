@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_KEYS = 500_000
-TEXT_ROWS = 256  # documents per Arrow batch where whole texts go to Python
+TEXT_ROWS = 64  # documents per Arrow batch where whole texts go to Python
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,18 @@ def stored(df: DataFrame, folder: str | None = None, batch_rows: int | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
+_heavy: dict = {}
+
+
+def heavy(key, build: Callable):
+    """A large object that tasks of one process share. A process holds one at a time, so that the stages of a pipeline,
+    which reuse Python workers, don't pile them up."""
+    if key not in _heavy:
+        _heavy.clear()
+        _heavy[key] = build()
+    return _heavy[key]
+
+
 def few(keys: DataFrame) -> bool:
     """Is a stored table of keys (tens of bytes a row) small enough to be sent to every task?"""
     return keys.count() <= BROADCAST_KEYS
@@ -76,7 +88,12 @@ def text_batches(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Itera
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= TEXT_ROWS:
         conf.set(key, str(TEXT_ROWS))
-    return df.mapInArrow(func, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from func(batches)
+        pa.default_memory_pool().release_unused()  # workers live on between tasks
+
+    return df.mapInArrow(run, schema)
 
 
 def whole_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:

@@ -14,27 +14,24 @@ import struct
 
 import numpy as np
 
+from cutline.llm.common import heavy
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO = 1_000_000  # chunks kept per process; the memo is emptied when it is full
+MEMO = 500_000  # chunks kept per process, some 100 MB; a full memo is halved
 LONGEST = 64  # longer chunks are not kept
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 CHUNK = re.compile(r"[ \n\t\r]*[^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ](?![^ \n\t\r.,!?%$&*#])|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 WORD = re.compile(r"[^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ](?![^ \n\t\r.,!?%$&*#])|[^ \n\t\r]+")  # where the vocabulary drops white space
 BEYOND_LATIN = re.compile("[^\x00-\xff]")
 SIMPLE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one pre-token of its own
-JOINED = 256  # new chunks encoded by one call
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 PACKERS = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
-_open: dict[str, "Encoder"] = {}
-
-
 def encoder(path: str) -> "Encoder":
     """One encoder per process and vocabulary file."""
-    if path not in _open:
-        _open[path] = Encoder(path)
-    return _open[path]
+    return heavy(("encoder", path), lambda: Encoder(path))
 
 
 class Encoder:
@@ -45,17 +42,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(self._ids)
         self.chunks = CHUNK if self._plain([" \n"])[0] else WORD
         self.lower = self._plain(["AbC"]) == self._plain(["aBc"])
-        #: text between joined chunks and the one id it has; None if the vocabulary offers none
-        self.between, self.mark = None, None
-        for between in ("\n", " \x01 "):
-            ids = self._plain([between])[0]
-            if len(ids) == 4:
-                self.between, self.mark = between, int.from_bytes(ids, "little")
-                break
-
         self.letters = self._byte_letters()
         samples = [" word", " Über", " naïveté", "Straße", "ÀÿØ", " x"]
         self.direct = False
@@ -77,80 +66,50 @@ class Encoder:
     def _model(self, chunk: str) -> bytes:
         """Ids of a chunk that is one pre-token, from the merges alone."""
         raw = (chunk.lower() if self.lower else chunk).encode()
-        found = self.tokenizer.model.tokenize(raw.decode("latin-1").translate(self.letters))
-        return np.array([t.id for t in found], "<u4").tobytes()
+        ids = [t.id for t in self.tokenizer.model.tokenize(raw.decode("latin-1").translate(self.letters))]
+        return PACKERS[len(ids)](*ids) if len(ids) < len(PACKERS) else np.array(ids, "<u4").tobytes()
 
     def _plain(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _joins(self, chunk: str) -> bool:
-        if self.between == "\n":
-            return chunk[0] == " " and chunk[1:2] not in ("", " ", "\n", "\t", "\r")
-        return self.between is not None and "\x01" not in chunk and not chunk.isspace()
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode new chunks, many joined to one text whose ids are parted again at the id of what stands between.
-
-        A full memo first loses what it met last, since the frequent chunks came early; the new ones are always in it.
-        """
-        memo = self.memo
-        if len(memo) + len(chunks) > MEMO:
-            kept = dict(itertools.islice(memo.items(), MEMO // 2))
-            memo.clear()
-            memo.update(kept)
-        joined, rest = [], []
-        if self.direct:
-            tokenize, letters, lower, spaced = self.tokenizer.model.tokenize, self.letters, self.lower, self.chunks is CHUNK
-            simple = SIMPLE.fullmatch
-            for c in chunks:
-                if simple(c) and (spaced or c[0] != " "):
-                    raw = (c.lower() if lower else c).encode()
-                    ids = [t.id for t in tokenize(raw.decode("latin-1").translate(letters))]
-                    memo[c] = PACKERS[len(ids)](*ids) if len(ids) < len(PACKERS) else np.array(ids, "<u4").tobytes()
-                else:
-                    rest.append(c)
-            chunks, rest = rest, []
-        for c in chunks:
-            (joined if self._joins(c) else rest).append(c)
-        for at in range(0, len(joined), JOINED):
-            group = joined[at : at + JOINED]
-            whole = self.tokenizer.encode_batch_fast([self.between.join(group)], add_special_tokens=False)[0]
-            ids = np.array(whole.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(group) - 1:
-                memo.update(zip(group, self._plain(group)))
-                continue
-            raw = ids.tobytes()
-            starts, ends = [0, *((cuts + 1) * 4).tolist()], [*(cuts * 4).tolist(), len(raw)]
-            memo.update((c, raw[a:b]) for c, a, b in zip(group, starts, ends))
-        if rest:
-            memo.update(zip(rest, self._plain(rest)))
+    def _ids(self, chunk: str) -> bytes:
+        """Ids of one chunk: plain words from the merges alone, all else by the whole tokenizer."""
+        if not self.direct or not self._fits(chunk):
+            if self.direct and self.chunks is CHUNK and chunk[0] in "\n\t" and LETTERS.fullmatch(chunk, 1):
+                return self._plain([chunk[0]])[0] + self._model(chunk[1:])
+            return self._plain([chunk])[0]
+        return self._model(chunk)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        memo, found, new = self.memo, [], set()
+        out, memo = [], self.memo
         for text in texts:
             if ODD_SPACE.search(text):
-                found.append((None, self._plain([text])))
+                out.append(self._plain([text])[0])
                 continue
             if self.lower and not BEYOND_LATIN.search(text):
                 text = text.lower()
-            chunks = self.chunks.findall(text)
-            parts = list(map(memo.get, chunks))
-            if None in parts:
-                new.update(c for c, p in zip(chunks, parts) if p is None)
-                found.append((chunks, parts))
-            else:
-                found.append((None, parts))
-        if new:
-            self._learn(list(new))
-        out = []
-        for chunks, parts in found:
-            if chunks is not None:
-                parts = [memo.get(c) if p is None else p for c, p in zip(chunks, parts)]
-            out.append(b"".join(parts))
-        for c in new:
-            if len(c) > LONGEST:
-                memo.pop(c, None)
+            out.append(b"".join(map(memo.__getitem__, self.chunks.findall(text))))
+            if len(memo) > MEMO:
+                memo.shrink()
         return out
+
+
+class Memo(dict):
+    """Ids by chunk, filled on demand. A full memo loses what it met last: the frequent chunks came early."""
+
+    def __init__(self, ids):
+        super().__init__()
+        self.ids = ids
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.ids(chunk)
+        if len(chunk) <= LONGEST:
+            self[chunk] = found
+        return found
+
+    def shrink(self) -> None:
+        kept = list(itertools.islice(self.items(), MEMO // 2))
+        self.clear()
+        self.update(kept)

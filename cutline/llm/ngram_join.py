@@ -136,9 +136,11 @@ def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tup
             keep = agree >= similarity - SLACK
             i, j, same = i[keep], j[keep], same[keep]
         if not same.all():
-            rest = ~same
             ok = same.copy()
-            ok[rest] = _first_common(order[i[rest]], right[j[rest]]) == path[i[rest]]
+            rest = np.flatnonzero(~same)
+            for at in range(0, len(rest), 2048):
+                some = rest[at : at + 2048]
+                ok[some] = _first_common(order[i[some]], right[j[some]]) == path[i[some]]
             i, j = i[ok], j[ok]
         return i, j
 

@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutline.llm.common import by_keys, few, stored, text_batches
+from cutline.llm.common import by_keys, few, heavy, stored, text_batches
 
 SYMBOLS = 64
 BITS = 6
 ORDER = 4
 START = SYMBOLS - 1
-COUNTED = 1 << 23  # characters a task counts before it hands its counts on
+COUNTED = 1 << 21  # characters a task counts before it hands its counts on
 PIECE = 1 << 20  # characters scored at once
 
 
@@ -75,9 +75,8 @@ def ngram_counts(texts: DataFrame, points: list[int]) -> DataFrame:
         size = 0
 
         def counted() -> pa.RecordBatch:
-            total = np.bincount(np.concatenate(held), minlength=1)
-            seen = np.flatnonzero(total)
-            return pa.RecordBatch.from_pydict({"code": pa.array(seen, pa.int64()), "c": pa.array(total[seen], pa.int64())})
+            codes, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_pydict({"code": pa.array(codes, pa.int64()), "c": pa.array(n, pa.int64())})
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -118,13 +117,12 @@ class Model:
             rows = SYMBOLS ** (n - 1)
             back = np.ones(rows, np.float32)
             back[contexts] = weights
-            lower = p.reshape(-1, SYMBOLS) if n > 1 else p.reshape(1, SYMBOLS)
-            q = np.empty((rows, SYMBOLS), np.float32)
-            q[:] = np.tile(lower, (rows // len(lower), 1)) * back[:, None]
-            flat = q.reshape(-1)
-            flat[codes] += own
-            p = flat
-        return np.log(p, out=p) if p.dtype == np.float32 else np.log(p)
+            lower = p.reshape(-1, SYMBOLS).astype(np.float32)
+            q = np.empty((rows // len(lower), len(lower), SYMBOLS), np.float32)
+            np.multiply(lower[None], back.reshape(-1, len(lower), 1), out=q)
+            p = q.reshape(-1)
+            p[codes] += own
+        return np.log(p, out=p)
 
 
 def fit(counts: DataFrame, points: list[int]) -> Model:
@@ -144,16 +142,10 @@ def fit(counts: DataFrame, points: list[int]) -> Model:
     return Model(points, levels[::-1])
 
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
 def _table(shared) -> tuple[np.ndarray, np.ndarray]:
     """Classes and dense log probabilities of a broadcast model, built once per process."""
-    if shared.value["id"] not in _tables:
-        _tables.clear()
-        model = shared.value["model"]
-        _tables[shared.value["id"]] = symbol_table(model.points), model.dense()
-    return _tables[shared.value["id"]]
+    model = shared.value["model"]
+    return heavy(("characters", shared.value["id"]), lambda: (symbol_table(model.points), model.dense()))
 
 
 def mean_loss(text: str, classes: np.ndarray, logs: np.ndarray) -> float:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutline.llm.common import text_batches
+from cutline.llm.common import heavy, text_batches
 
 MEMO = 500_000  # words whose counts a process keeps
 LONGEST = 64  # bytes; longer words are counted anew each time
@@ -86,9 +86,6 @@ class Automaton:
 #: Letters, digits or signs with the blank before them, and white space: words are counted one by one.
 WORDS = re.compile(r" ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+|\w")
 
-_loaded: dict[str, "Counter"] = {}
-
-
 def rank_file(path: str) -> list[bytes]:
     """Pieces of a rank file: one base64 piece and its rank a line."""
     with open(path, "rb") as lines:
@@ -128,9 +125,7 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     kind = dict(docs.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _loaded:
-            _loaded[path] = Counter(path)
-        counter = _loaded[path]
+        counter = heavy(("pieces", path), lambda: Counter(path))
         for batch in batches:
             found = [counter.count(t) if t else (0, 0) for t in batch.column("__text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
