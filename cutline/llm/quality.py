@@ -1,10 +1,12 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of characters, trained on trusted text.
 
-The model looks at ``ORDER`` - 1 characters of ``SYMBOLS`` classes (the most frequent characters of the trusted text, one
-class for the rest, one for the text start). Counts cover all trusted text: tasks count their share, the shares are summed
-by n-gram, and the tables of discounts and back-off weights come from joins of the count tables, sharded by context. A
-model has SYMBOLS ** ORDER entries at most, 2**24, whatever the corpus; that bounds what is broadcast. Each document is
-scored over its whole text where it lies, and is rejected if its perplexity lies above what all but a few of the trusted
+The model looks at ``ORDER`` - 1 characters and knows every code point; what the trusted text never shows shares the last
+back-off equally. Counts cover all trusted text: tasks count their share, the shares are summed by n-gram, and the tables of
+discounts and back-off weights come from joins of the count tables, sharded by context and kept as Parquet. They grow with
+the trusted text. While they have at most ``HELD`` rows they are sent to the tasks and each document is scored where it
+lies; n-grams of the ``SYMBOLS`` - 2 most frequent characters are then read from a dense table, all others from the sorted
+ones. Beyond, the distinct n-grams of the documents are joined with the tables. Both ways give the same perplexities. A
+document is scored over its whole text, and is rejected if its perplexity lies above what all but a few of the trusted
 documents of its language have.
 """
 
@@ -25,6 +27,9 @@ SYMBOLS = 64
 BITS = 6
 ORDER = 4
 START = SYMBOLS - 1
+WIDE = 21  # bits of a code point
+POINTS = 0x110000  # number of code points; as a character it stands before the text start
+HELD = 2_000_000  # rows of a model that is sent to the tasks
 COUNTED = 1 << 21  # characters a task counts before it hands its counts on
 PIECE = 1 << 20  # characters scored at once
 
@@ -34,9 +39,10 @@ def code_points(text: str) -> np.ndarray:
 
 
 def symbol_table(points: list[int]) -> np.ndarray:
-    """Class of each code point: 1 and up for the given ones, 0 for all others."""
-    out = np.zeros(0x110000, np.uint8)
+    """Class of each code point: 1 and up for the given ones, 0 for all others; ``START`` for the text start."""
+    out = np.zeros(POINTS + 1, np.uint8)
     out[points] = np.arange(1, len(points) + 1)
+    out[POINTS] = START
     return out
 
 
@@ -66,31 +72,81 @@ def frequent_characters(texts: DataFrame, k: int = SYMBOLS - 2) -> list[int]:
     return [r["point"] for r in counts.orderBy(F.desc("n"), "point").limit(k).collect()]
 
 
-def ngram_counts(texts: DataFrame, points: list[int]) -> DataFrame:
-    """(code, c): occurrences of every n-gram of order ``ORDER`` in the column ``text``."""
+def _ranked(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a run of characters and, from the ``ORDER``-th character on, which of them ends there.
+
+    The n-grams come as rows of ``ORDER`` characters.
+    """
+    seen = np.flatnonzero(np.bincount(s))
+    rank = np.zeros(int(seen[-1]) + 1, np.int64)
+    rank[seen] = np.arange(len(seen))
+    width = max(1, (len(seen) - 1).bit_length())
+    r, n = rank[s], len(s) - ORDER + 1
+    if width * ORDER <= 62:
+        codes = r[:n]
+        for i in range(1, ORDER):
+            codes = codes << width | r[i : i + n]
+        if width * ORDER <= 31:
+            codes = codes.astype(np.int32)
+        codes, which = np.unique(codes, return_inverse=True)
+        grams = np.stack([codes.astype(np.int64) >> width * (ORDER - 1 - i) & (1 << width) - 1 for i in range(ORDER)], axis=1)
+        return seen[grams], which
+    grams, which = np.unique(np.lib.stride_tricks.sliding_window_view(s, ORDER), axis=0, return_inverse=True)
+    return grams.astype(np.int64), which.ravel()
+
+
+def _joined(grams: np.ndarray, bits: int) -> np.ndarray:
+    """Characters of each row as one number of ``bits`` bits a character."""
+    out = np.zeros(len(grams), np.int64)
+    for i in range(grams.shape[1]):
+        out = out << bits | grams[:, i]
+    return out
+
+
+def _pieces(text: str, start: int, classes: np.ndarray | None) -> Iterator[np.ndarray]:
+    """The characters of a text in pieces of ``COUNTED``, each behind the ``ORDER`` - 1 characters before it."""
+    before = np.full(ORDER - 1, start, np.int64)
+    for at in range(0, len(text), COUNTED):
+        own = code_points(text[at : at + COUNTED])
+        piece = np.concatenate([before, own if classes is None else classes[own]])
+        yield piece
+        before = piece[1 - ORDER :]
+
+
+def gram_counts(texts: DataFrame, bits: int = WIDE, points: list[int] | None = None) -> DataFrame:
+    """(context, point, c): occurrences of every n-gram of order ``ORDER`` in the column ``text``, ``bits`` bits a character
+    of the context. Characters are code points, or their classes if ``points`` are given."""
+    start = POINTS if points is None else START
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = symbol_table(points)
+        classes = None if points is None else symbol_table(points)
         held: list[np.ndarray] = []
         size = 0
 
         def counted() -> pa.RecordBatch:
-            codes, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_pydict({"code": pa.array(codes, pa.int64()), "c": pa.array(n, pa.int64())})
+            grams, which = _ranked(np.concatenate(held))
+            ends = np.concatenate([np.arange(len(p)) >= ORDER - 1 for p in held])[ORDER - 1 :]
+            n = np.bincount(which[ends], minlength=len(grams))
+            grams, n = grams[n > 0], n[n > 0]
+            return pa.RecordBatch.from_pydict({"context": pa.array(_joined(grams[:, :-1], bits)), "point": pa.array(grams[:, -1], pa.int32()), "c": pa.array(n, pa.int64())})
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for at in range(0, len(text), COUNTED):
-                    part = ngram_codes(text[max(0, at - ORDER + 1) : at + COUNTED], classes)
-                    held.append(part[ORDER - 1 :] if at else part)
-                    size += len(held[-1])
+                for piece in _pieces(text, start, classes):
+                    held.append(piece)
+                    size += len(piece)
                     if size >= COUNTED:
                         yield counted()
                         held, size = [], 0
         if size:
             yield counted()
 
-    return text_batches(texts.select("text"), run, "code long, c long").groupBy("code").agg(F.sum("c").alias("c"))
+    return text_batches(texts.select("text"), run, "context long, point int, c long").groupBy("context", "point").agg(F.sum("c").alias("c"))
+
+
+def ngram_counts(texts: DataFrame, points: list[int]) -> DataFrame:
+    """(code, c): occurrences of every n-gram of the classes of ``points``."""
+    return gram_counts(texts, BITS, points).select(F.shiftleft("context", BITS).bitwiseOR(F.col("point").cast("long")).alias("code"), "c")
 
 
 def discounts(spectrum: dict[int, int]) -> tuple[float, float, float]:
@@ -109,10 +165,11 @@ def discounts(spectrum: dict[int, int]) -> tuple[float, float, float]:
 class Model:
     points: list[int]
     levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # per order: codes, own shares, contexts, back-off weights
+    unseen: float = 1.0 / SYMBOLS  # probability of a character that no order has seen
 
     def dense(self) -> np.ndarray:
         """Natural logarithm of the probability of every n-gram code."""
-        p = np.full(SYMBOLS, 1.0 / SYMBOLS, np.float64)
+        p = np.full(SYMBOLS, self.unseen, np.float64)
         for n, (codes, own, contexts, weights) in enumerate(self.levels, 1):
             rows = SYMBOLS ** (n - 1)
             back = np.ones(rows, np.float32)
@@ -125,35 +182,177 @@ class Model:
         return np.log(p, out=p)
 
 
-def fit(counts: DataFrame, points: list[int]) -> Model:
-    """The model of stored n-gram counts. Lower orders count distinct left neighbours (continuations)."""
-    levels, now = [], counts
+def _found(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted values in an ascending array, and whether they are there."""
+    if not len(ordered):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
+    return at, ordered[at] == wanted
+
+
+@dataclass
+class WholeModel:
+    """Per order: contexts (ascending), their back-off weights, n-grams (place of the context and the point, ascending), own shares."""
+
+    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+    def logs(self, contexts: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """Natural logarithm of the probability of each n-gram."""
+        p, scale = np.zeros(len(points)), np.ones(len(points))
+        for n in range(ORDER, 0, -1):
+            known, weights, grams, own = self.levels[n - 1]
+            at, there = _found(known, contexts & (1 << WIDE * (n - 1)) - 1)
+            place, hit = _found(grams, at << WIDE | points)
+            hit &= there
+            p[hit] += scale[hit] * own[place[hit]]
+            scale[there] *= weights[at[there]]
+        return np.log(p + scale / POINTS)
+
+    def frequent(self, points: list[int]) -> Model:
+        """The same model for n-grams of some characters only."""
+        classes, levels = symbol_table(points).astype(np.int64), []
+
+        def coded(joined: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+            rows = classes[np.stack([joined >> WIDE * (n - 1 - i) & (1 << WIDE) - 1 for i in range(n)], axis=1)] if n else np.ones((len(joined), 0), np.int64)
+            return _joined(rows, BITS), (rows > 0).all(axis=1)
+
+        for n, (known, weights, grams, own) in enumerate(self.levels, 1):
+            context, inside = coded(known, n - 1)
+            point, ends = coded(grams & (1 << WIDE) - 1, 1)
+            keep = inside[grams >> WIDE] & ends
+            levels.append(((context[grams >> WIDE] << BITS | point)[keep], own[keep], context[inside], weights[inside]))
+        return Model(points, levels, 1.0 / POINTS)
+
+
+def shares(counts: DataFrame, bits: int) -> list[tuple[DataFrame, DataFrame]]:
+    """Per order from 1 on, stored: (context, point, own) and (context, weight). Lower orders count distinct left neighbours."""
+    out, now = [], counts
     for n in range(ORDER, 0, -1):
         spectrum = {r["c"]: r["n"] for r in now.where("c <= 4").groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
         d1, d2, d3 = discounts(spectrum)
-        cut = F.when(F.col("c") == 1, F.lit(d1)).when(F.col("c") == 2, F.lit(d2)).otherwise(F.lit(d3))
-        shares = now.withColumn("cut", cut).withColumn("context", F.shiftright("code", BITS))
-        contexts = shares.groupBy("context").agg(F.sum("c").alias("total"), F.sum("cut").alias("mass"))
-        own = shares.join(contexts, "context").select("code", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own"))
-        a, b = own.toPandas(), contexts.select("context", (F.col("mass") / F.col("total")).alias("weight")).toPandas()
-        levels.append((a["code"].to_numpy("i8"), a["own"].to_numpy("f4"), b["context"].to_numpy("i8"), b["weight"].to_numpy("f4")))
+        cut = now.withColumn("cut", F.when(F.col("c") == 1, F.lit(d1)).when(F.col("c") == 2, F.lit(d2)).otherwise(F.lit(d3)))
+        contexts = stored(cut.groupBy("context").agg(F.sum("c").alias("total"), F.sum("cut").alias("mass")), batch_rows=5000)
+        own = stored(cut.join(contexts, "context").select("context", "point", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own")))
+        out.append((own, contexts.select("context", (F.col("mass") / F.col("total")).alias("weight"))))
         if n > 1:
-            now = stored(now.withColumn("code", F.col("code").bitwiseAND(F.lit((1 << BITS * (n - 1)) - 1))).groupBy("code").agg(F.count(F.lit(1)).alias("c")))
-    return Model(points, levels[::-1])
+            shorter = F.col("context").bitwiseAND(F.lit((1 << bits * (n - 2)) - 1).cast("long"))
+            now = stored(now.select(shorter.alias("context"), "point").groupBy("context", "point").agg(F.count(F.lit(1)).alias("c")))
+    return out[::-1]
 
 
-def _table(shared) -> tuple[np.ndarray, np.ndarray]:
-    """Classes and dense log probabilities of a broadcast model, built once per process."""
-    model = shared.value["model"]
-    return heavy(("characters", shared.value["id"]), lambda: (symbol_table(model.points), model.dense()))
+def fit(counts: DataFrame, points: list[int]) -> Model:
+    """The model of stored n-gram counts over the classes of ``points``."""
+    split = counts.select(F.shiftright("code", BITS).alias("context"), F.col("code").bitwiseAND(F.lit(SYMBOLS - 1)).cast("int").alias("point"), "c")
+    levels = []
+    for own, contexts in shares(split, BITS):
+        a, b = own.toPandas(), contexts.toPandas()
+        levels.append((a["context"].to_numpy("i8") << BITS | a["point"].to_numpy("i8"), a["own"].to_numpy("f4"), b["context"].to_numpy("i8"), b["weight"].to_numpy("f4")))
+    return Model(points, levels)
+
+
+def collected(tables: list[tuple[DataFrame, DataFrame]]) -> WholeModel:
+    levels = []
+    for own, contexts in tables:
+        b = contexts.toPandas().sort_values("context")
+        known = b["context"].to_numpy("i8")
+        a = own.toPandas()
+        grams = np.searchsorted(known, a["context"].to_numpy("i8")).astype(np.int64) << WIDE | a["point"].to_numpy("i8")
+        order = np.argsort(grams)
+        levels.append((known, b["weight"].to_numpy("f8"), grams[order], a["own"].to_numpy("f8")[order]))
+    return WholeModel(levels)
+
+
+def looked_up(grams: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(context, point, log): the distinct n-grams ``grams`` joined with the tables of all orders, by context."""
+    now = grams.withColumn("p", F.lit(0.0)).withColumn("scale", F.lit(1.0))
+    for n in range(ORDER, 0, -1):
+        own, contexts = tables[n - 1]
+        now = now.withColumn("__c", F.col("context").bitwiseAND(F.lit((1 << WIDE * (n - 1)) - 1).cast("long")))
+        now = now.join(own.select(F.col("context").alias("__c"), "point", "own"), ["__c", "point"], "left")
+        now = now.join(contexts.select(F.col("context").alias("__c"), "weight"), "__c", "left")
+        now = now.select("context", "point", (F.col("p") + F.col("scale") * F.coalesce("own", F.lit(0.0))).alias("p"), (F.col("scale") * F.coalesce("weight", F.lit(1.0))).alias("scale"))
+    return now.select("context", "point", F.log(F.col("p") + F.col("scale") / F.lit(float(POINTS))).alias("log"))
 
 
-def mean_loss(text: str, classes: np.ndarray, logs: np.ndarray) -> float:
-    """Mean negative log probability of the characters of a text that is not empty."""
+def gram_places(texts: DataFrame) -> DataFrame:
+    """(context, point, uids, counts): the distinct n-grams of some texts of a task, and how often each text has them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, np.ndarray]] = []
+        size = 0
+
+        def placed() -> pa.RecordBatch:
+            grams, which = _ranked(np.concatenate([p for _, p in held]))
+            ends = np.concatenate([np.arange(len(p)) >= ORDER - 1 for _, p in held])[ORDER - 1 :]
+            texts, text = np.unique([u for u, _ in held], return_inverse=True)
+            text = np.repeat(text, [len(p) for _, p in held])[ORDER - 1 :]
+            both, n = np.unique(which[ends].astype(np.int64) * len(texts) + text[ends], return_counts=True)
+            gram = both // len(texts)
+            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            offsets = pa.array(np.r_[first, len(gram)], pa.int32())
+            used = grams[gram[first]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(_joined(used[:, :-1], WIDE)), pa.array(used[:, -1], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(texts[both % len(texts)], pa.int64())),
+                 pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))], ["context", "point", "uids", "counts"])
+
+        for batch in batches:
+            for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for piece in _pieces(text, POINTS, None):
+                    held.append((uid, piece))
+                    size += len(piece)
+                    if size >= COUNTED:
+                        yield placed()
+                        held, size = [], 0
+        if size:
+            yield placed()
+
+    return text_batches(texts.select("uid", "__text"), run, "context long, point int, uids array<long>, counts array<long>")
+
+
+def _by_join(texts: DataFrame, tables: list[tuple[DataFrame, DataFrame]], key: str) -> DataFrame:
+    """Scores of a model that is too large to be sent to the tasks."""
+    texts = stored(texts.withColumn("uid", F.monotonically_increasing_id()))
+    places = stored(gram_places(texts.where(F.length("__text") > 0)))
+    logs = stored(looked_up(places.select("context", "point").distinct(), tables))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("uids")
+            uids, which = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+            each = np.repeat(batch.column("log").to_numpy(), np.diff(lists.offsets.to_numpy()))
+            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(np.bincount(which, each * batch.column("counts").flatten().to_numpy(), len(uids)))], ["uid", "log"])
+
+    sums = stored(places.join(logs, ["context", "point"]).mapInArrow(run, "uid long, log double").groupBy("uid").agg(F.sum("log").alias("log")), batch_rows=2048)
+    n = F.coalesce(F.length("__text"), F.lit(0)).cast("long")
+    return texts.join(sums, "uid", "left").select(key, "lang", n.alias("n_chars"), F.exp(-F.col("log") / n).alias("perplexity"))
+
+
+def _table(shared) -> tuple[np.ndarray, np.ndarray, WholeModel]:
+    """Classes, dense log probabilities and the whole of a broadcast model, built once per process."""
+    model, points = shared.value["model"], shared.value["points"]
+    return heavy(("characters", shared.value["id"]), lambda: (symbol_table(points), model.frequent(points).dense(), model))
+
+
+def mean_loss(text: str, classes: np.ndarray, logs: np.ndarray, whole: WholeModel | None = None) -> float:
+    """Mean negative log probability of the characters of a text that is not empty; n-grams with a character of class 0
+    are looked up in ``whole``."""
     total = 0.0
     for at in range(0, len(text), PIECE):
-        codes = ngram_codes(text[max(0, at - ORDER + 1) : at + PIECE], classes)
-        total -= float(logs[codes[ORDER - 1 :] if at else codes].sum(dtype=np.float64))
+        part = text[max(0, at - ORDER + 1) : at + PIECE]
+        first = ORDER - 1 if at else 0
+        loss = logs[ngram_codes(part, classes)]
+        if whole is not None:
+            points = code_points(part)
+            rare = classes[points] == 0
+            if rare.any():
+                odd = rare.copy()
+                for i in range(1, ORDER):
+                    odd[i:] |= rare[:-i]
+                ends = np.flatnonzero(odd)
+                s = np.concatenate([np.full(ORDER - 1, POINTS, np.int64), points.astype(np.int64)])
+                grams = s[ends[:, None] + np.arange(ORDER)]
+                loss[ends] = whole.logs(_joined(grams[:, :-1], WIDE), grams[:, -1])
+        total -= float(loss[first:].sum(dtype=np.float64))
     return total / len(text)
 
 
@@ -163,28 +362,36 @@ def trusted_keys(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     return worst.where("q = 1 and t = 0").select(key)
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Stored table: key, lang, n_chars, perplexity (null for a text without characters), trusted."""
-    spark = docs.sparkSession
-    keys = stored(trusted_keys(labels, key).withColumn("__trusted", F.lit(True)))
-    texts = docs.where(F.length("text") > 0)
-    trusted = by_keys(texts, keys.select(key), key, "left_semi").select("text")
-    trusted = trusted if few(keys) else stored(trusted)  # read twice
-    points = frequent_characters(trusted)
-    model = fit(stored(ngram_counts(trusted, points)), points)
-    shared = spark.sparkContext.broadcast({"id": hash((tuple(points), len(model.levels[-1][0]), float(model.levels[-1][1].sum()))), "model": model})
-    kind = dict(docs.dtypes)[key]
+def _in_place(texts: DataFrame, model: WholeModel, points: list[int], key: str) -> DataFrame:
+    """Scores of a model that is sent to the tasks."""
+    size = (len(model.levels[-1][2]), float(model.levels[-1][3].sum()), float(model.levels[-1][1].sum()))
+    shared = texts.sparkSession.sparkContext.broadcast({"id": hash((tuple(points), *size)), "model": model, "points": points})
+    kind = dict(texts.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, logs = _table(shared)
+        classes, logs, whole = _table(shared)
         for batch in batches:
             texts = batch.column("__text").to_pylist()
-            loss = [mean_loss(t, classes, logs) if t else None for t in texts]
+            loss = [mean_loss(t, classes, logs, whole) if t else None for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), batch.column("lang"), pa.array([len(t or "") for t in texts], pa.int64()),
                  pa.array([None if x is None else math.exp(x) for x in loss], pa.float64())], [key, "lang", "n_chars", "perplexity"])
 
-    scored = text_batches(docs.select(key, F.col("lang").cast("string"), F.col("text").alias("__text")), run, f"`{key}` {kind}, lang string, n_chars long, perplexity double")
+    return text_batches(texts, run, f"`{key}` {kind}, lang string, n_chars long, perplexity double")
+
+
+def perplexities(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Stored table: key, lang, n_chars, perplexity (null for a text without characters), trusted."""
+    keys = stored(trusted_keys(labels, key).withColumn("__trusted", F.lit(True)))
+    texts = docs.where(F.length("text") > 0)
+    trusted = by_keys(texts, keys.select(key), key, "left_semi").select("text")
+    trusted = trusted if few(keys) else stored(trusted)  # read twice
+    tables = shares(stored(gram_counts(trusted)), WIDE)
+    narrow = docs.select(key, F.col("lang").cast("string").alias("lang"), F.col("text").alias("__text"))
+    if sum(own.count() + contexts.count() for own, contexts in tables) > HELD:
+        scored = _by_join(narrow, tables, key)
+    else:
+        scored = _in_place(narrow, collected(tables), frequent_characters(trusted), key)
     return stored(stored(scored).join(keys, key, "left").withColumn("trusted", F.coalesce("__trusted", F.lit(False))).drop("__trusted"))
 
 

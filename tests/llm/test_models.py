@@ -134,3 +134,37 @@ def test_pieces_of_a_long_text_score_like_the_whole(monkeypatch):
     whole = quality.mean_loss(text, classes, logs)
     monkeypatch.setattr(quality, "PIECE", 37)
     assert quality.mean_loss(text, classes, logs) == pytest.approx(whole)
+
+
+def script(first, n, seed, letters=40):
+    rng = np.random.default_rng(seed)
+    words = ["".join(chr(first + c) for c in np.random.default_rng(k).integers(0, letters, 5)) for k in range(30)]
+    return " ".join(words[k] for k in rng.integers(0, 30, n))
+
+
+def test_alphabets_outside_the_frequent_characters_are_judged(spark, monkeypatch):
+    """Mostly Latin trusted text: two other scripts have perplexities of their own, shuffled letters go; both ways of scoring agree."""
+    latin = "".join(chr(c) for c in range(33, 127))
+    rows = [(i, prose(300, i) + latin, "en", "a", 0) for i in range(40)]
+    junk = {}
+    for k, (first, lang) in enumerate([(0x430, "ru"), (0x4E00, "zh")]):
+        rows += [(100 * (k + 1) + i, script(first, 40, i), lang, "a", 0) for i in range(30)]
+        for i in range(5):
+            t = list(script(first, 40, 900 + i))
+            np.random.default_rng(i).shuffle(t)
+            junk[1000 * (k + 1) + i] = "".join(t)
+            rows.append((1000 * (k + 1) + i, "".join(t), lang, "a", 0))
+    docs, labels = docs_of(spark, rows + [(5000, None, "en", "a", 0), (5001, "", None, "a", 0)]), labels_of(spark, [(r[0], 1, 0) for r in rows if r[0] < 1000 and r[0] % 3])
+    got = {r["doc_id"]: r for r in quality.judge(docs, labels).collect()}
+    assert not any(got[k]["kept"] for k in junk)
+    assert np.mean([got[r[0]]["kept"] for r in rows if r[0] < 1000 and r[0] % 3]) >= 0.97
+    for k in (1, 2):
+        clean = [got[r[0]]["perplexity"] for r in rows if r[0] // 100 == k]
+        assert min(got[i]["perplexity"] for i in junk if i // 1000 == k) > 2 * max(clean)
+    monkeypatch.setattr(quality, "HELD", 0)
+    monkeypatch.setattr(quality, "COUNTED", 1000)
+    joined = {r["doc_id"]: r for r in quality.judge(docs, labels).collect()}
+    assert got.keys() == joined.keys()
+    for k, r in got.items():
+        assert (joined[k]["kept"], joined[k]["n_chars"], joined[k]["lang"]) == (r["kept"], r["n_chars"], r["lang"])
+        assert joined[k]["perplexity"] == (r["perplexity"] and pytest.approx(r["perplexity"], rel=1e-4))
