@@ -1,30 +1,31 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by comparing all pairs in blocks.
 
-Equal directions are one representative. Each pass orders the representatives lexicographically by several concatenated
-random hashes (the index of the largest coordinate, with its sign, after a random rotation), compares every vector with its
-neighbours in a bounded window of that order, and keeps a spanning set of the links that hold. Links of all passes are
-united. A window bounds the work of a pass, not the links: inside each component that the passes find all pairs are then
-compared exactly, in blocks, so links that no window held are counted too. Cosines are in double precision.
+Equal directions are one representative. Representatives are dealt into chunks of bounded size. One chunk after the other is
+sent to the tasks, which compare it with the representatives of the same and of later chunks where those lie. So each pair
+is compared once, whatever direction the vectors share, and the work grows with the square of the representatives; memory
+and shuffles don't, since pairs never become rows: tasks hand on link counts and a spanning set of the links. Products are
+taken in single precision; those within its error of the threshold are taken again in double precision.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutline.llm.common import _importable, by_group, stored
+from cutline.llm.common import _importable, heavy, shared_folder, stored
 from cutline.llm.components import components
 
-PASSES = 24
-HASHES = 4  # concatenated in a pass
-WINDOW = 128
-BLOCK = 512  # vectors of a block when a component is compared
-BUCKET = 256  # vectors of small components that one group holds, about
+CHUNK = 16 << 20  # bytes of vectors that are sent to the tasks at once
+BLOCK = 512  # vectors of a task that are compared at once
+COLUMNS = 4096  # with so many of the chunk
+AGAIN = 1 << 22  # components of vectors whose products are taken again at once
+EDGES = 1 << 20  # links a task holds before it reduces them to a spanning set
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
@@ -54,95 +55,127 @@ def _valid(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(F.col(key).cast("long"), F.col(vector)).mapInArrow(run, "id long, dim int, vec binary")
 
 
-def pass_keys(v: np.ndarray, turn: int, hashes: int = HASHES, seed: int = 9) -> list[bytes]:
-    """The concatenated hashes of unit vectors in one pass; they sort as bytes."""
-    dim = v.shape[1]
-    parts = []
-    for h in range(hashes):
-        rng = np.random.default_rng([seed, turn, h, dim])
-        rotated = v @ rng.normal(size=(dim, min(dim, 16)))
-        best = np.abs(rotated).argmax(axis=1)
-        parts.append(best * 2 + (rotated[np.arange(len(v)), best] > 0))
-    # then signs of projections, so that ties of the hashes are ordered too
-    rng = np.random.default_rng([seed, turn, hashes, dim])
-    signs = np.packbits(v @ rng.normal(size=(dim, 16)) > 0, axis=1)
-    return [bytes(row) for row in np.concatenate([np.stack(parts, axis=1).astype(np.uint8), signs], axis=1)]
+def _chunks(reps: DataFrame) -> tuple[DataFrame, int]:
+    """The representatives with their chunk and the first chunk of their length, and the number of chunks.
 
+    Short tables of several lengths share a chunk.
+    """
+    plan, last, room = [], -1, 0
+    for r in reps.groupBy("dim").count().orderBy("dim").collect():
+        size = r["count"] * r["dim"] * 8
+        if size > room:
+            plan.append((r["dim"], last + 1, math.ceil(size / CHUNK)))
+            last += plan[-1][2]
+            room = CHUNK - size
+        else:
+            plan.append((r["dim"], last, 1))
+            room -= size
+    table = reps.sparkSession.createDataFrame(plan, "dim int, first int, __n int")
+    placed = reps.join(F.broadcast(table), "dim").withColumn("chunk", F.col("first") + F.pmod(F.xxhash64("uid"), F.col("__n")).cast("int"))
+    return placed.drop("__n"), last + 1
+
+
+def _near(u: np.ndarray, v: np.ndarray, similarity: float, single: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which pairs of unit vectors are near. single: the same vectors in single precision."""
+    products = single[0] @ single[1].T
+    error = 1e-6 + 2e-7 * u.shape[1]
+    near = products >= similarity + error
+    i, j = np.nonzero((products >= similarity - error) & ~near)
+    step = max(1, AGAIN // u.shape[1])
+    for at in range(0, len(i), step):
+        a, b = i[at : at + step], j[at : at + step]
+        near[a, b] = np.einsum("ij,ij->i", u[a], v[b]) >= similarity
+    return near
+
+
+def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the same ids as the links a - b do: the smallest id of each local component, and its other ids."""
+    ids, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = ends[: len(a)], ends[len(a) :]
+    label = np.arange(len(ids))
+    while True:
+        low = np.minimum(label[i], label[j])
+        now = label.copy()
+        np.minimum.at(now, label[i], low)
+        np.minimum.at(now, label[j], low)
+        now = now[now]
+        if (now == label).all():
+            break
+        label = now
+    rest = label != np.arange(len(ids))
+    return ids[label[rest]], ids[rest]
+
+
+def _compare(reps: DataFrame, chunk: int, similarity: float, folder: str) -> None:
+    """Write (uid, links, root): link counts of the pairs of one chunk, and links that span them."""
+    spark = reps.sparkSession
+    own = reps.where(F.col("chunk") == chunk).select("uid", "dim", "weight", "vec").toPandas()
+    parts = {int(d): (f["uid"].to_numpy("i8"), f["weight"].to_numpy("f8"), b"".join(map(bytes, f["vec"]))) for d, f in own.groupby("dim")}
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, parts))
+
+    def build(raw: dict) -> dict:
+        out = {}
+        for dim, (uids, weights, vectors) in raw.items():
+            v = np.frombuffer(vectors, np.float64).reshape(-1, dim)
+            v = v / np.linalg.norm(v, axis=1, keepdims=True)
+            out[dim] = uids, weights, v, v.astype(np.float32)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, raw = shared.value
+        held: dict = heavy(("vectors", name), lambda: build(raw))
+        others = {dim: np.zeros(len(x[0])) for dim, x in held.items()}  # links of the chunk's vectors to later chunks
+        edges: list = []
 
-def _passes(reps: DataFrame, similarity: float, first: int, last: int) -> DataFrame:
-    """(a, b): links that span what the windows of the passes first to last - 1 hold."""
+        def rows(uid, links=None, root=None) -> pa.RecordBatch:
+            none = pa.nulls(len(uid), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), none if links is None else pa.array(links.astype(np.int64)), none if root is None else pa.array(root, pa.int64())], ["uid", "links", "root"])
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def spanned() -> None:
+            edges[:] = [_spanning(np.concatenate([a for a, _ in edges]), np.concatenate([b for _, b in edges]))]
+
+        size = 0
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                v = _unit(part.column("vec").to_pylist())
-                for turn in range(first, last):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(v), turn, np.int32)), part.column("dim"), pa.array(pass_keys(v, turn), pa.binary()), part.column("id"), part.column("vec")],
-                        ["turn", "dim", "sorted", "id", "vec"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {"at": None}
-        for batch in batches:
-            turns, dims, ids = (batch.column(c).to_numpy() for c in ("turn", "dim", "id"))
-            raws = batch.column("vec").to_pylist()
-            cuts = np.flatnonzero(np.r_[True, (turns[1:] != turns[:-1]) | (dims[1:] != dims[:-1]), True])
-            for a, z in zip(cuts[:-1], cuts[1:]):
-                for at in range(a, z, WINDOW):
-                    end = min(z, at + WINDOW)
-                    v, own = _unit(raws[at:end]), ids[at:end]
-                    if held["at"] == (turns[a], dims[a]):
-                        v, own = np.concatenate([held["v"], v]), np.concatenate([held["ids"], own])
-                    links = _spanning(v, own, similarity)
-                    if len(links):
-                        yield pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
-                    held = {"at": (turns[a], dims[a]), "v": v[-WINDOW:], "ids": own[-WINDOW:]}
-
-    rows = reps.mapInArrow(keyed, "turn int, dim int, sorted binary, id long, vec binary")
-    ordered = rows.repartitionByRange("turn", "dim", "sorted", "id").sortWithinPartitions("turn", "dim", "sorted", "id")
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
-
-
-def _spanning(v: np.ndarray, ids: np.ndarray, similarity: float) -> np.ndarray:
-    """Links from the smallest id of each local component to its other members."""
-    near = v @ v.T >= similarity
-    label = np.arange(len(v))
-    while True:
-        low = np.where(near, label[None, :], len(v)).min(axis=1)
-        low = np.minimum(low, label)
-        low = low[low]
-        if (low == label).all():
-            break
-        label = low
-    seen = np.flatnonzero(np.bincount(label, minlength=len(v))[label] > 1)
-    if not len(seen):
-        return np.zeros((0, 2), np.int64)
-    smallest = np.full(len(v), np.iinfo(np.int64).max)
-    np.minimum.at(smallest, label[seen], ids[seen])
-    links = np.stack([smallest[label[seen]], ids[seen]], axis=1)
-    return links[links[:, 0] != links[:, 1]]
-
-
-def _recount(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """Links of each vector to the vectors of its component in its group (two blocks: to those of the other block)."""
-    out = []
-    frame = frame.sort_values(["group", "component"], kind="stable", ignore_index=True)
-    group, part = frame["group"].to_numpy(), frame["component"].to_numpy()
-    cuts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (part[1:] != part[:-1]), True])
-    ids, side, cross, weight, vec = (frame[c].to_numpy() for c in ("id", "side", "cross", "weight", "vec"))
-    for a, z in zip(cuts[:-1], cuts[1:]):
-        v = _unit(list(vec[a:z]))
-        near = v @ v.T >= similarity
-        np.fill_diagonal(near, False)
-        if cross[a]:
-            near &= side[a:z, None] != side[None, a:z]
-        out.append(pd.DataFrame({"id": ids[a:z], "links": near @ weight[a:z]}))
-    return pd.concat(out, ignore_index=True).astype("int64") if out else pd.DataFrame({"id": [], "links": []}, dtype="int64")
-
-
-def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", similarity: float = 0.95, passes: int = PASSES) -> DataFrame:
+                uid, weight, later = part.column("uid").to_numpy(), part.column("weight").to_numpy(), part.column("chunk").to_numpy() > chunk
+                u = _unit(part.column("vec").to_pylist())
+                u4 = u.astype(np.float32)
+                uids, weights, v, v4 = held[int(dim)]
+                links = np.zeros(len(uid))
+                for at in range(0, len(uid), BLOCK):
+                    for to in range(0, len(uids), COLUMNS):
+                        a, b = slice(at, at + BLOCK), slice(to, to + COLUMNS)
+                        i, j = np.nonzero(_near(u[a], v[b], similarity, (u4[a], v4[b])))
+                        i, j = i + at, j + to
+                        other = uid[i] != uids[j]
+                        i, j = i[other], j[other]
+                        if not len(i):
+                            continue
+                        links += np.bincount(i, weights[j], len(uid))
+                        across = later[i]
+                        others[int(dim)] += np.bincount(j[across], weight[i[across]], len(uids))
+                        edges.append(_spanning(uid[i], uids[j]))
+                        size += len(edges[-1][0])
+                        if size > EDGES:
+                            spanned()
+                            size = 0
+                if links.any():
+                    yield rows(uid[links > 0], links=links[links > 0])
+        for dim, links in others.items():
+            if links.any():
+                yield rows(held[dim][0][links > 0], links=links[links > 0])
+        if edges:
+            spanned()
+            yield rows(edges[0][1], root=edges[0][0])
+
+    todo = reps.where((F.col("first") <= chunk) & (F.col("chunk") >= chunk)).select("uid", "dim", "weight", "chunk", "vec")
+    stored(todo.mapInArrow(run, "uid long, links long, root long"), folder, batch_rows=5000)
+    shared.unpersist()
+
+
+def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", similarity: float = 0.95) -> DataFrame:
     """One row per vector: key, n_links, component_id, kept.
 
     n_links: other vectors linked directly; component_id: smallest key that links reach; kept: the vector with that key.
@@ -153,24 +186,20 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     spark = df.sparkSession
     vectors = stored(_valid(df, key, vector), batch_rows=5000)
     classes = vectors.groupBy("dim", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
-    reps = stored(classes)
-    links = None
-    for first in range(0, passes, 4):
-        found = stored(_passes(reps, similarity, first, min(passes, first + 4)), batch_rows=5000)
-        links = found if links is None else links.unionByName(found)
-    parts = stored(components(links))
-    sizes = stored(parts.groupBy("component").agg(F.count(F.lit(1)).alias("size")))
-    buckets = max(1, reps.count() // BUCKET)
-    member = reps.join(parts.join(sizes, "component"), "id").withColumn("__n", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
-    small = member.where("__n = 1").withColumn("group", F.pmod(F.xxhash64("component"), F.lit(buckets)).cast("long")).withColumn("side", F.lit(0)).withColumn("cross", F.lit(0))
-    large = member.where("__n > 1").withColumn("__own", F.pmod(F.xxhash64("id"), F.col("__n")).cast("int")).withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__n") - F.lit(1))))
-    large = (large.withColumn("group", F.xxhash64("component", F.least("__own", "__other"), F.greatest("__own", "__other")))
-             .withColumn("side", (F.col("__own") > F.col("__other")).cast("int")).withColumn("cross", (F.col("__own") != F.col("__other")).cast("int")))
-    columns = ["group", "component", "side", "cross", "id", "weight", "vec"]
-    counts = by_group(small.select(*columns).unionByName(large.select(*columns)), "group", lambda f: _recount(f, similarity), "id long, links long")
-    total = stored(counts.groupBy("id").agg(F.sum("links").alias("links")), batch_rows=5000)
-    per_rep = reps.join(total, "id", "left").join(parts, "id", "left").select(
-        "dim", "vec", F.coalesce("component", "id").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("weight") - F.lit(1)).alias("n_links"))
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    reps = stored(classes.repartition(tasks).withColumn("uid", F.monotonically_increasing_id()))
+    placed, chunks = _chunks(reps)
+    folder, schema = shared_folder(spark), "uid long, links long, root long"
+    for chunk in range(chunks):
+        _compare(placed, chunk, similarity, f"{folder}/chunk={chunk}")
+    found = spark.read.schema(schema).parquet(folder) if chunks else spark.createDataFrame([], schema)
+    total = stored(found.where("links is not null").groupBy("uid").agg(F.sum("links").alias("links")), batch_rows=5000)
+    parts = stored(components(found.where("root is not null").select(F.col("root").alias("a"), F.col("uid").alias("b"))))
+    slim = reps.select("uid", "id", "weight").join(total, "uid", "left").join(parts.withColumnRenamed("id", "uid"), "uid", "left")
+    slim = stored(slim.withColumn("component", F.coalesce("component", "uid")))
+    first = slim.groupBy("component").agg(F.min("id").alias("component_id"))
+    counts = stored(slim.join(first, "component").select("uid", "component_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - F.lit(1)).alias("n_links")))
+    per_rep = reps.select("dim", "vec", "uid").join(counts, "uid").drop("uid")
     of_vector = vectors.join(stored(per_rep), ["dim", "vec"]).select(F.col("id").alias("__id"), "n_links", "component_id")
     alone = df.select(F.col(key).cast("long").alias("__id")).join(vectors.select(F.col("id").alias("__valid")).distinct(), F.col("__id") == F.col("__valid"), "left_anti")
     out = of_vector.unionByName(alone.select("__id", F.lit(0).cast("long").alias("n_links"), F.col("__id").alias("component_id")))

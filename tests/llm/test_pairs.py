@@ -160,3 +160,23 @@ def test_recall_of_the_passes_alone(spark):
     want = int((u @ u.T >= 0.95).sum() - len(u))
     assert want > 1000
     assert got.agg(F.sum("n_links")).first()[0] >= 0.9 * want
+
+
+def test_vectors_that_share_a_direction_against_brute_force(spark, monkeypatch):
+    """A hot topic: any two vectors have a cosine near 0.9, planted pairs one just above the threshold."""
+    monkeypatch.setattr(embedding_dedup, "CHUNK", 1 << 20, raising=False)
+    rng = np.random.default_rng(8)
+    topic = rng.normal(size=64) / 8
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    own = unit(rng.normal(size=(5000, 64)))
+    other = 0.56 * own + np.sqrt(1 - 0.56**2) * unit(rng.normal(size=own.shape))
+    v = unit(np.concatenate([np.sqrt(0.9) * topic / np.linalg.norm(topic) + np.sqrt(0.1) * x for x in (own, other)]))
+    near = v @ v.T >= 0.95
+    want = near.sum(axis=1) - 1
+    assert want.sum() > 6000
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(frame).collect()}
+    assert [got[i] for i in range(len(v))] == want.tolist()
