@@ -5,7 +5,8 @@ with all representatives in one bucket and splits buckets: a token that is share
 the path so far with probability 1 / (similarity * tokens), and each chosen token makes a bucket of the sets that hold it.
 So a pair at the threshold follows one common path on average, and unrelated sets part. Small buckets, and buckets that
 hardly shrink because their sets are alike, are compared by brute force. Runs repeat until a pair at the threshold is met
-with the target probability. Every pair is checked on the whole shingle sets, in one bucket only: the smallest that both
+with the target probability: some runs of all sets do for pairs whose buckets end after ``SHALLOW`` levels, and sets whose
+buckets went deeper make the runs more that ``DEPTH`` levels take. Every pair is checked on the whole shingle sets, in one bucket only: the smallest that both
 members are in. Large buckets are compared block against block; pairs are counted in the blocks and never become rows.
 """
 
@@ -29,6 +30,8 @@ TOKENS = 128
 SMALL = 64  # buckets of so many sets are compared
 ALIKE = 0.7  # share of the parent bucket from which a bucket counts as hardly shrunk
 DEPTH = 10  # levels after which a bucket is compared whatever its size
+SHALLOW = 2  # levels that the runs of all sets are counted for
+DEEP_SHARE = 0.03  # part of the probability of a miss that is left to pairs whose buckets go deeper
 BLOCK = 1024  # sets of a block
 SLACK = 0.2  # min-hash estimates so far below the threshold end a pair (over five standard deviations)
 BATCH = 20_000
@@ -67,8 +70,8 @@ def _children(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple
     return rows, mix(child[rows, columns] + np.uint64(1)).view(np.int64)
 
 
-def _split(rows: DataFrame, similarity: float, first_runs: int = 0) -> DataFrame:
-    """Children of (uid, tokens[, path, size]): (path, uid, parent size); ``first_runs`` starts that many runs instead."""
+def _split(rows: DataFrame, similarity: float, first_runs: range = range(0)) -> DataFrame:
+    """Children of (uid, tokens[, path, size]): (path, uid, parent size); ``first_runs`` starts these runs instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,7 +80,7 @@ def _split(rows: DataFrame, similarity: float, first_runs: int = 0) -> DataFrame
             tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, TOKENS)
             uid = batch.column("uid").to_numpy()
             if first_runs:
-                starts = [(np.full(len(uid), r + 1, np.int64), np.full(len(uid), -1, np.int64)) for r in range(first_runs)]
+                starts = [(np.full(len(uid), r + 1, np.int64), np.full(len(uid), -1, np.int64)) for r in first_runs]
             else:
                 starts = [(batch.column("path").to_numpy(), batch.column("size").to_numpy())]
             for paths, sizes in starts:
@@ -87,10 +90,10 @@ def _split(rows: DataFrame, similarity: float, first_runs: int = 0) -> DataFrame
     return rows.mapInArrow(run, "path long, uid long, parent long")
 
 
-def leaves(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """Stored (path, uid, size): the buckets to compare. reps: stored (uid, tokens)."""
-    out, depth = None, 1
-    rows = stored(_split(reps, similarity, runs_for(recall)), batch_rows=2048)
+def _descend(rows: DataFrame, reps: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame | None]:
+    """Stored (path, uid, size): the buckets that first children end in; and (uid): the sets in buckets that went deeper
+    than ``SHALLOW`` levels, if there are any."""
+    out, deep, depth = None, None, 1
     while True:
         sizes = stored(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
         sized = stored(rows.join(sizes, "path"))
@@ -99,11 +102,30 @@ def leaves(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
         out = found if out is None else out.unionByName(found)
         wide = sized.where(~done)
         if depth >= DEPTH or wide.isEmpty():
-            return out
+            return out, deep
+        if depth == SHALLOW:
+            deep = stored(wide.select("uid").distinct())
         rows = stored(_split(wide.select("path", "uid", "size").join(reps, "uid"), similarity), batch_rows=2048)
         depth += 1
 
 
+def leaves(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
+    """Stored (path, uid, size): the buckets to compare. reps: stored (uid, tokens).
+
+    A pair at the threshold is missed if no run of all sets takes it to the end of ``SHALLOW`` levels, or if it is taken
+    deeper, so that both sets make the further runs, and none of all these runs takes it to the end of ``DEPTH`` levels.
+    The second has ``DEEP_SHARE`` of the probability that ``recall`` leaves, since fewer sets make those runs.
+    """
+    first = runs_for(1 - (1 - recall) * (1 - DEEP_SHARE), SHALLOW)
+    all_runs = max(first + 1, runs_for(1 - (1 - recall) * DEEP_SHARE, DEPTH))
+    out, deep = _descend(stored(_split(reps, similarity, range(first)), batch_rows=2048), reps, similarity)
+    if deep is None:
+        return out
+    some = stored(by_keys(reps, deep, "uid", "left_semi"))
+    more, _ = _descend(stored(_split(some, similarity, range(first, all_runs)), batch_rows=2048), some, similarity)
+    return out.unionByName(more)
+
+
 def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest common value of two tables with ascending rows; filled places never meet."""
     hit = (a[:, :, None] == b[:, None, :]).any(axis=2)

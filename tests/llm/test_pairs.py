@@ -180,3 +180,39 @@ def test_vectors_that_share_a_direction_against_brute_force(spark, monkeypatch):
     frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
     got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(frame).collect()}
     assert [got[i] for i in range(len(v))] == want.tolist()
+
+
+def test_recall_of_pairs_whose_buckets_go_deep(spark, monkeypatch):
+    """Pairs near the threshold share their tokens with many other sets, so that buckets are split five levels and more."""
+    monkeypatch.setattr(ngram_join, "SMALL", 2)
+    rng = np.random.default_rng(4)
+    template = rng.integers(0, 1 << 32, 128, dtype=np.uint64).astype(np.uint32)
+
+    def fresh(n):
+        return rng.integers(0, 1 << 32, (n, 128), dtype=np.uint64).astype(np.uint32)
+
+    def mixed(base, share):
+        return np.where(rng.random(base.shape) < share, base, fresh(len(base)))
+
+    one = mixed(np.tile(template, (1500, 1)), 0.5)
+    two = np.concatenate([one[:500], fresh(1000)])
+    for i in range(500):  # exactly the agreement of a pair at the threshold, and nothing beyond
+        at = rng.permutation(128)[:26]
+        two[i, at] = fresh(1)[0, at]
+    tokens = np.concatenate([one, two[:500]])
+    rows = [(i, t.tobytes()) for i, t in enumerate(tokens)]
+    depths = []
+    split = ngram_join._split
+
+    def counted(*args):
+        depths.append(len(args) < 3)
+        return split(*args)
+
+    monkeypatch.setattr(ngram_join, "_split", counted)
+    reps = ngram_join.stored(spark.createDataFrame(rows, "uid long, tokens binary"))
+    paths = {}
+    for r in ngram_join.leaves(reps, 0.8, 0.999).collect():
+        paths.setdefault(r["uid"], set()).add(r["path"])
+    met = [bool(paths.get(i, set()) & paths.get(1500 + i, set())) for i in range(500)]
+    assert sum(depths) >= 4
+    assert np.mean(met) >= 0.998
