@@ -34,21 +34,21 @@ def _unit(raw: list[bytes]) -> np.ndarray:
 
 
 def _valid(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, dim, vec): vectors that can be compared, as bytes of doubles scaled by their largest component."""
+    """(id, dim, vec) of each row: vectors that can be compared, as bytes of doubles scaled by their largest component; dim
+    and vec are null for the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, dims, raws = [], [], []
             for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not v or i is None or any(x is None for x in v):
-                    continue
-                a = np.array(v, np.float64)
-                top = np.abs(a).max()
-                if not np.isfinite(a).all() or top == 0:
-                    continue
                 ids.append(i)
-                dims.append(len(a))
-                raws.append((a / top + 0.0).tobytes())
+                a = None if not v or i is None or any(x is None for x in v) else np.array(v, np.float64)
+                if a is not None and np.isfinite(a).all() and (top := np.abs(a).max()) > 0:
+                    dims.append(len(a))
+                    raws.append((a / top + 0.0).tobytes())
+                else:
+                    dims.append(None)
+                    raws.append(None)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(raws, pa.binary())], ["id", "dim", "vec"])
 
     _importable(df.sparkSession)
@@ -184,7 +184,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     Other columns are not read. An empty table gives no rows.
     """
     spark = df.sparkSession
-    vectors = stored(_valid(df, key, vector), batch_rows=5000)
+    rows = stored(_valid(df, key, vector), batch_rows=5000)
+    vectors = rows.where("vec is not null")
     classes = vectors.groupBy("dim", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("weight"))
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     reps = stored(classes.repartition(tasks).withColumn("uid", F.monotonically_increasing_id()))
@@ -201,6 +202,6 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     counts = stored(slim.join(first, "component").select("uid", "component_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - F.lit(1)).alias("n_links")))
     per_rep = reps.select("dim", "vec", "uid").join(counts, "uid").drop("uid")
     of_vector = vectors.join(stored(per_rep), ["dim", "vec"]).select(F.col("id").alias("__id"), "n_links", "component_id")
-    alone = df.select(F.col(key).cast("long").alias("__id")).join(vectors.select(F.col("id").alias("__valid")).distinct(), F.col("__id") == F.col("__valid"), "left_anti")
+    alone = rows.where("vec is null").select(F.col("id").alias("__id"))
     out = of_vector.unionByName(alone.select("__id", F.lit(0).cast("long").alias("n_links"), F.col("__id").alias("component_id")))
     return out.select(F.col("__id").alias(key), "n_links", "component_id", F.col("__id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -216,3 +216,9 @@ def test_recall_of_pairs_whose_buckets_go_deep(spark, monkeypatch):
     met = [bool(paths.get(i, set()) & paths.get(1500 + i, set())) for i in range(500)]
     assert sum(depths) >= 4
     assert np.mean(met) >= 0.998
+
+
+def test_a_repeated_key_with_a_vector_that_is_not_valid(spark):
+    rows = [(1, [1.0, 0.0]), (1, None), (1, [0.0, 0.0]), (2, [1.0, 0.01]), (2, [float("nan"), 1.0]), (None, [1.0, 0.0]), (None, None)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0) for r in got) == [(0, 0, 0), (0, 0, 0), (1, 0, 1), (1, 0, 1), (1, 1, 1), (2, 0, 2), (2, 1, 1)]
