@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime
 
 import pytest
 
@@ -16,11 +15,3 @@ def spark():
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
-
-
-def moment(text: str) -> datetime:
-    return datetime.fromisoformat(text)
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().toString()

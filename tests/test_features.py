@@ -13,7 +13,7 @@ from cutline.operators.entities import Entity, EntitySet, Parent, auto_interesti
 from cutline.operators.features import (
     drop_id_like, feature_list, id_like_columns, make_features, sql_name, with_sql_names)
 from cutline.plans.feature_plan import FeatureSpec, plan_features
-from conftest import plan_of
+from helpers import plan_of
 
 CUT = datetime(2020, 1, 1)
 ALL = [a for a in AGGREGATES if AGGREGATES[a].route != "pairs"]

@@ -10,7 +10,7 @@ from cutline.functions.calendar import Offset
 from cutline.operators import skew, windows
 from cutline.operators.labels import (
     LabelSpec, label_cutoffs, label_stats, make_labels, product_labels, wide_products, with_action_rows)
-from conftest import moment, plan_of
+from helpers import moment, plan_of
 
 CUT = datetime(2020, 1, 1)
 EVENTS = [

@@ -9,7 +9,7 @@ from cutline.functions.standardize import forward_fill
 from cutline.operators import skew
 from cutline.operators.ranking import (
     exact_quantiles, percentile_rank, previous_row, quantile_rows, running_totals, with_deciles, with_rank)
-from conftest import plan_of
+from helpers import plan_of
 
 
 def scores(n, seed=3):

@@ -24,7 +24,7 @@ from cutline.plans.feature_plan import FeatureSpec
 from cutline.plans.flows import predict_flow, train_flow
 from cutline.plans.queries import small_model_config, tables
 from cutline.sources.sinks import column_types, write_sorted
-from conftest import plan_of
+from helpers import plan_of
 
 FOLDER = "/root/testdata/sf0.001"
 
