@@ -20,7 +20,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+        path = f"{folder}/{t}.parquet"
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}{'/*.parquet' if os.path.isdir(path) else ''}'")
     return con
 
 
