@@ -15,6 +15,7 @@ from cutline.llm import (
     mixing,
     ngram_join,
     packing,
+    prefix_trie,
     quality,
     sharding,
     token_counts,
@@ -76,6 +77,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), anchors=F.col("vec_id") % 100 == 0, label=label)
@@ -84,7 +89,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_token_counts, op2_sharding, op3_ngram_join, op4_exact_dedup, op5_packing, op6_mixing, op7_language_id,
-              op8_token_output, op9_embedding_dedup, op10_quality, op13_hard_negatives)
+              op8_token_output, op9_embedding_dedup, op10_quality, op11_prefix_trie, op13_hard_negatives)
 }
 
 
@@ -97,6 +102,46 @@ def _crc_table() -> list[int]:
     return out
 
 
+def _crc_sql(b: str) -> str:
+    """CRC-32 of a list of byte values."""
+    return f"""xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], {b}),
+               lambda c, x: xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, x) & 255) + 1])))"""
+
+
+def _trie_sql() -> str:
+    return f"""
+WITH own AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT c, {_crc_sql("list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 6 AS h FROM (SELECT DISTINCT c FROM own)
+), rebuilt AS (
+    SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, i) AS depth, md5(length(role) || ':' || role || text) AS said, length(text) AS chars
+    FROM (SELECT v.c, 0 AS own, o.i, role, text FROM convs v JOIN own o ON o.c = v.c - v.c % 100 AND o.i <= v.h
+          UNION ALL SELECT c, 1, i, role, text FROM own JOIN convs USING (c) WHERE i > h)
+), prefixes AS MATERIALIZED (
+    SELECT c, depth, chars, md5(string_agg(said, '') OVER (PARTITION BY c ORDER BY depth)) AS k FROM rebuilt
+    UNION ALL SELECT c, 0, 0, '' FROM convs
+), nodes AS MATERIALIZED (
+    SELECT depth, k, min(c) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM prefixes GROUP BY depth, k
+), steps AS (
+    SELECT n.depth, n.k, p.k AS parent FROM nodes n JOIN prefixes p ON p.c = n.conv_id AND p.depth = n.depth - 1
+), children AS (
+    SELECT depth - 1 AS depth, parent AS k, count(*) AS n_children FROM steps GROUP BY ALL
+), weighed AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (depth, k)
+), totals AS (
+    SELECT p.depth, p.k, sum((w.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((w.n_convs - 1) * w.chars)::BIGINT AS saved_tokens
+    FROM weighed w JOIN prefixes p ON p.c = w.conv_id AND p.depth <= w.depth GROUP BY ALL
+), ends AS (
+    SELECT depth, k, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS ends_sha256
+    FROM (SELECT c, max(depth) AS depth, max_by(k, depth) AS k FROM prefixes GROUP BY c) GROUP BY ALL
+)
+SELECT w.conv_id, w.depth, m.conv_id AS parent_conv_id, w.n_convs, w.n_children, t.n_leaves, t.saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM weighed w JOIN totals t USING (depth, k) LEFT JOIN ends e USING (depth, k)
+LEFT JOIN steps s USING (depth, k) LEFT JOIN nodes m ON m.depth = w.depth - 1 AND m.k = s.parent"""
+
+
 def _sharding_sql() -> str:
     mod = 1 << 64
     return f"""
@@ -107,9 +152,7 @@ WITH RECURSIVE d AS (
            list_transform(range(octet_length(raw)), lambda i: ('0x' || substr(hex(raw), 2 * i + 1, 2))::BIGINT) AS b
     FROM d
 ), crc AS (
-    SELECT doc_id, r, size,
-           xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], b),
-               lambda c, x: xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, x) & 255) + 1]))) AS text_crc32
+    SELECT doc_id, r, size, {_crc_sql("b")} AS text_crc32
     FROM bytes
 ), jump(doc_id, r, key, b, j) AS (
     SELECT doc_id, r, coalesce(doc_id, 0)::HUGEINT, -1::BIGINT, 0::BIGINT FROM d
@@ -170,6 +213,7 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 WINDOW w AS (PARTITION BY t)""",
     "op6_mixing": _mixing_sql(),
+    "op11_prefix_trie": _trie_sql(),
     "op13_hard_negatives": """
 WITH rows AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
