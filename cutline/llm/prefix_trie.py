@@ -128,7 +128,7 @@ def subtree_totals(prefixes: DataFrame, nodes: DataFrame, paths: DataFrame, heig
         return stored(rows.groupBy(*KEY).agg(*[F.sum(w).alias(w) for w in WEIGHTS]))
 
     local = summed(handed(paths.where("not end"), F.col("up"), weights))
-    if not nodes.agg(F.max("depth").alias("d")).first()["d"] or nodes.where(F.col("depth") >= height).isEmpty():
+    if nodes.where(F.col("depth") >= height).isEmpty():
         return local
     lower = prefixes.where(f"depth % {height} = 0").withColumn("depth", F.expr(f"depth div {height}"))
     roots = nodes.where(f"depth % {height} = 0").select("conv_id", F.expr(f"depth div {height}").alias("depth"), *KEY)

@@ -21,7 +21,7 @@ def brute(rows, rebuild=True):
     convs = {}
     for c, turns in said.items():
         h = zlib.crc32(str(c).encode()) % 6 if rebuild else 0
-        base = c - int(c / 100) * 0 - (abs(c) % 100 * (1 if c >= 0 else -1))
+        base = c - (abs(c) % 100 if c >= 0 else -(abs(c) % 100))
         convs[c] = said.get(base, [])[:h] + turns[h:]
     members, ends, children = defaultdict(list), defaultdict(list), defaultdict(set)
     for c, turns in convs.items():
@@ -70,7 +70,7 @@ def test_awkward_rows(spark):
     rows = [(5, None, None, None), (5, 1, "u", ""), (5, 0, "u", None), (6, 0, None, ""), (6, 1, "", "x"), (None, 0, "u", "x"), (None, None, None, None),
             (100, 0, "u", "é日"), (100, 0, "u", "é日"), (100, 0, "v", "tie"), (100, 3, "u", "z" * 50_000), (101, 7, "u", "é日"), (199, 0, "u", "q"), (299, 1, "u", "q"),
             (-5, 0, "u", "x"), (-150, 0, "u", "x"), (-100, 0, "u", "y")]
-    assert [r[:7] for r in trie(spark, rows) if r[1] == 0] == [r[:7] for r in brute(rows) if r[1] == 0]
+    assert [r[:6] for r in trie(spark, rows) if r[1] == 0] == [r[:6] for r in brute(rows) if r[1] == 0]  # equal turns go by hash
     without_ties = [r for r in rows if r != (100, 0, "v", "tie")]
     assert trie(spark, without_ties) == brute(without_ties)
     assert trie(spark, rows, partitions=7) == trie(spark, list(reversed(rows)))
