@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_KEYS = 500_000
-TEXT_ROWS = 64  # documents per Arrow batch where whole texts go to Python
+BATCH_BYTES = 1 << 20  # of an Arrow batch where whole texts or files go to Python; a longer row is a batch of its own
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,14 +80,14 @@ def _importable(spark: SparkSession) -> None:
 
 
 def text_batches(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with small batches, since a text may be long.
+    """``mapInArrow`` with batches bounded in bytes, since a text may be long.
 
-    Spark reads the batch size when a plan runs, after this call, so the session keeps the smaller size from here on.
+    Spark reads the bound when a plan runs, after this call, so the session keeps it from here on; it changes no result.
     """
     _importable(df.sparkSession)
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= TEXT_ROWS:
-        conf.set(key, str(TEXT_ROWS))
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).rstrip("b")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from func(batches)

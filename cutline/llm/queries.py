@@ -15,6 +15,7 @@ from cutline.llm import (
     mixing,
     ngram_join,
     packing,
+    passage_dedup,
     prefix_trie,
     quality,
     sharding,
@@ -81,6 +82,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = passage_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), anchors=F.col("vec_id") % 100 == 0, label=label)
@@ -89,7 +96,8 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_token_counts, op2_sharding, op3_ngram_join, op4_exact_dedup, op5_packing, op6_mixing, op7_language_id,
-              op8_token_output, op9_embedding_dedup, op10_quality, op11_prefix_trie, op13_hard_negatives)
+              op8_token_output, op9_embedding_dedup, op10_quality, op11_prefix_trie, op12_passage_dedup,
+              op13_hard_negatives)
 }
 
 
