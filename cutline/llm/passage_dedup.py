@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cutline.llm.common import BROADCAST_KEYS, by_keys, stored, text_batches
+from cutline.llm.common import bucketed, by_keys, stored, text_batches
 from cutline.llm.shingles import _tables, mix
 from cutline.llm.suffix_array import permuted_prefixes, suffix_array
 
@@ -33,6 +33,8 @@ GROUP = 2048  # different segments of one anchor that a shard takes
 CELLS = (8, 1)  # distances to the anchor that share a longer string, for anchors with more
 SAMPLE, FREQUENT = 64, 32  # one document in so many is looked at for frequent anchors, which have so many segments there
 FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
+BUCKET = 64 << 20  # text bytes of a bucket, about
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 ROW = "key long, seg long, d long, t long, x long"
 FIELDS = pa.schema([(c, pa.int64()) for c in ("key", "seg", "d", "t", "x")])
 
@@ -65,7 +67,8 @@ def span_hashes(sums: np.ndarray, down: np.ndarray, start: np.ndarray, end: np.n
 
 
 def segments(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(piece, first window, windows, anchor's distance, anchor hash, segment hash) of all segments."""
+    """(piece, first window, windows, anchor's distance, anchor hash, segment hash) of all segments. 48 bits do for the anchor:
+    two that share a hash are only compared in vain."""
     raw = np.frombuffer(b"\xff".join(pieces), np.uint8)
     sizes = np.array([len(p) for p in pieces], np.int64)
     starts = np.cumsum(sizes + 1) - sizes - 1
@@ -91,7 +94,7 @@ def segments(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     last = np.minimum(np.append(first[1:], count), starts[piece] + sizes[piece] - LENGTH + 1)
     a = anchor[first]
     seg = span_hashes(*byte_sums(raw), first, last + LENGTH - 1)
-    return piece, first - starts[piece], last - first, a - first, hashes[a].view(np.int64), seg
+    return piece, first - starts[piece], last - first, a - first, (hashes[a] >> np.uint64(16)).view(np.int64), seg
 
 
 def pieces_of(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -334,12 +337,23 @@ def _solved(rows: DataFrame) -> DataFrame:
     return moved.mapInArrow(_shards, "d long, t long, x long")
 
 
+def covered(x: np.ndarray) -> list[tuple[int, int]]:
+    """Maximal runs of bytes (start, end) of all windows of the given places."""
+    if not len(x):
+        return []
+    x = np.sort(x)
+    start, end = x >> 16, (x >> 16) + (x & 127) + LENGTH - 1
+    reach = np.maximum.accumulate(end)
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+    return list(zip(start[new].tolist(), reach[np.append(new[1:], len(x)) - 1].tolist()))
+
+
 def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("id"), F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("d"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
 def repeated_windows(texts: DataFrame) -> DataFrame:
-    """(d, t, x) of all segments of ``texts`` (d, t, text) whose windows repeat an earlier one, stored in several tables."""
+    """(d, t, x) of all segments of ``texts`` (d, t, text) whose windows repeat an earlier one, from stored tables."""
     spark = texts.sparkSession
     sampled = text_batches(texts.where(F.pmod(F.xxhash64("d", "t"), F.lit(SAMPLE)) == 0), _segment_rows(np.zeros(0, np.int64)), ROW)
     counts = stored(sampled.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT))
@@ -349,8 +363,7 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     found = stored(first_places(text_batches(texts, _segment_rows(frequent), ROW), ROW))
     out = [found.where("key IS NULL").select("d", "t", "x")]
     open_rows = found.where("key IS NOT NULL").select("key", "d", "t", "x")
-    n_open = open_rows.count()
-    if not n_open:
+    if open_rows.isEmpty():
         return out[0]
     wanted = open_rows.groupBy("d", "t").agg(F.collect_list(F.struct("key", "x")).alias("asked"))
 
@@ -365,9 +378,7 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
             take = pa.array(of)
             yield pa.RecordBatch.from_arrays([key, key, batch.column("d").take(take), batch.column("t").take(take), x, pa.array(blobs, pa.binary())], [*FIELDS.names, "blob"])
 
-    held = stored(wanted) if n_open <= BROADCAST_KEYS else wanted
-    joined = texts.join(F.broadcast(held) if n_open <= BROADCAST_KEYS else held, ["d", "t"])
-    rows = stored(text_batches(joined, fetch, f"{ROW}, blob binary"))
+    rows = stored(text_batches(texts.join(wanted, ["d", "t"]), fetch, f"{ROW}, blob binary"))
     for width in (*CELLS, None):
         large = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("key"))
         if large.isEmpty():
@@ -402,35 +413,27 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = hashed.groupBy("d").agg(F.min("sha").alias("a"), F.max("sha").alias("b")).where("a <> b")
     tie = F.xxhash64("text") if not shared.isEmpty() else F.lit(0).cast("long")
     marked = by_keys(hashed, copies, ["sha"], "left").withColumn("t", tie).withColumn("copy", F.coalesce(F.col("d") > F.col("first"), F.lit(False)))
-    texts = marked.where("not copy").select("d", "t", "text")
-    places = repeated_windows(texts)
-    spans = places.groupBy("d", "t").agg(F.collect_list("x").alias("runs"))
-    few = places.count() <= BROADCAST_KEYS
+    size = docs.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET))
+    texts = bucketed(marked.where("not copy").select("id", "d", "t", "text"), ["d", "t"], buckets)
+    spans = repeated_windows(texts.select("d", "t", "text")).groupBy("d", "t").agg(F.collect_list("x").alias("runs"))
     kind = dict(docs.dtypes)[key]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for raw, copy, runs in zip(_bytes(batch.column("text")), batch.column("copy").to_pylist(), batch.column("runs").to_pylist()):
-                if copy and len(raw) >= LENGTH:
-                    out.append((len(raw), [(0, len(raw))], b""))
-                    continue
-                x = np.sort(np.array(runs or [], np.int64))
-                start, end = x >> 16, (x >> 16) + (x & 127) + LENGTH - 1
-                reach = np.maximum.accumulate(end) if len(x) else end
-                new = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]])) if len(x) else start
-                spans = [(a, b) for a, b in zip(start[new].tolist(), reach[np.append(new[1:], len(x)) - 1].tolist())] if len(x) else []
+            for raw, runs in zip(_bytes(batch.column("text")), batch.column("runs").to_pylist()):
+                spans = covered(np.array(runs or [], np.int64))
                 edges = [0, *(e for s in spans for e in s), len(raw)]
-                out.append((len(raw), spans, b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))))
+                out.append((len(raw), [{"start": a, "end": b} for a, b in spans], b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))))
             sizes, spans, kept = zip(*out) if out else ((), (), ())
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("id"), pa.array(sizes, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], span),
-                pa.array(kept, pa.binary())], [key, "n_bytes", "spans", "kept"])
-
-    rows = marked.select("id", "d", "t", "text", "copy")
-    if few:
-        rows = rows.join(F.broadcast(stored(spans)), ["d", "t"], "left")
-    else:
-        rows = rows.join(spans, ["d", "t"], "left")
-    return text_batches(rows.select("id", "text", "copy", "runs"), cut, f"`{key}` {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), pa.array(spans, SPANS), pa.array(kept, pa.binary())], [key, "n_bytes", "spans", "kept"])
+
+    span = "array<struct<start: long, end: long>>"
+    firsts = text_batches(texts.join(spans, ["d", "t"], "left").select("id", "text", "runs"), cut, f"`{key}` {kind}, n_bytes long, spans {span}, kept binary")
+    n, raw = F.octet_length("text").cast("long"), F.col("text").cast("binary")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), n.alias("end"))).cast(span)
+    again = marked.where("copy").select(
+        F.col("id").alias(key), n.alias("n_bytes"), F.when(n >= LENGTH, whole).otherwise(F.array().cast(span)).alias("spans"),
+        F.when(n >= LENGTH, F.lit(b"")).otherwise(raw).alias("kept"))
+    return firsts.unionByName(again)
