@@ -30,6 +30,7 @@ PIECE = 1 << 16  # bytes whose windows are hashed at once
 HELD_ROWS = 1 << 18  # segments of a task that are compared before they move
 SHARD = 1 << 17  # bytes of a shard, about
 GROUP = 2048  # different segments of one anchor that a shard takes
+SALTS = 64  # equal parts of an anchor's segments that meet in a task first
 CELLS = (8, 1)  # distances to the anchor that share a longer string, for anchors with more
 SAMPLE, FREQUENT = 64, 32  # one document in so many is looked at for frequent anchors, which have so many segments there
 FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -202,8 +203,11 @@ def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
 
-def first_places(rows: DataFrame, schema: str) -> DataFrame:
-    dealt = F.when(F.col("key").isNull(), F.xxhash64("d", "x")).when(F.col("x").bitwiseAND(1 << 14) != 0, F.xxhash64("key", "seg")).otherwise(F.col("key"))
+def first_places(rows: DataFrame, schema: str, salts: int = 1) -> DataFrame:
+    """``_first_places`` of rows dealt by key, or by key, segment and one of ``salts`` where the key is frequent. With several salts
+    a segment keeps a place for each, and another pass has to follow."""
+    apart = F.xxhash64("key", "seg", F.pmod(F.xxhash64("d", "x"), F.lit(salts)))
+    dealt = F.when(F.col("key").isNull(), F.xxhash64("d", "x")).when(F.col("x").bitwiseAND(1 << 14) != 0, apart).otherwise(F.col("key"))
     moved = rows.repartition(dealt).sortWithinPartitions("key", "seg", "d", "t", "x")
     return moved.mapInArrow(_first_places, schema)
 
@@ -388,10 +392,12 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
         if width is None:
             raise AssertionError("equal windows are one segment")
         finer = text_batches(by_keys(rows, large, ["key"], "left_semi"), _cells_of(width), f"{ROW}, blob binary")
-        finer = stored(first_places(finer, f"{ROW}, blob binary"))
-        out.append(finer.where("key IS NULL").select("d", "t", "x"))
-        several = stored(finer.where("key IS NOT NULL").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-        rows = by_keys(finer.where("key IS NOT NULL"), several, ["key"], "left_semi")
+        for salts in (SALTS, 1):
+            finer = stored(first_places(finer, f"{ROW}, blob binary", salts))
+            out.append(finer.where("key IS NULL").select("d", "t", "x"))
+            finer = finer.where("key IS NOT NULL")
+        several = stored(finer.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
+        rows = by_keys(finer, several, ["key"], "left_semi")
     whole = out[0]
     for part in out[1:]:
         whole = whole.unionByName(part)
