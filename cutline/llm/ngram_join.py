@@ -3,11 +3,14 @@
 Documents with equal shingle sets form one class. A class representative is embedded as 128 min-hash tokens. A run starts
 with all representatives in one bucket and splits buckets: a token that is shared inside a bucket is chosen by a hash of
 the path so far with probability 1 / (similarity * tokens), and each chosen token makes a bucket of the sets that hold it.
-So a pair at the threshold follows one common path on average, and unrelated sets part. Small buckets, and buckets that
-hardly shrink because their sets are alike, are compared by brute force. Runs repeat until a pair at the threshold is met
-with the target probability: some runs of all sets do for pairs whose buckets end after ``SHALLOW`` levels, and sets whose
-buckets went deeper make the runs more that ``DEPTH`` levels take. Every pair is checked on the whole shingle sets, in one bucket only: the smallest that both
-members are in. Large buckets are compared block against block; pairs are counted in the blocks and never become rows.
+So a pair at the threshold follows one common path on average, and unrelated sets part. Small buckets are compared by brute
+force. In a larger one every set estimates its mean similarity to the bucket; a set near the threshold on average would stay
+together with the others for many levels, so it asks: it is compared with the whole bucket and leaves it, and the others go on.
+A set that asked in so many buckets that a link of it is in one of them with the target probability asks no more. Runs repeat
+until a pair at the threshold is met with that probability: some runs of all sets do for pairs whose buckets end after
+``SHALLOW`` levels, and sets whose buckets went deeper make the runs more that ``DEPTH`` levels take. Every pair is checked on
+the whole shingle sets, in one bucket only: the smallest that both are in and one of them asks in. Large buckets are compared
+block against block; pairs are counted in the blocks and never become rows.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cutline.llm.common import by_group, by_keys, stored, text_batches
@@ -28,10 +31,12 @@ from cutline.llm.shingles import min_hashes, mix, shingle_set
 
 TOKENS = 128
 SMALL = 64  # buckets of so many sets are compared
-ALIKE = 0.7  # share of the parent bucket from which a bucket counts as hardly shrunk
+NEAR = 0.9  # share of the threshold from which a set's mean similarity to its bucket makes it ask
+SAMPLE = 32  # sets of a bucket that the mean is estimated from
 DEPTH = 10  # levels after which a bucket is compared whatever its size
 SHALLOW = 2  # levels that the runs of all sets are counted for
 DEEP_SHARE = 0.03  # part of the probability of a miss that is left to pairs whose buckets go deeper
+MARGIN = 1.25  # a set asks in so many times the buckets that the recall takes, since two runs may choose the same token
 BLOCK = 1024  # sets of a block
 SLACK = 0.2  # min-hash estimates so far below the threshold end a pair (over five standard deviations)
 BATCH = 20_000
@@ -50,16 +55,19 @@ def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, sets, tokens = [], [], []
+            n, sets, tokens, bits = [], [], [], []
             for t in batch.column("__text").to_pylist():
                 s = shingle_set(t) if t else ()
                 n.append(len(s))
                 sets.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                tokens.append(min_hashes(s, TOKENS).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(tokens, pa.binary())], [key, "n", "set_hash", "tokens"])
+                held = min_hashes(s, TOKENS) if len(s) else None
+                tokens.append(held.tobytes() if len(s) else None)
+                bits.append(np.packbits(held & 1).tobytes() if len(s) else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (sets, tokens, bits))], [key, "n", "set_hash", "tokens", "bits"])
 
     narrow = docs.select(F.col(key), F.col(text).alias("__text"))
-    return stored(text_batches(narrow, run, f"`{key}` {kind}, n long, set_hash binary, tokens binary").withColumn("uid", F.monotonically_increasing_id()))
+    return stored(text_batches(narrow, run, f"`{key}` {kind}, n long, set_hash binary, tokens binary, bits binary").withColumn("uid", F.monotonically_increasing_id()))
 
 
 def _children(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -70,8 +78,8 @@ def _children(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple
     return rows, mix(child[rows, columns] + np.uint64(1)).view(np.int64)
 
 
-def _split(rows: DataFrame, similarity: float, first_runs: range = range(0)) -> DataFrame:
-    """Children of (uid, tokens[, path, size]): (path, uid, parent size); ``first_runs`` starts these runs instead."""
+def _first_split(reps: DataFrame, similarity: float, runs: range) -> DataFrame:
+    """Children (path, uid) of the root in each of ``runs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,38 +87,98 @@ def _split(rows: DataFrame, similarity: float, first_runs: range = range(0)) ->
                 continue
             tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, TOKENS)
             uid = batch.column("uid").to_numpy()
-            if first_runs:
-                starts = [(np.full(len(uid), r + 1, np.int64), np.full(len(uid), -1, np.int64)) for r in first_runs]
-            else:
-                starts = [(batch.column("path").to_numpy(), batch.column("size").to_numpy())]
-            for paths, sizes in starts:
-                picked, child = _children(paths.view(np.uint64), tokens, similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(uid[picked]), pa.array(sizes[picked])], ["path", "uid", "parent"])
+            for r in runs:
+                picked, child = _children(np.full(len(uid), r + 1, np.uint64), tokens, similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(uid[picked])], ["path", "uid"])
 
-    return rows.mapInArrow(run, "path long, uid long, parent long")
+    return reps.mapInArrow(run, "path long, uid long")
 
 
-def _descend(rows: DataFrame, reps: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame | None]:
-    """Stored (path, uid, size): the buckets that first children end in; and (uid): the sets in buckets that went deeper
-    than ``SHALLOW`` levels, if there are any."""
-    out, deep, depth = None, None, 1
+def mean_similarity(own: np.ndarray, sample: np.ndarray) -> np.ndarray:
+    """Estimated mean similarity of sets (one bit of each token: sets x TOKENS / 8) to those of a sample (sets x sample x TOKENS / 8)."""
+    apart = np.bitwise_count(own[:, None] ^ sample).sum(axis=(1, 2), dtype=np.int64)
+    return 1 - 2 * apart / (TOKENS * sample.shape[1])  # different sets agree in half of their bits
+
+
+def _split(rows: DataFrame, similarity: float) -> DataFrame:
+    """Sets that ask in a bucket (its path, asks) and the children of the others. rows: (path, uid, tokens, bits, sample)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, TOKENS)
+            path, uid = batch.column("path").to_numpy(), batch.column("uid").to_numpy()
+            own = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(len(uid), -1)
+            samples = batch.column("sample").to_pylist()
+            sizes = np.array([len(x) for x in samples])
+            asks = np.zeros(len(uid), bool)
+            for size in np.unique(sizes).tolist():
+                at = np.flatnonzero(sizes == size)
+                other = np.frombuffer(b"".join(samples[i] for i in at.tolist()), np.uint8).reshape(len(at), -1, TOKENS // 8)
+                asks[at] = mean_similarity(own[at], other) >= NEAR * similarity
+            stay = np.flatnonzero(~asks)
+            picked, child = _children(path[stay].view(np.uint64), tokens[stay], similarity)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate([path[asks], child])), pa.array(np.concatenate([uid[asks], uid[stay][picked]])),
+                pa.array(np.repeat([True, False], [int(asks.sum()), len(child)]))], ["path", "uid", "asks"])
+
+    return rows.mapInArrow(run, "path long, uid long, asks boolean")
+
+
+def _samples(wide: DataFrame, reps: DataFrame) -> DataFrame:
+    """(path, sample): the bits of up to ``SAMPLE`` sets of each bucket; the limit holds before the shuffle too."""
+    order = Window.partitionBy("path").orderBy(F.xxhash64("uid", "path"), "uid")
+    some = wide.select("path", "uid").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE)
+    bits = some.join(reps.select("uid", "bits"), "uid").groupBy("path").agg(F.collect_list("bits").alias("all"))
+    return bits.select("path", F.reduce("all", F.lit(b""), lambda a, b: F.concat(a, b)).alias("sample"))
+
+
+def _asking(path: str, asks) -> Column:
+    """The path with its lowest bit telling whether the set asks there."""
+    return F.shiftleft(path, 1).bitwiseOR(asks.cast("long"))
+
+
+def _descend(rows: DataFrame, reps: DataFrame, similarity: float, recall: float) -> tuple[DataFrame, DataFrame | None]:
+    """Stored (path, uid, size): the buckets that first children end in or ask in, paths as of ``_asking``; and (uid): the sets
+    in buckets that went deeper than ``SHALLOW`` levels and did not ask often enough, if there are any."""
+    out, deep, asked, wides, depth = None, None, None, [], 1
     while True:
         sizes = stored(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
         sized = stored(rows.join(sizes, "path"))
-        done = (F.col("size") <= SMALL) | (F.col("size") >= ALIKE * F.col("parent")) & (F.col("parent") > 0) | F.lit(depth >= DEPTH)
-        found = sized.where(done).select("path", "uid", "size")
+        done = F.lit(True) if depth >= DEPTH else F.col("size") <= SMALL
+        found = sized.where(done).select(_asking("path", F.lit(True)).alias("path"), "uid", "size")
         out = found if out is None else out.unionByName(found)
         wide = sized.where(~done)
         if depth >= DEPTH or wide.isEmpty():
-            return out, deep
+            break
+        split = wide.select("path", "uid").join(reps.select("uid", "tokens", "bits"), "uid").join(stored(_samples(wide, reps)), "path")
+        split = stored(_split(split, similarity), batch_rows=2048)
+        asks = split.where("asks").select("path", "uid", F.lit(depth).alias("depth"))
         if depth == SHALLOW:
-            deep = stored(wide.select("uid").distinct())
-        rows = stored(_split(wide.select("path", "uid", "size").join(reps, "uid"), similarity), batch_rows=2048)
+            deep = stored(wide.join(asks, ["path", "uid"], "left_anti").select("uid").distinct())
+        asked = asks if asked is None else asked.unionByName(asks)
+        wides.append(wide)
+        rows = split.where("not asks").select("path", "uid")
         depth += 1
+    if asked is None:
+        return out, None
+    earlier = Window.partitionBy("uid").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    sure = -F.log(F.lit(1.0) - F.pow(F.lit(similarity), F.col("depth")))
+    need = MARGIN * -math.log(1 - recall)
+    held = stored(asked.withColumn("gain", sure).withColumn("before", F.coalesce(F.sum("gain").over(earlier), F.lit(0.0))).where(F.col("before") < need))
+    paths = stored(held.select("path").distinct())
+    for wide in wides:
+        members = by_keys(wide, paths, ["path"], "left_semi").join(held.select("path", "uid", F.lit(True).alias("asks")), ["path", "uid"], "left")
+        out = out.unionByName(members.select(_asking("path", F.coalesce("asks", F.lit(False))).alias("path"), "uid", "size"))
+    if deep is not None:
+        sure_sets = held.where(F.col("before") + F.col("gain") >= need).select("uid")
+        deep = stored(deep.join(sure_sets, "uid", "left_anti"))
+    return stored(out), None if deep is None or deep.isEmpty() else deep
 
 
 def leaves(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
-    """Stored (path, uid, size): the buckets to compare. reps: stored (uid, tokens).
+    """Stored (path, uid, size): the buckets to compare, paths as of ``_asking``. reps: stored (uid, tokens, bits).
 
     A pair at the threshold is missed if no run of all sets takes it to the end of ``SHALLOW`` levels, or if it is taken
     deeper, so that both sets make the further runs, and none of all these runs takes it to the end of ``DEPTH`` levels.
@@ -118,19 +186,19 @@ def leaves(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
     """
     first = runs_for(1 - (1 - recall) * (1 - DEEP_SHARE), SHALLOW)
     all_runs = max(first + 1, runs_for(1 - (1 - recall) * DEEP_SHARE, DEPTH))
-    out, deep = _descend(stored(_split(reps, similarity, range(first)), batch_rows=2048), reps, similarity)
+    out, deep = _descend(stored(_first_split(reps, similarity, range(first)), batch_rows=2048), reps, similarity, recall)
     if deep is None:
         return out
     some = stored(by_keys(reps, deep, "uid", "left_semi"))
-    more, _ = _descend(stored(_split(some, similarity, range(first, all_runs)), batch_rows=2048), some, similarity)
+    more, _ = _descend(stored(_first_split(some, similarity, range(first, all_runs)), batch_rows=2048), some, similarity, recall)
     return out.unionByName(more)
 
 
 def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest common value of two tables with ascending rows; filled places never meet."""
-    hit = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    """Smallest common bucket that one of both asks in, for two tables of paths with ascending rows; filled places never meet."""
+    hit = ((a[:, :, None] >> 1 == b[:, None, :] >> 1) & ((a[:, :, None] | b[:, None, :]) & 1 == 1)).any(axis=2)
     first = hit.argmax(axis=1)
-    return np.where(hit.any(axis=1), a[np.arange(len(a)), first], np.iinfo(np.int64).max)
+    return np.where(hit.any(axis=1), a[np.arange(len(a)), first] >> 1, np.iinfo(np.int64).max)
 
 
 def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -145,13 +213,15 @@ def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tup
     for i, own in enumerate(lists):
         order[i, : len(own)] = own
     filled = order == np.iinfo(np.int64).max
-    right = np.where(filled, np.iinfo(np.int64).max - 1, order)
+    right = np.where(filled, np.iinfo(np.int64).max - 2, order)
+    bucket = path >> 1
     marks = np.frombuffer(b"".join(frame["marks"]), np.uint8).reshape(-1, TOKENS) if sketch else None
 
     def check(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keep = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j])
-        same = order[i, 0] == order[j, 0]
-        keep &= ~same | (order[i, 0] == path[i])
+        keep &= ((path[i] | path[j]) & 1).astype(bool)
+        same = (order[i, 0] >> 1 == order[j, 0] >> 1) & ((order[i, 0] | order[j, 0]) & 1 == 1)
+        keep &= ~same | (order[i, 0] >> 1 == bucket[i])
         i, j, same = i[keep], j[keep], same[keep]
         if sketch and len(i):
             agree = (marks[i] == marks[j]).mean(axis=1)
@@ -162,7 +232,7 @@ def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tup
             rest = np.flatnonzero(~same)
             for at in range(0, len(rest), 2048):
                 some = rest[at : at + 2048]
-                ok[some] = _first_common(order[i[some]], right[j[some]]) == path[i[some]]
+                ok[some] = _first_common(order[i[some]], right[j[some]]) == bucket[i[some]]
             i, j = i[ok], j[ok]
         return i, j
 
@@ -193,11 +263,12 @@ def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tup
 
 def _blocks(rows: DataFrame) -> DataFrame:
     """Add group, side, cross: a bucket is a group; of one with more than ``BLOCK`` sets each pair of blocks is one (cross: two blocks)."""
+    bucket = F.shiftright("path", 1)
     cut = rows.withColumn("__n", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")).withColumn("__own", F.pmod(F.xxhash64("uid"), F.col("__n")).cast("int"))
-    small = cut.where("__n = 1").withColumn("group", F.xxhash64("path", F.lit(0), F.lit(0))).withColumn("side", F.lit(0)).withColumn("cross", F.lit(0))
+    small = cut.where("__n = 1").withColumn("group", F.xxhash64(bucket, F.lit(0), F.lit(0))).withColumn("side", F.lit(0)).withColumn("cross", F.lit(0))
     large = cut.where("__n > 1").withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__n") - F.lit(1))))
     low, high = F.least("__own", "__other"), F.greatest("__own", "__other")
-    large = large.withColumn("group", F.xxhash64("path", low, high)).withColumn("side", (F.col("__own") > F.col("__other")).cast("int")).withColumn("cross", (F.col("__own") != F.col("__other")).cast("int"))
+    large = large.withColumn("group", F.xxhash64(bucket, low, high)).withColumn("side", (F.col("__own") > F.col("__other")).cast("int")).withColumn("cross", (F.col("__own") != F.col("__other")).cast("int"))
     return small.unionByName(large.drop("__other")).drop("__n", "__own")
 
 
@@ -284,7 +355,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     weights = stored(several.select(F.col("rep").alias("uid"), "weight"))
     alone = by_keys(worded, copies, "uid", "left_anti")
     reps = stored(by_keys(alone, weights, "uid", "left").withColumn("weight", F.coalesce("weight", F.lit(1))))
-    found = leaves(reps.select("uid", "tokens"), similarity, recall)
+    found = leaves(reps.select("uid", "tokens", "bits"), similarity, recall)
     own = stored(found.groupBy("uid").agg(F.sort_array(F.collect_list("path")).alias("paths")))
     member = stored(_marked(own.join(reps.select("uid", "n", "tokens"), "uid")))
     group_rows = _blocks(found.join(member, "uid"))

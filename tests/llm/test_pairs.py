@@ -200,22 +200,59 @@ def test_recall_of_pairs_whose_buckets_go_deep(spark, monkeypatch):
         at = rng.permutation(128)[:26]
         two[i, at] = fresh(1)[0, at]
     tokens = np.concatenate([one, two[:500]])
-    rows = [(i, t.tobytes()) for i, t in enumerate(tokens)]
     depths = []
     split = ngram_join._split
 
     def counted(*args):
-        depths.append(len(args) < 3)
+        depths.append(args)
         return split(*args)
 
     monkeypatch.setattr(ngram_join, "_split", counted)
-    reps = ngram_join.stored(spark.createDataFrame(rows, "uid long, tokens binary"))
+    paths = paths_of_sets(spark, tokens)
+    met = [meet(paths, i, 1500 + i) for i in range(500)]
+    assert len(depths) >= 4
+    assert np.mean(met) >= 0.998
+
+
+def paths_of_sets(spark, tokens):
+    rows = [(i, t.tobytes(), np.packbits(t & 1).tobytes()) for i, t in enumerate(tokens)]
+    reps = ngram_join.stored(spark.createDataFrame(rows, "uid long, tokens binary, bits binary"))
     paths = {}
     for r in ngram_join.leaves(reps, 0.8, 0.999).collect():
-        paths.setdefault(r["uid"], set()).add(r["path"])
-    met = [bool(paths.get(i, set()) & paths.get(1500 + i, set())) for i in range(500)]
-    assert sum(depths) >= 4
-    assert np.mean(met) >= 0.998
+        bucket, asks = r["path"] >> 1, r["path"] & 1
+        assert paths.setdefault(r["uid"], {}).setdefault(bucket, asks) == asks
+    return paths
+
+
+def meet(paths, i, j):
+    a, b = paths.get(i, {}), paths.get(j, {})
+    return any(a[p] or b[p] for p in a.keys() & b.keys())
+
+
+@pytest.mark.parametrize("group", [300, 900])
+def test_a_group_of_near_copies_is_compared_in_a_few_buckets(spark, group):
+    rng = np.random.default_rng(5)
+
+    def fresh(n):
+        return rng.integers(0, 1 << 32, (n, 128), dtype=np.uint64).astype(np.uint32)
+
+    template = np.tile(fresh(1), (group, 1))
+    tokens = np.concatenate([np.where(rng.random(template.shape) < 0.93, template, fresh(group)), fresh(1500)])
+    paths = paths_of_sets(spark, tokens)
+    pairs = [(i, j) for i, j in rng.integers(0, group, (4000, 2)) if i != j and (tokens[i] == tokens[j]).mean() >= 0.8]
+    assert len(pairs) > 3000
+    assert np.mean([meet(paths, i, j) for i, j in pairs]) >= 0.999
+    assert np.mean([sum(paths[i].values()) for i in range(group)]) < 8  # buckets a set asks in, however large the group is
+
+
+def test_mean_similarity_of_a_sample():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 32, 128, dtype=np.uint64).astype(np.uint32)
+    sets = np.where(rng.random((400, 128)) < 0.9, base, rng.integers(0, 1 << 32, (400, 128), dtype=np.uint64).astype(np.uint32))
+    bits = np.packbits((sets & 1).astype(np.uint8), axis=1)
+    found = ngram_join.mean_similarity(bits, np.tile(bits[:32], (400, 1, 1)))
+    exact = (sets[:, None] == sets[None, :32]).mean(axis=(1, 2))
+    assert abs(found.mean() - exact.mean()) < 0.02 and np.abs(found - exact).max() < 0.25
 
 
 def test_a_repeated_key_with_a_vector_that_is_not_valid(spark):
