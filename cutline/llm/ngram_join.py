@@ -30,12 +30,13 @@ from cutline.llm.components import components
 from cutline.llm.shingles import min_hashes, mix, shingle_set
 
 TOKENS = 128
-SMALL = 64  # buckets of so many sets are compared
+SMALL = 1024  # buckets of so many sets are compared
+STEP = 64  # groups of so many sets are compared many at a time
 NEAR = 0.9  # share of the threshold from which a set's mean similarity to its bucket makes it ask
 SAMPLE = 32  # sets of a bucket that the mean is estimated from
 DEPTH = 10  # levels after which a bucket is compared whatever its size
 SHALLOW = 2  # levels that the runs of all sets are counted for
-DEEP_SHARE = 0.03  # part of the probability of a miss that is left to pairs whose buckets go deeper
+DEEP_SHARE = 0.45  # part of the probability of a miss that is left to pairs whose buckets go deeper
 MARGIN = 1.25  # a set asks in so many times the buckets that the recall takes, since two runs may choose the same token
 BLOCK = 1024  # sets of a block
 SLACK = 0.2  # min-hash estimates so far below the threshold end a pair (over five standard deviations)
@@ -79,7 +80,7 @@ def _children(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple
 
 
 def _first_split(reps: DataFrame, similarity: float, runs: range) -> DataFrame:
-    """Children (path, uid) of the root in each of ``runs``."""
+    """Children (path, uid) of the root in each of ``runs``, or in those of them below a set's own ``until``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -87,9 +88,11 @@ def _first_split(reps: DataFrame, similarity: float, runs: range) -> DataFrame:
                 continue
             tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, TOKENS)
             uid = batch.column("uid").to_numpy()
+            until = batch.column("until").to_numpy() if "until" in batch.schema.names else np.full(len(uid), runs.stop)
             for r in runs:
-                picked, child = _children(np.full(len(uid), r + 1, np.uint64), tokens, similarity)
-                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(uid[picked])], ["path", "uid"])
+                here = np.flatnonzero(until > r)
+                picked, child = _children(np.full(len(here), r + 1, np.uint64), tokens[here], similarity)
+                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(uid[here][picked])], ["path", "uid"])
 
     return reps.mapInArrow(run, "path long, uid long")
 
@@ -140,8 +143,9 @@ def _asking(path: str, asks) -> Column:
 
 
 def _descend(rows: DataFrame, reps: DataFrame, similarity: float, recall: float) -> tuple[DataFrame, DataFrame | None]:
-    """Stored (path, uid, size): the buckets that first children end in or ask in, paths as of ``_asking``; and (uid): the sets
-    in buckets that went deeper than ``SHALLOW`` levels and did not ask often enough, if there are any."""
+    """Stored (path, uid, size): the buckets that first children end in or ask in, paths as of ``_asking``; and (uid, level): the
+    sets in buckets that went deeper than ``SHALLOW`` levels and did not ask often enough, if there are any, with the level
+    that the deepest ended at."""
     out, deep, asked, wides, depth = None, None, None, [], 1
     while True:
         sizes = stored(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
@@ -155,8 +159,9 @@ def _descend(rows: DataFrame, reps: DataFrame, similarity: float, recall: float)
         split = wide.select("path", "uid").join(reps.select("uid", "tokens", "bits"), "uid").join(stored(_samples(wide, reps)), "path")
         split = stored(_split(split, similarity), batch_rows=2048)
         asks = split.where("asks").select("path", "uid", F.lit(depth).alias("depth"))
-        if depth == SHALLOW:
-            deep = stored(wide.join(asks, ["path", "uid"], "left_anti").select("uid").distinct())
+        if depth >= SHALLOW:
+            stay = wide.join(asks, ["path", "uid"], "left_anti").select("uid", F.lit(depth + 1).alias("level")).distinct()
+            deep = stay if deep is None else deep.unionByName(stay)
         asked = asks if asked is None else asked.unionByName(asks)
         wides.append(wide)
         rows = split.where("not asks").select("path", "uid")
@@ -173,7 +178,7 @@ def _descend(rows: DataFrame, reps: DataFrame, similarity: float, recall: float)
         out = out.unionByName(members.select(_asking("path", F.coalesce("asks", F.lit(False))).alias("path"), "uid", "size"))
     if deep is not None:
         sure_sets = held.where(F.col("before") + F.col("gain") >= need).select("uid")
-        deep = stored(deep.join(sure_sets, "uid", "left_anti"))
+        deep = stored(deep.groupBy("uid").agg(F.max("level").alias("level")).join(sure_sets, "uid", "left_anti"))
     return stored(out), None if deep is None or deep.isEmpty() else deep
 
 
@@ -181,16 +186,16 @@ def leaves(reps: DataFrame, similarity: float, recall: float) -> DataFrame:
     """Stored (path, uid, size): the buckets to compare, paths as of ``_asking``. reps: stored (uid, tokens, bits).
 
     A pair at the threshold is missed if no run of all sets takes it to the end of ``SHALLOW`` levels, or if it is taken
-    deeper, so that both sets make the further runs, and none of all these runs takes it to the end of ``DEPTH`` levels.
-    The second has ``DEEP_SHARE`` of the probability that ``recall`` leaves, since fewer sets make those runs.
+    deeper, so that both sets make the further runs that the level takes which their buckets reached, and none of all these
+    runs takes it to that level's end. The second has ``DEEP_SHARE`` of the probability that ``recall`` leaves.
     """
     first = runs_for(1 - (1 - recall) * (1 - DEEP_SHARE), SHALLOW)
-    all_runs = max(first + 1, runs_for(1 - (1 - recall) * DEEP_SHARE, DEPTH))
     out, deep = _descend(stored(_first_split(reps, similarity, range(first)), batch_rows=2048), reps, similarity, recall)
     if deep is None:
         return out
-    some = stored(by_keys(reps, deep, "uid", "left_semi"))
-    more, _ = _descend(stored(_first_split(some, similarity, range(first, all_runs)), batch_rows=2048), some, similarity, recall)
+    until = [max(first + 1, runs_for(1 - (1 - recall) * DEEP_SHARE, d)) for d in range(1, DEPTH + 1)]
+    some = stored(reps.join(deep, "uid").withColumn("until", F.element_at(F.array(*map(F.lit, until)), F.col("level"))).drop("level"))
+    more, _ = _descend(stored(_first_split(some, similarity, range(first, until[-1])), batch_rows=2048), some, similarity, recall)
     return out.unionByName(more)
 
 
@@ -239,8 +244,8 @@ def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tup
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     ends = np.r_[starts[1:], len(group)]
     lengths = ends - starts
-    small = np.repeat(lengths <= SMALL, lengths)
-    for d in range(1, int(min(SMALL, lengths.max()))):
+    small = np.repeat(lengths <= STEP, lengths)
+    for d in range(1, int(min(STEP, lengths.max()))):
         i = np.flatnonzero(small[:-d] & (group[d:] == group[:-d]))
         if not len(i):
             break
@@ -248,7 +253,7 @@ def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tup
         i, j = check(i, i + d)
         if len(i):
             yield i, j
-    for a, z in zip(starts[lengths > SMALL], ends[lengths > SMALL]):
+    for a, z in zip(starts[lengths > STEP], ends[lengths > STEP]):
         rows = np.arange(a, z)
         ones, twos = (rows[side[a:z] == 0], rows[side[a:z] == 1]) if cross[a] else (rows, rows)
         for at in range(0, len(ones), 32):

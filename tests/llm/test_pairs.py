@@ -230,7 +230,8 @@ def meet(paths, i, j):
 
 
 @pytest.mark.parametrize("group", [300, 900])
-def test_a_group_of_near_copies_is_compared_in_a_few_buckets(spark, group):
+def test_a_group_of_near_copies_is_compared_in_a_few_buckets(spark, monkeypatch, group):
+    monkeypatch.setattr(ngram_join, "SMALL", 64)
     rng = np.random.default_rng(5)
 
     def fresh(n):
