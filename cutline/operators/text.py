@@ -5,11 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cutline.session import checkpointed
+
 # fixed values: comments the shop writes itself
 BOILERPLATE = ("评价方未及时做出评价,系统默认好评!", "好评！", " ")
 
@@ -17,7 +21,10 @@ LETTERS = r"[\p{L}]+"
 CJK = "[一-龥]"
 WORD_RUN = "[一-龥a-zA-Z0-9]+"
 LITERAL_STOP_WORDS = 10_000
-DICTIONARY_WORDS = 2_000_000
+FILTER_BITS = 26  # two to this power is the size of the word filter in bits
+BATCH_CHARS = 1 << 18  # characters of runs that share one small dictionary
+BASE, UNBASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+RUNS, BATCH, MAYBE, TIMES = "__runs", "__batch", "__maybe", "__times"
 
 
 def new_comments(
@@ -77,27 +84,120 @@ def split_run(run: str, cost: Mapping[str, float], unknown: float) -> list[str]:
     return words
 
 
+def hash_sums(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of code points times powers, and the inverse powers: what ``string_bits`` takes."""
+    up, down = np.full(len(points) + 1, BASE, np.uint64), np.full(len(points) + 1, UNBASE, np.uint64)
+    up[0] = down[0] = 1
+    sums = np.zeros(len(points) + 1, np.uint64)
+    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * np.cumprod(up)[:-1], out=sums[1:])
+    return sums, np.cumprod(down)
+
+
+def string_bits(sums: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Bit of the word filter for each string from ``starts`` to ``ends``: a polynomial hash of its code points."""
+    x = (sums[ends] - sums[starts]) * down[starts]
+    return ((x ^ x >> np.uint64(31)) * BASE >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts in a row, and where each starts (and the last ends)."""
+    sizes = np.cumsum([0, *map(len, texts)])
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4"), sizes
+
+
+def word_filter(words: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """A bit map that holds every word's hash, of a fixed size however many words there are, and the lengths that words have.
+
+    It only spares strings that are no words the join; the more words, the fewer it spares.
+    """
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points, at = _points(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_pydict({"bit": string_bits(*hash_sums(points), at[:-1], at[1:]), "length": np.diff(at)})
+
+    hashed = words.select("word").mapInArrow(bits, "bit long, length long")
+    place = F.col("bit") + 1  # Spark's bit maps count from one
+    parts = hashed.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"), F.collect_set("length").alias("lengths"))
+    out, lengths = np.zeros(1 << FILTER_BITS - 3, np.uint8), set()
+    for r in parts.collect():  # 4 KB of bits a row, 8 MB in all
+        start = (r["part"] - 1) * len(r["map"])
+        out[start : start + len(r["map"])] = np.frombuffer(r["map"], np.uint8)
+        lengths |= set(r["lengths"])
+    return out, sorted(lengths)
+
+
+def candidates(runs: Sequence[str], held: np.ndarray, lengths: Sequence[int]) -> list[str]:
+    """Distinct strings inside the runs that the filter does not rule out as words."""
+    points, at = _points(runs)
+    whole, found = "".join(runs), set()
+    left = np.repeat(at[1:], np.diff(at)) - np.arange(len(points))  # characters up to the end of the run
+    sums, down = hash_sums(points)
+    for n in lengths:
+        starts = np.flatnonzero(left >= n)
+        bit = string_bits(sums, down, starts, starts + n)
+        hit = starts[(held[bit >> 3] >> (bit & 7) & 1).astype(bool)]
+        found.update(whole[i : i + n] for i in hit.tolist())
+    return sorted(found)
+
+
 def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame, out: str) -> DataFrame:
     """Words of unsegmented text by a (word, frequency) dictionary; words need a CJK character and no digit.
 
-    The runs to cut are found by Spark; Arrow batches only carry those runs.
+    The dictionary stays a table, of any size. Rows are taken in batches; the strings of a batch's runs that may be words, told
+    by a bit map of fixed size, are joined with it, and what is found comes back to the batch as its own small dictionary.
+    Each run is then cut along the cheapest path. Frequencies of a repeated word add up. A NULL text has no words.
     """
-    if dictionary.limit(DICTIONARY_WORDS + 1).count() > DICTIONARY_WORDS:
-        raise ValueError(f"a dictionary of more than {DICTIONARY_WORDS} words does not fit every executor")
-    entries = {r["word"]: float(r["frequency"]) for r in dictionary.select("word", "frequency").collect()}
-    whole = math.log(sum(entries.values()) or 1.0)
-    costs = {w: whole - math.log(max(n, 1.0)) for w, n in entries.items()}
-    shared = df.sparkSession.sparkContext.broadcast(with_prefixes(costs))
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cost = shared.value
-        for runs in batches:
-            yield runs.map(lambda rs: None if rs is None else [
-                w for r in rs for w in split_run(r, cost, whole)])
+    spark = df.sparkSession
+    entries = checkpointed(dictionary.where("word IS NOT NULL AND word <> ''").groupBy("word").agg(
+        F.sum(F.coalesce(F.col("frequency").cast("double"), F.lit(0.0))).alias("frequency")))
+    whole = math.log(entries.agg(F.sum("frequency")).first()[0] or 1.0)
+    filtered, lengths = word_filter(entries)
+    shared = spark.sparkContext.broadcast((filtered, lengths))
+    columns = df.columns
+    schema = T.StructType([*df.schema, T.StructField(RUNS, T.ArrayType(T.StringType())), T.StructField(BATCH, T.LongType()),
+                           T.StructField(MAYBE, T.ArrayType(T.StringType()))])
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Number the batches; the first row of each carries the strings to look up."""
+        held, lengths = shared.value
+        base = TaskContext.get().partitionId() << 33
+        number = 0
+        for batch in batches:
+            sizes = np.cumsum([sum(map(len, r or ())) for r in batch.column(RUNS).to_pylist()])
+            cuts = np.flatnonzero(np.diff(sizes // BATCH_CHARS)) + 1 if batch.num_rows else []
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                part = batch.slice(a, b - a)
+                if part.num_rows:
+                    strings = candidates([r for rs in part.column(RUNS).to_pylist() for r in rs or ()], held, lengths)
+                    maybe = pa.array([strings, *[None] * (part.num_rows - 1)], pa.list_(pa.string()))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array([base + number] * part.num_rows, pa.int64()), maybe], schema.names)
+                    number += 1
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        costs: dict[str, float] = {}
+        at = None
+        for batch in batches:
+            words = []
+            for number, own, times, runs in zip(*(batch.column(c).to_pylist() for c in (BATCH, MAYBE, TIMES, RUNS))):
+                if times is not None:
+                    at, costs = number, with_prefixes({w: whole - math.log(max(n, 1.0)) for w, n in zip(own, times)})
+                    continue
+                found = costs if number == at else {}
+                words.append(None if runs is None else [w for r in runs for w in split_run(r, found, whole)])
+            rows = batch.filter(batch.column(TIMES).is_null())
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.array(words, pa.list_(pa.string()))], [*columns, out])
 
     runs = F.filter(F.regexp_extract_all(F.col(text), F.lit(WORD_RUN), F.lit(0)), lambda r: r.rlike(CJK))
-    return df.withColumn(out, F.filter(cut(runs), lambda w: w.rlike(CJK) & ~w.rlike("[0-9]")))
+    rows = checkpointed(df.withColumn(RUNS, runs).mapInArrow(told, schema))
+    looked_up = rows.select(BATCH, F.explode(MAYBE).alias("word")).join(entries, "word")
+    own = looked_up.groupBy(BATCH).agg(F.collect_list(F.struct("word", "frequency")).alias("all"))
+    own = own.select(BATCH, F.col("all.word").alias(MAYBE), F.col("all.frequency").alias(TIMES))
+    both = rows.drop(MAYBE).unionByName(own, allowMissingColumns=True).select(*columns, RUNS, BATCH, MAYBE, TIMES)
+    dealt = both.repartition(BATCH).sortWithinPartitions(BATCH, F.col(TIMES).isNull())
+    split = dealt.mapInArrow(cut, T.StructType([*df.schema, T.StructField(out, T.ArrayType(T.StringType()))]))
+    return split.withColumn(out, F.filter(out, lambda w: w.rlike(CJK) & ~w.rlike("[0-9]")))
 
 
 def spread(scan: DataFrame) -> DataFrame:

@@ -1,5 +1,8 @@
 """Loading, clean-up, sinks, SQL jobs, comments."""
 
+import math
+import random
+import re
 from datetime import datetime
 
 import pytest
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cutline.functions.standardize import (
     apply_dictionary, cast_keys, columns_of_kind, null_minimum_dates, replace_commas, standardize_types)
+from cutline.operators import text
 from cutline.operators.entities import Entity, EntitySet, Parent, keep_last_by_key, product_join, with_native_keys
 from cutline.operators.text import new_comments, split_run, with_prefixes, word_rows
 from cutline.sources.readers import (
@@ -162,11 +166,12 @@ def test_words(spark):
 
 def brute(run, cost, unknown):
     """Cheapest of all ways to cut a run."""
-    if not run:
-        return 0.0
-    ways = [unknown + brute(run[1:], cost, unknown)]
-    ways += [cost[run[:i]] + brute(run[i:], cost, unknown) for i in range(1, len(run) + 1) if run[:i] in cost]
-    return min(ways)
+    least = [0.0]  # of the last characters, one more each time
+    for at in range(len(run) - 1, -1, -1):
+        ways = [unknown + least[-1]]
+        ways += [cost[run[at : at + i]] + least[-i] for i in range(1, len(run) - at + 1) if run[at : at + i] in cost]
+        least.append(min(ways))
+    return least[-1]
 
 
 def test_dictionary_segmentation(spark):
@@ -180,3 +185,48 @@ def test_dictionary_segmentation(spark):
     got = [r.word for r in word_rows(comments, "content", ["衬衫"], dictionary).collect()]
     assert sorted(got) == sorted(["连衣裙", "好看", "t恤", "好看"])
     assert comments.select(F.col("oid")).count() == 2
+
+
+@pytest.mark.parametrize("chars", [1 << 18, 40])
+def test_segmentation_against_brute_force(spark, monkeypatch, chars):
+    """Any words and runs, repeated rows and words, batches that end inside an Arrow batch, runs beyond every word."""
+    monkeypatch.setattr(text, "BATCH_CHARS", chars)
+    rng = random.Random(chars)
+    letters = "一丁七万丈a1"
+    words = [("".join(rng.choice(letters) for _ in range(rng.randint(1, 5))), rng.randint(0, 60)) for _ in range(60)] + [("一" * 30, 2), (None, 5), ("", 3)]
+    frequency = {}
+    for w, n in words:
+        if w:
+            frequency[w] = frequency.get(w, 0) + n
+    whole = math.log(sum(frequency.values()))
+    cost = {w: whole - math.log(max(n, 1)) for w, n in frequency.items()}
+    texts = ["".join(rng.choice(letters + " ,") for _ in range(rng.randint(0, 14))) for _ in range(120)] + [None, "", "abc 12", "一" * 31, "丁丁"] + ["一丁七"] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "oid long, content string").repartition(3)
+    got = text.dictionary_words(df, "content", spark.createDataFrame(words, "word string, frequency long"), "words")
+    assert got.columns == ["oid", "content", "words"]
+    rows = {r.oid: r for r in got.collect()}
+    assert rows.keys() == set(range(len(texts)))
+    for i, t in enumerate(texts):
+        assert rows[i].content == t
+        if t is None:
+            assert rows[i].words is None
+            continue
+        runs = [r for r in re.findall("[一-龥a-zA-Z0-9]+", t) if re.search("[一-龥]", r)]
+        want = [w for r in runs for w in split_run(r, with_prefixes(cost), whole)]
+        assert sum(cost.get(w, whole) for r in runs for w in split_run(r, with_prefixes(cost), whole)) == pytest.approx(sum(brute(r, cost, whole) for r in runs))
+        assert rows[i].words == [w for w in want if re.search("[一-龥]", w) and not re.search("[0-9]", w)]
+
+
+def test_segmentation_without_a_dictionary(spark):
+    df = spark.createDataFrame([(1, "一丁七")], "oid long, content string")
+    none = spark.createDataFrame([], "word string, frequency long")
+    assert text.dictionary_words(df, "content", none, "w").first().w == ["一", "丁", "七"]
+    assert text.dictionary_words(df.limit(0), "content", none, "w").count() == 0
+
+
+def test_segmentation_looks_up_in_a_table(spark):
+    """The dictionary is joined, whatever its size; nothing but a bit map of fixed size is sent to the tasks."""
+    many = spark.range(300_000).select(F.concat(F.lit("丁"), F.translate(F.conv(F.col("id").cast("string"), 10, 8), "01234567", "一七万丈三上下不")).alias("word"), F.lit(3).alias("frequency"))
+    df = spark.createDataFrame([(i, "丁七万丈丈") for i in range(50)], "oid long, content string")
+    out = text.dictionary_words(df, "content", many, "w")
+    assert {tuple(r.w) for r in out.collect()} == {("丁七万丈丈",)}
