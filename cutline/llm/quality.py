@@ -3,75 +3,36 @@
 The model looks at ``ORDER`` - 1 characters and knows every code point; what the trusted text never shows shares the last
 back-off equally. Counts cover all trusted text: tasks count their share, the shares are summed by n-gram, and the tables of
 discounts and back-off weights come from joins of the count tables, sharded by context and kept as Parquet. They grow with
-the trusted text. While they have at most ``HELD`` rows they are sent to the tasks and each document is scored where it
-lies; n-grams of the ``SYMBOLS`` - 2 most frequent characters are then read from a dense table, all others from the sorted
-ones. Beyond, the distinct n-grams of the documents are joined with the tables. Both ways give the same perplexities. A
-document is scored over its whole text, and is rejected if its perplexity lies above what all but a few of the trusted
-documents of its language have.
+the trusted text and never leave the tables: documents are packed into batches, the distinct n-grams of all batches are joined
+with the tables of every order, and each batch gets back the probabilities of its own n-grams. A document is scored over its
+whole text, and is rejected if its perplexity lies above what all but a few of the trusted documents of its language have.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from cutline.llm.common import by_keys, few, heavy, stored, text_batches
+from cutline.llm.common import by_keys, stored, text_batches
 
-SYMBOLS = 64
-BITS = 6
 ORDER = 4
-START = SYMBOLS - 1
 WIDE = 21  # bits of a code point
 POINTS = 0x110000  # number of code points; as a character it stands before the text start
-HELD = 2_000_000  # rows of a model that is sent to the tasks
-COUNTED = 1 << 21  # characters a task counts before it hands its counts on
-PIECE = 1 << 20  # characters scored at once
+COUNTED = 1 << 20  # characters whose n-grams are sorted at once
+BATCH = 1 << 22  # characters of a batch of documents
 
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def symbol_table(points: list[int]) -> np.ndarray:
-    """Class of each code point: 1 and up for the given ones, 0 for all others; ``START`` for the text start."""
-    out = np.zeros(POINTS + 1, np.uint8)
-    out[points] = np.arange(1, len(points) + 1)
-    out[POINTS] = START
-    return out
-
-
-def ngram_codes(text: str, classes: np.ndarray) -> np.ndarray:
-    """Code of the n-gram that ends at each character; the text start fills missing ones."""
-    s = np.concatenate([np.full(ORDER - 1, START, np.int32), classes[code_points(text)].astype(np.int32)])
-    n = len(s) - ORDER + 1
-    out = s[:n]
-    for i in range(1, ORDER):
-        out = out << BITS | s[i : i + n]
-    return out
-
-
-def frequent_characters(texts: DataFrame, k: int = SYMBOLS - 2) -> list[int]:
-    """The k most frequent code points of the column ``text``, ties by code point."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0x110000, np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                points, n = np.unique(code_points(text), return_counts=True)
-                total[points] += n
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"point": pa.array(seen, pa.int64()), "n": pa.array(total[seen], pa.int64())})
-
-    counts = text_batches(texts.select("text"), run, "point long, n long").groupBy("point").agg(F.sum("n").alias("n"))
-    return [r["point"] for r in counts.orderBy(F.desc("n"), "point").limit(k).collect()]
-
-
 def _ranked(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a run of characters and, from the ``ORDER``-th character on, which of them ends there.
 
@@ -95,58 +56,55 @@ def _ranked(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return grams.astype(np.int64), which.ravel()
 
 
-def _joined(grams: np.ndarray, bits: int) -> np.ndarray:
-    """Characters of each row as one number of ``bits`` bits a character."""
+def _joined(grams: np.ndarray) -> np.ndarray:
+    """Characters of each row as one number."""
     out = np.zeros(len(grams), np.int64)
     for i in range(grams.shape[1]):
-        out = out << bits | grams[:, i]
+        out = out << WIDE | grams[:, i]
     return out
 
 
-def _pieces(text: str, start: int, classes: np.ndarray | None) -> Iterator[np.ndarray]:
+def _pieces(text: str) -> Iterator[np.ndarray]:
     """The characters of a text in pieces of ``COUNTED``, each behind the ``ORDER`` - 1 characters before it."""
-    before = np.full(ORDER - 1, start, np.int64)
+    before = np.full(ORDER - 1, POINTS, np.int64)
     for at in range(0, len(text), COUNTED):
-        own = code_points(text[at : at + COUNTED])
-        piece = np.concatenate([before, own if classes is None else classes[own]])
+        piece = np.concatenate([before, code_points(text[at : at + COUNTED])])
         yield piece
         before = piece[1 - ORDER :]
 
 
-def gram_counts(texts: DataFrame, bits: int = WIDE, points: list[int] | None = None) -> DataFrame:
-    """(context, point, c): occurrences of every n-gram of order ``ORDER`` in the column ``text``, ``bits`` bits a character
-    of the context. Characters are code points, or their classes if ``points`` are given."""
-    start = POINTS if points is None else START
+def _grouped(texts: list[str]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """Numbers of texts and their pieces, about ``COUNTED`` characters at a time."""
+    numbers, held, size = [], [], 0
+    for i, text in enumerate(texts):
+        for piece in _pieces(text):
+            numbers.append(i)
+            held.append(piece)
+            size += len(piece)
+            if size >= COUNTED:
+                yield numbers, held
+                numbers, held, size = [], [], 0
+    if held:
+        yield numbers, held
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = None if points is None else symbol_table(points)
-        held: list[np.ndarray] = []
-        size = 0
 
-        def counted() -> pa.RecordBatch:
-            grams, which = _ranked(np.concatenate(held))
-            ends = np.concatenate([np.arange(len(p)) >= ORDER - 1 for p in held])[ORDER - 1 :]
-            n = np.bincount(which[ends], minlength=len(grams))
-            grams, n = grams[n > 0], n[n > 0]
-            return pa.RecordBatch.from_pydict({"context": pa.array(_joined(grams[:, :-1], bits)), "point": pa.array(grams[:, -1], pa.int32()), "c": pa.array(n, pa.int64())})
+def _ends(held: list[np.ndarray]) -> np.ndarray:
+    """Which of the n-grams of all pieces in a row belong to one piece."""
+    return np.concatenate([np.arange(len(p)) >= ORDER - 1 for p in held])[ORDER - 1 :]
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for piece in _pieces(text, start, classes):
-                    held.append(piece)
-                    size += len(piece)
-                    if size >= COUNTED:
-                        yield counted()
-                        held, size = [], 0
-        if size:
-            yield counted()
 
-    return text_batches(texts.select("text"), run, "context long, point int, c long").groupBy("context", "point").agg(F.sum("c").alias("c"))
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(context, point, c): occurrences of every n-gram of order ``ORDER`` in the column ``text``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, held in _grouped(batch.column(0).to_pylist()):
+                grams, which = _ranked(np.concatenate(held))
+                n = np.bincount(which[_ends(held)], minlength=len(grams))
+                grams, n = grams[n > 0], n[n > 0]
+                yield pa.RecordBatch.from_pydict({"context": pa.array(_joined(grams[:, :-1])), "point": pa.array(grams[:, -1], pa.int32()), "c": pa.array(n, pa.int64())})
 
-def ngram_counts(texts: DataFrame, points: list[int]) -> DataFrame:
-    """(code, c): occurrences of every n-gram of the classes of ``points``."""
-    return gram_counts(texts, BITS, points).select(F.shiftleft("context", BITS).bitwiseOR(F.col("point").cast("long")).alias("code"), "c")
+    return text_batches(texts.select("text"), run, "context long, point int, c long").groupBy("context", "point").agg(F.sum("c").alias("c"))
 
 
 def discounts(spectrum: dict[int, int]) -> tuple[float, float, float]:
@@ -161,70 +119,7 @@ def discounts(spectrum: dict[int, int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), i - 0.05) for i, d in ((1, d1), (2, d2), (3, d3)))
 
 
-@dataclass
-class Model:
-    points: list[int]
-    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # per order: codes, own shares, contexts, back-off weights
-    unseen: float = 1.0 / SYMBOLS  # probability of a character that no order has seen
-
-    def dense(self) -> np.ndarray:
-        """Natural logarithm of the probability of every n-gram code."""
-        p = np.full(SYMBOLS, self.unseen, np.float64)
-        for n, (codes, own, contexts, weights) in enumerate(self.levels, 1):
-            rows = SYMBOLS ** (n - 1)
-            back = np.ones(rows, np.float32)
-            back[contexts] = weights
-            lower = p.reshape(-1, SYMBOLS).astype(np.float32)
-            q = np.empty((rows // len(lower), len(lower), SYMBOLS), np.float32)
-            np.multiply(lower[None], back.reshape(-1, len(lower), 1), out=q)
-            p = q.reshape(-1)
-            p[codes] += own
-        return np.log(p, out=p)
-
-
-def _found(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the wanted values in an ascending array, and whether they are there."""
-    if not len(ordered):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
-    return at, ordered[at] == wanted
-
-
-@dataclass
-class WholeModel:
-    """Per order: contexts (ascending), their back-off weights, n-grams (place of the context and the point, ascending), own shares."""
-
-    levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-
-    def logs(self, contexts: np.ndarray, points: np.ndarray) -> np.ndarray:
-        """Natural logarithm of the probability of each n-gram."""
-        p, scale = np.zeros(len(points)), np.ones(len(points))
-        for n in range(ORDER, 0, -1):
-            known, weights, grams, own = self.levels[n - 1]
-            at, there = _found(known, contexts & (1 << WIDE * (n - 1)) - 1)
-            place, hit = _found(grams, at << WIDE | points)
-            hit &= there
-            p[hit] += scale[hit] * own[place[hit]]
-            scale[there] *= weights[at[there]]
-        return np.log(p + scale / POINTS)
-
-    def frequent(self, points: list[int]) -> Model:
-        """The same model for n-grams of some characters only."""
-        classes, levels = symbol_table(points).astype(np.int64), []
-
-        def coded(joined: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-            rows = classes[np.stack([joined >> WIDE * (n - 1 - i) & (1 << WIDE) - 1 for i in range(n)], axis=1)] if n else np.ones((len(joined), 0), np.int64)
-            return _joined(rows, BITS), (rows > 0).all(axis=1)
-
-        for n, (known, weights, grams, own) in enumerate(self.levels, 1):
-            context, inside = coded(known, n - 1)
-            point, ends = coded(grams & (1 << WIDE) - 1, 1)
-            keep = inside[grams >> WIDE] & ends
-            levels.append(((context[grams >> WIDE] << BITS | point)[keep], own[keep], context[inside], weights[inside]))
-        return Model(points, levels, 1.0 / POINTS)
-
-
-def shares(counts: DataFrame, bits: int) -> list[tuple[DataFrame, DataFrame]]:
+def shares(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     """Per order from 1 on, stored: (context, point, own) and (context, weight). Lower orders count distinct left neighbours."""
     out, now = [], counts
     for n in range(ORDER, 0, -1):
@@ -235,33 +130,11 @@ def shares(counts: DataFrame, bits: int) -> list[tuple[DataFrame, DataFrame]]:
         own = stored(cut.join(contexts, "context").select("context", "point", ((F.col("c") - F.col("cut")) / F.col("total")).alias("own")))
         out.append((own, contexts.select("context", (F.col("mass") / F.col("total")).alias("weight"))))
         if n > 1:
-            shorter = F.col("context").bitwiseAND(F.lit((1 << bits * (n - 2)) - 1).cast("long"))
+            shorter = F.col("context").bitwiseAND(F.lit((1 << WIDE * (n - 2)) - 1).cast("long"))
             now = stored(now.select(shorter.alias("context"), "point").groupBy("context", "point").agg(F.count(F.lit(1)).alias("c")))
     return out[::-1]
 
 
-def fit(counts: DataFrame, points: list[int]) -> Model:
-    """The model of stored n-gram counts over the classes of ``points``."""
-    split = counts.select(F.shiftright("code", BITS).alias("context"), F.col("code").bitwiseAND(F.lit(SYMBOLS - 1)).cast("int").alias("point"), "c")
-    levels = []
-    for own, contexts in shares(split, BITS):
-        a, b = own.toPandas(), contexts.toPandas()
-        levels.append((a["context"].to_numpy("i8") << BITS | a["point"].to_numpy("i8"), a["own"].to_numpy("f4"), b["context"].to_numpy("i8"), b["weight"].to_numpy("f4")))
-    return Model(points, levels)
-
-
-def collected(tables: list[tuple[DataFrame, DataFrame]]) -> WholeModel:
-    levels = []
-    for own, contexts in tables:
-        b = contexts.toPandas().sort_values("context")
-        known = b["context"].to_numpy("i8")
-        a = own.toPandas()
-        grams = np.searchsorted(known, a["context"].to_numpy("i8")).astype(np.int64) << WIDE | a["point"].to_numpy("i8")
-        order = np.argsort(grams)
-        levels.append((known, b["weight"].to_numpy("f8"), grams[order], a["own"].to_numpy("f8")[order]))
-    return WholeModel(levels)
-
-
 def looked_up(grams: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """(context, point, log): the distinct n-grams ``grams`` joined with the tables of all orders, by context."""
     now = grams.withColumn("p", F.lit(0.0)).withColumn("scale", F.lit(1.0))
@@ -274,86 +147,77 @@ def looked_up(grams: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> Da
     return now.select("context", "point", F.log(F.col("p") + F.col("scale") / F.lit(float(POINTS))).alias("log"))
 
 
-def gram_places(texts: DataFrame) -> DataFrame:
-    """(context, point, uids, counts): the distinct n-grams of some texts of a task, and how often each text has them."""
+def packed(texts: DataFrame, key: str) -> DataFrame:
+    """Batches of documents: keys, langs, marks, lengths (-1: null), their texts compressed, and their distinct n-grams."""
+    kind = dict(texts.dtypes)[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[int, np.ndarray]] = []
+        held: list[pa.RecordBatch] = []
         size = 0
 
-        def placed() -> pa.RecordBatch:
-            grams, which = _ranked(np.concatenate([p for _, p in held]))
-            ends = np.concatenate([np.arange(len(p)) >= ORDER - 1 for _, p in held])[ORDER - 1 :]
-            texts, text = np.unique([u for u, _ in held], return_inverse=True)
-            text = np.repeat(text, [len(p) for _, p in held])[ORDER - 1 :]
-            both, n = np.unique(which[ends].astype(np.int64) * len(texts) + text[ends], return_counts=True)
-            gram = both // len(texts)
-            first = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
-            offsets = pa.array(np.r_[first, len(gram)], pa.int32())
-            used = grams[gram[first]]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(_joined(used[:, :-1], WIDE)), pa.array(used[:, -1], pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(texts[both % len(texts)], pa.int64())),
-                 pa.ListArray.from_arrays(offsets, pa.array(n, pa.int64()))], ["context", "point", "uids", "counts"])
+        def closed() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            texts = rows.column("__text").to_pylist()
+            contexts, points = [], []
+            for _, pieces in _grouped([t for t in texts if t]):
+                grams, which = _ranked(np.concatenate(pieces))
+                grams = grams[np.bincount(which[_ends(pieces)], minlength=len(grams)) > 0]
+                contexts.append(_joined(grams[:, :-1]))
+                points.append(grams[:, -1])
+            both = np.unique(np.stack([np.concatenate(contexts), np.concatenate(points)], 1), axis=0) if contexts else np.zeros((0, 2), np.int64)
+            lengths = np.array([-1 if t is None else len(t) for t in texts], np.int64)
+            body = zstandard.ZstdCompressor(level=1).compress("".join(t or "" for t in texts).encode("utf-8", "surrogatepass"))
+            lists = [rows.column(key), rows.column("lang"), rows.column("mark"), pa.array(lengths), pa.array(both[:, 0]), pa.array(both[:, 1])]
+            types = [rows.schema.field(key).type, pa.string(), *[pa.int64()] * 4]
+            arrays = [pa.array([x.to_pylist()], pa.list_(t)) for x, t in zip(lists, types)]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array([body], pa.binary())], ["keys", "langs", "marks", "lengths", "contexts", "points", "body"])
 
         for batch in batches:
-            for uid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for piece in _pieces(text, POINTS, None):
-                    held.append((uid, piece))
-                    size += len(piece)
-                    if size >= COUNTED:
-                        yield placed()
-                        held, size = [], 0
-        if size:
-            yield placed()
-
-    return text_batches(texts.select("uid", "__text"), run, "context long, point int, uids array<long>, counts array<long>")
+            held.append(batch)
+            size += batch.column("__text").nbytes
+            if size >= BATCH:
+                yield closed()
+                held, size = [], 0
+        if held:
+            yield closed()
 
+    schema = f"keys array<{kind}>, langs array<string>, marks array<long>, lengths array<long>, contexts array<long>, points array<long>, body binary"
+    return stored(text_batches(texts.select(key, "lang", "mark", "__text"), run, schema).withColumn("batch", F.monotonically_increasing_id()))
 
-def _by_join(texts: DataFrame, tables: list[tuple[DataFrame, DataFrame]], key: str) -> DataFrame:
-    """Scores of a model that is too large to be sent to the tasks."""
-    texts = stored(texts.withColumn("uid", F.monotonically_increasing_id()))
-    places = stored(gram_places(texts.where(F.length("__text") > 0)))
-    logs = stored(looked_up(places.select("context", "point").distinct(), tables))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("uids")
-            uids, which = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-            each = np.repeat(batch.column("log").to_numpy(), np.diff(lists.offsets.to_numpy()))
-            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(np.bincount(which, each * batch.column("counts").flatten().to_numpy(), len(uids)))], ["uid", "log"])
-
-    sums = stored(places.join(logs, ["context", "point"]).mapInArrow(run, "uid long, log double").groupBy("uid").agg(F.sum("log").alias("log")), batch_rows=2048)
-    n = F.coalesce(F.length("__text"), F.lit(0)).cast("long")
-    return texts.join(sums, "uid", "left").select(key, "lang", n.alias("n_chars"), F.exp(-F.col("log") / n).alias("perplexity"))
-
-
-def _table(shared) -> tuple[np.ndarray, np.ndarray, WholeModel]:
-    """Classes, dense log probabilities and the whole of a broadcast model, built once per process."""
-    model, points = shared.value["model"], shared.value["points"]
-    return heavy(("characters", shared.value["id"]), lambda: (symbol_table(points), model.frequent(points).dense(), model))
-
-
-def mean_loss(text: str, classes: np.ndarray, logs: np.ndarray, whole: WholeModel | None = None) -> float:
-    """Mean negative log probability of the characters of a text that is not empty; n-grams with a character of class 0
-    are looked up in ``whole``."""
-    total = 0.0
-    for at in range(0, len(text), PIECE):
-        part = text[max(0, at - ORDER + 1) : at + PIECE]
-        first = ORDER - 1 if at else 0
-        loss = logs[ngram_codes(part, classes)]
-        if whole is not None:
-            points = code_points(part)
-            rare = classes[points] == 0
-            if rare.any():
-                odd = rare.copy()
-                for i in range(1, ORDER):
-                    odd[i:] |= rare[:-i]
-                ends = np.flatnonzero(odd)
-                s = np.concatenate([np.full(ORDER - 1, POINTS, np.int64), points.astype(np.int64)])
-                grams = s[ends[:, None] + np.arange(ORDER)]
-                loss[ends] = whole.logs(_joined(grams[:, :-1], WIDE), grams[:, -1])
-        total -= float(loss[first:].sum(dtype=np.float64))
-    return total / len(text)
+def scored(texts: DataFrame, tables: list[tuple[DataFrame, DataFrame]], key: str) -> DataFrame:
+    """key, lang, mark, n_chars, perplexity of all documents by the count tables."""
+    kind = dict(texts.dtypes)[key]
+    batches = packed(texts, key)
+    grams = batches.select("batch", F.posexplode(F.arrays_zip("contexts", "points")).alias("at", "gram"))
+    grams = grams.select("batch", "at", F.col("gram.contexts").alias("context"), F.col("gram.points").cast("int").alias("point"))
+    logs = stored(looked_up(grams.select("context", "point").distinct(), tables))
+    back = grams.join(logs, ["context", "point"]).groupBy("batch").agg(F.collect_list(F.struct("at", "log")).alias("logs"))
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in rows for r in batch.to_pylist()):
+            log = np.zeros(len(row["contexts"]))
+            for x in row["logs"] or ():
+                log[x["at"]] = x["log"]
+            place = {g: i for i, g in enumerate(zip(row["contexts"], row["points"]))}
+            whole = zstandard.ZstdDecompressor().decompress(row["body"]).decode("utf-8", "surrogatepass")
+            ends = np.cumsum(np.maximum(row["lengths"], 0))
+            texts = [whole[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+            total = np.zeros(len(texts))
+            for numbers, held in _grouped(texts):
+                found, which = _ranked(np.concatenate(held))
+                inside = _ends(held)
+                keys = zip(_joined(found[:, :-1]).tolist(), found[:, -1].tolist())
+                own = np.array([log[place[g]] if g in place else 0.0 for g in keys])  # those across two texts are not there
+                text = np.repeat(numbers, [len(p) for p in held])[ORDER - 1 :]
+                total += np.bincount(text[inside], own[which[inside]], len(texts))
+            loss = [math.exp(-x / n) if n > 0 else None for x, n in zip(total.tolist(), row["lengths"])]
+            schema = pa.schema([(key, rows_type), ("lang", pa.string()), ("mark", pa.int64()), ("n_chars", pa.int64()), ("perplexity", pa.float64())])
+            yield pa.RecordBatch.from_pydict({key: row["keys"], "lang": row["langs"], "mark": row["marks"], "n_chars": [max(n, 0) for n in row["lengths"]], "perplexity": loss}, schema=schema)
+
+    rows_type = to_arrow_type(texts.schema[key].dataType)
+    joined = batches.join(back, "batch", "left").select("keys", "langs", "marks", "lengths", "contexts", "points", "body", "logs")
+    return text_batches(joined, run, f"`{key}` {kind}, lang string, mark long, n_chars long, perplexity double")
 
 
 def trusted_keys(labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -362,47 +226,22 @@ def trusted_keys(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     return worst.where("q = 1 and t = 0").select(key)
 
 
-def _in_place(texts: DataFrame, model: WholeModel, points: list[int], key: str) -> DataFrame:
-    """Scores of a model that is sent to the tasks."""
-    size = (len(model.levels[-1][2]), float(model.levels[-1][3].sum()), float(model.levels[-1][1].sum()))
-    shared = texts.sparkSession.sparkContext.broadcast({"id": hash((tuple(points), *size)), "model": model, "points": points})
-    kind = dict(texts.dtypes)[key]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes, logs, whole = _table(shared)
-        for batch in batches:
-            texts = batch.column("__text").to_pylist()
-            loss = [mean_loss(t, classes, logs, whole) if t else None for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), batch.column("lang"), pa.array([len(t or "") for t in texts], pa.int64()),
-                 pa.array([None if x is None else math.exp(x) for x in loss], pa.float64())], [key, "lang", "n_chars", "perplexity"])
-
-    return text_batches(texts, run, f"`{key}` {kind}, lang string, n_chars long, perplexity double")
-
-
 def perplexities(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Stored table: key, lang, n_chars, perplexity (null for a text without characters), trusted."""
+    """Stored table: key, lang, mark (a hash of text and lang), n_chars, perplexity (null for a text without characters), trusted."""
     keys = stored(trusted_keys(labels, key).withColumn("__trusted", F.lit(True)))
     texts = docs.where(F.length("text") > 0)
     trusted = by_keys(texts, keys.select(key), key, "left_semi").select("text")
-    trusted = trusted if few(keys) else stored(trusted)  # read twice
-    tables = shares(stored(gram_counts(trusted)), WIDE)
-    narrow = docs.select(key, F.col("lang").cast("string").alias("lang"), F.col("text").alias("__text"))
-    if sum(own.count() + contexts.count() for own, contexts in tables) > HELD:
-        scored = _by_join(narrow, tables, key)
-    else:
-        scored = _in_place(narrow, collected(tables), frequent_characters(trusted), key)
-    return stored(stored(scored).join(keys, key, "left").withColumn("trusted", F.coalesce("__trusted", F.lit(False))).drop("__trusted"))
+    tables = shares(stored(gram_counts(trusted)))
+    narrow = docs.select(key, F.col("lang").cast("string").alias("lang"), _mark(docs).alias("mark"), F.col("text").alias("__text"))
+    rows = stored(scored(narrow, tables, key))
+    return stored(by_keys(rows, keys, key, "left").withColumn("trusted", F.coalesce("__trusted", F.lit(False))).drop("__trusted"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", share: float = 0.98, margin: float = 1.15) -> DataFrame:
-    """One row per document: key, lang, n_chars, perplexity, threshold, kept.
+def _mark(docs: DataFrame):
+    return F.xxhash64(F.col("lang").cast("string"), "text")
 
-    The threshold of a language is ``margin`` times the perplexity that the ``share`` of its trusted documents stay below;
-    languages without trusted documents (and a null lang) take the one over all trusted documents. Without any trusted
-    document nothing is rejected. Null and empty texts have no perplexity and are rejected. Rows may repeat; labels that
-    contradict each other make a document untrusted. Other columns are not read. An empty table gives no rows.
-    """
+
+def _verdicts(docs: DataFrame, labels: DataFrame, key: str, share: float, margin: float) -> DataFrame:
     scores = perplexities(docs, labels, key)
     known = scores.where("trusted and perplexity is not null")
     at = F.percentile_approx("perplexity", F.lit(share), F.lit(100_000))
@@ -411,10 +250,25 @@ def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", share: float
     threshold = F.coalesce("__own", F.lit(overall).cast("double")) * F.lit(margin)
     out = scores.join(by_lang, "lang", "left").withColumn("threshold", threshold)
     kept = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
-    return out.withColumn("kept", kept).select(key, "lang", "n_chars", "perplexity", "threshold", "kept")
+    return out.withColumn("kept", kept)
+
 
+def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", share: float = 0.98, margin: float = 1.15) -> DataFrame:
+    """One row per document: key, lang, n_chars, perplexity, threshold, kept.
 
-def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The documents that are not rejected, with their columns."""
-    gone = stored(judge(docs, labels, key).where("not kept").select(F.col(key).alias("__gone")).distinct())
-    return by_keys(docs, gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
+    The threshold of a language is ``margin`` times the perplexity that the ``share`` of its trusted documents stay below;
+    languages without trusted documents (and a null lang) take the one over all trusted documents. Without any trusted
+    document nothing is rejected. Null and empty texts have no perplexity and are rejected. Rows may repeat; labels that
+    contradict each other make a document untrusted. Other columns are not read. An empty table gives no rows.
+    """
+    return _verdicts(docs, labels, key, share, margin).select(key, "lang", "n_chars", "perplexity", "threshold", "kept")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", share: float = 0.98, margin: float = 1.15) -> DataFrame:
+    """The documents that ``judge`` does not reject, with their columns.
+
+    Each row has its own verdict, by key, text and lang, so of documents that share a key, or have none, only the bad ones go.
+    """
+    gone = _verdicts(docs, labels, key, share, margin).where("not kept").select(F.col(key).alias("__gone"), "mark").distinct()
+    gone = stored(gone.withColumnRenamed("mark", "__of"))
+    return by_keys(docs.withColumn("__mark", _mark(docs)), gone, F.col(key).eqNullSafe(F.col("__gone")) & (F.col("__mark") == F.col("__of")), "left_anti").drop("__mark")

@@ -1,3 +1,5 @@
+import math
+
 import zlib
 
 import numpy as np
@@ -52,30 +54,12 @@ def labels_of(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 
-def test_model_is_a_distribution(spark):
-    texts = spark.createDataFrame([(prose(300, i),) for i in range(20)], "text string")
-    points = quality.frequent_characters(texts)
-    dense = np.exp(quality.fit(quality.stored(quality.ngram_counts(texts, points)), points).dense().astype(np.float64))
-    sums = dense.reshape(-1, quality.SYMBOLS).sum(axis=1)
-    assert sums == pytest.approx(np.ones(len(sums)), abs=1e-3)
-    assert dense.min() > 0
-
-
-def test_counts_and_model_against_brute_force(spark):
-    texts = [prose(60, i) for i in range(6)]
-    frame = spark.createDataFrame([(t,) for t in texts], "text string")
-    points = quality.frequent_characters(frame)
-    classes = quality.symbol_table(points)
+def brute_perplexity(trusted, text):
     grams = {}
-    for t in texts:
-        s = [quality.START] * 3 + [int(classes[ord(c)]) for c in t]
-        for i in range(3, len(s)):
-            g = tuple(s[i - 3 : i + 1])
-            grams[g] = grams.get(g, 0) + 1
-    coded = {sum(x << 6 * (3 - i) for i, x in enumerate(g)): n for g, n in grams.items()}
-    counts = quality.stored(quality.ngram_counts(frame, points))
-    assert {r["code"]: r["c"] for r in counts.collect()} == coded
-
+    for t in trusted:
+        t = "^^^" + t
+        for i in range(3, len(t)):
+            grams[t[i - 3 : i + 1]] = grams.get(t[i - 3 : i + 1], 0) + 1
     levels, now = [], grams
     for _ in range(4):
         levels.append(now)
@@ -86,7 +70,7 @@ def test_counts_and_model_against_brute_force(spark):
 
     def probability(gram, n):
         if n == 4:
-            return 1 / quality.SYMBOLS
+            return 1 / quality.POINTS
         level = levels[n]
         cuts = quality.discounts({k: sum(v == k for v in level.values()) for k in (1, 2, 3, 4)})
         same = [v for g, v in level.items() if g[:-1] == gram[:-1]]
@@ -97,10 +81,31 @@ def test_counts_and_model_against_brute_force(spark):
         cut = cuts[min(own, 3) - 1] if own else 0
         return (own - cut) / sum(same) + sum(cuts[min(v, 3) - 1] for v in same) / sum(same) * lower
 
-    dense = np.exp(quality.fit(counts, points).dense())
-    some = list(grams)[:40] + [(1, 2, 3, 4), (5, 5, 5, 5), (63, 63, 63, 0), (9, 8, 7, 60)]
-    for g in some:
-        assert dense[sum(x << 6 * (3 - i) for i, x in enumerate(g))] == pytest.approx(probability(g, 0), rel=1e-3)
+    padded = "^^^" + text
+    return math.exp(-sum(math.log(probability(padded[i - 3 : i + 1], 0)) for i in range(3, len(padded))) / len(text))
+
+
+@pytest.mark.parametrize("counted, batch", [(1 << 20, 1 << 22), (7, 50)])
+def test_perplexities_against_brute_force(spark, monkeypatch, counted, batch):
+    monkeypatch.setattr(quality, "COUNTED", counted)
+    monkeypatch.setattr(quality, "BATCH", batch)
+    texts = [prose(12, i) for i in range(8)] + ["naïve café 日本語 日本", "z", "zzzzzz", "日本", "the\U0001F600of"]
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)] + [(20, None, "en", "a", 0), (21, "", None, "a", 0)]
+    trusted = [0, 1, 2, 3, 8]
+    got = {r["doc_id"]: r for r in quality.judge(docs_of(spark, rows).repartition(3), labels_of(spark, [(i, 1, 0) for i in trusted])).collect()}
+    assert got.keys() == {r[0] for r in rows} and got[20]["perplexity"] is None and got[21]["n_chars"] == 0
+    for i, t in enumerate(texts):
+        assert got[i]["perplexity"] == pytest.approx(brute_perplexity([texts[k] for k in trusted], t), rel=1e-6)
+        assert got[i]["n_chars"] == len(t)
+
+
+def test_each_row_has_its_own_verdict(spark):
+    good = [(i, prose(200, i), "en", "a", 0) for i in range(20)]
+    junk = "".join(np.random.default_rng(1).choice(list("qxzjkvwpm"), 600))
+    docs = docs_of(spark, [*good, (3, junk, "en", "a", 0), (None, junk, "en", "a", 0), (None, prose(200, 50), "en", "a", 0), (4, None, "en", "a", 0)])
+    kept = quality.keep_good(clashing(docs), labels_of(spark, [(r[0], 1, 0) for r in good[5:]]), margin=1.5)
+    assert sorted((r["doc_id"], r["text"]) for r in kept.where("doc_id is not null").collect()) == [(r[0], r[1]) for r in good]
+    assert [r["text"] for r in kept.where("doc_id is null").collect()] == [prose(200, 50)]
 
 
 def test_junk_goes_and_clean_text_stays(spark):
@@ -114,7 +119,7 @@ def test_junk_goes_and_clean_text_stays(spark):
 
 
 def test_quality_takes_awkward_rows(spark, monkeypatch):
-    monkeypatch.setattr(quality, "PIECE", 1000)
+    monkeypatch.setattr(quality, "COUNTED", 1000)
     docs = clashing(docs_of(spark))
     labels = labels_of(spark, [(1, 1, 0), (2, 1, 0), (6, 1, 0), (11, 1, 0), (8, 1, 0), (8, 0, 0), (None, 1, 0), (12, 0, 0), (14, 1, None)])
     rows = quality.judge(docs, labels).collect()
@@ -127,23 +132,14 @@ def test_quality_takes_awkward_rows(spark, monkeypatch):
     assert quality.judge(docs.limit(0), labels).count() == 0
 
 
-def test_pieces_of_a_long_text_score_like_the_whole(monkeypatch):
-    classes = quality.symbol_table([ord(c) for c in "abcdefgh ot"])
-    logs = np.log(np.random.default_rng(0).random(quality.SYMBOLS**quality.ORDER).astype("f4") + 0.01)
-    text = prose(500, 2)
-    whole = quality.mean_loss(text, classes, logs)
-    monkeypatch.setattr(quality, "PIECE", 37)
-    assert quality.mean_loss(text, classes, logs) == pytest.approx(whole)
-
-
 def script(first, n, seed, letters=40):
     rng = np.random.default_rng(seed)
     words = ["".join(chr(first + c) for c in np.random.default_rng(k).integers(0, letters, 5)) for k in range(30)]
     return " ".join(words[k] for k in rng.integers(0, 30, n))
 
 
-def test_alphabets_outside_the_frequent_characters_are_judged(spark, monkeypatch):
-    """Mostly Latin trusted text: two other scripts have perplexities of their own, shuffled letters go; both ways of scoring agree."""
+def test_several_alphabets_are_judged(spark):
+    """Mostly Latin trusted text: two other scripts have perplexities of their own, shuffled letters go."""
     latin = "".join(chr(c) for c in range(33, 127))
     rows = [(i, prose(300, i) + latin, "en", "a", 0) for i in range(40)]
     junk = {}
@@ -161,10 +157,3 @@ def test_alphabets_outside_the_frequent_characters_are_judged(spark, monkeypatch
     for k in (1, 2):
         clean = [got[r[0]]["perplexity"] for r in rows if r[0] // 100 == k]
         assert min(got[i]["perplexity"] for i in junk if i // 1000 == k) > 2 * max(clean)
-    monkeypatch.setattr(quality, "HELD", 0)
-    monkeypatch.setattr(quality, "COUNTED", 1000)
-    joined = {r["doc_id"]: r for r in quality.judge(docs, labels).collect()}
-    assert got.keys() == joined.keys()
-    for k, r in got.items():
-        assert (joined[k]["kept"], joined[k]["n_chars"], joined[k]["lang"]) == (r["kept"], r["n_chars"], r["lang"])
-        assert joined[k]["perplexity"] == (r["perplexity"] and pytest.approx(r["perplexity"], rel=1e-4))
