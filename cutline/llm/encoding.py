@@ -18,7 +18,7 @@ from cutline.llm.common import heavy
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO = 500_000  # chunks kept per process, some 100 MB; a full memo is halved
+MEMO = 200_000  # chunks kept per process, some 40 MB; a full memo is halved
 LONGEST = 64  # longer chunks are not kept
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 CHUNK = re.compile(r"[ \n\t\r]*[^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ](?![^ \n\t\r.,!?%$&*#])|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")

@@ -29,6 +29,11 @@ def _near(df: DataFrame, groups: DataFrame, on: list[str]) -> DataFrame:
 
 def copy_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per text that occurs more than once: its SHA-256, the largest key, the number of rows."""
+    return _refined(docs, key, text)[0]
+
+
+def _refined(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """``copy_groups``, and the stored (length, prefix) groups whose texts were hashed whole."""
     base = docs.select(F.col(key).alias("__id"), _text(text).alias("__text")).withColumn("__length", F.octet_length("__text").cast("long"))
     lengths = stored(base.groupBy("__length").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__length"))
     started = _near(base, lengths, ["__length"]).withColumn("__prefix", F.xxhash64(F.substring("__text", 1, PREFIX)))
@@ -36,7 +41,7 @@ def copy_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     whole = _near(base.withColumn("__prefix", F.xxhash64(F.substring("__text", 1, PREFIX))), prefixes, ["__length", "__prefix"])
     hashed = whole.select("__id", "__length", F.sha2("__text", 256).alias("text_sha256"))
     groups = hashed.groupBy("__length", "text_sha256").agg(F.max("__id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return groups.where("group_size > 1").select("text_sha256", "keep_id", "group_size")
+    return groups.where("group_size > 1").select("text_sha256", "keep_id", "group_size"), prefixes
 
 
 def _verdicts(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -62,11 +67,16 @@ def mark_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one per text, with the columns of ``docs`` as they are.
 
-    Rows that go are told by key and hash; texts move only where those are too many to broadcast. A row that repeats another
-    one in key and text is the rare case with a shuffle of its own.
+    Only texts that share length and beginning with another one are hashed. Rows that go are told by key and hash; texts move
+    only where those are too many to broadcast. A row that repeats another one in key and text is the rare case with a
+    shuffle of its own.
     """
-    groups = stored(copy_groups(docs, key, text).select(F.unhex("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep")))
-    hashed = docs.withColumn("__sha", F.unhex(F.sha2(_text(text), 256)))
+    found, prefixes = _refined(docs, key, text)
+    groups = stored(found.select(F.unhex("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep")))
+    begun = docs.withColumn("__length", F.octet_length(_text(text)).cast("long")).withColumn("__prefix", F.xxhash64(F.substring(_text(text), 1, PREFIX)))
+    likely = prefixes.withColumn("__likely", F.lit(True))
+    told = begun.join(F.broadcast(likely) if prefixes.count() <= BROADCAST_GROUPS else likely, ["__length", "__prefix"], "left")
+    hashed = told.withColumn("__sha", F.when(F.col("__likely"), F.unhex(F.sha2(_text(text), 256))))
     members = stored(hashed.select(F.col(key).alias("__id"), "__sha").join(groups, "__sha").withColumn("__stays", F.col("__id").eqNullSafe(F.col("__keep"))))
     same = (F.col("__sha") == F.col("__of")) & F.col(key).eqNullSafe(F.col("__id"))
 

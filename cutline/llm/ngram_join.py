@@ -65,10 +65,12 @@ def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                 tokens.append(held.tobytes() if len(s) else None)
                 bits.append(np.packbits(held & 1).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (sets, tokens, bits))], [key, "n", "set_hash", "tokens", "bits"])
+                [batch.column(key), batch.column("mark"), pa.array(n, pa.int64()), *(pa.array(c, pa.binary()) for c in (sets, tokens, bits))],
+                [key, "mark", "n", "set_hash", "tokens", "bits"])
 
-    narrow = docs.select(F.col(key), F.col(text).alias("__text"))
-    return stored(text_batches(narrow, run, f"`{key}` {kind}, n long, set_hash binary, tokens binary, bits binary").withColumn("uid", F.monotonically_increasing_id()))
+    narrow = docs.select(F.col(key), F.xxhash64(text).alias("mark"), F.col(text).alias("__text"))
+    schema = f"`{key}` {kind}, mark long, n long, set_hash binary, tokens binary, bits binary"
+    return stored(text_batches(narrow, run, schema).withColumn("uid", F.monotonically_increasing_id()))
 
 
 def _children(paths: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -352,6 +354,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     words (null, empty, white space) link with nothing. Repeated rows are copies of each other. Other columns are not read.
     ``recall``: probability that a pair at the threshold is met; above the threshold it is higher. An empty table gives no rows.
     """
+    return _judged(docs, key, text, similarity, recall).drop("mark")
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with their columns: one document of each class.
+
+    A row is told by its key and a hash of its text, so documents that share a key, or have none, are judged one by one; rows
+    that repeat key and text are one document and stay or go together.
+    """
+    seen = _judged(docs, key, text, similarity, recall).groupBy(key, "mark").agg(F.max("kept").alias("kept"))
+    gone = stored(seen.where("not kept").select(F.col(key).alias("__gone"), F.col("mark").alias("__of")))
+    same = F.col(key).eqNullSafe(F.col("__gone")) & (F.col("__mark") == F.col("__of"))
+    return by_keys(docs.withColumn("__mark", F.xxhash64(text)), gone, same, "left_anti").drop("__mark")
+
+
+def _judged(docs: DataFrame, key: str, text: str, similarity: float, recall: float) -> DataFrame:
+    """``near_duplicates`` with mark, a hash of the text."""
     sketches = _sketches(docs, key, text)
     worded = sketches.where("set_hash is not null")
     classes = stored(worded.groupBy("set_hash").agg(F.min("uid").alias("rep"), F.count(F.lit(1)).alias("weight")))
@@ -408,8 +427,8 @@ def _result(sketches: DataFrame, classes: DataFrame, counts: DataFrame, parts: D
     per_class = stored(reached.select(
         "set_hash", F.coalesce("component", "rep").alias("component"), F.col("weight").alias("n_copies"),
         (F.coalesce("links", F.lit(0)) + F.col("weight") - F.lit(1)).alias("n_links")))
-    rows = stored(sketches.select(F.col(key), "uid", "set_hash").join(per_class, "set_hash", "left").select(
-        F.col(key), "uid", F.coalesce("component", "uid").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies")))
+    rows = stored(sketches.select(F.col(key), "mark", "uid", "set_hash").join(per_class, "set_hash", "left").select(
+        F.col(key), "mark", "uid", F.coalesce("component", "uid").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies")))
     first = stored(rows.groupBy("component").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("uid").alias("uid"))).alias("first")))
     out = rows.join(first, "component")
-    return out.select(F.col(key), F.col("first.key").alias("class_id"), "n_links", "n_copies", (F.col("uid") == F.col("first.uid")).alias("kept"))
+    return out.select(F.col(key), "mark", F.col("first.key").alias("class_id"), "n_links", "n_copies", (F.col("uid") == F.col("first.uid")).alias("kept"))

@@ -1,8 +1,8 @@
 """Token ids in binary files: blocks of ids in bit or byte planes, each plane compressed, with a chunk index.
 
 A file holds the ids of consecutive documents in ascending key order. Its bytes are: magic ``CPL1``, six little-endian
-unsigned 32-bit numbers (planes a block: 32 bit planes or 4 byte planes, ids a block, documents, blocks, 0, 0), an unsigned
-64-bit number of ids, then the document index (key as signed 64-bit, first id and number of ids as unsigned 64-bit each),
+unsigned 32-bit numbers (planes a block: 32 bit planes or 4 byte planes, ids a block, documents, blocks, documents without a
+key, which come first, 0), an unsigned 64-bit number of ids, then the document index (key as signed 64-bit, first id and number of ids as unsigned 64-bit each),
 then the chunk index (compressed size of every plane of every block, unsigned 32-bit) and the planes in that order. Files
 travel as binary values of one Parquet table, so any storage that Spark reaches can hold them.
 """
@@ -48,20 +48,26 @@ def ids_of(planes: list[bytes], n: int) -> np.ndarray:
     return raw.reshape(-1).view("<u4")
 
 
-def pack_file(keys: list[int], parts: list[bytes], bits: bool = False, block: int = BLOCK_IDS) -> bytes:
-    """The bytes of a file with the given documents."""
+def pack_file(keys: list[int | None], parts: list[bytes], bits: bool = False, block: int = BLOCK_IDS) -> bytes:
+    """The bytes of a file with the given documents; those without a key come first."""
+    nameless = sum(k is None for k in keys)
     ids = np.frombuffer(b"".join(parts), "<u4")
     lengths = np.array([len(p) // 4 for p in parts], "<u8")
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype("<u8") if len(parts) else lengths
     squeeze = zstandard.ZstdCompressor(level=LEVEL).compress
     chunks = [squeeze(p) for at in range(0, len(ids), block) for p in planes_of(ids[at : at + block], bits)]
     width = 32 if bits else 4
-    head = MAGIC + struct.pack("<6IQ", width, block, len(keys), len(chunks) // width, 0, 0, len(ids))
+    head = MAGIC + struct.pack("<6IQ", width, block, len(keys), len(chunks) // width, nameless, 0, len(ids))
     index = np.zeros(len(keys), np.dtype([("key", "<i8"), ("start", "<u8"), ("n", "<u8")]))
-    index["key"], index["start"], index["n"] = keys, starts, lengths
+    index["key"], index["start"], index["n"] = [k or 0 for k in keys], starts, lengths
     return b"".join([head, index.tobytes(), np.array([len(c) for c in chunks], "<u4").tobytes(), *chunks])
 
 
+def nameless_documents(data: bytes) -> int:
+    """How many documents at the start of a file have no key."""
+    return struct.unpack_from("<6IQ", data, 4)[4]
+
+
 def unpack_file(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The document index and all ids of a file."""
     if data[:4] != MAGIC:
@@ -88,13 +94,12 @@ def write_files(docs: DataFrame, path: str, end_id: int = 0, key: str = "doc_id"
 
     Documents go to ranges of ascending key (equal keys by a hash of the text, so any run gives the same order), a task
     streams its range and closes a file after ``FILE_IDS`` ids, so it never holds more than that and one document. Null
-    texts are empty; every document ends with ``end_id``. A null key raises, since a file has no place for it.
+    texts are empty; every document ends with ``end_id``. Documents without a key come first. Keys are integers; rows may repeat and
+    each is written; other columns are ignored; an empty table gives no files.
     """
     narrow = docs.select(F.col(key).cast("long").alias("__key"), F.coalesce(text, F.lit("")).alias("__text"))
-    size = narrow.agg(F.sum(F.octet_length("__text")).alias("b"), F.sum(F.col("__key").isNull().cast("int")).alias("nulls")).first()
-    if size["nulls"]:
-        raise ValueError(f"{size['nulls']} documents have no {key}")
-    ranges = max(1, -(-(size["b"] or 0) // RANGE_BYTES))
+    size = narrow.agg(F.sum(F.octet_length("__text")).alias("b")).first()["b"] or 0
+    ranges = max(1, -(-size // RANGE_BYTES))
     ordered = narrow.repartitionByRange(int(ranges), "__key", F.xxhash64("__text")).sortWithinPartitions("__key", F.xxhash64("__text"))
     end = struct.pack("<I", end_id)
 
@@ -139,7 +144,7 @@ def read_files(files: DataFrame) -> DataFrame:
                 first, n = index["start"].astype("i8"), index["n"].astype("i8")
                 crc = [zlib.crc32(raw[a * 4 : (a + b) * 4]) for a, b in zip(first.tolist(), n.tolist())]
                 yield pa.RecordBatch.from_pydict({
-                    "file_no": pa.array(np.full(len(n), no, "i8")), "doc_id": pa.array(index["key"].astype("i8")), "__start": pa.array(first),
+                    "file_no": pa.array(np.full(len(n), no, "i8")), "doc_id": pa.array(index["key"].astype("i8"), mask=np.arange(len(n)) < nameless_documents(data)), "__start": pa.array(first),
                     "n_tokens": pa.array(n), "ids_crc32": pa.array(crc, pa.int64())})
 
     read = text_batches(files.select("file_no", "payload"), run, "file_no long, doc_id long, __start long, n_tokens long, ids_crc32 long")

@@ -1,5 +1,4 @@
 import math
-
 import zlib
 
 import numpy as np

@@ -88,8 +88,9 @@ def test_token_files_of_documents(spark, monkeypatch):
     assert got == want
     assert files.count() > 1
     assert token_output.read_files(token_output.write_files(docs_of(spark, []), path)).count() == 0
-    with pytest.raises(ValueError, match="no doc_id"):
-        token_output.write_files(docs_of(spark, [(None, "a", "en", "s", 1)]), path)
+    rows = [(None, "a b", "en", "s", 1), (-5, "c", "en", "s", 1), (3, "d", "en", "s", 1), (None, None, "en", "s", 1)]
+    got = sorted((tuple(r) for r in token_output.read_files(token_output.write_files(docs_of(spark, rows), path)).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [None, None, -5, 3] and [r[1] for r in got] == [sum(r[2] for r in got[:i]) for i in range(4)]
 
 
 @settings(max_examples=25, deadline=None)
