@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cutline.functions.calendar import as_datetime, seconds_between
+from cutline.functions.calendar import as_datetime, ntz, seconds_between
 from cutline.functions.moments import aligned
-from cutline.functions.primitives import MERGES, PARTIALS, TREND_ORIGIN, aggregate, transform
+from cutline.functions.primitives import BUILT_IN, MERGES, PARTIALS, TREND_ORIGIN, aggregate, transform
 from cutline.operators.entities import Entity, EntitySet
 from cutline.operators.ranking import Slots, exact_quantiles, percentile_rank, previous_row
 from cutline.operators.skew import split_hot
@@ -25,6 +25,7 @@ FIRST_MOMENT = datetime(1, 1, 1)
 MAX_TIMES = 1000
 EXPRESSIONS_PER_PASS = 120
 # cutoff minus event time: which partials of the event time give a partial of the difference
+ENDS_AT_CUTOFF = ("time_since_first", "time_since_last", "days_since_last")  # change with every cutoff
 AGE_NEEDS = {"rows": ("rows",), "cnt": ("cnt",), "sum": ("sum", "cnt"), "min": ("max",), "max": ("min",)}
 KEY, TIME, AT, TIE = "__key", "__time", "__at", "__tie"
 
@@ -62,8 +63,7 @@ def make_features(
 ) -> DataFrame:
     """(key, time, one column per feature) with the rows of ``instances``.
 
-    Instances before the target's own time are left out, as are none else; a NULL cutoff has rows
-    with empty features.     ``instances`` has the target's key and ``time``. ``times`` are its distinct cutoffs, if known;
+    Instances before the target's own time are left out; a NULL cutoff has rows with empty features. ``instances`` has the target's key and ``time``. ``times`` are its distinct cutoffs, if known;
     otherwise they are read with one small job. Up to a thousand cutoffs are served by time
     buckets; with more, rows join their instances on key and time range.
     """
@@ -439,8 +439,72 @@ def _paired(pairs, names, features, ids, on) -> DataFrame:
     return out
 
 
+def _streams(es, child: Entity, f: Feature, window: _Window) -> bool:
+    """Does the inner aggregate only change where a row comes in, and can the outer one be merged?
+
+    So it is with cutoffs known in advance that all reach back to the first moment, and partials that a running sum, minimum or
+    maximum carries on.
+    """
+    inner = f.source.inner
+    prim = aggregate(inner.primitive)
+    if window.buckets is None or window.spec.training_window is not None or not child.time or not es[inner.entity].time:
+        return False
+    if prim.name in ENDS_AT_CUTOFF or prim.name not in BUILT_IN or prim.route not in ("merge", "order"):
+        return False
+    if inner.source is not None and (inner.source.how == "inner" or _is_age(inner.source)):
+        return False
+    simple = all(PARTIALS[need].merge in ("sum", "min", "max") for need in prim.needs)
+    return simple and aggregate(f.primitive).route in ("merge", "order")
+
+
+def _streamed(es, rows, names, features, ids, window: _Window, grandchild: Entity, column: str) -> DataFrame:
+    """Outer aggregates from the changes of the inner ones.
+
+    An inner aggregate keeps its value from one of its own rows to the next. So each child row has one state per time bucket
+    with a change, valid from that bucket to the one before the next change, whatever the number of cutoffs. States of a key
+    with the same first and last bucket are aggregated before they move by key, and only there meet the cutoffs.
+    """
+    buckets = window.buckets
+    times = sorted({w.cutoff for w in buckets.windows})  # cutoff number j takes the buckets 0 to j
+    sources = list(dict.fromkeys(f.source for f in features))
+    inner = [s.inner for s in sources]
+    wheres = [f.where[0] for f in inner if f.where]
+    below, below_names = _prepare(es, grandchild, column, [*[f.source for f in inner], *wheres])
+    partials = _Partials(inner, below_names)
+    reduced = buckets.assign(below, AT).groupBy(F.col(KEY).alias("__row"), F.col(BUCKET).alias("__b")).agg(
+        *[c.alias(f"i_{n}") for n, c in partials.columns.items()])
+    owners = buckets.assign(rows.where(F.col(AT).isNotNull()), AT)
+    held = [f"i_{n}" for n in partials.columns]
+    own = owners.select("__row", F.col(BUCKET).alias("__own"))
+    later = reduced.join(own, "__row").select("__row", F.greatest("__b", "__own").alias("__from"), *held)
+    start = own.select("__row", F.col("__own").alias("__from"), *[F.lit(None).cast(reduced.schema[c].dataType).alias(c) for c in held])
+    changes = later.unionByName(start).groupBy("__row", "__from").agg(
+        *[MERGES[how](F.col(f"i_{n}")).alias(f"i_{n}") for n, how in partials.merges.items()])
+    order = Window.partitionBy("__row").orderBy("__from")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = changes.select("__row", "__from", F.coalesce(F.lead("__from").over(order) - 1, F.lit(len(times) - 1)).alias("__last"),
+                            *[MERGES[how](F.col(f"i_{n}")).over(running).alias(n) for n, how in partials.merges.items()])
+    inner_ids = {f.name: f"g{i}" for i, f in enumerate(inner)}
+    states = states.select("__row", "__from", "__last", *[partials.finish(f).alias(inner_ids[f.name]) for f in inner])
+    side = owners.drop(BUCKET).join(states, "__row").withColumns({names[s]: _filled(s.inner, inner_ids[s.inner.name]) for s in sources})
+    outer = _Partials(features, names)
+    spans = side.groupBy(KEY, "__from", "__last").agg(*[c.alias(n) for n, c in outer.columns.items()])
+    moved = outer.aligned(spans.repartition(KEY))
+    cutoffs = F.array(*[ntz(t) for t in times])
+    wide = moved.withColumn("__j", F.explode(F.sequence("__from", "__last"))).withColumn(TIME, F.get(cutoffs, F.col("__j")))
+    done = wide.groupBy(KEY, TIME).agg(*[MERGES[how](F.col(n)).alias(n) for n, how in outer.merges.items()])
+    return done.select(KEY, TIME, *[outer.finish(f).alias(ids[f.name]) for f in features])
+
+
 def _inner(es, child: Entity, rows, names, features, ids, window: _Window):
     """Aggregates over child rows of an aggregate over their own children, both up to the cutoff."""
+    for grandchild, column in es.children(child.name):
+        mine = [f for f in features if f.source.inner.entity == grandchild.name and _streams(es, child, f, window)]
+        if mine:
+            yield _streamed(es, rows, names, mine, ids, window, grandchild, column)
+            features = [f for f in features if f not in mine]
+    if not features:
+        return
     pairs = window.pairs(rows)
     stacks: dict[str, list[Source]] = {}
     for s in dict.fromkeys(f.source for f in features):

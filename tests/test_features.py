@@ -146,6 +146,41 @@ def test_where_parent_and_stacked_features(spark):
     assert row["MAX(orders.COUNT(lines))"] == 2 and row["MEDIAN(orders.SUM(lines.n))"] == 1.0
 
 
+def stacked(spark):
+    rng = np.random.default_rng(7)
+    o = [(i, int(rng.integers(0, 6)), before(int(rng.integers(-5, 120))), float(rng.integers(0, 50)), bool(i % 2), "ab"[i % 2]) for i in range(80)]
+    lines = [(int(rng.integers(0, 80)), float(rng.integers(0, 9)), "pq"[int(rng.integers(0, 2))], before(int(rng.integers(-10, 130)))) for _ in range(300)]
+    lines += [(3, 1.0, "p", None), (None, 1.0, "p", CUT), (4, None, "q", before(50))]
+    below = Entity("lines", spark.createDataFrame([(i, *r) for i, r in enumerate(lines)], "lk long, ok long, n double, kind string, at timestamp_ntz"),
+                   key="lk", time="at", parents=[Parent("orders", "ok")])
+    return EntitySet([customers(spark, range(7)), orders(spark, o), below]).with_interesting({"orders": {"word": ["a"]}, "lines": {"kind": ["p"]}})
+
+
+@pytest.mark.parametrize("include", [False, True])
+def test_changes_give_what_all_pairs_give(spark, monkeypatch, include):
+    es = stacked(spark)
+    times = [before(d) for d in (0, 20, 21, 60, 119, 300)]
+    spec = FeatureSpec("customer", aggregates=["count", "sum", "mean", "max", "min", "first", "last", "std", "skew", "trend", "median", "time_since_last"],
+                       transforms=[], where=["count", "sum"], include_cutoff=include)
+    deep = [f for f in plan_features(es, spec) if f.source is not None and f.source.how == "inner"]
+    assert len(deep) > 20
+    inst = instances(spark, range(7), times)
+    got = rows_of(make_features(es, spec, inst, times, deep))
+    monkeypatch.setattr(features, "_streams", lambda *a: False)
+    same(got, rows_of(make_features(es, spec, inst, times, deep)))
+
+
+def test_changes_move_before_they_meet_the_cutoffs(spark):
+    es = stacked(spark)
+    times = [before(d) for d in range(0, 200, 10)]
+    deep = [f for f in plan_features(es, FeatureSpec("customer", aggregates=["mean", "sum"], transforms=[])) if f.name == "MEAN(orders.SUM(lines.n))"]
+    window = features._Window(features.past_windows(times, FeatureSpec("customer")), None, FeatureSpec("customer"))
+    rows, names = features._prepare(es, es["orders"], "ck", [f.source for f in deep])
+    plan = plan_of(features._streamed(es, rows, names, deep, {f.name: "f0" for f in deep}, window, es["lines"], "ok"))
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert physical.index("Generate explode") < physical.index("Exchange")  # nothing moves once the cutoffs are in
+
+
 def test_child_without_time(spark):
     phones = spark.createDataFrame([(1, "x"), (1, "y"), (1, "x")], "ck long, brand string")
     es = EntitySet([customers(spark, [1, 2]), Entity("phones", phones, parents=[Parent("customer", "ck")])])
