@@ -15,7 +15,7 @@ from cutline.functions.calendar import as_datetime, ntz, seconds_between
 from cutline.functions.moments import aligned
 from cutline.functions.primitives import BUILT_IN, MERGES, PARTIALS, TREND_ORIGIN, aggregate, transform
 from cutline.operators.entities import Entity, EntitySet
-from cutline.operators.ranking import Slots, exact_quantiles, percentile_rank, previous_row
+from cutline.operators.ranking import Slots, bucketize, exact_quantiles, percentile_rank, position_of, previous_row
 from cutline.operators.skew import split_hot
 from cutline.operators.windows import BUCKET, Buckets, RoleWindow, interval_join
 from cutline.plans.feature_plan import Feature, FeatureSpec, Source, plan_features
@@ -25,6 +25,8 @@ FIRST_MOMENT = datetime(1, 1, 1)
 MAX_TIMES = 1000
 EXPRESSIONS_PER_PASS = 120
 # cutoff minus event time: which partials of the event time give a partial of the difference
+# two partials that may be NULL, merged
+PAIRWISE = {"sum": lambda a, b: F.coalesce(a + b, a, b), "min": F.least, "max": F.greatest}
 ENDS_AT_CUTOFF = ("time_since_first", "time_since_last", "days_since_last")  # change with every cutoff
 AGE_NEEDS = {"rows": ("rows",), "cnt": ("cnt",), "sum": ("sum", "cnt"), "min": ("max",), "max": ("min",)}
 KEY, TIME, AT, TIE = "__key", "__time", "__at", "__tie"
@@ -65,7 +67,7 @@ def make_features(
 
     Instances before the target's own time are left out; a NULL cutoff has rows with empty features. ``instances`` has the target's key and ``time``. ``times`` are its distinct cutoffs, if known;
     otherwise they are read with one small job. Up to a thousand cutoffs are served by time
-    buckets; with more, rows join their instances on key and time range.
+    buckets; with more, merged features come from the state of each key as of each instance, others join on key and time range.
     """
     target = es[spec.target]
     features = list(features) if features is not None else plan_features(es, spec)
@@ -291,6 +293,12 @@ def _moment(names, source: Source) -> Column:
 def _merged(rows, names, features, ids, window: _Window, on) -> DataFrame:
     partials = _Partials(features, names, ages=True)
     first = [c.alias(n) for n, c in partials.columns.items()]
+    if TIME in on and window.buckets is None and window.spec.training_window is None:
+        late = [f for f in features if any(PARTIALS[need].merge not in PAIRWISE for need in aggregate(f.primitive).needs)]
+        early = [f for f in features if f not in late]
+        if early:
+            done = _as_of(rows, names, early, ids, window)
+            return done.join(_merged_pairs(rows, names, late, ids, window), on, "left") if late else done
     if TIME in on and window.buckets is not None:
         reduced = window.buckets.assign(rows, AT).groupBy(KEY, BUCKET).agg(*first)
         wide = window.buckets.expand(partials.aligned(reduced.repartition(KEY)), TIME)
@@ -301,6 +309,42 @@ def _merged(rows, names, features, ids, window: _Window, on) -> DataFrame:
     return done.select(*on, *[partials.finish(f).alias(ids[f.name]) for f in features])
 
 
+def _merged_pairs(rows, names, features, ids, window: _Window) -> DataFrame:
+    partials = _Partials(features, names, ages=True)
+    done = window.pairs(rows).groupBy(KEY, TIME).agg(*[c.alias(n) for n, c in partials.columns.items()])
+    return done.select(KEY, TIME, *[partials.finish(f).alias(ids[f.name]) for f in features])
+
+
+def _as_of(rows, names, features, ids, window: _Window) -> DataFrame:
+    """Merged features at any number of cutoffs: the state of each key as of each instance, without pairs.
+
+    Time is cut into ranges of about as many rows each. A key's rows are reduced to one state per range, whose running merge
+    has a row per range at most; inside a range rows and instances are sorted together and merged once more. So a key with a
+    large part of all rows is spread over the ranges, and each row is moved once, whatever the number of cutoffs.
+    """
+    partials = _Partials(features, names, ages=True)
+    held = list(partials.columns)
+    merged = {n: MERGES[how] for n, how in partials.merges.items()}
+    events = rows.where(F.col(AT).isNotNull())
+    slots = Slots.of(events, AT)
+    by_time = bucketize(events, position_of(events, AT), slots.splits, "__range").groupBy(KEY, "__range", F.col(AT).alias("__t")).agg(
+        *[c.alias(n) for n, c in partials.columns.items()])
+    asked = window.instances.select(KEY, TIME).where(F.col(TIME).isNotNull()).distinct()
+    asked = bucketize(asked, position_of(asked, TIME), slots.splits, "__range").select(KEY, "__range", F.col(TIME).alias("__t"))
+    asked = asked.select("*", *[F.lit(None).cast(by_time.schema[n].dataType).alias(n) for n in held])
+    per_range = by_time.drop("__t").unionByName(asked.drop("__t")).groupBy(KEY, "__range").agg(*[m(F.col(n)).alias(n) for n, m in merged.items()])
+    before = Window.partitionBy(KEY).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = per_range.select(KEY, "__range", *[m(F.col(n)).over(before).alias(f"__before_{n}") for n, m in merged.items()])
+    first, second = (0, 1) if window.spec.include_cutoff else (1, 0)
+    both = by_time.withColumn("__asks", F.lit(first)).unionByName(asked.withColumn("__asks", F.lit(second)))
+    inside = Window.partitionBy(KEY, "__range").orderBy("__t", "__asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = both.select(KEY, "__range", "__t", "__asks", *[m(F.col(n)).over(inside).alias(n) for n, m in merged.items()])
+    state = state.where(F.col("__asks") == second).join(earlier, [KEY, "__range"])
+    done = state.select(KEY, F.col("__t").alias(TIME), *[
+        PAIRWISE[how](F.col(n), F.col(f"__before_{n}")).alias(n) for n, how in partials.merges.items()])
+    return done.select(KEY, TIME, *[partials.finish(f).alias(ids[f.name]) for f in features])
+
+
 def _value_slot(f: Feature, rows: DataFrame, names) -> str:
     """Values are counted in a column of their kind, so that ties fall to the smallest value of the kind:
     vl (integers, booleans), vd (doubles), vn (decimals), vt (times and dates), vs (text)."""

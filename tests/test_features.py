@@ -146,6 +146,31 @@ def test_where_parent_and_stacked_features(spark):
     assert row["MAX(orders.COUNT(lines))"] == 2 and row["MEDIAN(orders.SUM(lines.n))"] == 1.0
 
 
+@pytest.mark.parametrize("include", [False, True])
+def test_state_as_of_any_number_of_cutoffs(spark, monkeypatch, include):
+    """One key holds a third of all rows, times tie with cutoffs, keys without rows, a cutoff for nearly every instance."""
+    rng = np.random.default_rng(3)
+    rows = [(i, 0 if i % 3 == 0 else int(rng.integers(1, 30)), before(int(rng.integers(-3, 90))), None if i % 11 == 0 else float(rng.integers(0, 40)), bool(i % 2), "ab"[i % 2]) for i in range(600)]
+    rows += [(1000, 4, None, 1.0, True, "a")]
+    es = EntitySet([customers(spark, range(33)), orders(spark, rows)])
+    inst = instances(spark, range(33), [before(d) for d in (0, 1, 5, 30, 89, 200)])
+    spec = FeatureSpec("customer", aggregates=ALL, transforms=["month", "time_since"], include_cutoff=include)
+    base = rows_of(make_features(es, spec, inst, [before(d) for d in (0, 1, 5, 30, 89, 200)]))
+    monkeypatch.setattr(features, "MAX_TIMES", 2)
+    same(rows_of(make_features(es, spec, inst)), base)
+
+
+def test_state_as_of_makes_no_pairs(spark, busy):
+    spec = FeatureSpec("customer", aggregates=["sum", "max", "last"], transforms=[])
+    planned = [f for f in plan_features(busy, spec) if f.how == "aggregate"]
+    rows, names = features._prepare(busy, busy["orders"], "ck", [f.source for f in planned])
+    inst = instances(spark, range(20), [CUT, before(3)]).select(F.col("ck").alias("__key"), F.col("time").alias("__time"))
+    window = features._Window(None, inst, spec)
+    plan = plan_of(features._as_of(rows, names, planned, {f.name: f"f{i}" for i, f in enumerate(planned)}, window))
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert physical.count("Join") == 1 and "hashpartitioning(__key#" in physical  # the one of a range with the state before it
+
+
 def stacked(spark):
     rng = np.random.default_rng(7)
     o = [(i, int(rng.integers(0, 6)), before(int(rng.integers(-5, 120))), float(rng.integers(0, 50)), bool(i % 2), "ab"[i % 2]) for i in range(80)]
