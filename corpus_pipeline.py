@@ -9,10 +9,9 @@ the second stage on; extra columns pass through until packing; empty tables give
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cutline.llm import exact_dedup, mixing, ngram_join, packing, quality
-from cutline.llm.common import by_keys, stored, table
+from cutline.llm.common import stored, table
 from cutline.llm.queries import vocabulary
 
 #: Share of the kept tokens that mixing aims for, and how far its targets flatten the marginals.
@@ -31,9 +30,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest doc_id."""
-    seen = ngram_join.near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    gone = stored(seen.where("not kept").select(F.col("doc_id").alias("__gone")))
-    return by_keys(docs, gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    return ngram_join.drop_near_duplicates(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
