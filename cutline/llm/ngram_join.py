@@ -40,6 +40,7 @@ DEEP_SHARE = 0.45  # part of the probability of a miss that is left to pairs who
 MARGIN = 1.25  # a set asks in so many times the buckets that the recall takes, since two runs may choose the same token
 BLOCK = 1024  # sets of a block
 SLACK = 0.2  # min-hash estimates so far below the threshold end a pair (over five standard deviations)
+BIT_SLACK = 0.27  # the same for estimates from one bit of each token
 BATCH = 20_000
 
 
@@ -208,11 +209,27 @@ def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(hit.any(axis=1), a[np.arange(len(a)), first] >> 1, np.iinfo(np.int64).max)
 
 
-def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _met_before(order: np.ndarray, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bit sets (sets x words) of the smaller buckets that two or more of the sets share, and of those each set asks in."""
+    rows, columns = np.nonzero(order >> 1 < bucket)
+    held = order[rows, columns]
+    _, at, counts = np.unique(held >> 1, return_inverse=True, return_counts=True)
+    number = np.cumsum(counts > 1) - 1
+    shared = counts[at] > 1
+    rows, bit, asks = rows[shared], number[at[shared]], (held[shared] & 1).astype(bool)
+    member = np.zeros((len(order), int((counts > 1).sum()) + 63 >> 6), np.uint64)
+    asking = member.copy()
+    mark = np.uint64(1) << (bit & 63).astype(np.uint64)
+    np.bitwise_or.at(member, (rows, bit >> 6), mark)
+    np.bitwise_or.at(asking, (rows[asks], bit[asks] >> 6), mark[asks])
+    return member, asking
+
+
+def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool, need: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row numbers of the pairs of each bucket that are to be checked here: sizes fit, sketches agree, no smaller common bucket.
 
     A frame holds whole groups, sorted by group; a group is a bucket, or two blocks of one (then only pairs between its
-    blocks count).
+    blocks count). Pairs of two rows of ``need``, which the caller may fill meanwhile, are left out.
     """
     group, side, cross, n, path = (frame[c].to_numpy() for c in ("group", "side", "cross", "n", "path"))
     lists = frame["paths"].tolist()
@@ -227,6 +244,8 @@ def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tup
     def check(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keep = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j])
         keep &= ((path[i] | path[j]) & 1).astype(bool)
+        if need is not None:
+            keep &= ~(need[i] & need[j])
         same = (order[i, 0] >> 1 == order[j, 0] >> 1) & ((order[i, 0] | order[j, 0]) & 1 == 1)
         keep &= ~same | (order[i, 0] >> 1 == bucket[i])
         i, j, same = i[keep], j[keep], same[keep]
@@ -255,15 +274,34 @@ def _pairs(frame: pd.DataFrame, similarity: float, sketch: bool) -> Iterator[tup
         i, j = check(i, i + d)
         if len(i):
             yield i, j
+    bits = np.frombuffer(b"".join(frame["bits"]), np.uint64).reshape(len(frame), -1) if (lengths > STEP).any() else None
+    apart = int((1 - similarity + BIT_SLACK) / 2 * TOKENS)
+    asks = (path & 1).astype(bool)
     for a, z in zip(starts[lengths > STEP], ends[lengths > STEP]):
         rows = np.arange(a, z)
         ones, twos = (rows[side[a:z] == 0], rows[side[a:z] == 1]) if cross[a] else (rows, rows)
-        for at in range(0, len(ones), 32):
-            i = np.repeat(ones[at : at + 32], len(twos))
-            j = np.tile(twos, len(ones[at : at + 32]))
+        member, asking = _met_before(order[a:z], int(bucket[a]))
+        for at in range(0, len(ones), 64):
+            own = ones[at : at + 64]
+            ok = np.bitwise_count(bits[own][:, None] ^ bits[twos]).sum(axis=2, dtype=np.int16) <= apart
+            ok &= asks[own][:, None] | asks[twos]
+            low, high = np.minimum(n[own][:, None], n[twos]), np.maximum(n[own][:, None], n[twos])
+            ok &= low >= similarity * high
             if twos is rows:
-                i, j = i[i < j], j[i < j]
-            i, j = check(i, j)
+                ok &= own[:, None] < twos
+            if need is not None:
+                ok &= ~(need[own][:, None] & need[twos])
+            i, j = np.nonzero(ok)
+            i, j = own[i], twos[j]
+            for w in range(member.shape[1]):
+                if not len(i):
+                    break
+                x, y = i - a, j - a
+                new = member[x, w] & member[y, w] & (asking[x, w] | asking[y, w]) == 0
+                i, j = i[new], j[new]
+            if sketch and len(i):
+                keep = (marks[i] == marks[j]).mean(axis=1) >= similarity - SLACK
+                i, j = i[keep], j[keep]
             if len(i):
                 yield i, j
 
@@ -281,9 +319,9 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 def _needed(frame: pd.DataFrame, similarity: float) -> pd.DataFrame:
     need = np.zeros(len(frame), bool)
-    for i, j in _pairs(frame, similarity, True):
+    for i, j in _pairs(frame, similarity, True, need):
         need[i] = need[j] = True
-    return frame.loc[need, ["group", "side", "cross", "path", "uid", "n", "paths"]]
+    return frame.loc[need, ["group", "side", "cross", "path", "uid", "n", "paths", "bits"]]
 
 
 def _overlaps(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -381,9 +419,9 @@ def _judged(docs: DataFrame, key: str, text: str, similarity: float, recall: flo
     reps = stored(by_keys(alone, weights, "uid", "left").withColumn("weight", F.coalesce("weight", F.lit(1))))
     found = leaves(reps.select("uid", "tokens", "bits"), similarity, recall)
     own = stored(found.groupBy("uid").agg(F.sort_array(F.collect_list("path")).alias("paths")))
-    member = stored(_marked(own.join(reps.select("uid", "n", "tokens"), "uid")))
+    member = stored(_marked(own.join(reps.select("uid", "n", "tokens", "bits"), "uid")))
     group_rows = _blocks(found.join(member, "uid"))
-    schema = "group long, side int, cross int, path long, uid long, n long, paths array<long>"
+    schema = "group long, side int, cross int, path long, uid long, n long, paths array<long>, bits binary"
     needed = stored(by_group(group_rows, "group", lambda f: _needed(f, similarity), schema), batch_rows=BATCH)
     wanted = needed.join(reps.select("uid", key, "weight", "set_hash"), "uid")
     keys = stored(wanted.select(F.col(key).alias("__wanted")).distinct())
@@ -403,9 +441,9 @@ def _marked(member: DataFrame) -> DataFrame:
             raw = b"".join(batch.column("tokens").to_pylist())
             low = np.frombuffer(raw, np.uint32).astype(np.uint8).tobytes()
             marks = [low[k : k + TOKENS] for k in range(0, len(low), TOKENS)]
-            yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("paths"), batch.column("n"), pa.array(marks, pa.binary())], ["uid", "paths", "n", "marks"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("uid", "paths", "n", "bits")), pa.array(marks, pa.binary())], ["uid", "paths", "n", "bits", "marks"])
 
-    return member.mapInArrow(run, "uid long, paths array<long>, n long, marks binary")
+    return member.mapInArrow(run, "uid long, paths array<long>, n long, bits binary, marks binary")
 
 
 def _texts(wanted: DataFrame, texts: DataFrame, key: str) -> DataFrame:
@@ -418,7 +456,7 @@ def _texts(wanted: DataFrame, texts: DataFrame, key: str) -> DataFrame:
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     joined = wanted.join(texts, wanted[key].eqNullSafe(texts[key])).drop(wanted[key]).drop(texts[key])
-    joined = joined.where("text is not null").select("group", "side", "cross", "path", "uid", "n", "paths", "weight", "set_hash", "text")
+    joined = joined.where("text is not null").select("group", "side", "cross", "path", "uid", "n", "paths", "bits", "weight", "set_hash", "text")
     return joined.mapInArrow(run, joined.schema)
 
 
