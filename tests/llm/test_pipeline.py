@@ -7,7 +7,7 @@ from cutline.llm import queries
 
 def test_registered_names():
     assert set(queries.ORACLES) <= set(queries.QUERIES)
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
 
 
