@@ -149,7 +149,7 @@ def test_vectors_of_an_empty_table(spark):
 
 
 def test_recall_of_the_passes_alone(spark):
-    """Links that the windows hold, before the exact comparison inside components."""
+    """Pairs of single vectors, so that a link only counts if a window held it."""
     rng = np.random.default_rng(5)
     base = rng.normal(size=(1500, 64))
     other = base + rng.normal(scale=0.3, size=base.shape)
@@ -164,7 +164,6 @@ def test_recall_of_the_passes_alone(spark):
 
 def test_vectors_that_share_a_direction_against_brute_force(spark, monkeypatch):
     """A hot topic: any two vectors have a cosine near 0.9, planted pairs one just above the threshold."""
-    monkeypatch.setattr(embedding_dedup, "CHUNK", 1 << 20, raising=False)
     rng = np.random.default_rng(8)
     topic = rng.normal(size=64) / 8
 
@@ -182,6 +181,42 @@ def test_vectors_that_share_a_direction_against_brute_force(spark, monkeypatch):
     assert [got[i] for i in range(len(v))] == want.tolist()
 
 
+@pytest.mark.parametrize("rows", [1, 4096])
+def test_windows_reach_across_the_ends_of_tasks(spark, monkeypatch, rows):
+    """One pass links the neighbours of its order, however many tasks share it."""
+    monkeypatch.setattr(embedding_dedup, "TASK_ROWS", rows)
+    monkeypatch.setattr(embedding_dedup, "WINDOW", 16)
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(3000, 8))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    reps = spark.createDataFrame([(8, i, bytearray(x.tobytes())) for i, x in enumerate(v)], "dim int, uid long, vec binary")
+    got = embedding_dedup._passes(reps, {8: np.zeros(8)}, len(v), 0.9, 0, 1)
+    union = Union()
+    for a, b in got.collect():
+        union.join(a, b)
+    order = np.argsort(embedding_dedup.pass_keys(v, 0), kind="stable")
+    pairs = [(order[i], order[j]) for i in range(len(v)) for j in range(max(0, i - 16), i) if v[order[i]] @ v[order[j]] >= 0.9]
+    assert len(pairs) > 500
+    assert all(union.top(int(a)) == union.top(int(b)) for a, b in pairs)
+
+
+def test_large_components_are_counted_block_against_block(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
+    monkeypatch.setattr(embedding_dedup, "TILE", 30)
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(1, 32)) + rng.normal(scale=0.22, size=(600, 32))
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.95).sum(axis=1) - 1
+    assert 0 < want.min() + want.max() < 2 * 599
+    got = embedding_dedup.near_vectors(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>"))
+    assert [r["n_links"] for r in got.orderBy("vec_id").collect()] == want.tolist()
+
+
+def test_first_passes_grow_with_the_rows():
+    few = [embedding_dedup.first_passes(10**e, 0.95) for e in (2, 4, 6, 9)]
+    assert few == sorted(few) and few[0] == 2 and 50 < few[-1] < 100
+
+
 def test_recall_of_pairs_whose_buckets_go_deep(spark, monkeypatch):
     """Pairs near the threshold share their tokens with many other sets, so that buckets are split five levels and more."""
     monkeypatch.setattr(ngram_join, "SMALL", 2)
