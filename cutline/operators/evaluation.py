@@ -22,18 +22,18 @@ def _share(part: Column, whole: Column) -> Column:
     return part / F.nullif(whole, F.lit(0))
 
 
-def score_steps(scored: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score, from the highest: rows of each class and running counts."""
+def score_steps(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Per distinct score, from the highest: rows of each class and running counts; of each group if ``by`` names one."""
     positive = (F.col(label) == 1).cast("bigint")
-    steps = scored.where(F.col(label).isNotNull()).groupBy(score).agg(
+    steps = scored.where(F.col(label).isNotNull()).groupBy(*by, score).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
-    return running_totals(steps, score, {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True)
+    return running_totals(steps, score, {"tp": F.col("pos"), "fp": F.col("neg")}, descending=True, group=by)
 
 
-def auc(scored: DataFrame, label: str, score: str) -> DataFrame:
-    """Area under the ROC curve with averaged ties; NULL if a class is absent."""
+def auc(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve with averaged ties, of each group if ``by`` names one; NULL if a class is absent."""
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
-    return score_steps(scored, label, score).agg(
+    return score_steps(scored, label, score, by).groupBy(*by).agg(
         _share(area, F.max("tp_total").cast("double") * F.max("fp_total")).alias("auc"))
 
 
@@ -138,12 +138,12 @@ def gain_regression(scored: DataFrame, truth: str, prediction: str, tie: str | S
         {"percentages": F.lit(p), "gains": _share(F.col(q), whole)} for q, p in names.items()]))
 
 
-def regression_metrics(scored: DataFrame, truth: str, prediction: str) -> DataFrame:
-    """R², mean absolute and mean squared error in one pass."""
+def regression_metrics(scored: DataFrame, truth: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """R², mean absolute and mean squared error in one pass, of each group if ``by`` names one."""
     both = scored.where(F.col(truth).isNotNull() & F.col(prediction).isNotNull())
     error = F.col(truth) - F.col(prediction)
     spread = F.nullif(F.var_pop(truth) * F.count(F.lit(1)), F.lit(0.0))
-    return both.agg((1 - F.sum(error * error) / spread).alias("r2"),
+    return both.groupBy(*by).agg((1 - F.sum(error * error) / spread).alias("r2"),
                     F.avg(F.abs(error)).alias("mae"), F.avg(error * error).alias("mse"))
 
 
@@ -176,15 +176,14 @@ def error_cdf(errors: DataFrame, error: str) -> DataFrame:
     return found.select(F.col("position").cast("double").alias("percentile"), F.col("quantile").alias("error"))
 
 
-def evaluation_summary(scored: DataFrame, split: str, label: str, score: str, kind: str) -> DataFrame:
-    """(split, metric, value) rows: AUC for a classifier, R², MAE and MSE for a regression."""
-    values = [r[0] for r in scored.select(split).distinct().limit(101).collect()]
-    if len(values) > 100:
-        raise ValueError(f"{split!r} has too many values to be a split")
-    out = None
-    for value in sorted(values, key=str):
-        part = scored.where(F.col(split).eqNullSafe(F.lit(value)))
-        table = auc(part, label, score) if kind == "classifier" else regression_metrics(part, label, score)
-        rows = table.select(_rows([{"split": F.lit(value), "metric": F.lit(m), "value": F.col(m)} for m in table.columns]))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+def evaluation_summary(scored: DataFrame, split: str | Sequence[str], label: str, score: str, kind: str) -> DataFrame:
+    """(split, metric, value) rows: AUC for a classifier, R², MAE and MSE for a regression.
+
+    All values of ``split`` are evaluated together, however many there are; several columns stay columns
+    of the result under their names. A split without rows that count has no rows here.
+    """
+    by = [split] if isinstance(split, str) else list(split)
+    table = auc(scored, label, score, by) if kind == "classifier" else regression_metrics(scored, label, score, by)
+    names = [c for c in table.columns if c not in by]
+    keep = [F.col(by[0]).alias("split")] if isinstance(split, str) else [F.col(c) for c in by]
+    return table.select(*keep, _rows([{"metric": F.lit(m), "value": F.col(m)} for m in names]))

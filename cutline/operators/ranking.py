@@ -24,7 +24,7 @@ from cutline.functions.calendar import micros_between
 from cutline.operators.skew import split_hot
 from cutline.session import default_slots
 
-SLOT, TIE_SLOT = "__slot", "__tie_slot"
+SLOT, TIE_SLOT, GROUP = "__slot", "__tie_slot", "__group"
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -111,30 +111,35 @@ def running_totals(
     tie: str | Sequence[str] | None = None,
     descending: bool = False,
     slots: int | None = None,
+    group: Sequence[str] = (),
 ) -> DataFrame:
-    """Add an inclusive running total and ``<name>_total`` for each entry of ``sums``.
+    """Add an inclusive running total and ``<name>_total`` for each entry of ``sums``, of each ``group`` if it is named.
 
     Rows are ordered by (order, tie columns); NULL in the order column drops the row. Order and
     ties together must be distinct for a result that does not depend on the order of the rows.
-    A string in the first tie is ordered by its hash.
+    A string in the first tie is ordered by its hash. Groups share the slots, so a large group is
+    spread over them; NULL is a group of its own.
     """
     df = df.where(F.col(order).isNotNull())
     ties = [tie] if isinstance(tie, str) else list(tie or ())
     plan = Slots.of(df, order, ties[0] if ties else None, slots)
     rows = plan.assign(df.select("*", *[c.alias(f"__in_{name}") for name, c in sums.items()]))
-    by = [SLOT, TIE_SLOT]
+    # as a struct, groups with NULLs are equal too
+    whole = [GROUP] if group else []
+    rows = rows.withColumn(GROUP, F.struct(*group)) if group else rows
+    by = [*whole, SLOT, TIE_SLOT]
     slot_order = [F.desc(SLOT) if descending else F.asc(SLOT), F.asc(TIE_SLOT)]
-    earlier = Window.orderBy(*slot_order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*whole).orderBy(*slot_order).rowsBetween(Window.unboundedPreceding, -1)
     per_slot = rows.groupBy(*by).agg(*[F.sum(f"__in_{name}").alias(f"__sum_{name}") for name in sums])
-    # one row per slot, so the window without a partition sees a bounded table
+    # one row per slot, so the window sees a bounded table for each group
     offsets = per_slot.select(*by, *[
         F.coalesce(F.sum(f"__sum_{name}").over(earlier), F.lit(0)).alias(f"__before_{name}")
         for name in sums
-    ], *[F.sum(f"__sum_{name}").over(Window.partitionBy()).alias(f"{name}_total") for name in sums])
+    ], *[F.sum(f"__sum_{name}").over(Window.partitionBy(*whole)).alias(f"{name}_total") for name in sums])
     order_col = F.desc(order) if descending else F.asc(order)
     inside = (Window.partitionBy(*by).orderBy(order_col, *plan.tie_order(), *ties[1:])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = rows.join(F.broadcast(offsets), by)
+    out = rows.join(offsets if group else F.broadcast(offsets), by)
     out = out.select(*df.columns, *[f"{name}_total" for name in sums], *[
         (F.col(f"__before_{name}") + F.sum(f"__in_{name}").over(inside)).alias(name) for name in sums])
     return out

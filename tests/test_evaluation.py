@@ -92,3 +92,19 @@ def test_summary(spark, scored):
     assert out == {("train", "auc"), ("test", "auc")}
     out = ev.evaluation_summary(rows, "part", "y", "p", "regression")
     assert {r.metric for r in out.collect()} == {"r2", "mae", "mse"}
+
+
+def test_summary_of_many_groups(spark):
+    """Thousands of splits in one pass, NULL among them, one with a third of all rows; equal to each on its own."""
+    import random
+    rng = random.Random(3)
+    rows = [(None if i % 50 == 0 else "hot" if i % 3 == 0 else f"g{i % 997}", rng.randint(0, 1), rng.randint(0, 20) / 20, i) for i in range(9000)]
+    frame = spark.createDataFrame(rows, "g string, y int, p double, id int")
+    got = {r["split"]: r["value"] for r in ev.evaluation_summary(frame, "g", "y", "p", "classifier").collect()}
+    assert set(got) == {r[0] for r in rows}
+    for g in (None, "hot", "g1", "g500"):
+        pos, neg = ([p for h, y, p, _ in rows if h == g and y == c] for c in (1, 0))
+        pairs = [1.0 if a > b else 0.5 if a == b else 0.0 for a in pos for b in neg]
+        assert got[g] == (pytest.approx(sum(pairs) / len(pairs)) if pairs else None)
+    both = ev.evaluation_summary(frame.withColumn("q", frame["id"] % 2), ["g", "q"], "y", "p", "regression")
+    assert both.columns == ["g", "q", "metric", "value"] and both.where("metric = 'mae'").count() > 997
