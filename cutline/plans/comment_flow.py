@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cutline.operators.text import new_comments, word_rows
-from cutline.sources.sinks import append_rows
+from cutline.sources.sinks import append_rows, write_batch
 
 
 def comment_words(comments: DataFrame, processed: DataFrame | None = None, orders: DataFrame | None = None,
@@ -19,12 +19,17 @@ def comment_words(comments: DataFrame, processed: DataFrame | None = None, order
     return word_rows(fresh.select(key, content, *[c for c in ("created",) if c in fresh.columns]), content, stop_words, dictionary)
 
 
-def comment_job(spark: SparkSession, comments: DataFrame, table: str, created: str = "created", key: str = "oid", **settings) -> None:
+def comment_job(spark: SparkSession, comments: DataFrame, table: str, created: str = "created", key: str = "oid",
+                batch: str | None = None, **settings) -> None:
     """Append the words of new comments to a catalog table, latest comments first inside each file.
 
-    The table is made on the first run; later runs take its keys as handled.
+    The table is made on the first run; later runs take its keys as handled. With a ``batch`` the table is partitioned by
+    it: keys of other batches are handled, and a repeated run replaces its own batch instead of appending to it.
     """
-    done = spark.table(table).select(key).distinct() if spark.catalog.tableExists(table) else None
-    words = comment_words(comments, done, key=key, **settings)
+    done = spark.table(table) if spark.catalog.tableExists(table) else None
+    if done is not None and batch is not None:
+        done = done.where(F.col("batch") != batch)
+    words = comment_words(comments, None if done is None else done.select(key).distinct(), key=key, **settings)
     ordered = words.repartitionByRange(F.desc(created), key).sortWithinPartitions(F.desc(created), key) if created in words.columns else words
-    append_rows(ordered.select(key, "word"), table)
+    rows = ordered.select(key, "word")
+    append_rows(rows, table) if batch is None else write_batch(rows, table, batch)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.ml import Estimator
@@ -26,6 +26,7 @@ from cutline.plans.feature_plan import Feature, FeatureSpec, plan_features
 from cutline.session import checkpointed
 from cutline.sources.readers import Database, load_entities
 from cutline.sources.sinks import save_result, stage_folder, staged, write_csv, write_jdbc, write_parquet, write_sorted
+from cutline.sources.snapshots import fingerprint
 
 # fixed values: problem type -> label type
 LABEL_TYPES = {"churn": "classifier", "purchase": "classifier", "value": "regression", "product_purchase": "classifier"}
@@ -165,6 +166,11 @@ def features(es: EntitySet, config: Mapping, instances: DataFrame, cutoffs, plan
     return with_sql_names(make_features(es, spec, instances, cutoffs, plan))
 
 
+MODEL_PARTS = {"model_desc", "model_prediction_desc", "result_saving_desc"}
+#: Parts of the configuration that a stage does not depend on.
+AFTER = {"entities": {*MODEL_PARTS, "feature_extraction_desc", "label_desc"}, "labels": {*MODEL_PARTS, "feature_extraction_desc"}, "features": MODEL_PARTS}
+
+
 @dataclass
 class TrainingResult:
     labels: DataFrame
@@ -199,17 +205,26 @@ def evaluate(model: TrainedModel, matrix: DataFrame) -> dict[str, dict[str, Data
 
 def train_flow(spark: SparkSession, config: Mapping, tables: Mapping[str, DataFrame] | None = None,
                folder: str | None = None, with_evaluation: bool = True, resume: bool = False,
-               estimator: Estimator | None = None, hook: Callable[[DataFrame], DataFrame] | None = None) -> TrainingResult:
+               estimator: Estimator | None = None, hook: Callable[[DataFrame], DataFrame] | None = None,
+               snapshot: bool = False) -> TrainingResult:
     """Labels, features, one model per product (or one), evaluation.
 
     With a ``folder``, labels (by cutoff), label statistics, feature matrix, feature list and models are
-    written there; ``resume`` takes labels and matrix that an earlier run completed. ``estimator`` may be
-    any pyspark.ml estimator; ``hook`` shapes the feature matrix of one project.
+    written there, labels and matrix in a folder named by a fingerprint of settings and inputs; ``resume`` takes
+    those that an earlier run completed from the same ones. ``estimator`` may be any pyspark.ml estimator; ``hook`` shapes the feature matrix of one project.
+    ``snapshot`` first writes the entities there too, so that labels and features see the same rows.
     """
     def stage(name: str, build: Callable[[], DataFrame], by: Sequence = ()) -> DataFrame:
-        return checkpointed(build()) if folder is None else staged(build, spark, f"{folder}/{name}", resume, by)
+        if folder is None:
+            return checkpointed(build())
+        settings = {k: v for k, v in config.items() if k not in AFTER[name.split("/")[0]]}
+        mark = fingerprint([name, settings], inputs)
+        return staged(build, spark, f"{folder}/{name}", resume, by, mark)
 
     es = entity_set(spark, config, tables)
+    inputs = {n: e.df for n, e in es.entities.items()}
+    if snapshot and folder is not None:
+        es = EntitySet([replace(e, df=stage(f"entities/{e.name}", lambda e=e: e.df)) for e in es.entities.values()])
     made, cutoffs, spec = labels(es, config)
     key = es[config["business_desc"]["customer_entity"]].key
     label = "value" if spec.problem == "value" else spec.problem

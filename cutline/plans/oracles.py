@@ -508,6 +508,14 @@ g AS (SELECT 1 AS class, row_number() OVER up AS i, sum(y) OVER up AS found, sum
       WINDOW down AS (ORDER BY prediction, o_custkey, time ROWS UNBOUNDED PRECEDING))
 SELECT class, round(i / n, 8) AS percentage, round(found / whole, 8) AS gain FROM g
 UNION ALL SELECT 0, 0.0, 0.0 UNION ALL SELECT 1, 0.0, 0.0"""
+ORACLES["evaluation_by_customer_group"] = f"""
+WITH s AS (SELECT c_nationkey, time, purchase AS y, (o_custkey % 7) / CAST(7 AS DOUBLE) AS prediction
+           FROM ({PURCHASE}) l JOIN customer ON c_custkey = o_custkey),
+r AS (SELECT c_nationkey, time, y, rank() OVER (PARTITION BY c_nationkey, time ORDER BY prediction)
+             + (count(*) OVER (PARTITION BY c_nationkey, time, prediction) - 1) / 2.0 AS rk FROM s),
+t AS (SELECT c_nationkey, time, CAST(sum(CASE WHEN y = 1 THEN rk END) AS DOUBLE) AS ranks, CAST(sum(y) AS DOUBLE) AS p,
+             CAST(sum(1 - y) AS DOUBLE) AS n FROM r GROUP BY c_nationkey, time)
+SELECT c_nationkey, time, 'auc' AS metric, round((ranks - p * (p + 1) / 2) / nullif(p * n, 0), 8) AS value FROM t"""
 ORACLES["comment_flow"] = ORACLES["word_explode_incremental"]
 ORACLES["sql_script"] = """
 SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
@@ -524,3 +532,11 @@ WITH l AS ({label_sql("got", "purchase", HIT, key="c_custkey", **SMALL_MODEL)}),
 now AS (SELECT date_trunc('month', max(o_orderdate))::TIMESTAMP AS c FROM orders)
 SELECT o_custkey AS c_custkey, strftime(c, '%Y-%m-%d') AS cutoff, (SELECT round(avg(purchase), 8) FROM l) AS train_pos_rate
 FROM orders, now WHERE o_orderdate < c AND o_orderdate >= c - INTERVAL 12 MONTH GROUP BY o_custkey, c"""
+ORACLES["flow_snapshot"] = ORACLES["flow_resume"]
+ORACLES["snapshot_merge"] = """
+SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS last_date, o_orderkey, o_totalprice FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
+ORACLES["comment_batches"] = f"""
+SELECT CASE WHEN n_chars < 2000 THEN 'early' ELSE 'all' END AS batch, doc_id AS oid, word, count(*) AS n
+FROM ({WORDS.replace("FROM documents", f"FROM documents WHERE text NOT IN ({BOILERPLATE})").replace("SELECT doc_id, lang,", "SELECT doc_id, lang, n_chars,")})
+GROUP BY ALL"""

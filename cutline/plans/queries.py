@@ -25,12 +25,14 @@ from cutline.operators.labels import (
 from cutline.operators.ranking import exact_quantiles, percentile_rank, previous_row, with_deciles, with_rank
 from cutline.operators.text import dictionary_words, letter_words, new_comments, spread, word_rows
 from cutline.operators.windows import Buckets, RoleWindow, interval_join
+from cutline.plans.comment_flow import comment_job
 from cutline.plans.comment_flow import comment_words as comment_words_flow
 from cutline.plans.feature_plan import FeatureSpec
 from cutline.plans.flows import predict_flow, train_flow
-from cutline.session import shared_folder
+from cutline.session import checkpointed, shared_folder
 from cutline.sources.readers import modified_since, read_csv
 from cutline.sources.sinks import sanitized, write_csv
+from cutline.sources.snapshots import refresh_snapshot
 from cutline.sources.sql_jobs import run_sql, union_over
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -737,6 +739,15 @@ def evaluation_summary(spark, d):
     return rounded(ev.evaluation_summary(rows, "split", "y", "prediction", "classifier"), 8, "value")
 
 
+@query
+def evaluation_by_customer_group(spark, d):
+    """AUC of each nation and cutoff, all in one pass; more groups than a loop could take."""
+    rows = purchase_labels(spark, d).join(table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
+    rows = rows.withColumn("prediction", F.pmod("o_custkey", F.lit(7)) / 7.0)
+    out = ev.evaluation_summary(rows, ["c_nationkey", "time"], "purchase", "prediction", "classifier")
+    return rounded(out.withColumn("time", F.date_format("time", "yyyy-MM-dd")), 8, "value")
+
+
 @query
 def evaluation_by_cutoff(spark, d):
     """Gain over a matrix with several cutoffs per key and many equal scores: key and cutoff break the ties."""
@@ -788,6 +799,18 @@ def comment_flow(spark, d):
     return words.groupBy("oid", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def comment_batches(spark, d):
+    """The word table after two batches, the second of which runs twice, as after a failure."""
+    name, rows = f"cutline_words_{uuid.uuid4().hex}", comments(spark, d)
+    comment_job(spark, rows.where("created < 2000"), name, stop_words=STOP_WORDS, batch="early")
+    for _ in range(2):
+        comment_job(spark, rows, name, stop_words=STOP_WORDS, batch="all")
+    words = checkpointed(spark.table(name).groupBy("batch", "oid", "word").agg(F.count(F.lit(1)).alias("n")))
+    spark.sql(f"DROP TABLE {name}")
+    return words
+
+
 # fixed values: one CJK character per letter, to write the documents without word gaps
 LATIN, IDEOGRAPHS = "abcdefghijklmnopqrstuvwxyz", "一丁七万丈三上下不与丐丑专且丕世丘丙业丛东丝丞丢两严"
 
@@ -881,6 +904,25 @@ def flow_resume(spark, d):
     return by_day(joined, "c_custkey", "time", "purchase", "count_orders")
 
 
+@query
+def flow_snapshot(spark, d):
+    """Labels and matrix over entities that were written first, taken over by a second run."""
+    folder, config = f"{shared_folder(spark)}/flow-{uuid.uuid4().hex}", small_model_config("purchase")
+    for resume in (False, True):
+        run = train_flow(spark, config, tables(spark, d), folder, with_evaluation=False, resume=resume, snapshot=True)
+    joined = run.labels.join(run.features, ["c_custkey", "time"])
+    return by_day(joined, "c_custkey", "time", "purchase", "count_orders")
+
+
+@query
+def snapshot_merge(spark, d):
+    """The last order of each customer: a snapshot of the early orders that takes in the others by high-water mark."""
+    folder, rows = f"{shared_folder(spark)}/snapshot-{uuid.uuid4().hex}", orders(spark, d).select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    for source in (rows.where("o_orderdate < '1997-01-01'"), rows, rows):
+        out = refresh_snapshot(source, folder, "o_custkey", "o_orderdate", ["o_orderkey"])
+    return out.select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("last_date"), "o_orderkey", "o_totalprice")
+
+
 @query
 def predict_job_rows(spark, d):
     """Who is scored at which cutoff, and the positive rate of the training labels."""

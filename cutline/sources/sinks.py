@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cutline.session import checkpointed
 from cutline.sources.readers import Database
 
 # fixed values: rows per insert statement
@@ -33,8 +35,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def staged(df: Callable[[], DataFrame], spark: SparkSession, path: str, resume: bool = False, by: Sequence = ()) -> DataFrame:
-    """The stage output at ``path``: what an earlier run completed (``resume``), else ``df()`` written there."""
+def staged(df: Callable[[], DataFrame], spark: SparkSession, path: str, resume: bool = False, by: Sequence = (),
+           mark: str | None = None) -> DataFrame:
+    """The stage output at ``path``: what an earlier run completed (``resume``), else ``df()`` written there.
+
+    ``mark``: fingerprint of all that the stage is made from. It names a folder below ``path``, so output of another
+    one is neither taken over nor overwritten while it may still be read.
+    """
+    path = path if mark is None else f"{path}/{mark}"
     if not (resume and path_exists(spark, f"{path}/_SUCCESS")):
         if by:
             write_sorted(df(), path, *by)
@@ -51,6 +59,21 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.write.mode("append").insertInto(table)
 
 
+def write_batch(df: DataFrame, table: str, batch: str) -> None:
+    """The rows of one batch in a catalog table partitioned by ``batch``, which is made if it is absent.
+
+    A repeated run of a batch replaces what the run before left of it, so no row comes in twice. The rows are written
+    beside first: ``df`` may read the table, and a run that fails while computing them leaves the table as it was.
+    """
+    spark, rows, view = df.sparkSession, checkpointed(df), f"cutline_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, batch string) USING parquet PARTITIONED BY (batch)")
+    value = batch.replace("\\", "\\\\").replace("'", "\\'")
+    rows.createOrReplaceTempView(view)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch = '{value}') SELECT * FROM {view}")
+    spark.catalog.dropTempView(view)
+
+
 def write_by_product(labels: DataFrame, path: str) -> None:
     """Label table in long form, one folder per product."""
     write_parquet(labels, path, partition_by=("product",))
