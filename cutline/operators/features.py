@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ EXPRESSIONS_PER_PASS = 120
 PAIRWISE = {"sum": lambda a, b: F.coalesce(a + b, a, b), "min": F.least, "max": F.greatest}
 ENDS_AT_CUTOFF = ("time_since_first", "time_since_last", "days_since_last")  # change with every cutoff
 AGE_NEEDS = {"rows": ("rows",), "cnt": ("cnt",), "sum": ("sum", "cnt"), "min": ("max",), "max": ("min",)}
-KEY, TIME, AT, TIE = "__key", "__time", "__at", "__tie"
+KEY, TIME, AT, TIE, PART = "__key", "__time", "__at", "__tie", "__part"
 
 
 @dataclass
@@ -359,23 +361,56 @@ def _value_slot(f: Feature, rows: DataFrame, names) -> str:
 
 
 def _value_counts(rows, cells: Column, columns, window: _Window, on) -> DataFrame:
-    """Counts per (key, cutoff, cell).
+    """Counts per (key, cutoff, cell) without time buckets."""
+    pairs = window.pairs(rows) if TIME in on else rows
+    return _exploded(pairs, cells, columns, *on).groupBy(*on, *columns).agg(F.count(F.lit(1)).alias("n"))
 
-    Rows are counted per (key, time bucket, cell, value) before they move, then once more per
-    cutoff. They move by key and value, so a very frequent key is spread by its values.
-    """
-    size = F.count(F.lit(1)).alias("n")
 
-    def exploded(df: DataFrame, *keep: str) -> DataFrame:
-        flat = df.select(*keep, F.inline(cells))
-        return flat.where(F.coalesce(*[F.col(c).cast("string") for c in columns if c != "cell"]).isNotNull())
+def _exploded(df: DataFrame, cells: Column, columns, *keep: str) -> DataFrame:
+    flat = df.select(*keep, F.inline(cells))
+    return flat.where(F.coalesce(*[F.col(c).cast("string") for c in columns if c != "cell"]).isNotNull())
 
-    if TIME not in on or window.buckets is None:
-        pairs = window.pairs(rows) if TIME in on else rows
-        return exploded(pairs, *on).groupBy(*on, *columns).agg(size)
-    reduced = exploded(window.buckets.assign(rows, AT), KEY, BUCKET).groupBy(KEY, BUCKET, *columns).agg(size)
-    moved = reduced.repartition(KEY, *columns)
-    return window.buckets.expand(moved, TIME).groupBy(*on, *columns).agg(F.sum("n").alias("n"))
+
+@dataclass
+class _Cutoffs:
+    """Known cutoffs in parts of ``width``; a value has one row per part, with a count per cutoff of the part."""
+
+    buckets: Buckets
+    width: int
+
+    def __post_init__(self):
+        self.times = sorted({w.cutoff for w in self.buckets.windows})
+        self.counts = [f"__n{i}" for i in range(self.width)]
+
+    def counted(self, rows: DataFrame, columns) -> DataFrame:
+        """(key, part, columns, counts) of rows with a bucket. Rows are counted before they move, by key and value."""
+        # both ends of the windows rise with the cutoff, so a bucket counts for a run of cutoffs
+        at = {t: i for i, t in enumerate(self.times)}
+        first, last = {}, {}
+        for w in self.buckets.windows:
+            for b in range(bisect_left(self.buckets.edges, w.begin), bisect_left(self.buckets.edges, w.end)):
+                first[b] = min(at[w.cutoff], first.get(b, at[w.cutoff]))
+                last[b] = max(at[w.cutoff], last.get(b, at[w.cutoff]))
+
+        def known(run: dict[int, int]) -> Column:
+            return F.get(F.array(*[F.lit(run.get(b)).cast("int") for b in range(len(self.buckets.edges) - 1)]), F.col(BUCKET))
+
+        spans = rows.withColumns({"__first": known(first), "__last": known(last)}).drop(BUCKET).where("__first is not null")
+        if self.width < len(self.times):
+            parts = F.sequence(F.floor(F.col("__first") / self.width).cast("int"), F.floor(F.col("__last") / self.width).cast("int"))
+            spans = spans.withColumn(PART, F.explode(parts))
+        else:
+            spans = spans.withColumn(PART, F.lit(0))
+        number = [F.col(PART) * self.width + i for i in range(self.width)]
+        return spans.groupBy(KEY, PART, *columns).agg(*[
+            F.count(F.when((F.col("__first") <= j) & (j <= F.col("__last")), 1)).alias(n) for n, j in zip(self.counts, number)])
+
+    def spread(self, done: DataFrame, names: Sequence[Sequence[str]], out: Sequence[str]) -> DataFrame:
+        """(key, time, out) of rows with the columns ``names[i]`` for the i-th cutoff of the part."""
+        times = F.array(*[ntz(t) for t in self.times])
+        cells = F.array(*[F.struct(F.get(times, F.col(PART) * self.width + i).alias(TIME), *[
+            F.col(c).alias(o) for c, o in zip(group, out)]) for i, group in enumerate(names)])
+        return done.select(*[c for c in done.columns if not c.startswith("__") or c == KEY], F.inline(cells)).where(F.col(TIME).isNotNull())
 
 
 def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
@@ -395,24 +430,34 @@ def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
             for s in slots])
 
     columns = ["cell", *slots]
-    counts = _value_counts(rows, F.array(*[cell(*k) for k in cell_of]), columns, window, on)
-    picks = []
-    for f in features:
+    cells = F.array(*[cell(*k) for k in cell_of])
+
+    def pick(f: Feature, n: Column) -> Column:
+        """The feature from rows (cell, value) with the count ``n``, NULL or positive."""
         here = F.col("cell") == cell_of[(f.source, f.where)]
-        slot = slot_of[(f.source, f.where)]
-        dtype = rows.schema[names[f.source]].dataType
         if f.primitive == "num_unique":
-            value = F.count(F.when(here, 1))
-        elif f.primitive == "entropy":
-            n = F.when(here, F.col("n").cast("double"))
-            value = F.ln(F.sum(n)) - F.sum(n * F.ln(n)) / F.sum(n)
-        elif f.primitive == "mode":
-            value = F.min(F.when(here, F.struct((-F.col("n")).alias("n"), F.col(slot).alias("v"))))["v"].cast(dtype)
-        else:
-            continue
-        picks.append(value.alias(ids[f.name]))
+            return F.count(F.when(here, n))
+        if f.primitive == "entropy":
+            size = F.when(here, n.cast("double"))
+            return F.ln(F.sum(size)) - F.sum(size * F.ln(size)) / F.sum(size)
+        value = F.col(slot_of[(f.source, f.where)])
+        return F.min(F.when(here & n.isNotNull(), F.struct((-n).alias("n"), value.alias("v"))))["v"].cast(rows.schema[names[f.source]].dataType)
+
+    single = [f for f in features if f.primitive != "n_most_common"]
     common = [f for f in features if f.primitive == "n_most_common"]
-    out = counts.groupBy(*on).agg(*picks) if picks else None
+    if TIME in on and window.buckets is not None:
+        cutoffs = _Cutoffs(window.buckets, max(1, min(len({w.cutoff for w in window.buckets.windows}), EXPRESSIONS_PER_PASS // (len(single) + 1))))
+        outs = []
+        cold, hot = split_hot(window.buckets.assign(rows, AT), KEY)
+        for some, by_key in ((cold, True), (hot, False)):
+            if some is not None:
+                counted = cutoffs.counted(_exploded(some, cells, columns, KEY, BUCKET), columns)
+                outs.append((_single_values(counted, cutoffs, single, ids, pick, by_key) if single else None,
+                             cutoffs.spread(counted, [[n] for n in cutoffs.counts], ["n"]).where("n > 0") if common else None))
+        out, counts = (reduce(DataFrame.unionByName, sides) if sides[0] is not None else None for sides in zip(*outs))
+    else:
+        counts = _value_counts(rows, cells, columns, window, on)
+        out = counts.groupBy(*on).agg(*[pick(f, F.col("n")).alias(ids[f.name]) for f in single]) if single else None
     if common:
         best = Window.partitionBy(*on, "cell").orderBy(F.desc("n"), *slots)
         top = counts.withColumn("pos", F.row_number().over(best)).where(F.col("pos") <= 3)
@@ -428,6 +473,23 @@ def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
     return out
 
 
+def _single_values(counted: DataFrame, cutoffs: _Cutoffs, features, ids, pick, by_key: bool) -> DataFrame:
+    """(key, time, features) from the counts of each value, of one row per key and part until the end.
+
+    Rows of ordinary keys (``by_key``) meet in one task; those of very frequent keys are reduced where their values lie.
+    """
+    held = counted.repartition(KEY) if by_key else counted
+    picks, names = [], []
+    for i, c in enumerate(cutoffs.counts):
+        n = F.nullif(F.col(c), F.lit(0))
+        made = {f"v{i}_{j}": pick(f, n) for j, f in enumerate(features)} | {f"v{i}_rows": F.count(n)}
+        picks += [value.alias(name) for name, value in made.items()]
+        names.append(list(made))
+    out = [ids[f.name] for f in features]
+    done = held.groupBy(KEY, PART).agg(*picks)
+    return cutoffs.spread(done, names, [*out, "__rows"]).where("__rows > 0").select(KEY, TIME, *out)
+
+
 def _median(rows, names, features, ids, window: _Window, on) -> DataFrame:
     """All medians of a child. Values of ordinary keys meet in one task; others are ranked by value ranges."""
     inputs = [_masked(F.col(names[f.source]).cast("double"), _keep(f, names)) for f in features]

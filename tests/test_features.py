@@ -269,3 +269,38 @@ def test_native_plan(spark, small):
     plan = plan_of(make_features(small, spec, instances(spark, [1, 2]), [CUT]))
     for word in ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct"):
         assert word not in plan
+
+
+VALUES = ["mode", "num_unique", "entropy", "n_most_common"]
+
+
+def test_values_are_counted_without_a_row_per_cutoff(spark, busy):
+    """Memory of a task must not grow with the cutoffs, so no aggregation of values is keyed by them."""
+    times = [before(31 * i) for i in range(12)]
+    spec = FeatureSpec("customer", aggregates=["mode", "num_unique"], transforms=["month"], training_window=Offset(200, "days"))
+    planned = [f for f in plan_features(busy, spec) if f.how == "aggregate"]
+    rows, names = features._prepare(busy, busy["orders"], "ck", [f.source for f in planned])
+    window = features._Window(features.past_windows(times, spec), instances(spark, range(20), times), spec)
+    plan = plan_of(features._by_value(rows, names, planned, {f.name: f"f{i}" for i, f in enumerate(planned)}, window, ["__key", "__time"]))
+    keys = [line for line in plan.split("== Physical Plan ==")[1].splitlines() if "Aggregate(key" in line]
+    assert keys and not any("__time" in line.split("functions=")[0] for line in keys)
+
+
+def test_values_at_many_cutoffs_agree_with_pandas(spark, busy, monkeypatch):
+    """Sliding windows in parts of a few cutoffs, and frequent keys apart."""
+    times = [before(31 * i) for i in range(12)]
+    spec = FeatureSpec("customer", aggregates=VALUES, transforms=[], training_window=Offset(100, "days"))
+    inst = instances(spark, range(20), times)
+    base = rows_of(make_features(busy, spec, inst, times))
+    pdf = busy["orders"].df.toPandas()
+    for (key, t), row in base.items():
+        words = pdf[(pdf["ck"] == key) & (pdf["t"] < t) & (pdf["t"] >= t - timedelta(days=100))]["word"]
+        sizes = words.value_counts()
+        best = sorted(sizes.index, key=lambda w: (-sizes[w], w))
+        share = sizes / len(words)
+        assert row["NUM_UNIQUE(orders.word)"] == len(sizes) and row["MODE(orders.word)"] == (best[0] if best else None)
+        assert (row["N_MOST_COMMON(orders.word)"] or []) == best[:3]
+        assert row["ENTROPY(orders.word)"] == (pytest.approx(-(share * np.log(share)).sum(), abs=1e-9) if best else None)
+    for name, value in ((features, 12), (skew, 20)):
+        monkeypatch.setattr(name, "EXPRESSIONS_PER_PASS" if name is features else "HOT_ROWS", value)
+        same(rows_of(make_features(busy, spec, inst, times)), base)
