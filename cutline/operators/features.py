@@ -302,9 +302,14 @@ def _merged(rows, names, features, ids, window: _Window, on) -> DataFrame:
             done = _as_of(rows, names, early, ids, window)
             return done.join(_merged_pairs(rows, names, late, ids, window), on, "left") if late else done
     if TIME in on and window.buckets is not None:
+        cutoffs = _Cutoffs.of(window.buckets, len(partials.columns) + 1)
         reduced = window.buckets.assign(rows, AT).groupBy(KEY, BUCKET).agg(*first)
-        wide = window.buckets.expand(partials.aligned(reduced.repartition(KEY)), TIME)
-        done = wide.groupBy(*on).agg(*[MERGES[how](F.col(n)).alias(n) for n, how in partials.merges.items()])
+        placed = cutoffs.placed(partials.aligned(reduced.repartition(KEY)))
+        picks = {f"v{i}_{n}": MERGES[how](F.when(cutoffs.holds(i), F.col(n))) for i in range(cutoffs.width) for n, how in partials.merges.items()}
+        picks |= {f"v{i}_rows": F.count(F.when(cutoffs.holds(i), 1)) for i in range(cutoffs.width)}
+        wide = placed.groupBy(KEY, PART).agg(*[value.alias(n) for n, value in picks.items()])
+        groups = [[f"v{i}_{n}" for n in [*partials.merges, "rows"]] for i in range(cutoffs.width)]
+        done = cutoffs.spread(wide, groups, [*partials.merges, "__rows"]).where("__rows > 0")
     else:
         pairs = window.pairs(rows) if TIME in on else rows
         done = pairs.groupBy(*on).agg(*first)
@@ -373,44 +378,53 @@ def _exploded(df: DataFrame, cells: Column, columns, *keep: str) -> DataFrame:
 
 @dataclass
 class _Cutoffs:
-    """Known cutoffs in parts of ``width``; a value has one row per part, with a count per cutoff of the part."""
+    """Known cutoffs in parts of ``width``: what is aggregated has one row per part, with columns for its cutoffs."""
 
     buckets: Buckets
     width: int
 
+    @classmethod
+    def of(cls, buckets: Buckets, columns: int) -> _Cutoffs:
+        """Parts that take about ``EXPRESSIONS_PER_PASS`` columns, if a cutoff takes ``columns``."""
+        return cls(buckets, max(1, min(len({w.cutoff for w in buckets.windows}), EXPRESSIONS_PER_PASS // columns)))
+
     def __post_init__(self):
         self.times = sorted({w.cutoff for w in self.buckets.windows})
         self.counts = [f"__n{i}" for i in range(self.width)]
 
-    def counted(self, rows: DataFrame, columns) -> DataFrame:
-        """(key, part, columns, counts) of rows with a bucket. Rows are counted before they move, by key and value."""
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows that have a bucket, once for each part of cutoffs that it counts for."""
         # both ends of the windows rise with the cutoff, so a bucket counts for a run of cutoffs
-        at = {t: i for i, t in enumerate(self.times)}
-        first, last = {}, {}
+        edges, at, first, last = self.buckets.edges, {t: i for i, t in enumerate(self.times)}, {}, {}
         for w in self.buckets.windows:
-            for b in range(bisect_left(self.buckets.edges, w.begin), bisect_left(self.buckets.edges, w.end)):
+            for b in range(bisect_left(edges, w.begin), bisect_left(edges, w.end)):
                 first[b] = min(at[w.cutoff], first.get(b, at[w.cutoff]))
                 last[b] = max(at[w.cutoff], last.get(b, at[w.cutoff]))
 
         def known(run: dict[int, int]) -> Column:
-            return F.get(F.array(*[F.lit(run.get(b)).cast("int") for b in range(len(self.buckets.edges) - 1)]), F.col(BUCKET))
+            return F.get(F.array(*[F.lit(run.get(b)).cast("int") for b in range(len(edges) - 1)]), F.col(BUCKET))
 
         spans = rows.withColumns({"__first": known(first), "__last": known(last)}).drop(BUCKET).where("__first is not null")
-        if self.width < len(self.times):
-            parts = F.sequence(F.floor(F.col("__first") / self.width).cast("int"), F.floor(F.col("__last") / self.width).cast("int"))
-            spans = spans.withColumn(PART, F.explode(parts))
-        else:
-            spans = spans.withColumn(PART, F.lit(0))
-        number = [F.col(PART) * self.width + i for i in range(self.width)]
-        return spans.groupBy(KEY, PART, *columns).agg(*[
-            F.count(F.when((F.col("__first") <= j) & (j <= F.col("__last")), 1)).alias(n) for n, j in zip(self.counts, number)])
-
-    def spread(self, done: DataFrame, names: Sequence[Sequence[str]], out: Sequence[str]) -> DataFrame:
-        """(key, time, out) of rows with the columns ``names[i]`` for the i-th cutoff of the part."""
-        times = F.array(*[ntz(t) for t in self.times])
+        if self.width == len(self.times):
+            return spans.withColumn(PART, F.lit(0))
+        return spans.withColumn(PART, F.explode(F.sequence(F.expr(f"__first div {self.width}"), F.expr(f"__last div {self.width}"))))
+
+    def holds(self, i: int) -> Column:
+        """Does a placed row count for the i-th cutoff of its part?"""
+        number = F.col(PART) * self.width + i
+        return (F.col("__first") <= number) & (number <= F.col("__last"))
+
+    def counted(self, rows: DataFrame, columns) -> DataFrame:
+        """(key, part, columns, counts) of rows with a bucket. Rows are counted before they move, by key and value."""
+        return self.placed(rows).groupBy(KEY, PART, *columns).agg(*[
+            F.count(F.when(self.holds(i), 1)).alias(n) for i, n in enumerate(self.counts)])
+
+    def spread(self, wide: DataFrame, groups: Sequence[Sequence[str]], out: Sequence[str]) -> DataFrame:
+        """(other columns, time, out) from the columns ``groups[i]`` for the i-th cutoff of each part."""
+        times, held = F.array(*[ntz(t) for t in self.times]), {PART, *self.counts, *[c for group in groups for c in group]}
         cells = F.array(*[F.struct(F.get(times, F.col(PART) * self.width + i).alias(TIME), *[
-            F.col(c).alias(o) for c, o in zip(group, out)]) for i, group in enumerate(names)])
-        return done.select(*[c for c in done.columns if not c.startswith("__") or c == KEY], F.inline(cells)).where(F.col(TIME).isNotNull())
+            F.col(c).alias(o) for c, o in zip(group, out)]) for i, group in enumerate(groups)])
+        return wide.select(*[c for c in wide.columns if c not in held], F.inline(cells)).where(F.col(TIME).isNotNull())
 
 
 def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
@@ -446,8 +460,7 @@ def _by_value(rows, names, features, ids, window: _Window, on) -> DataFrame:
     single = [f for f in features if f.primitive != "n_most_common"]
     common = [f for f in features if f.primitive == "n_most_common"]
     if TIME in on and window.buckets is not None:
-        cutoffs = _Cutoffs(window.buckets, max(1, min(len({w.cutoff for w in window.buckets.windows}), EXPRESSIONS_PER_PASS // (len(single) + 1))))
-        outs = []
+        cutoffs, outs = _Cutoffs.of(window.buckets, len(single) + 1), []
         cold, hot = split_hot(window.buckets.assign(rows, AT), KEY)
         for some, by_key in ((cold, True), (hot, False)):
             if some is not None:

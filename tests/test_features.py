@@ -304,3 +304,18 @@ def test_values_at_many_cutoffs_agree_with_pandas(spark, busy, monkeypatch):
     for name, value in ((features, 12), (skew, 20)):
         monkeypatch.setattr(name, "EXPRESSIONS_PER_PASS" if name is features else "HOT_ROWS", value)
         same(rows_of(make_features(busy, spec, inst, times)), base)
+
+
+def test_merged_features_have_no_row_per_cutoff_before_the_end(spark, busy, monkeypatch):
+    times = [before(31 * i) for i in range(12)]
+    spec = FeatureSpec("customer", aggregates=["sum", "std", "last"], transforms=[], training_window=Offset(200, "days"))
+    planned = [f for f in plan_features(busy, spec) if f.how == "aggregate"]
+    rows, names = features._prepare(busy, busy["orders"], "ck", [f.source for f in planned])
+    inst = instances(spark, range(20), times)
+    window = features._Window(features.past_windows(times, spec), inst, spec)
+    plan = plan_of(features._merged(rows, names, planned, {f.name: f"f{i}" for i, f in enumerate(planned)}, window, ["__key", "__time"]))
+    keys = [line for line in plan.split("== Physical Plan ==")[1].splitlines() if "Aggregate(key" in line]
+    assert keys and not any("__time" in line.split("functions=")[0] for line in keys)
+    base = rows_of(make_features(busy, spec, inst, times))
+    monkeypatch.setattr(features, "EXPRESSIONS_PER_PASS", 12)
+    same(rows_of(make_features(busy, spec, inst, times)), base)
