@@ -24,6 +24,9 @@ LITERAL_STOP_WORDS = 10_000
 FILTER_BITS = 26  # two to this power is the size of the word filter in bits
 BATCH_CHARS = 1 << 18  # characters of runs that share one small dictionary
 BASE, UNBASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+BROADCAST_MARKS = 500_000
+WORDS_PER_TASK = 1_000_000
+MARK = "__mark"
 RUNS, BATCH, MAYBE, TIMES = "__runs", "__batch", "__maybe", "__times"
 
 
@@ -51,7 +54,25 @@ def new_comments(
         out = out.join(processed.select(key).distinct(), key, "left_anti")
     if orders is not None:
         out = out.join(orders, key, "left")
-    return out.dropDuplicates()
+    return distinct_rows(out)
+
+
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """Distinct rows. Equal rows have equal hashes, so whole texts are only compared, and only move, where hashes repeat."""
+    marked = rows.withColumn(MARK, F.xxhash64(*rows.columns))
+    repeated = checkpointed(marked.groupBy(MARK).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(MARK))
+    found = repeated.count()
+    if not found:
+        return rows
+    side = F.broadcast(repeated) if found <= BROADCAST_MARKS else repeated
+    once, again = marked.join(side, MARK, "left_anti"), marked.join(side, MARK, "left_semi")
+    return once.drop(MARK).unionByName(again.drop(MARK).dropDuplicates())
+
+
+def counted_words(words: DataFrame, *by: str) -> DataFrame:
+    """Rows ``n`` per ``by`` of a written table of words, most of which differ: a task gets about ``WORDS_PER_TASK``."""
+    tasks = max(words.sparkSession.sparkContext.defaultParallelism, -(-words.count() // WORDS_PER_TASK))
+    return words.repartition(tasks, *by).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def letter_words(text: Column) -> Column:

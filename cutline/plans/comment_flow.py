@@ -13,10 +13,18 @@ from cutline.sources.sinks import append_rows, write_batch
 
 def comment_words(comments: DataFrame, processed: DataFrame | None = None, orders: DataFrame | None = None,
                   stop_words: DataFrame | Sequence[str] = (), dictionary: DataFrame | None = None,
-                  key: str = "oid", content: str = "content", **settings) -> DataFrame:
-    """(key, word) rows of the comments that were not handled before."""
+                  key: str = "oid", content: str = "content", latest_first: str | None = None, **settings) -> DataFrame:
+    """(key, word) rows of the comments that were not handled before; with ``latest_first`` sorted in each partition by that column."""
     fresh = new_comments(comments, processed, orders, key=key, content=content, **settings)
-    return word_rows(fresh.select(key, content, *[c for c in ("created",) if c in fresh.columns]), content, stop_words, dictionary)
+    fresh = fresh.select(key, content, *[c for c in ("created",) if c in fresh.columns])
+    # texts are sorted rather than their words, where no join moves the words afterwards
+    early = latest_first in fresh.columns and dictionary is None and not isinstance(stop_words, DataFrame)
+    words = word_rows(_sorted(fresh, latest_first, key) if early else fresh, content, stop_words, dictionary)
+    return _sorted(words, latest_first, key) if latest_first in words.columns and not early else words
+
+
+def _sorted(rows: DataFrame, created: str, key: str) -> DataFrame:
+    return rows.repartitionByRange(F.desc(created), key).sortWithinPartitions(F.desc(created), key)
 
 
 def comment_job(spark: SparkSession, comments: DataFrame, table: str, created: str = "created", key: str = "oid",
@@ -29,7 +37,6 @@ def comment_job(spark: SparkSession, comments: DataFrame, table: str, created: s
     done = spark.table(table) if spark.catalog.tableExists(table) else None
     if done is not None and batch is not None:
         done = done.where(F.col("batch") != batch)
-    words = comment_words(comments, None if done is None else done.select(key).distinct(), key=key, **settings)
-    ordered = words.repartitionByRange(F.desc(created), key).sortWithinPartitions(F.desc(created), key) if created in words.columns else words
-    rows = ordered.select(key, "word")
+    words = comment_words(comments, None if done is None else done.select(key).distinct(), key=key, latest_first=created, **settings)
+    rows = words.select(key, "word")
     append_rows(rows, table) if batch is None else write_batch(rows, table, batch)

@@ -23,7 +23,7 @@ from cutline.operators.features import id_like_columns, make_features, with_sql_
 from cutline.operators.labels import (
     LabelFunction, LabelSpec, label_cutoffs, label_stats, make_labels, register_label, wide_products, with_action_rows)
 from cutline.operators.ranking import exact_quantiles, percentile_rank, previous_row, with_deciles, with_rank
-from cutline.operators.text import dictionary_words, letter_words, new_comments, spread, word_rows
+from cutline.operators.text import counted_words, dictionary_words, letter_words, new_comments, spread, word_rows
 from cutline.operators.windows import Buckets, RoleWindow, interval_join
 from cutline.plans.comment_flow import comment_job
 from cutline.plans.comment_flow import comment_words as comment_words_flow
@@ -806,7 +806,7 @@ def comment_batches(spark, d):
     comment_job(spark, rows.where("created < 2000"), name, stop_words=STOP_WORDS, batch="early")
     for _ in range(2):
         comment_job(spark, rows, name, stop_words=STOP_WORDS, batch="all")
-    words = checkpointed(spark.table(name).groupBy("batch", "oid", "word").agg(F.count(F.lit(1)).alias("n")))
+    words = checkpointed(counted_words(spark.table(name), "batch", "oid", "word"))
     spark.sql(f"DROP TABLE {name}")
     return words
 

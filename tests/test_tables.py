@@ -19,6 +19,7 @@ from cutline.sources.readers import (
 from cutline.sources.sinks import (
     column_types, jdbc_write_options, sanitized, save_result, stage_folder, write_by_product, write_csv)
 from cutline.sources.sql_jobs import create_then_insert, filled, run_sql, run_sql_directory, statements, union_over
+from helpers import plan_of
 
 DB = Database("greenplum", "db.example", 5432, "shop", "reader", "secret", "dm")
 
@@ -230,3 +231,21 @@ def test_segmentation_looks_up_in_a_table(spark):
     df = spark.createDataFrame([(i, "丁七万丈丈") for i in range(50)], "oid long, content string")
     out = text.dictionary_words(df, "content", many, "w")
     assert {tuple(r.w) for r in out.collect()} == {("丁七万丈丈",)}
+
+
+def test_distinct_comments_move_no_whole_texts(spark):
+    rows = [(1, "same text", 5), (1, "same text", 5), (1, "same text", 6), (2, "same text", None), (2, "same text", None), (3, "", 1), (4, "only", 0)]
+    comments = spark.createDataFrame(rows, "oid long, content string, created int")
+    fresh = new_comments(comments)
+    assert sorted(map(tuple, fresh.collect()), key=str) == sorted(set(rows), key=str)
+    single = spark.createDataFrame(rows[2:4] + rows[5:], comments.schema)
+    assert new_comments(single).count() == 4
+    assert "Exchange" not in plan_of(new_comments(single))  # no hash repeats, so no text moves
+
+
+def test_counted_words_bounds_the_rows_of_a_task(spark, monkeypatch):
+    monkeypatch.setattr(text, "WORDS_PER_TASK", 10)
+    words = spark.range(1000).selectExpr("id % 300 as oid", "concat('w', id % 7) as word")
+    counted = text.counted_words(words, "oid", "word")
+    assert "REPARTITION_BY_NUM" in plan_of(counted) and counted.rdd.getNumPartitions() == 100
+    assert counted.agg({"n": "sum"}).first()[0] == 1000 and counted.count() == words.distinct().count()
