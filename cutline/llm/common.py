@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -103,11 +104,20 @@ def text_batches(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Itera
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from func(batches)
-        pa.default_memory_pool().release_unused()  # workers live on between tasks
+        _give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def _give_back() -> None:
+    """Free memory goes back to the system: workers live on between tasks, beside the JVM of their executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def whole_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Regroup batches that are sorted by ``key`` so that no group is cut by a batch end."""
     held: list[pd.DataFrame] = []

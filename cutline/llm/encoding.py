@@ -18,7 +18,7 @@ from cutline.llm.common import heavy
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MEMO = 200_000  # chunks kept per process, some 40 MB; a full memo is halved
+MEMO = 500_000  # chunks kept per process, some 100 MB; a full memo is halved
 LONGEST = 64  # longer chunks are not kept
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 CHUNK = re.compile(r"[ \n\t\r]*[^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ](?![^ \n\t\r.,!?%$&*#])|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
@@ -46,6 +46,9 @@ class Encoder:
         self.chunks = CHUNK if self._plain([" \n"])[0] else WORD
         self.lower = self._plain(["AbC"]) == self._plain(["aBc"])
         self.letters = self._byte_letters()
+        self.tokenize = self.tokenizer.model.tokenize  # each look at ``model`` would make a new object
+        self.blank = self.letters[32]
+        self.ascii = all(self.letters[i] == chr(i) for i in map(ord, "ABCXYZabcxyz")) and len(self.blank) == 1
         samples = [" word", " Über", " naïveté", "Straße", "ÀÿØ", " x"]
         self.direct = False
         self.direct = all(self._model(c) == self._plain([c])[0] for c in samples if self._fits(c))
@@ -65,8 +68,13 @@ class Encoder:
 
     def _model(self, chunk: str) -> bytes:
         """Ids of a chunk that is one pre-token, from the merges alone."""
-        raw = (chunk.lower() if self.lower else chunk).encode()
-        ids = [t.id for t in self.tokenizer.model.tokenize(raw.decode("latin-1").translate(self.letters))]
+        if self.lower:
+            chunk = chunk.lower()
+        if self.ascii and chunk.isascii():
+            signs = self.blank + chunk[1:] if chunk[0] == " " else chunk
+        else:
+            signs = chunk.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenize(signs)]
         return PACKERS[len(ids)](*ids) if len(ids) < len(PACKERS) else np.array(ids, "<u4").tobytes()
 
     def _plain(self, chunks: list[str]) -> list[bytes]:

@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 
@@ -144,3 +145,19 @@ def test_packed_documents(spark):
         assert at <= 2048
     assert len(sequences) <= sum(r["length"] for r in got) / 2048 * 1.1 + 1
     assert packing.pack(docs.limit(0), path).count() == 0
+
+
+def test_freed_memory_goes_back_after_a_task(monkeypatch):
+    """Half of the blocks freed here lie between used ones, so only a trim gives their pages back."""
+    from cutline.llm import common
+
+    def resident() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    blocks = [bytearray(os.urandom(1) * 100_000) for _ in range(2000)]
+    kept = blocks[1::2]
+    del blocks
+    before = resident()
+    common._give_back()
+    assert before - resident() > 50_000_000 and len(kept) == 1000
