@@ -50,13 +50,14 @@ def stored(df: DataFrame, folder: str | None = None, batch_rows: int | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, keys: list[str], buckets: int, move: bool = True) -> DataFrame:
     """``stored``, dealt to ``buckets`` by ``keys``, so that several joins by them move only their other side.
 
+    ``move=False``: every task writes its rows to the buckets itself, for few large rows.
     The table is known to the catalog just long enough to be opened; its files are external and stay.
     """
     spark, name = df.sparkSession, f"cutline_{uuid.uuid4().hex}"
-    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", shared_folder(spark)).format("parquet").saveAsTable(name)
+    (df.repartition(buckets, *keys) if move else df).write.bucketBy(buckets, *keys).option("path", shared_folder(spark)).format("parquet").saveAsTable(name)
     out = spark.table(name)
     spark.sql(f"DROP TABLE {name}")
     return out

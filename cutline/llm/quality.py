@@ -20,40 +20,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cutline.llm.common import by_keys, stored, text_batches
+from cutline.llm.common import bucketed, by_keys, stored, text_batches
 
 ORDER = 4
 WIDE = 21  # bits of a code point
 POINTS = 0x110000  # number of code points; as a character it stands before the text start
-COUNTED = 1 << 20  # characters whose n-grams are sorted at once
-BATCH = 1 << 22  # characters of a batch of documents
+DENSE = 1 << 22  # possible values up to which distinct ones are found by counting
+COUNTED = 1 << 20  # characters whose n-grams are told apart at once
+BATCH = 1 << 25  # bytes of text of a batch of documents
+GRAMS = 1 << 20  # distinct n-grams at which a batch ends, too
+LEVEL = 3  # of compression
 
 
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
+def _distinct(codes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order, and the place of each code among them. Codes lie below ``size``; few possible ones need no sort."""
+    if size > DENSE:
+        return np.unique(codes, return_inverse=True)
+    seen = np.flatnonzero(np.bincount(codes))
+    place = np.zeros(int(seen[-1]) + 1, np.int32)
+    place[seen] = np.arange(len(seen), dtype=np.int32)
+    return seen, place[codes]
+
+
 def _ranked(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a run of characters and, from the ``ORDER``-th character on, which of them ends there.
 
-    The n-grams come as rows of ``ORDER`` characters.
+    The n-grams come as rows of ``ORDER`` characters, in their order. They are pairs of pairs, of which a text has few.
     """
-    seen = np.flatnonzero(np.bincount(s))
-    rank = np.zeros(int(seen[-1]) + 1, np.int64)
-    rank[seen] = np.arange(len(seen))
-    width = max(1, (len(seen) - 1).bit_length())
-    r, n = rank[s], len(s) - ORDER + 1
-    if width * ORDER <= 62:
-        codes = r[:n]
-        for i in range(1, ORDER):
-            codes = codes << width | r[i : i + n]
-        if width * ORDER <= 31:
-            codes = codes.astype(np.int32)
-        codes, which = np.unique(codes, return_inverse=True)
-        grams = np.stack([codes.astype(np.int64) >> width * (ORDER - 1 - i) & (1 << width) - 1 for i in range(ORDER)], axis=1)
-        return seen[grams], which
-    grams, which = np.unique(np.lib.stride_tricks.sliding_window_view(s, ORDER), axis=0, return_inverse=True)
-    return grams.astype(np.int64), which.ravel()
+    seen, r = _distinct(s, POINTS + 1)
+    pairs, p = _distinct(r[:-1].astype(np.int64) * len(seen) + r[1:], len(seen) ** 2)
+    codes, which = _distinct(p[:-2].astype(np.int64) * len(pairs) + p[2:], len(pairs) ** 2)
+    both = np.stack([pairs[codes // len(pairs)], pairs[codes % len(pairs)]], 1)
+    return seen[np.stack([both // len(seen), both % len(seen)], 2).reshape(-1, ORDER)], which
 
 
 def _joined(grams: np.ndarray) -> np.ndarray:
@@ -147,42 +149,92 @@ def looked_up(grams: DataFrame, tables: list[tuple[DataFrame, DataFrame]]) -> Da
     return now.select("context", "point", F.log(F.col("p") + F.col("scale") / F.lit(float(POINTS))).alias("log"))
 
 
+def _united(grams: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of several lists (contexts, points), sorted."""
+    contexts, points = (np.concatenate(x) for x in zip(*grams))
+    order = np.lexsort((points, contexts))
+    contexts, points = contexts[order], points[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (contexts[1:] != contexts[:-1]) | (points[1:] != points[:-1])
+    return contexts[new], points[new]
+
+
+class _Open:
+    """A batch that is being packed: columns of its documents, their texts in one compressed stream, distinct n-grams."""
+
+    def __init__(self):
+        self.columns, self.sizes, self.size = ([], [], []), [], 0
+        self.stream, self.body = zstandard.ZstdCompressor(level=LEVEL).compressobj(), []
+        self.grams, self.found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+
+    def add(self, rows: pa.RecordBatch) -> None:
+        for held, i in zip(self.columns, range(3)):
+            held.append(rows.column(i))
+        texts = rows.column(3).to_pylist()
+        for text in texts:
+            raw = (text or "").encode("utf-8", "surrogatepass")
+            self.body.append(self.stream.compress(raw))
+            self.sizes.append(-1 if text is None else len(raw))
+            self.size += len(raw)
+        for _, pieces in _grouped([t for t in texts if t]):
+            grams, which = _ranked(np.concatenate(pieces))
+            grams = grams[np.bincount(which[_ends(pieces)], minlength=len(grams)) > 0]
+            self.grams.append((_joined(grams[:, :-1]), grams[:, -1]))
+            self.found += len(grams)
+            if self.found >= 2 * GRAMS:
+                self.unite()
+
+    def unite(self) -> None:
+        self.grams = [_united(self.grams)]
+        self.found = len(self.grams[0][0])
+
+    def full(self) -> bool:
+        return self.size >= BATCH or self.found >= GRAMS
+
+    def row(self, key_type: pa.DataType) -> pa.RecordBatch:
+        self.unite()
+        contexts, points = self.grams[0]
+        body = b"".join([*self.body, self.stream.flush()])
+        lists = [pa.concat_arrays(x) for x in self.columns] + [pa.array(x, pa.int64()) for x in (self.sizes, contexts, points)]
+        types = [key_type, pa.string(), *[pa.int64()] * 4]
+        arrays = [pa.ListArray.from_arrays([0, len(x)], x.cast(t)) for x, t in zip(lists, types)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([body], pa.binary())], ["keys", "langs", "marks", "sizes", "contexts", "points", "body"])
+
+
 def packed(texts: DataFrame, key: str) -> DataFrame:
-    """Batches of documents: keys, langs, marks, lengths (-1: null), their texts compressed, and their distinct n-grams."""
-    kind = dict(texts.dtypes)[key]
+    """Batches of documents: keys, langs, marks, sizes in bytes (-1: null), their texts compressed, and their distinct n-grams.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-
-        def closed() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            texts = rows.column("__text").to_pylist()
-            contexts, points = [], []
-            for _, pieces in _grouped([t for t in texts if t]):
-                grams, which = _ranked(np.concatenate(pieces))
-                grams = grams[np.bincount(which[_ends(pieces)], minlength=len(grams)) > 0]
-                contexts.append(_joined(grams[:, :-1]))
-                points.append(grams[:, -1])
-            both = np.unique(np.stack([np.concatenate(contexts), np.concatenate(points)], 1), axis=0) if contexts else np.zeros((0, 2), np.int64)
-            lengths = np.array([-1 if t is None else len(t) for t in texts], np.int64)
-            body = zstandard.ZstdCompressor(level=1).compress("".join(t or "" for t in texts).encode("utf-8", "surrogatepass"))
-            lists = [rows.column(key), rows.column("lang"), rows.column("mark"), pa.array(lengths), pa.array(both[:, 0]), pa.array(both[:, 1])]
-            types = [rows.schema.field(key).type, pa.string(), *[pa.int64()] * 4]
-            arrays = [pa.array([x.to_pylist()], pa.list_(t)) for x, t in zip(lists, types)]
-            return pa.RecordBatch.from_arrays([*arrays, pa.array([body], pa.binary())], ["keys", "langs", "marks", "lengths", "contexts", "points", "body"])
+    They lie in buckets by ``batch``, each where its documents were read: texts are written once and never shuffled.
+    """
+    kind, key_type = dict(texts.dtypes)[key], to_arrow_type(texts.schema[key].dataType)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = _Open()
         for batch in batches:
-            held.append(batch)
-            size += batch.column("__text").nbytes
-            if size >= BATCH:
-                yield closed()
-                held, size = [], 0
-        if held:
-            yield closed()
-
-    schema = f"keys array<{kind}>, langs array<string>, marks array<long>, lengths array<long>, contexts array<long>, points array<long>, body binary"
-    return stored(text_batches(texts.select(key, "lang", "mark", "__text"), run, schema).withColumn("batch", F.monotonically_increasing_id()))
+            now.add(batch)
+            if now.full():
+                now.unite()
+                if now.full():
+                    yield now.row(key_type)
+                    now = _Open()
+        if now.sizes:
+            yield now.row(key_type)
+
+    schema = f"keys array<{kind}>, langs array<string>, marks array<long>, sizes array<long>, contexts array<long>, points array<long>, body binary"
+    rows = text_batches(texts.select(key, "lang", "mark", "__text"), run, schema).withColumn("batch", F.monotonically_increasing_id())
+    return bucketed(rows, ["batch"], int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), move=False)
+
+
+def _places(contexts: np.ndarray, points: np.ndarray, of: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the n-grams (``of``, ``at``) stand among the sorted distinct ones; the number of those if they are not there."""
+    if not len(contexts):
+        return np.zeros(len(of), np.int64)
+    heads = contexts[np.flatnonzero(np.diff(contexts, prepend=contexts[0] - 1))]
+    known = np.searchsorted(heads, contexts) << WIDE | points
+    head = np.minimum(np.searchsorted(heads, of), len(heads) - 1)
+    wanted = head << WIDE | at
+    place = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where((heads[head] == of) & (known[place] == wanted), place, len(known))
 
 
 def scored(texts: DataFrame, tables: list[tuple[DataFrame, DataFrame]], key: str) -> DataFrame:
@@ -195,28 +247,41 @@ def scored(texts: DataFrame, tables: list[tuple[DataFrame, DataFrame]], key: str
     back = grams.join(logs, ["context", "point"]).groupBy("batch").agg(F.collect_list(F.struct("at", "log")).alias("logs"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for batch in rows for r in batch.to_pylist()):
-            log = np.zeros(len(row["contexts"]))
-            for x in row["logs"] or ():
-                log[x["at"]] = x["log"]
-            place = {g: i for i, g in enumerate(zip(row["contexts"], row["points"]))}
-            whole = zstandard.ZstdDecompressor().decompress(row["body"]).decode("utf-8", "surrogatepass")
-            ends = np.cumsum(np.maximum(row["lengths"], 0))
-            texts = [whole[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
-            total = np.zeros(len(texts))
-            for numbers, held in _grouped(texts):
-                found, which = _ranked(np.concatenate(held))
-                inside = _ends(held)
-                keys = zip(_joined(found[:, :-1]).tolist(), found[:, -1].tolist())
-                own = np.array([log[place[g]] if g in place else 0.0 for g in keys])  # those across two texts are not there
-                text = np.repeat(numbers, [len(p) for p in held])[ORDER - 1 :]
-                total += np.bincount(text[inside], own[which[inside]], len(texts))
-            loss = [math.exp(-x / n) if n > 0 else None for x, n in zip(total.tolist(), row["lengths"])]
-            schema = pa.schema([(key, rows_type), ("lang", pa.string()), ("mark", pa.int64()), ("n_chars", pa.int64()), ("perplexity", pa.float64())])
-            yield pa.RecordBatch.from_pydict({key: row["keys"], "lang": row["langs"], "mark": row["marks"], "n_chars": [max(n, 0) for n in row["lengths"]], "perplexity": loss}, schema=schema)
+        for batch in rows:
+            for i in range(batch.num_rows):
+                row = {name: column[i] for name, column in zip(batch.schema.names, batch.columns)}
+                sizes, contexts, points = (row[c].values.to_numpy() for c in ("sizes", "contexts", "points"))
+                log = np.zeros(len(contexts) + 1)  # the last one: n-grams across two texts, which are not there
+                if row["logs"].is_valid:
+                    at, value = row["logs"].values.flatten()
+                    log[at.to_numpy()] = value.to_numpy()
+                stream = zstandard.ZstdDecompressor().stream_reader(row["body"].as_buffer())
+                total, chars = np.zeros(len(sizes)), np.zeros(len(sizes), np.int64)
+
+                def add(first: int, held_texts: list[str]) -> None:
+                    chars[first : first + len(held_texts)] = [len(t) for t in held_texts]
+                    for numbers, held in _grouped(held_texts):
+                        found, which = _ranked(np.concatenate(held))
+                        inside = _ends(held)
+                        own = log[_places(contexts, points, _joined(found[:, :-1]), found[:, -1])]
+                        text = np.repeat(numbers, [len(p) for p in held])[ORDER - 1 :]
+                        total[first : first + len(held_texts)] += np.bincount(text[inside], own[which[inside]], len(held_texts))
+
+                first, held, size = 0, [], 0
+                for j, n in enumerate(sizes.tolist()):
+                    held.append(stream.read(n).decode("utf-8", "surrogatepass") if n > 0 else "")
+                    size += max(n, 0)
+                    if size >= COUNTED:
+                        add(first, held)
+                        first, held, size = j + 1, [], 0
+                if held:
+                    add(first, held)
+                loss = [math.exp(-x / n) if n > 0 else None for x, n in zip(total.tolist(), chars.tolist())]
+                schema = pa.schema([(key, rows_type), ("lang", pa.string()), ("mark", pa.int64()), ("n_chars", pa.int64()), ("perplexity", pa.float64())])
+                yield pa.RecordBatch.from_arrays([row["keys"].values.cast(rows_type), row["langs"].values.cast(pa.string()), row["marks"].values, pa.array(chars), pa.array(loss, pa.float64())], schema=schema)
 
     rows_type = to_arrow_type(texts.schema[key].dataType)
-    joined = batches.join(back, "batch", "left").select("keys", "langs", "marks", "lengths", "contexts", "points", "body", "logs")
+    joined = batches.join(back, "batch", "left").select("keys", "langs", "marks", "sizes", "contexts", "points", "body", "logs")
     return text_batches(joined, run, f"`{key}` {kind}, lang string, mark long, n_chars long, perplexity double")
 
 

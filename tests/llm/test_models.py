@@ -98,6 +98,23 @@ def test_perplexities_against_brute_force(spark, monkeypatch, counted, batch):
         assert got[i]["n_chars"] == len(t)
 
 
+def test_texts_are_stored_once_and_not_shuffled_again(spark):
+    docs = docs_of(spark, [(i, prose(300, i), "en", "a", 0) for i in range(40)]).repartition(2)
+    tables = quality.shares(quality.gram_counts(docs))
+    narrow = docs.select("doc_id", "lang", quality._mark(docs).alias("mark"), docs["text"].alias("__text"))
+    plan = quality.scored(narrow, tables, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(batch") == 1 and "Bucketed: true" in plan
+
+
+@pytest.mark.parametrize("dense", [1 << 22, 1 << 12, 0])
+def test_distinct_grams_with_and_without_sorting(monkeypatch, dense):
+    monkeypatch.setattr(quality, "DENSE", dense)
+    s = np.array([quality.POINTS] * 3 + [ord(c) for c in prose(40, 1) + "日本語😀é日本"])
+    grams, which = quality._ranked(s)
+    assert (grams[which] == np.lib.stride_tricks.sliding_window_view(s, quality.ORDER)).all()
+    assert list(map(tuple, grams.tolist())) == sorted(set(map(tuple, grams.tolist())))
+
+
 def test_each_row_has_its_own_verdict(spark):
     good = [(i, prose(200, i), "en", "a", 0) for i in range(20)]
     junk = "".join(np.random.default_rng(1).choice(list("qxzjkvwpm"), 600))
