@@ -93,9 +93,10 @@ def _importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
 
 
-def text_batches(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def text_batches(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: bool = False) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, since a text may be long.
 
+    Tasks that don't use a ``heavy`` object (``keeps``) first drop the one that an earlier stage left in their process.
     Spark reads the bound when a plan runs, after this call, so the session keeps it from here on; it changes no result.
     """
     _importable(df.sparkSession)
@@ -104,6 +105,9 @@ def text_batches(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Itera
         conf.set(key, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps and _heavy:
+            _heavy.clear()
+            _give_back()
         yield from func(batches)
         _give_back()
 

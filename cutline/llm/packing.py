@@ -184,7 +184,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int, window: int = WINDOW, key
                  *(pa.array(rows[c], pa.int64()) for c in ("n", "tail", "rank", "full"))], [key, "part", "ids", "n", "tail", "rank", "full"])
 
     narrow = docs.select(F.col(key), F.coalesce(text, F.lit("")).alias("__text"))
-    return stored(text_batches(narrow, run, f"`{key}` {kind}, part int, ids binary, n long, tail long, rank long, full long"))
+    return stored(text_batches(narrow, run, f"`{key}` {kind}, part int, ids binary, n long, tail long, rank long, full long", keeps=True))
 
 
 def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW, key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:

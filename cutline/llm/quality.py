@@ -27,7 +27,7 @@ WIDE = 21  # bits of a code point
 POINTS = 0x110000  # number of code points; as a character it stands before the text start
 DENSE = 1 << 22  # possible values up to which distinct ones are found by counting
 COUNTED = 1 << 20  # characters whose n-grams are told apart at once
-BATCH = 1 << 25  # bytes of text of a batch of documents
+BATCH = 1 << 24  # bytes of text of a batch of documents
 GRAMS = 1 << 20  # distinct n-grams at which a batch ends, too
 LEVEL = 3  # of compression
 

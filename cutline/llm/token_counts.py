@@ -133,4 +133,4 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
                 [key, "n_tokens", "n_words", "n_bytes"])
 
     narrow = docs.select(F.col(key), F.coalesce(text, F.lit("")).alias("__text")).withColumn("__bytes", F.octet_length("__text").cast("long"))
-    return text_batches(narrow, run, f"`{key}` {kind}, n_tokens long, n_words long, n_bytes long")
+    return text_batches(narrow, run, f"`{key}` {kind}, n_tokens long, n_words long, n_bytes long", keeps=True)

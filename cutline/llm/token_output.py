@@ -125,7 +125,7 @@ def write_files(docs: DataFrame, path: str, end_id: int = 0, key: str = "doc_id"
         if keys:
             yield closed()
 
-    files = text_batches(ordered, run, "first_key long, n_docs long, n_ids long, payload binary")
+    files = text_batches(ordered, run, "first_key long, n_docs long, n_ids long, payload binary", keeps=True)
     numbered = files.withColumn("file_no", F.monotonically_increasing_id())
     return stored(numbered, folder or shared_folder(docs.sparkSession))
 

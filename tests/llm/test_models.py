@@ -2,10 +2,11 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import WORDS, awkward, clashing, docs_of, prose
 
-from cutline.llm import language_id, quality
+from cutline.llm import common, language_id, quality
 
 FRENCH = "le la de et un être avoir que pour dans ce il qui ne sur se pas plus pouvoir par".split()
 
@@ -106,6 +107,22 @@ def test_texts_are_stored_once_and_not_shuffled_again(spark):
     assert plan.count("Exchange hashpartitioning(batch") == 1 and "Bucketed: true" in plan
 
 
+def test_a_large_object_goes_when_a_stage_does_not_use_it(spark):
+    def build(batches):
+        common.heavy("large", lambda: bytearray(10))
+        yield from batches
+
+    def look(batches):
+        n = len(common._heavy)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], ["id"])
+
+    rows = spark.range(64, numPartitions=8)
+    common.text_batches(rows, build, "id long", keeps=True).collect()
+    assert {r["id"] for r in common.text_batches(rows, look, "id long", keeps=True).collect()} == {1}
+    assert {r["id"] for r in common.text_batches(rows, look, "id long").collect()} == {0}
+
+
 @pytest.mark.parametrize("dense", [1 << 22, 1 << 12, 0])
 def test_distinct_grams_with_and_without_sorting(monkeypatch, dense):
     monkeypatch.setattr(quality, "DENSE", dense)
