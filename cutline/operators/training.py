@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from cutline.operators.features import distinct_counts
 from cutline.operators.ranking import exact_quantiles, with_deciles, with_rank
 from cutline.session import checkpointed
+from cutline.sources.sinks import path_exists
 
 MAX_CATEGORIES = 1000
 HASHED_CATEGORIES = 4096
@@ -144,12 +145,25 @@ class TrainedModel:
     inputs: list[str]
     facts: dict = field(default_factory=dict)
 
-    def save(self, folder: str) -> None:
+    def save(self, folder: str, mark: str | None = None) -> None:
+        """``mark``: fingerprint of all that the model is made from. It is written last, so a save that failed leaves none."""
+        if mark is not None:
+            self._save_facts(folder, None)
         self.pipeline.write().overwrite().save(f"{folder}/pipeline")
-        text = json.dumps({"spec": asdict(self.spec), "columns": self.columns, "inputs": self.inputs, "facts": self.facts})
+        self._save_facts(folder, mark)
+
+    def _save_facts(self, folder: str, mark: str | None) -> None:
+        text = json.dumps({"spec": asdict(self.spec), "columns": self.columns, "inputs": self.inputs, "facts": self.facts, "mark": mark})
         spark = SparkSession.getActiveSession()
         spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder}/model_facts")
 
+    @staticmethod
+    def saved_mark(spark: SparkSession, folder: str) -> str | None:
+        """The mark of the model that was completely saved in a folder; None without one."""
+        if not path_exists(spark, f"{folder}/model_facts/_SUCCESS"):
+            return None
+        return json.loads(spark.read.text(f"{folder}/model_facts").first()[0]).get("mark")
+
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> "TrainedModel":
         text = json.loads(spark.read.text(f"{folder}/model_facts").first()[0])

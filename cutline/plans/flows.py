@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime
 
 from pyspark.ml import Estimator
@@ -168,7 +168,8 @@ def features(es: EntitySet, config: Mapping, instances: DataFrame, cutoffs, plan
 
 MODEL_PARTS = {"model_desc", "model_prediction_desc", "result_saving_desc"}
 #: Parts of the configuration that a stage does not depend on.
-AFTER = {"entities": {*MODEL_PARTS, "feature_extraction_desc", "label_desc"}, "labels": {*MODEL_PARTS, "feature_extraction_desc"}, "features": MODEL_PARTS}
+AFTER = {"entities": {*MODEL_PARTS, "feature_extraction_desc", "label_desc"}, "labels": {*MODEL_PARTS, "feature_extraction_desc"}, "features": MODEL_PARTS,
+         "model": {"model_prediction_desc", "result_saving_desc"}}
 
 
 @dataclass
@@ -210,16 +211,19 @@ def train_flow(spark: SparkSession, config: Mapping, tables: Mapping[str, DataFr
     """Labels, features, one model per product (or one), evaluation.
 
     With a ``folder``, labels (by cutoff), label statistics, feature matrix, feature list and models are
-    written there, labels and matrix in a folder named by a fingerprint of settings and inputs; ``resume`` takes
-    those that an earlier run completed from the same ones. ``estimator`` may be any pyspark.ml estimator; ``hook`` shapes the feature matrix of one project.
+    written there, labels and matrix in a folder named by a fingerprint of settings and inputs, models with it beside; ``resume``
+    takes those that an earlier run completed from the same ones. ``estimator`` may be any pyspark.ml estimator; ``hook`` shapes the
+    feature matrix of one project. They are code, which has no fingerprint: a run with one of them trains its models itself.
     ``snapshot`` first writes the entities there too, so that labels and features see the same rows.
     """
+    def mark_of(name: str, *more) -> str:
+        settings = {k: v for k, v in config.items() if k not in AFTER[name.split("/")[0]]}
+        return fingerprint([name, settings, *more], inputs)
+
     def stage(name: str, build: Callable[[], DataFrame], by: Sequence = ()) -> DataFrame:
         if folder is None:
             return checkpointed(build())
-        settings = {k: v for k, v in config.items() if k not in AFTER[name.split("/")[0]]}
-        mark = fingerprint([name, settings], inputs)
-        return staged(build, spark, f"{folder}/{name}", resume, by, mark)
+        return staged(build, spark, f"{folder}/{name}", resume, by, mark_of(name))
 
     es = entity_set(spark, config, tables)
     inputs = {n: e.df for n, e in es.entities.items()}
@@ -251,14 +255,17 @@ def train_flow(spark: SparkSession, config: Mapping, tables: Mapping[str, DataFr
     for product in products:
         mine = table if product is None else table.where(F.col("product") == product)
         joined = train_matrix(matrix, mine.select("time", plain, label), plain)
-        model = fit(joined, settings, estimator)
+        place = stage_folder(folder, product) if folder else None
+        mark = mark_of("model", product, asdict(settings), names) if folder and estimator is None and hook is None else None
+        done = resume and mark is not None and TrainedModel.saved_mark(spark, place) == mark
+        model = TrainedModel.load(spark, place) if done else fit(joined, settings, estimator)
         if model is None:
             continue
         result.models[product] = model
         if with_evaluation:
             result.evaluations[product] = evaluate(model, joined)
-        if folder:
-            model.save(stage_folder(folder, product))
+        if folder and not done:
+            model.save(place, mark)
     return result
 
 

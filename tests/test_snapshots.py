@@ -2,9 +2,12 @@
 
 import copy
 import datetime
+import shutil
 
 import pytest
 
+from cutline.operators.training import fit, raw_scores
+from cutline.plans import flows
 from cutline.plans.comment_flow import comment_job
 from cutline.plans.flows import train_flow
 from cutline.plans.queries import small_model_config, tables
@@ -54,6 +57,28 @@ def test_a_changed_cutoff_is_computed_again(spark, tmp_path):
     assert {r[0] for r in first.labels.select("time").distinct().collect()} == cutoffs  # still readable
 
 
+def test_a_resumed_run_takes_over_its_models(spark, tmp_path, monkeypatch):
+    config, folder, fits = small_model_config("purchase"), str(tmp_path / "run"), []
+    monkeypatch.setattr(flows, "fit", lambda *a, **k: fits.append(1) or fit(*a, **k))
+
+    def scores(config, resume=True, **more):
+        run = train_flow(spark, config, tables(spark, FOLDER), folder, with_evaluation=False, resume=resume, **more)
+        model = run.models[None]
+        return model.spec, model.facts, sorted(map(tuple, raw_scores(model, run.features).collect()))
+
+    first = scores(config, resume=False)
+    assert scores(config) == first and len(fits) == 1
+    changed = copy.deepcopy(config)
+    changed["model_desc"]["model_para"]["iterations"] = 2
+    assert scores(changed)[0].rounds == 2 and len(fits) == 2
+    assert scores(config) == first and len(fits) == 3  # the model there was of other settings
+    shutil.rmtree(f"{folder}/model_facts")  # as after a save that failed
+    assert scores(config) == first and len(fits) == 4
+    scores(config, hook=lambda matrix: matrix)
+    scores(config)
+    assert len(fits) == 6
+
+
 def test_a_repeated_batch_comes_in_once(spark):
     spark.sql("DROP TABLE IF EXISTS words_batched")
     rows = spark.createDataFrame([(1, "good dress", 10), (2, "bad fit", 30), (3, "nice cut", 20)], "oid long, content string, created int")
