@@ -75,6 +75,13 @@ def heavy(key, build: Callable):
     return _heavy[key]
 
 
+def _drop_heavy() -> None:
+    """For tasks, whose own functions come with copies of the variables of this module, while this one sees the process's."""
+    if _heavy:
+        _heavy.clear()
+        _give_back()
+
+
 def few(keys: DataFrame) -> bool:
     """Is a stored table of keys (tens of bytes a row) small enough to be sent to every task?"""
     return keys.count() <= BROADCAST_KEYS
@@ -105,9 +112,8 @@ def text_batches(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Itera
         conf.set(key, str(BATCH_BYTES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not keeps and _heavy:
-            _heavy.clear()
-            _give_back()
+        if not keeps:
+            _drop_heavy()
         yield from func(batches)
         _give_back()
 
