@@ -3,6 +3,7 @@
 The pre-tokenizers of both vocabularies never join what stands before a blank to what stands after it, nor a letter run
 that ends in a Latin letter to ASCII punctuation behind it. So a text can be cut there, each distinct chunk is encoded once per process, and the ids
 of a text are those of its chunks in order. Texts with other white space than blank, tab and line ends are encoded whole.
+Cuts are found in the bytes of all texts of a call, whose distinct chunks are then looked up once each.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 
 from cutline.llm.common import heavy
 
@@ -21,14 +23,53 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 MEMO = 500_000  # chunks kept per process, some 100 MB; a full memo is halved
 LONGEST = 64  # longer chunks are not kept
 ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-CHUNK = re.compile(r"[ \n\t\r]*[^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ](?![^ \n\t\r.,!?%$&*#])|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-WORD = re.compile(r"[^\W\d_]*[A-Za-zÀ-ÖØ-öø-ÿ](?![^ \n\t\r.,!?%$&*#])|[^ \n\t\r]+")  # where the vocabulary drops white space
 BEYOND_LATIN = re.compile("[^\x00-\xff]")
 SIMPLE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one pre-token of its own
 LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
+OTHER, SPACE, LETTER, MARK = range(4)
+KINDS = bytearray(256)  # of a byte; Latin letters beyond ASCII are 0xC3 and a byte behind it
+for _kind, _bytes in ((SPACE, b" \n\t\r"), (LETTER, bytes([*range(65, 91), *range(97, 123), 0xC3, *range(0x80, 0xC0)])), (MARK, b".,!?%$&*#")):
+    for _byte in _bytes:
+        KINDS[_byte] = _kind
+GATHERED = 1 << 18  # chunks whose ids are put in order at a time
+
 PACKERS = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
+
+def chunks(texts: list[str], spaces: bool) -> tuple[pa.Array, np.ndarray]:
+    """The chunks of all texts in order, and the place of each text's first chunk (one more at the end).
+
+    A chunk is white space and what follows it up to the next, cut once more where a mark follows Latin letters alone.
+    ``spaces=False`` leaves the white space out.
+    """
+    column = pa.array(texts, pa.large_string())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, "<i8", len(texts) + 1)
+    data = np.frombuffer(data, np.uint8, at[-1]) if at[-1] else np.zeros(0, np.uint8)
+    kinds = np.frombuffer(data.tobytes().translate(KINDS), np.uint8).copy()
+    sign = (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))  # the signs of multiplication and division
+    kinds[1:][sign] = OTHER
+    ends = np.flatnonzero(kinds != LETTER)
+    kind = kinds[ends]
+    after_space = np.concatenate([[True], kind[:-1] == SPACE])[: len(ends)]  # what ends here began behind white space
+    letters = np.diff(ends, prepend=-1) > 1
+    space = kind == SPACE
+    first = np.zeros(len(data) + 1, bool)
+    first[at] = True
+    first[ends[(kind == MARK) & after_space & letters]] = True
+    if spaces:
+        first[ends[space & (letters | ~after_space)]] = True
+    else:
+        first[ends[space] + 1] = True
+        kept = kinds != SPACE
+        data, first = data[kept], np.append(first[:-1][kept], True)
+        at = np.concatenate([[0], np.cumsum(kept)])[at]
+    bounds = np.flatnonzero(first)
+    found = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype("<i8")), pa.py_buffer(data))
+    return found, np.searchsorted(bounds, at)
+
+
 def encoder(path: str) -> "Encoder":
     """One encoder per process and vocabulary file."""
     return heavy(("encoder", path), lambda: Encoder(path))
@@ -43,7 +84,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.memo = Memo(self._ids)
-        self.chunks = CHUNK if self._plain([" \n"])[0] else WORD
+        self.spaces = bool(self._plain([" \n"])[0])  # else the vocabulary drops white space
         self.lower = self._plain(["AbC"]) == self._plain(["aBc"])
         self.letters = self._byte_letters()
         self.tokenize = self.tokenizer.model.tokenize  # each look at ``model`` would make a new object
@@ -64,7 +105,7 @@ class Encoder:
         return out
 
     def _fits(self, chunk: str) -> bool:
-        return SIMPLE.fullmatch(chunk) is not None and (self.chunks is CHUNK or chunk[0] != " ")
+        return SIMPLE.fullmatch(chunk) is not None and (self.spaces or chunk[0] != " ")
 
     def _model(self, chunk: str) -> bytes:
         """Ids of a chunk that is one pre-token, from the merges alone."""
@@ -84,24 +125,43 @@ class Encoder:
     def _ids(self, chunk: str) -> bytes:
         """Ids of one chunk: plain words from the merges alone, all else by the whole tokenizer."""
         if not self.direct or not self._fits(chunk):
-            if self.direct and self.chunks is CHUNK and chunk[0] in "\n\t" and LETTERS.fullmatch(chunk, 1):
+            if self.direct and self.spaces and chunk[0] in "\n\t" and LETTERS.fullmatch(chunk, 1):
                 return self._plain([chunk[0]])[0] + self._model(chunk[1:])
             return self._plain([chunk])[0]
         return self._model(chunk)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        out, memo = [], self.memo
-        for text in texts:
+        whole, cut = {}, []
+        for i, text in enumerate(texts):
             if ODD_SPACE.search(text):
-                out.append(self._plain([text])[0])
-                continue
-            if self.lower and not BEYOND_LATIN.search(text):
+                whole[i], text = self._plain([text])[0], ""
+            elif self.lower and not BEYOND_LATIN.search(text):
                 text = text.lower()
-            out.append(b"".join(map(memo.__getitem__, self.chunks.findall(text))))
-            if len(memo) > MEMO:
-                memo.shrink()
-        return out
+            cut.append(text)
+        found, at = chunks(cut, self.spaces)
+        coded = found.dictionary_encode()
+        known = [self.memo[chunk] for chunk in coded.dictionary.to_numpy(zero_copy_only=False)]  # faster than to_pylist
+        if len(self.memo) > MEMO:
+            self.memo.shrink()
+        ids, ends = in_order(known, coded.indices.to_numpy())
+        ends = (4 * ends[at]).tolist()
+        return [whole[i] if i in whole else ids[a:b] for i, (a, b) in enumerate(zip(ends, ends[1:]))]
+
+
+def in_order(known: list[bytes], order: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The ids of the chunks ``known[order[0]]``, ``known[order[1]]`` and so on, and the number of ids before each and after all."""
+    flat = np.frombuffer(b"".join(known), "<u4")
+    sizes = np.fromiter(map(len, known), "<i8", len(known)) >> 2
+    starts = np.cumsum(sizes) - sizes
+    ends, parts = np.concatenate([[0], np.cumsum(sizes[order])]), []
+    for a in range(0, len(order), GATHERED):
+        part = order[a : a + GATHERED]
+        shift = starts[part] + ends[a] - ends[a : a + len(part)]
+        places = np.repeat(shift, sizes[part])
+        places += np.arange(len(places))
+        parts.append(flat[places].tobytes())
+    return b"".join(parts), ends
 
 
 class Memo(dict):

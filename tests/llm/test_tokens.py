@@ -66,6 +66,43 @@ def test_encoder_with_a_full_memo(monkeypatch):
     assert [own.encode([t])[0] for t in texts] == [np.array(own.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_looks_up_a_chunk_once_a_call(name):
+    class Counted(encoding.Memo):
+        looked = 0
+
+        def __getitem__(self, chunk):
+            self.looked += 1
+            return super().__getitem__(chunk)
+
+    own = encoding.Encoder(vocabulary(name))
+    own.memo = Counted(own._ids)
+    texts = [prose(200, i % 4) for i in range(40)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert own.encode(texts) == want
+    assert own.memo.looked == len(own.memo) < 1000
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_cuts_bytes_at_text_and_word_ends(name, monkeypatch):
+    monkeypatch.setattr(encoding, "GATHERED", 7)
+    own = encoding.Encoder(vocabulary(name))
+    texts = ["", "", "ab", ".cd", " ", "\n", "é", "×.", "a×.b", "ÿ÷!", "Ã. Ã", "ªa.", "aª.", "a1.b.c", "я. яa.", " \n\t", "Ø,ø  ", "😀.", "\xa0a. b", "", "x"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in own.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert own.encode(texts) == want
+    assert own.encode([]) == []
+
+
+def test_chunks_of_texts():
+    texts = ["One, two  three.", "", ".x", "a1.b\n", "ß× ß×."]
+    parts, at = encoding.chunks(texts, True)
+    assert parts.to_pylist() == ["One", ",", " two", "  three", ".", ".x", "a1.b", "\n", "ß×", " ß×."]
+    assert at.tolist() == [0, 5, 5, 6, 8, 10]
+    parts, at = encoding.chunks(texts, False)
+    assert parts.to_pylist() == ["One", ",", "two", "three", ".", ".x", "a1.b", "ß×", "ß×."]
+    assert at.tolist() == [0, 5, 5, 6, 7, 9]
+
+
 @pytest.mark.parametrize("bits", [False, True])
 @pytest.mark.parametrize("sizes", [[], [0], [1], [5, 0, 7], [100, 64, 3]])
 def test_plane_files_round_trip(bits, sizes):
