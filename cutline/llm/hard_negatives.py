@@ -118,8 +118,9 @@ class Packed:
         self.known, self.labels = np.frombuffer(row["known"], "?"), np.frombuffer(row["labels"], "<i8")
         width = len(row["parts"]) // max(1, n * dim)
         self.parts = np.frombuffer(row["parts"], "<i8" if width == 8 else "<i4").reshape(n, dim)
-        self.codes = np.frombuffer(row["codes"], "<u8").reshape(n, CODES, -1)
-        self.stats = np.frombuffer(row["stats"], "<f8").reshape(n, CODES + 2)
+        if "codes" in row:  # a chunk's; blocks travel without
+            self.codes = np.frombuffer(row["codes"], "<u8").reshape(n, CODES, -1)
+            self.stats = np.frombuffer(row["stats"], "<f8").reshape(n, CODES + 2)
         self.row = row
 
 
@@ -215,10 +216,13 @@ def _at_least(score: np.ndarray, positive: np.ndarray, share: tuple[int, int]) -
 
 
 def _meet(chunks: DataFrame, blocks: DataFrame, groups: int, func, schema: str) -> DataFrame:
-    """``func(block, chunk)`` on every pair of equal dimension; a block is sent once to every group of chunks."""
+    """``func(block, chunk)`` on every pair of equal dimension; a block is sent once to every group of chunks.
+
+    Both sides are shuffled: Spark takes the blocks for as small as their files and would collect all copies on the driver.
+    """
     left = chunks.select(*[F.col(c).alias(f"c_{c}") for c in chunks.columns]).withColumn("g", F.pmod(F.xxhash64("c_part"), F.lit(groups)))
-    right = blocks.withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    pairs = left.join(right, (left.g == right.g) & (left.c_dim == right.dim)).drop("g")
+    right = blocks.drop("codes", "stats").withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    pairs = left.hint("merge").join(right, (left.g == right.g) & (left.c_dim == right.dim)).drop("g")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
