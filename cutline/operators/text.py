@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +27,10 @@ FILTER_BITS = 26  # two to this power is the size of the word filter in bits
 BATCH_CHARS = 1 << 18  # characters of runs that share one small dictionary
 BASE, UNBASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BROADCAST_MARKS = 500_000
+BROADCAST_NUMBERS = 2_000_000  # handled keys that are whole numbers, about 60 bytes each
 WORDS_PER_TASK = 1_000_000
-MARK = "__mark"
+BETWEEN = "\x01"  # between the words of a list that moves as one text
+MARK, LIST = "__mark", "__list"
 RUNS, BATCH, MAYBE, TIMES = "__runs", "__batch", "__maybe", "__times"
 
 
@@ -51,7 +55,9 @@ def new_comments(
             limit = F.lit(str(bound)).cast(comments.schema[created].dataType)
             out = out.where(F.col(created) >= limit if after else F.col(created) < limit)
     if processed is not None:
-        out = out.join(processed.select(key).distinct(), key, "left_anti")
+        handled = checkpointed(processed.select(key).distinct())
+        few = BROADCAST_NUMBERS if isinstance(comments.schema[key].dataType, T.IntegralType) else BROADCAST_MARKS
+        out = out.join(F.broadcast(handled) if handled.count() <= few else handled, key, "left_anti")  # texts stay put in the first case
     if orders is not None:
         out = out.join(orders, key, "left")
     return distinct_rows(out)
@@ -70,9 +76,56 @@ def distinct_rows(rows: DataFrame) -> DataFrame:
 
 
 def counted_words(words: DataFrame, *by: str) -> DataFrame:
-    """Rows ``n`` per ``by`` of a written table of words, most of which differ: a task gets about ``WORDS_PER_TASK``."""
-    tasks = max(words.sparkSession.sparkContext.defaultParallelism, -(-words.count() // WORDS_PER_TASK))
-    return words.repartition(tasks, *by).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    """Rows ``n`` per ``by`` of a written table of words, most of which differ: a task gets about ``WORDS_PER_TASK``.
+
+    The last column is the word. Words move as lists of those that lie together, by the columns before; those of a key with more
+    than ``WORDS_PER_TASK`` rows move one by one, by all columns.
+    """
+    *keys, word = by
+    cores, rows = words.sparkSession.sparkContext.defaultParallelism, F.count(F.lit(1)).alias("n")
+    sizes = words.groupBy(*keys).agg(rows)
+    whole = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+    tasks = max(cores, -(-whole["n"] // WORDS_PER_TASK))
+    if not keys or not isinstance(words.schema[word].dataType, T.StringType):
+        return words.repartition(tasks, *by).groupBy(*by).agg(rows)
+    lists = _listed(words.select(*by), keys, word)
+    if whole["most"] <= WORDS_PER_TASK:
+        return _unlisted(lists.repartition(tasks, *keys), keys, word).groupBy(*by).agg(rows)
+    frequent = checkpointed(sizes.where(F.col("n") > WORDS_PER_TASK).select(*[F.col(k).alias(f"__{k}") for k in keys]))
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    few = F.broadcast(frequent)  # at most one of a million words each
+    rest = _unlisted(lists.join(few, same, "left_anti").repartition(tasks, *keys), keys, word)
+    return rest.groupBy(*by).agg(rows).unionByName(words.select(*by).join(few, same, "left_semi").repartition(tasks, *by).groupBy(*by).agg(rows))
+
+
+def _listed(words: DataFrame, keys: Sequence[str], word: str) -> DataFrame:
+    """One row per run of words with equal keys inside an Arrow batch: the words as one text, or (``LIST``) as they are where one is
+    NULL or holds ``BETWEEN``."""
+    schema = T.StructType([*(words.schema[k] for k in keys), T.StructField(word, T.StringType()), T.StructField(LIST, T.ArrayType(T.StringType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            new[0] = True
+            for k in keys:
+                column = batch.column(k)
+                new[1:] |= pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, n - 1)), True).to_numpy(zero_copy_only=False)
+            starts = np.flatnonzero(new)
+            own = batch.column(word)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, n).astype("i4")), own.cast(pa.string()))
+            odd = own.null_count or pc.any(pc.match_substring(own, BETWEEN)).as_py()
+            none = pa.nulls(len(starts), pa.list_(pa.string()) if not odd else pa.string())
+            both = [none, lists] if odd else [pc.binary_join(lists, BETWEEN), none]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(starts)) for k in keys), *both], schema.names)
+
+    return words.mapInArrow(run, schema)
+
+
+def _unlisted(lists: DataFrame, keys: Sequence[str], word: str) -> DataFrame:
+    return lists.select(*keys, F.explode(F.coalesce(LIST, F.split(word, BETWEEN, -1))).alias(word))
 
 
 def letter_words(text: Column) -> Column:

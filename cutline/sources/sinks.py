@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cutline.session import checkpointed
 from cutline.sources.readers import Database
 
 # fixed values: rows per insert statement
@@ -62,16 +61,35 @@ def append_rows(df: DataFrame, table: str) -> None:
 def write_batch(df: DataFrame, table: str, batch: str) -> None:
     """The rows of one batch in a catalog table partitioned by ``batch``, which is made if it is absent.
 
-    A repeated run of a batch replaces what the run before left of it, so no row comes in twice. The rows are written
-    beside first: ``df`` may read the table, and a run that fails while computing them leaves the table as it was.
+    A repeated run of a batch replaces what the run before left of it, so no row comes in twice. The rows are written once, to
+    a folder of their own below the table, which then becomes the folder of the batch: ``df`` may read the table, and a run
+    that fails while computing them leaves the table as it was.
     """
-    spark, rows, view = df.sparkSession, checkpointed(df), f"cutline_{uuid.uuid4().hex}"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    spark = df.sparkSession
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, batch string) USING parquet PARTITIONED BY (batch)")
+    fields = [f for f in spark.table(table).schema if f.name != "batch"]
+    if len(fields) != len(df.columns):
+        raise ValueError(f"{table} has the columns {[f.name for f in fields]}, not {df.columns}")
+    home = _location(spark, table)
+    folder = f"{home}/batch-{uuid.uuid4().hex}"
+    df.toDF(*[f.name for f in fields]).select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in fields]).write.parquet(folder)
     value = batch.replace("\\", "\\\\").replace("'", "\\'")
-    rows.createOrReplaceTempView(view)
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch = '{value}') SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
+    part = f"PARTITION (batch = '{value}')"
+    known = spark.sql(f"SHOW PARTITIONS {table} {part}").count() > 0
+    old = _location(spark, f"{table} {part}") if known else None
+    spark.sql(f"ALTER TABLE {table} {part} SET LOCATION '{folder}'" if known else f"ALTER TABLE {table} ADD {part} LOCATION '{folder}'")
+    spark.catalog.refreshTable(table)
+    if old and old.startswith(f"{home}/"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _location(spark: SparkSession, what: str) -> str:
+    """Folder of a catalog table or of a partition of it; the details come after the columns, a partition's before its table's."""
+    rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {what}").collect()]
+    details = next(i for i, (name, _) in enumerate(rows) if name.startswith("# Detailed"))
+    return next(value for name, value in rows[details:] if name == "Location").rstrip("/")
 
 
 def write_by_product(labels: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@
 
 import copy
 import datetime
+import os
 import shutil
 
 import pytest
@@ -11,6 +12,7 @@ from cutline.plans import flows
 from cutline.plans.comment_flow import comment_job
 from cutline.plans.flows import train_flow
 from cutline.plans.queries import small_model_config, tables
+from cutline.sources import sinks
 from cutline.sources.sinks import path_exists, staged, write_batch
 from cutline.sources.snapshots import fingerprint, latest_version, refresh_snapshot
 
@@ -100,6 +102,26 @@ def test_a_repeated_batch_comes_in_once(spark):
     spark.sql("DROP TABLE words_batched")
 
 
+def test_a_batch_is_written_once(spark, monkeypatch):
+    """Not beside the table and then into it; what a repeated batch replaces goes, also where the batch reads its own table."""
+    def beside(df):
+        raise AssertionError("written beside the table")
+
+    monkeypatch.setattr(sinks, "checkpointed", beside, raising=False)
+    spark.sql("DROP TABLE IF EXISTS words_once")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "Location long, word string")
+    for batch in ("one", "two", "two"):
+        write_batch(rows, "words_once", batch)
+    home = next(r["data_type"] for r in spark.sql("DESCRIBE TABLE EXTENDED words_once").collect()[::-1] if r["col_name"] == "Location")
+    assert len([f for f in os.listdir(home.removeprefix("file:")) if f.startswith("batch")]) == 2
+    spark.sql("INSERT INTO words_once PARTITION (batch = 'three') SELECT 7, 'x'")
+    write_batch(spark.table("words_once").where("batch = 'three'").selectExpr("Location + 1", "word"), "words_once", "three")
+    assert sorted(map(tuple, spark.table("words_once").collect())) == [(1, "a", "one"), (1, "a", "two"), (2, "b", "one"), (2, "b", "two"), (8, "x", "three")]
+    with pytest.raises(ValueError, match="columns"):
+        write_batch(rows.select("word"), "words_once", "two")
+    spark.sql("DROP TABLE words_once")
+
+
 def test_snapshot_against_a_full_rebuild(spark, tmp_path):
     folder, schema = str(tmp_path / "s"), "k int, t timestamp, n int, v string"
 

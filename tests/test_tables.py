@@ -3,6 +3,7 @@
 import math
 import random
 import re
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -249,3 +250,33 @@ def test_counted_words_bounds_the_rows_of_a_task(spark, monkeypatch):
     counted = text.counted_words(words, "oid", "word")
     assert "REPARTITION_BY_NUM" in plan_of(counted) and counted.rdd.getNumPartitions() == 100
     assert counted.agg({"n": "sum"}).first()[0] == 1000 and counted.count() == words.distinct().count()
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 20])
+def test_counted_words_move_as_lists(spark, monkeypatch, bound):
+    """NULLs, empty words, words with the separator, keys whose rows lie apart, keys with more rows than a task gets."""
+    monkeypatch.setattr(text, "WORDS_PER_TASK", bound)
+    rows = [("x", i % 7 if i % 11 else None, ["a", "b", "", None, "a\x01b", "\x01", "ü"][i * i % 7]) for i in range(60)]
+    rows += [("y" if i % 2 else None, 5, "only") for i in range(50)]
+    words = spark.createDataFrame(rows, "batch string, oid long, word string").repartition(3)
+    got = text.counted_words(words, "batch", "oid", "word")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((*k, n) for k, n in Counter(rows).items()), key=str)
+
+
+def test_counted_words_shuffle_no_single_words(spark):
+    words = spark.range(2000).selectExpr("id div 500 as oid", "concat('w', id) as word")
+    plan = text.counted_words(words, "oid", "word")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Generate explode") < plan.index("Exchange") < plan.index("MapInArrow")  # lists move
+
+
+def test_handled_comments_move_no_texts(spark, tmp_path):
+    rows = [(i, f"text {i}", i) for i in range(20)]
+    spark.createDataFrame(rows, "oid long, content string, created int").write.parquet(str(tmp_path / "c"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = new_comments(spark.read.parquet(str(tmp_path / "c")), spark.range(0, 20, 2).withColumnRenamed("id", "oid"))
+        assert "BroadcastHashJoin" in plan_of(fresh) and "SortMergeJoin" not in plan_of(fresh)
+        assert sorted(r.oid for r in fresh.collect()) == list(range(1, 20, 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
