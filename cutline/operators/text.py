@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import tempfile
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
@@ -23,15 +24,20 @@ LETTERS = r"[\p{L}]+"
 CJK = "[一-龥]"
 WORD_RUN = "[一-龥a-zA-Z0-9]+"
 LITERAL_STOP_WORDS = 10_000
-FILTER_BITS = 26  # two to this power is the size of the word filter in bits
-BATCH_CHARS = 1 << 18  # characters of runs that share one small dictionary
+FILTER_BITS = 27  # two to this power is the size of the filter of beginnings of words in bits
+MAP_BYTES = 4096  # of Spark's bit maps
+BATCH_CHARS = 1 << 18  # characters of texts that are stored and cut together
+ARROW_BYTES = 1 << 22  # of an Arrow batch of texts; a longer row is a batch of its own
+SLICE_WORDS = 1 << 16
+INDEX_BITS = 22
+FEW_RUNS = 8  # so many runs are cut together at least
+GROUP_CHARS, CHARS_A_WORD = 1 << 23, 32  # characters of a group of texts at least, in all and for each word of the dictionary
 BASE, UNBASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BROADCAST_MARKS = 500_000
 BROADCAST_NUMBERS = 2_000_000  # handled keys that are whole numbers, about 60 bytes each
 WORDS_PER_TASK = 1_000_000
 BETWEEN = "\x01"  # between the words of a list that moves as one text
 MARK, LIST = "__mark", "__list"
-RUNS, BATCH, MAYBE, TIMES = "__runs", "__batch", "__maybe", "__times"
 
 
 def new_comments(
@@ -159,7 +165,7 @@ def split_run(run: str, cost: Mapping[str, float], unknown: float) -> list[str]:
 
 
 def hash_sums(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Running sums of code points times powers, and the inverse powers: what ``string_bits`` takes."""
+    """Running sums of code points times powers, and the inverse powers: what ``string_checks`` takes."""
     up, down = np.full(len(points) + 1, BASE, np.uint64), np.full(len(points) + 1, UNBASE, np.uint64)
     up[0] = down[0] = 1
     sums = np.zeros(len(points) + 1, np.uint64)
@@ -167,10 +173,16 @@ def hash_sums(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, np.cumprod(down)
 
 
-def string_bits(sums: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Bit of the word filter for each string from ``starts`` to ``ends``: a polynomial hash of its code points."""
+def string_checks(sums: np.ndarray, down: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """32 bits of a polynomial hash of each string from ``starts`` to ``ends``."""
     x = (sums[ends] - sums[starts]) * down[starts]
-    return ((x ^ x >> np.uint64(31)) * BASE >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return ((x ^ x >> np.uint64(31)) * BASE >> np.uint64(32)).astype(np.uint32)
+
+
+def longer(hashes: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """64-bit hashes of strings that are one character longer."""
+    x = (hashes ^ points) * BASE
+    return x ^ x >> np.uint64(32)
 
 
 def _points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -179,99 +191,297 @@ def _points(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4"), sizes
 
 
-def word_filter(words: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """A bit map that holds every word's hash, of a fixed size however many words there are, and the lengths that words have.
+def beginnings(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, positions, hashes) of all beginnings of the strings, those of one length at a time."""
+    at, hashes, n = np.arange(len(starts)), np.full(len(starts), BASE, np.uint64), 0
+    while True:
+        go = starts[at] + n < ends[at]
+        at, hashes = at[go], hashes[go]
+        if not len(at):
+            return
+        hashes = longer(hashes, points[starts[at] + n])
+        n += 1
+        yield n, at, hashes
+
+
+def filter_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte and shift of the two bits of the filter for each hash."""
+    bit = (hashes >> np.uint64(65 - FILTER_BITS) << np.uint64(1)).astype(np.int64)
+    return bit >> 3, (bit & 7).astype(np.uint8)
 
-    It only spares strings that are no words the join; the more words, the fewer it spares.
+
+def beginnings_filter(words: DataFrame) -> np.ndarray:
+    """A bit map with two bits for a hash, of a beginning of a word and of a word, of a fixed size however many words there are.
+
+    It only tells where to stop looking for longer words, and what to look up; the more words, the less it spares.
     """
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << FILTER_BITS - 3, np.uint8)
         for batch in batches:
             points, at = _points(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_pydict({"bit": string_bits(*hash_sums(points), at[:-1], at[1:]), "length": np.diff(at)})
-
-    hashed = words.select("word").mapInArrow(bits, "bit long, length long")
-    place = F.col("bit") + 1  # Spark's bit maps count from one
-    parts = hashed.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("map"), F.collect_set("length").alias("lengths"))
-    out, lengths = np.zeros(1 << FILTER_BITS - 3, np.uint8), set()
-    for r in parts.collect():  # 4 KB of bits a row, 8 MB in all
-        start = (r["part"] - 1) * len(r["map"])
-        out[start : start + len(r["map"])] = np.frombuffer(r["map"], np.uint8)
-        lengths |= set(r["lengths"])
-    return out, sorted(lengths)
-
-
-def candidates(runs: Sequence[str], held: np.ndarray, lengths: Sequence[int]) -> list[str]:
-    """Distinct strings inside the runs that the filter does not rule out as words."""
-    points, at = _points(runs)
-    whole, found = "".join(runs), set()
-    left = np.repeat(at[1:], np.diff(at)) - np.arange(len(points))  # characters up to the end of the run
+            for n, i, hashes in beginnings(points, at[:-1], at[1:]):
+                byte, shift = filter_places(hashes)
+                np.bitwise_or.at(held, byte, np.where(at[i + 1] - at[i] == n, np.uint8(3), np.uint8(1)) << shift)
+        for start in range(0, len(held), MAP_BYTES):
+            if held[start : start + MAP_BYTES].any():
+                yield pa.RecordBatch.from_pydict({"start": [start], "map": [held[start : start + MAP_BYTES].tobytes()]})
+
+    parts = words.select("word").mapInArrow(bits, "start long, map binary").groupBy("start").agg(F.bitmap_or_agg("map").alias("map"))
+    out = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for r in parts.collect():  # 4 KB of bits a row, 16 MB in all
+        out[r["start"] : r["start"] + len(r["map"])] = np.frombuffer(r["map"], np.uint8)
+    return out
+
+
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def dictionary_slices(entries: DataFrame, count: int, whole: float) -> DataFrame:
+    """(slice, body) of the dictionary: hash, check and cost of its words by hash, about ``SLICE_WORDS`` in a row."""
+    wide = max(0, (count // SLICE_WORDS).bit_length())
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points, at = _points(batch.column("word").to_pylist())
+            hashes = np.zeros(batch.num_rows, np.uint64)
+            for _, i, h in beginnings(points, at[:-1], at[1:]):
+                hashes[i] = h  # the last one that is written is the whole word's
+            cost = [whole - math.log(max(n, 1.0)) for n in batch.column("frequency").to_pylist()]
+            part = (hashes >> np.uint64(64 - wide)).astype(np.int32) if wide else np.zeros(len(hashes), np.int32)
+            check = string_checks(*hash_sums(points), at[:-1], at[1:])
+            yield pa.RecordBatch.from_pydict({"slice": part, "hash": hashes.view(np.int64), "check": check.view(np.int32), "cost": np.array(cost, float)})
+
+    def packed(rows: pa.Table) -> pa.Table:
+        hashes, check, cost = (rows.column(c).to_numpy() for c in ("hash", "check", "cost"))
+        hashes, check = hashes.view(np.uint64), check.view(np.uint32)
+        order = np.lexsort((check, hashes))
+        body = pa.RecordBatch.from_pydict({"step": np.diff(hashes[order], prepend=np.uint64(0)), "check": check[order], "cost": cost[order]})
+        return pa.table({"slice": rows.column("slice")[:1], "body": pa.array([_ipc(body)], pa.binary())})
+
+    hashed = entries.mapInArrow(keyed, "slice int, hash long, check int, cost double")
+    return checkpointed(hashed.groupBy("slice").applyInArrow(packed, "slice int, body binary"))
+
+
+class Words:
+    """A dictionary in a task: its slices lie one after another in files without a name, mapped, so its size takes no memory."""
+
+    def __init__(self) -> None:
+        self.files = [tempfile.TemporaryFile() for _ in range(3)]
+        self.count = 0
+
+    def add(self, body: pa.RecordBatch) -> None:
+        step, check, cost = (body.column(c).to_numpy() for c in ("step", "check", "cost"))
+        for file, values in zip(self.files, (np.cumsum(step, dtype=np.uint64), check, np.where(np.isnan(cost), math.inf, cost))):
+            file.write(values.tobytes())
+        self.count += len(step)
+
+    def ready(self) -> None:
+        for file in self.files:
+            file.flush()
+        kinds = (np.uint64, np.uint32, np.float64)
+        self.hashes, self.checks, self.costs = (np.memmap(f, t, "r", shape=(self.count,)).view(np.ndarray) if self.count else np.zeros(0, t) for f, t in zip(self.files, kinds))
+        self.shift = np.uint64(64 - min(INDEX_BITS, max(1, self.count.bit_length())))
+        self.index = np.searchsorted(self.hashes, np.arange(1 << 64 - int(self.shift), dtype=np.uint64) << self.shift)
+
+    def look_up(self, hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Where each string stands in the dictionary, or -1."""
+        found = np.full(len(hashes), -1)
+        if not self.count:
+            return found
+        todo, at = np.arange(len(hashes)), self.index[hashes >> self.shift]
+        while True:
+            inside = at < self.count
+            todo, at = todo[inside], at[inside]
+            if not len(todo):
+                return found
+            there, wanted = self.hashes[at], hashes[todo]
+            same = there == wanted
+            equal = np.flatnonzero(same)
+            equal = equal[self.checks[at[equal]] == checks[todo[equal]]]
+            found[todo[equal]] = at[equal]
+            same[equal] = False
+            on = np.flatnonzero((there < wanted) | same)
+            todo, at = todo[on], at[on] + 1
+
+
+def _edges(points: np.ndarray, left: np.ndarray, held: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, length, cost) of all words inside runs, shorter ones first; ``left``: characters up to the end of the run."""
     sums, down = hash_sums(points)
-    for n in lengths:
-        starts = np.flatnonzero(left >= n)
-        bit = string_bits(sums, down, starts, starts + n)
-        hit = starts[(held[bit >> 3] >> (bit & 7) & 1).astype(bool)]
-        found.update(whole[i : i + n] for i in hit.tolist())
-    return sorted(found)
+    at, hashes, n = np.arange(len(points)), np.full(len(points), BASE, np.uint64), 0
+    starts, lengths, costs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    while len(at):
+        hashes = longer(hashes, points[at + n])
+        n += 1
+        byte, shift = filter_places(hashes)
+        told = held[byte] >> shift
+        maybe = np.flatnonzero(told & 2)
+        own = at[maybe]
+        found = words.look_up(hashes[maybe], string_checks(sums, down, own, own + n))
+        hit = np.flatnonzero(found >= 0)
+        starts.append(own[hit])
+        lengths.append(np.full(len(hit), n))
+        costs.append(words.costs[found[hit]])
+        go = np.flatnonzero((told & 1).astype(bool) & (left[at] > n))
+        at, hashes = at[go], hashes[go]
+    return tuple(map(np.concatenate, (starts, lengths, costs)))
+
+
+def _by_distance(left: np.ndarray, most: int) -> tuple[np.ndarray, list[int]]:
+    """Positions by their distance up to ``most``, and where each distance starts; other positions are left out."""
+    near = np.flatnonzero(left <= most)
+    order = near[np.argsort(left[near].astype(np.uint16), kind="stable")]
+    return order, np.concatenate([[0], np.cumsum(np.bincount(left[near], minlength=most + 1))]).tolist()
+
+
+def split_runs(points: np.ndarray, stops: np.ndarray, held: np.ndarray, words: Words, unknown: float) -> np.ndarray:
+    """Where the words of all runs start, cut as ``split_run`` does; a run ends at each of ``stops``.
+
+    All runs are cut together, from their ends on, one character at a time; what only a few runs reach is cut run by run.
+    """
+    sizes = np.diff(stops, prepend=0)
+    run = np.repeat(np.arange(len(stops)), sizes)
+    left = stops[run] - np.arange(len(points))
+    start, length, cost = _edges(points, left, held, words)
+    slot = np.arange(len(points)) + run  # behind each run is a slot that costs nothing
+    total, end = np.zeros(len(points) + len(stops)), np.zeros(len(points) + len(stops), np.int64)
+    reached = np.bincount(left)
+    most = min(int((reached[1:] >= FEW_RUNS).sum()), (1 << 16) - 1)
+    distance = left[start]
+    order, cuts = _by_distance(left, most)
+    edges, edge_cuts = _by_distance(distance, most)
+    own, first, last, price = slot[order], slot[start[edges]], slot[start[edges]] + length[edges], cost[edges]
+    for d in range(1, most + 1):
+        at = own[cuts[d] : cuts[d + 1]]
+        total[at], end[at] = unknown + total[at + 1], at + 1
+        s = slice(edge_cuts[d], edge_cuts[d + 1])
+        i, j = first[s], last[s]
+        sums = price[s] + total[j]
+        np.minimum.at(total, i, sums)
+        best = sums == total[i]
+        end[i[best]] = j[best]  # the last of equal ones, the longest word, stays
+    far = np.flatnonzero(left > most)
+    if len(far):
+        rest = np.flatnonzero(distance > most)
+        rest = rest[np.lexsort((length[rest], start[rest], distance[rest]))]
+        ways = zip(start[rest].tolist(), (slot[start[rest]] + length[rest]).tolist(), cost[rest].tolist())
+        way, sums = next(ways, None), total.tolist()
+        for p, at in zip(*(x[np.lexsort((far, left[far]))].tolist() for x in (far, slot[far]))):
+            least, to = unknown + sums[at + 1], at + 1
+            while way and way[0] == p:
+                if way[2] + sums[way[1]] <= least:
+                    least, to = way[2] + sums[way[1]], way[1]
+                way = next(ways, None)
+            sums[at], end[at] = least, to
+    cut = np.zeros(len(total), bool)
+    ends, at = stops + np.arange(len(stops)), (stops - sizes) + np.arange(len(stops))
+    over = np.zeros(len(total), bool)
+    over[ends] = True
+    while len(at):
+        cut[at] = True
+        at = end[at]
+        at = at[~over[at]]
+    return np.flatnonzero(cut[slot])
+
+
+def _texts(column: pa.Array) -> list[str]:
+    try:
+        return [t or "" for t in column.to_pylist()]
+    except UnicodeDecodeError:  # as Java reads them
+        return [(t or b"").decode(errors="replace") for t in column.cast(pa.binary()).to_pylist()]
+
+
+def words_of_texts(column: pa.Array, held: np.ndarray, words: Words, unknown: float) -> pa.Array:
+    """The words of each text that have a CJK character and no digit."""
+    points, rows = _points(_texts(column))
+    ideograph = (points >= 0x4E00) & (points <= 0x9FA5)  # CJK
+    digit = (points >= 48) & (points <= 57)
+    low = points | 32
+    inside = ideograph | digit | (low >= 97) & (low <= 122) & (points < 128)  # WORD_RUN
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    at = rows[:-1][rows[:-1] < rows[1:]]
+    first[at] = inside[at]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | first[1:]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    seen = np.concatenate([[0], np.cumsum(ideograph)])
+    own = seen[ends] > seen[starts]
+    starts, ends = starts[own], ends[own]
+    sizes = ends - starts
+    stops = np.cumsum(sizes)
+    place = np.repeat(starts - (stops - sizes), sizes) + np.arange(sizes.sum())
+    points, ideograph, digit = points[place], ideograph[place], digit[place]
+    missing = column.is_null()
+    if not len(points):
+        return pa.ListArray.from_arrays(pa.array(np.zeros(len(column) + 1, "i4")), pa.array([], pa.string()), mask=missing)
+    cut = split_runs(points, stops, held, words, unknown)
+    bytes_of = np.concatenate([[0], np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000))])
+    offsets = np.append(bytes_of[cut], bytes_of[-1]).astype("i4")
+    found = pa.StringArray.from_buffers(len(cut), pa.py_buffer(offsets), pa.py_buffer(points.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")))
+    keep = np.logical_or.reduceat(ideograph, cut) & ~np.logical_or.reduceat(digit, cut)
+    row = np.searchsorted(rows, place[cut[keep]], side="right") - 1
+    lists = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(column)))]).astype("i4")
+    return pa.ListArray.from_arrays(pa.array(lists), found.filter(pa.array(keep)), mask=missing)
 
 
 def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame, out: str) -> DataFrame:
     """Words of unsegmented text by a (word, frequency) dictionary; words need a CJK character and no digit.
 
-    The dictionary stays a table, of any size. Rows are taken in batches; the strings of a batch's runs that may be words, told
-    by a bit map of fixed size, are joined with it, and what is found comes back to the batch as its own small dictionary.
-    Each run is then cut along the cheapest path. Frequencies of a repeated word add up. A NULL text has no words.
+    The dictionary stays a table, of any size: hash, check and cost of its words go in compressed slices to each of a few groups
+    of texts, so that the copies stay small beside the texts, and are mapped from disk there. A word is told by 96 bits.
+    Texts are stored once, compressed. Each run is cut along the cheapest path. Frequencies of a repeated word add up. A NULL
+    text has no words.
     """
     spark = df.sparkSession
     entries = checkpointed(dictionary.where("word IS NOT NULL AND word <> ''").groupBy("word").agg(
         F.sum(F.coalesce(F.col("frequency").cast("double"), F.lit(0.0))).alias("frequency")))
-    whole = math.log(entries.agg(F.sum("frequency")).first()[0] or 1.0)
-    filtered, lengths = word_filter(entries)
-    shared = spark.sparkContext.broadcast((filtered, lengths))
-    columns = df.columns
-    schema = T.StructType([*df.schema, T.StructField(RUNS, T.ArrayType(T.StringType())), T.StructField(BATCH, T.LongType()),
-                           T.StructField(MAYBE, T.ArrayType(T.StringType()))])
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Number the batches; the first row of each carries the strings to look up."""
-        held, lengths = shared.value
-        base = TaskContext.get().partitionId() << 33
-        number = 0
+    facts = entries.agg(F.sum("frequency").alias("whole"), F.count(F.lit(1)).alias("n")).first()
+    whole, count = math.log(facts["whole"] or 1.0), facts["n"]
+    shared = spark.sparkContext.broadcast(beginnings_filter(entries))
+    names, schema = df.columns, T.StructType([*df.schema, T.StructField(out, T.ArrayType(T.StringType()))])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
         for batch in batches:
-            sizes = np.cumsum([sum(map(len, r or ())) for r in batch.column(RUNS).to_pylist()])
+            sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
             cuts = np.flatnonzero(np.diff(sizes // BATCH_CHARS)) + 1 if batch.num_rows else []
             for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-                part = batch.slice(a, b - a)
-                if part.num_rows:
-                    strings = candidates([r for rs in part.column(RUNS).to_pylist() for r in rs or ()], held, lengths)
-                    maybe = pa.array([strings, *[None] * (part.num_rows - 1)], pa.list_(pa.string()))
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array([base + number] * part.num_rows, pa.int64()), maybe], schema.names)
+                if b > a:
+                    chars = int(sizes[b - 1] - (sizes[a - 1] if a else 0))
+                    yield pa.RecordBatch.from_pydict({"number": [number], "chars": [chars], "body": pa.array([_ipc(batch.slice(a, b - a))], pa.binary())})
                     number += 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        costs: dict[str, float] = {}
-        at = None
+        held, words, of, open_ = shared.value, None, None, False
         for batch in batches:
-            words = []
-            for number, own, times, runs in zip(*(batch.column(c).to_pylist() for c in (BATCH, MAYBE, TIMES, RUNS))):
-                if times is not None:
-                    at, costs = number, with_prefixes({w: whole - math.log(max(n, 1.0)) for w, n in zip(own, times)})
+            for part, is_text, body in zip(*(batch.column(c) for c in ("part", "is_text", "body"))):
+                if part.as_py() != of:
+                    words, of, open_ = Words(), part.as_py(), True
+                rows = pa.ipc.open_stream(body.as_buffer()).read_next_batch()
+                if not is_text.as_py():
+                    words.add(rows)
                     continue
-                found = costs if number == at else {}
-                words.append(None if runs is None else [w for r in runs for w in split_run(r, found, whole)])
-            rows = batch.filter(batch.column(TIMES).is_null())
-            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.array(words, pa.list_(pa.string()))], [*columns, out])
-
-    runs = F.filter(F.regexp_extract_all(F.col(text), F.lit(WORD_RUN), F.lit(0)), lambda r: r.rlike(CJK))
-    rows = checkpointed(df.withColumn(RUNS, runs).mapInArrow(told, schema))
-    looked_up = rows.select(BATCH, F.explode(MAYBE).alias("word")).join(entries, "word")
-    own = looked_up.groupBy(BATCH).agg(F.collect_list(F.struct("word", "frequency")).alias("all"))
-    own = own.select(BATCH, F.col("all.word").alias(MAYBE), F.col("all.frequency").alias(TIMES))
-    both = rows.drop(MAYBE).unionByName(own, allowMissingColumns=True).select(*columns, RUNS, BATCH, MAYBE, TIMES)
-    dealt = both.repartition(BATCH).sortWithinPartitions(BATCH, F.col(TIMES).isNull())
-    split = dealt.mapInArrow(cut, T.StructType([*df.schema, T.StructField(out, T.ArrayType(T.StringType()))]))
-    return split.withColumn(out, F.filter(out, lambda w: w.rlike(CJK) & ~w.rlike("[0-9]")))
+                if open_:
+                    words.ready()
+                    open_ = False
+                yield pa.RecordBatch.from_arrays([*rows.columns, words_of_texts(rows.column(text), held, words, whole)], [*names, out])
+
+    conf, key = spark.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).rstrip("b")) > ARROW_BYTES:  # read when a plan runs, so the session keeps it; it changes no result
+        conf.set(key, str(ARROW_BYTES))
+    texts = checkpointed(df.mapInArrow(packed, "number long, chars long, body binary"))
+    size = texts.agg(F.coalesce(F.sum("chars"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    groups = max(1, min(size["rows"], max(spark.sparkContext.defaultParallelism, size["n"] // max(GROUP_CHARS, CHARS_A_WORD * count))))
+    copies = dictionary_slices(entries, count, whole).select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"), F.lit(False).alias("is_text"), "slice", "body")
+    own = texts.select(F.pmod("number", F.lit(groups)).cast("int").alias("part"), F.lit(True).alias("is_text"), F.lit(0).alias("slice"), "body")
+    dealt = copies.unionByName(own).repartitionById(groups, F.col("part")).sortWithinPartitions("part", "is_text", "slice")
+    return dealt.select("part", "is_text", "body").mapInArrow(cut, schema)
 
 
 def spread(scan: DataFrame) -> DataFrame:

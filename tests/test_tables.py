@@ -6,10 +6,13 @@ import re
 from collections import Counter
 from datetime import datetime
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from cutline import session
 from cutline.functions.standardize import (
     apply_dictionary, cast_keys, columns_of_kind, null_minimum_dates, replace_commas, standardize_types)
 from cutline.operators import text
@@ -219,6 +222,45 @@ def test_segmentation_against_brute_force(spark, monkeypatch, chars):
         assert rows[i].words == [w for w in want if re.search("[一-龥]", w) and not re.search("[0-9]", w)]
 
 
+def test_segmentation_stores_texts_once(spark, monkeypatch, tmp_path):
+    """Neither runs nor strings to look up are stored beside the texts, which are compressed."""
+    rng = random.Random(5)
+    parts = ["".join(rng.choices("一丁七万丈三上下", k=rng.randint(1, 4))) for _ in range(60)]
+    words = sorted({"".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(20_000)})
+    texts = ["".join(rng.choices(parts, k=300)) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "oid long, content string").coalesce(2)
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    out = text.dictionary_words(df, "content", spark.createDataFrame([(w, 1 + len(w)) for w in words], "word string, frequency long"), "words")
+    assert ["".join(r.words) for r in out.orderBy("oid").collect()] == texts
+    stored = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert stored < len("".join(texts).encode()) / 2
+
+
+@pytest.mark.parametrize("few", [1, 8, 10**9])
+def test_runs_are_cut_as_one_by_one(monkeypatch, few):
+    """Equal costs, runs of very different lengths, slices, hashes that two words share, words that the filter lets pass by chance."""
+    monkeypatch.setattr(text, "FEW_RUNS", few)
+    rng = random.Random(few)
+    cost = {"".join(rng.choices("一丁七", k=rng.randint(1, 6))): float(rng.randint(1, 3)) for _ in range(150)}
+    points, at = text._points(list(cost))
+    hashes = np.zeros(len(cost), np.uint64)
+    for _, i, h in text.beginnings(points, at[:-1], at[1:]):
+        hashes[i] = h
+    checks = text.string_checks(*text.hash_sums(points), at[:-1], at[1:])
+    false = [(h, c ^ np.uint32(1), 0.0) for h, c in zip(hashes[:40], checks[:40])]  # other words of these hashes
+    rows = sorted([*zip(hashes, checks, cost.values()), *false])
+    words = text.Words()
+    for part in (rows[:70], rows[70:]):
+        h, c, p = (np.array(x) for x in zip(*part))
+        words.add(pa.RecordBatch.from_pydict({"step": np.diff(h, prepend=np.uint64(0)), "check": c, "cost": p}))
+    words.ready()
+    runs = ["".join(rng.choices("一丁七万", k=n)) for n in [*range(1, 40), 700, 5000, 3]]
+    points, at = text._points(runs)
+    cut = text.split_runs(points, at[1:], np.full(1 << text.FILTER_BITS - 3, 255, np.uint8), words, 2.0)
+    whole, ends = "".join(runs), [*cut.tolist()[1:], len(points)]
+    assert [whole[a:b] for a, b in zip(cut.tolist(), ends)] == [w for r in runs for w in split_run(r, with_prefixes(cost), 2.0)]
+
+
 def test_segmentation_without_a_dictionary(spark):
     df = spark.createDataFrame([(1, "一丁七")], "oid long, content string")
     none = spark.createDataFrame([], "word string, frequency long")
